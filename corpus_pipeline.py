@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omicspark.llm import bpe_tree, exact_dedup, mixing
+from omicspark.llm import bpe_tree, exact_dedup, mixing, partenum_join, toxicity
 from omicspark.llm.common import stash
 from omicspark.llm.queries import table, tokenizer_path
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows predicted toxic go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     return exact_dedup.keep_one_copy(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near-duplicate texts stays: five words, a similarity of 0.8."""
+    return partenum_join.keep_one_of_each(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix of sources takes them."""
     return mixing.mixed_documents(docs)
@@ -25,7 +35,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_tree.code_digests(bpe_tree.encode(docs, path), path)
 
 
-STAGES = [("exact dedup", copies), ("mixing", mix), ("bpe", encode)]
+STAGES = [
+    ("toxicity", toxic),
+    ("exact dedup", copies),
+    ("n-gram Jaccard join", near_copies),
+    ("mixing", mix),
+    ("bpe", encode),
+]
 
 #: Learnt scores, permutations and tokens are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, exact_dedup, mixing, pii, quality_rules, secrets, url_reputation
+from . import bpe_tree, exact_dedup, mixing, partenum_join, pii, quality_rules, secrets, toxicity, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum_join.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     return bpe_tree.code_digests(bpe_tree.encode(table(spark, sf_dir, "documents"), path), path)
@@ -55,10 +63,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_url_filter": op4_url_filter,
     "op6_source_mixing": op6_source_mixing,
     "op7_secret_scan": op7_secret_scan,
+    "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_pii": op10_pii,
 }
