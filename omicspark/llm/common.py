@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,9 +33,16 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{scratch_root(df.sparkSession).rstrip('/')}/corpus-{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, upon which Spark deletes shuffle files no plan needs any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z in lower case and every other character as it was; null counts as empty.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, exact_dedup, mixing, partenum_join, pii, quality_rules, secrets, toxicity, url_reputation
+from . import bpe_tree, exact_dedup, mixing, partenum_join, pii, quality_rules, secrets, suffix_dedup, toxicity, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.filter_urls(table(spark, sf_dir, "pages"), outcomes)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_url_filter": op4_url_filter,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_secret_scan": op7_secret_scan,
     "op8_toxicity": op8_toxicity,
