@@ -36,7 +36,7 @@ def sum_if_complete(value: Column) -> Column:
 
 def gff_attributes(field: Column) -> Column:
     """Attribute column of GFF3 (``k=v;``) or GTF (``k "v";``) as a map, the last of repeated keys winning."""
-    parts = F.filter(F.transform(F.split(field, ";"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(field, ";"), lambda p: F.trim(p)), lambda p: p != "")
     pairs = F.transform(
         parts,
         lambda p: F.when(
@@ -75,7 +75,7 @@ def percent_map(field: Column) -> Column:
 
 def bar_list(field: Column) -> Column:
     """``a|b|c`` as an array without empty parts."""
-    return F.filter(F.transform(F.split(F.coalesce(field, F.lit("")), r"\|"), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(F.coalesce(field, F.lit("")), r"\|"), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def cigar_ops(cigar: Column) -> Column:

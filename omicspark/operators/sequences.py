@@ -75,9 +75,9 @@ def splice_evidence(alignments: DataFrame, chunks: DataFrame, chunk_bp: int) ->
     starts at k * ``chunk_bp`` and runs one base over. Donor and acceptor are looked up by equi-joins.
     """
     steps = reference_steps(cigar_ops(F.col("cigar")), F.col("pos0"))
-    introns = alignments.select("sample_id", "read_id", flag_set(F.col("flag"), 0x10).alias("reverse"), "chrom", F.explode(F.filter(steps, lambda o: o["op"] == "N")).alias("o"))
+    introns = alignments.select("sample_id", "read_id", flag_set(F.col("flag"), 0x10).alias("reverse"), "chrom", F.posexplode(F.filter(steps, lambda o: o["op"] == "N")).alias("intron", "o"))
     ends = introns.select(
-        "sample_id", "read_id", "reverse", "chrom", F.monotonically_increasing_id().alias("intron"),
+        "sample_id", "read_id", "reverse", "chrom", "intron",
         F.explode(F.array(F.struct(F.lit("d").alias("side"), F.col("o.pos").alias("at")), F.struct(F.lit("a").alias("side"), (F.col("o.pos") + F.col("o.len") - 2).alias("at")))).alias("e"),
     ).withColumn("chunk_no", F.floor(F.col("e.at") / chunk_bp))
     two = F.upper(F.substring("chunk", (F.col("e.at") - F.col("chunk_no") * chunk_bp + 1).cast("int"), F.lit(2)))
