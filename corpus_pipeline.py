@@ -32,7 +32,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with the digests of the ids and of the text they decode to."""
     path = tokenizer_path()
-    return bpe_tree.code_digests(bpe_tree.encode(docs, path), path)
+    return bpe_tree.code_digests(docs, path)
 
 
 STAGES = [

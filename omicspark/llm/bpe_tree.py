@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +17,10 @@ from .common import map_batches
 
 #: Texts of more characters are encoded in pieces by different tasks.
 LONG_CHARS = 32_768
-#: Runs between blanks whose tokens a worker remembers, in each of two generations.
-REMEMBERED = 150_000
+#: Characters at either end of a piece whose tokens are kept with their offsets for the join.
+MARGIN = 512
+#: Runs between blanks whose tokens a worker remembers in its young generation, and the characters it looks up at once.
+REMEMBERED, GROUP_CHARS = 300_000, 300_000
 
 Token = tuple[int, int, int]  # id, start, end
 
@@ -39,67 +43,93 @@ def encode_plain(path: str, text: str, shift: int = 0) -> list[Token]:
 
 
 class Runs:
-    """Tokens of runs between blanks, remembered within bounds.
+    """Ids of runs between blanks as packed 32-bit numbers, remembered within bounds.
 
     The pre-tokenizer drops white space and no piece crosses it, so a text's encoding is that of
-    its runs one after another. When the young generation is full it becomes the old one, and runs
-    seen since move on; nothing but speed depends on it. An ASCII word shares the entry of its
-    lower-case letters, a comma or stop behind it has its own.
+    its runs one after another. Runs not seen lately are encoded together; a full young generation becomes the old
+    one. Nothing but speed depends on it. An ASCII word shares the ids of its lower-case
+    letters, a comma or stop behind it has its own.
     """
 
-    def __init__(self, path: str, spans: bool):
-        self.path, self.spans = path, spans
-        self.young: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
-
-    def tokens(self, run: str) -> tuple:
-        """Ids, or ids, starts and ends as three tuples."""
-        found = self.young.get(run)
-        if found is None:
-            found = self.old.get(run)
-            if found is None:
-                found = self._new(run)
-            if len(self.young) >= REMEMBERED:
-                self.young, self.old = {}, self.young
-            if len(run) <= 64:
-                self.young[run] = found
-        return found
-
-    def _new(self, run: str) -> tuple:
-        if not self.spans and run.isascii():
-            end = run[-1] if run[-1] in ",." else ""
-            word = run[: len(run) - len(end)].lower()
-            if (end or word != run) and word.isalpha():
-                return self.tokens(word) + (self.tokens(end) if end else ())
-        e = tokenizer(self.path).encode(run, add_special_tokens=False)
-        if not self.spans:
-            return tuple(e.ids)
-        return tuple(e.ids), tuple(a for a, _ in e.offsets), tuple(b for _, b in e.offsets)
+    def __init__(self, path: str):
+        self.path = path
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    def _encode(self, runs: list[str]) -> None:
+        found = tokenizer(self.path).encode_batch_fast(runs, add_special_tokens=False)
+        self.young.update((r, np.array(e.ids, dtype="<i4").tobytes()) for r, e in zip(runs, found, strict=True))
+
+    def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
+        """A mapping that holds every run of ``texts``."""
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {"": b""}, self.young
+        young, old = self.young, self.old
+        shared, plain = [], set()
+        for run in set().union(*texts):
+            if run in young:
+                continue
+            if run in old:
+                young[run] = old[run]
+                continue
+            if run.isascii():
+                end = run[-1] if run[-1] in ",." else ""
+                word = run[: len(run) - len(end)].lower()
+                if word.isalpha():
+                    shared.append((run, word, end))
+                    plain.update(w for w in (word, end) if w not in young)
+                    continue
+            plain.add(run)
+        self._encode(sorted(plain))
+        for run, word, end in shared:
+            young[run] = young[word] + young[end]
+        return young
 
 
 @lru_cache(maxsize=4)
-def runs_of(path: str, spans: bool) -> Runs:
-    return Runs(path, spans)
+def runs_of(path: str) -> Runs:
+    return Runs(path)
 
 
-def encode_short(path: str, text: str) -> list[int]:
-    """Ids of a text by its runs between blanks."""
-    tokens, out = runs_of(path, False).tokens, []
-    for run in text.replace("\n", " ").split(" "):
-        if run:
-            out += tokens(run)
-    return out
+def encode_texts(path: str, texts: list[str]) -> Iterator[np.ndarray]:
+    """Ids of each text by its runs between blanks."""
+    group: list[list[str]] = []
+    size = 0
+    for k, text in enumerate(texts):
+        group.append(text.replace("\n", " ").split(" "))
+        size += len(text)
+        if size >= GROUP_CHARS or k + 1 == len(texts):
+            known = runs_of(path).learn(group).__getitem__
+            for runs in group:
+                yield np.frombuffer(b"".join(map(known, runs)), dtype="<i4")
+            group, size = [], 0
 
 
-def encode_leaf(path: str, text: str) -> list[Token]:
-    """Tokens with offsets of one piece of a long text, by its runs between blanks."""
-    tokens, out, at = runs_of(path, True).tokens, [], 0
-    for run in text.replace("\n", " ").split(" "):
-        if run:
-            ids, starts, ends = tokens(run)
-            out += [(i, a + at, b + at) for i, a, b in zip(ids, starts, ends, strict=True)]
-        at += len(run) + 1
-    return out
+class Piece(NamedTuple):
+    """Tokens of a piece: with offsets at its ends, ids alone between them.
+
+    ``head`` and ``tail`` are the texts at the ends and ``first`` and ``last`` their tokens; a short piece
+    has all of it in ``head`` and no ``middle``.
+    """
+
+    head: str
+    first: list[Token]
+    middle: np.ndarray | None
+    tail: str
+    last: list[Token]
+
+
+def encode_piece(path: str, text: str) -> Piece:
+    """One leaf of the tree. The ends reach to the first blank beyond the margin, so they stand on their own."""
+    low, high = text.find(" ", MARGIN), text.rfind(" ", 0, max(0, len(text) - MARGIN))
+    if low < 0 or high <= low:
+        return Piece(text, encode_plain(path, text), None, "", [])
+    (middle,) = encode_texts(path, [text[low:high]])
+    return Piece(text[:low], encode_plain(path, text[:low]), middle, text[high:], encode_plain(path, text[high:]))
+
+
+def ids_of(tokens: list[Token]) -> np.ndarray:
+    return np.array([t[0] for t in tokens], dtype="<i4")
 
 
 def alone(tokens: list[Token], k: int) -> bool:
@@ -150,17 +180,29 @@ def join_at(path: str, text: str, cut: int, left: list[Token], right: list[Token
         low, high = max(0, cut - width), min(len(text), cut + width)
 
 
-def concatenate(path: str, parts: list[tuple[str, list[Token]]]) -> list[Token]:
-    """Join the tokens of neighbouring pieces pairwise, as the inner nodes of a tree do."""
-    level = [(t, list(k)) for t, k in parts]
+def join_pieces(path: str, a: Piece, b: Piece) -> Piece:
+    """An inner node: the ends that meet are joined, the others stay."""
+    left, tokens = (a.head, a.first) if a.middle is None else (a.tail, a.last)
+    right = [(i, s + len(left), e + len(left)) for i, s, e in b.first]
+    text, met = left + b.head, join_at(path, left + b.head, len(left), tokens, right)
+    if a.middle is None and b.middle is None:
+        return Piece(text, met, None, "", [])
+    if a.middle is None:
+        return Piece(text, met, b.middle, b.tail, b.last)
+    if b.middle is None:
+        return Piece(a.head, a.first, a.middle, text, met)
+    return Piece(a.head, a.first, np.concatenate((a.middle, ids_of(met), b.middle)), b.tail, b.last)
+
+
+def concatenate(path: str, pieces: list[Piece]) -> np.ndarray:
+    """Ids of a text from its pieces, joined in pairs up the tree."""
+    level = list(pieces)
     while len(level) > 1:
-        above = []
-        for i in range(0, len(level) - 1, 2):
-            (a, left), (b, right) = level[i], level[i + 1]
-            right = [(x, s + len(a), e + len(a)) for x, s, e in right]
-            above.append((a + b, join_at(path, a + b, len(a), left, right)))
-        level = above + level[len(level) // 2 * 2 :]
-    return level[0][1] if level else []
+        level = [join_pieces(path, *level[i : i + 2]) for i in range(0, len(level) - 1, 2)] + level[len(level) // 2 * 2 :]
+    if not level:
+        return np.zeros(0, dtype="<i4")
+    p = level[0]
+    return np.concatenate((ids_of(p.first), p.middle if p.middle is not None else ids_of([]), ids_of(p.last)))
 
 
 def halves(text: str, most: int) -> list[str]:
@@ -172,28 +214,42 @@ def halves(text: str, most: int) -> list[str]:
 
 def encode_tree(path: str, text: str, most: int = LONG_CHARS) -> list[int]:
     """Ids of one text by tree concatenation in this process."""
-    return [i for i, _, _ in concatenate(path, [(p, encode_leaf(path, p)) for p in halves(text, most)])]
+    return concatenate(path, [encode_piece(path, p) for p in halves(text, most)]).tolist()
 
 
 def encode(docs: DataFrame, path: str, long_chars: int = LONG_CHARS) -> DataFrame:
     """``doc_id, ids`` of every whole text of ``docs(doc_id, text, ...)``, in the library's ids.
 
-    Texts up to ``long_chars`` are encoded where they are read, run by run. Longer ones are halved to pieces
-    that different tasks encode, then joined per row as a tree. A null text counts as empty and has no
-    ids. Rows are kept apart by a row number, so repeated and null ``doc_id`` are encoded each;
-    other columns are ignored; an empty table gives an empty result.
+    Texts up to ``long_chars`` are encoded where they are read, run by run. Longer ones are halved to
+    pieces that different tasks encode, then joined per text as a tree. A null text counts as
+    empty and has no ids. Repeated and null ``doc_id`` are encoded each; other columns are ignored; an
+    empty table gives an empty result.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return _encoded(docs, path, long_chars, lambda ids: (ids,), "ids array<int>")
 
-    def short(ids: list, texts: list) -> Iterator[tuple]:
-        for i, text in zip(ids, texts, strict=True):
-            yield i, encode_short(path, text)
 
-    whole = map_batches(rows.where(F.char_length("text") <= long_chars), short, "doc_id bigint, ids array<int>")
-    return whole.unionByName(_encode_long(rows.where(F.char_length("text") > long_chars), path, long_chars))
+def code_digests(docs: DataFrame, path: str, long_chars: int = LONG_CHARS) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every whole text, encoded as ``encode`` does and decoded.
+
+    The digests are of the decimal ids joined by a blank and of the decoded text in UTF-8.
+    """
+
+    def digests(ids: np.ndarray) -> tuple[int, str, str]:
+        numbers, listed = number_texts(path), ids.tolist()
+        sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+        return len(listed), sha(" ".join(map(numbers.__getitem__, listed))), sha(decode_ids(path, listed))
 
+    return _encoded(docs, path, long_chars, digests, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
+def _encoded(docs: DataFrame, path: str, most: int, finish: Callable[[np.ndarray], tuple], columns: str) -> DataFrame:
+    """``doc_id`` and what ``finish`` makes of each text's ids."""
+    schema = f"doc_id bigint, {columns}"
+
+    def short(ids: list, texts: list) -> Iterator[tuple]:
+        for i, found in zip(ids, encode_texts(path, texts), strict=True):
+            yield (i, *finish(found))
 
-def _encode_long(rows: DataFrame, path: str, most: int) -> DataFrame:
     def cut(ids: list, texts: list) -> Iterator[tuple]:
         for i, text in zip(ids, texts, strict=True):
             mark = hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()
@@ -202,48 +258,64 @@ def _encode_long(rows: DataFrame, path: str, most: int) -> DataFrame:
 
     def leaf(keys: list, texts: list) -> Iterator[tuple]:
         for key, text in zip(keys, texts, strict=True):
-            tokens = encode_leaf(path, text)
-            yield (*key.values(), text, *([t[j] for t in tokens] for j in range(3)))
+            p = encode_piece(path, text)
+            yield (*key.values(), p.head, _flat(p.first), p.middle, p.tail, _flat(p.last))
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("k")
-        parts = [(r.piece, list(zip(r.ids, r.starts, r.ends, strict=True))) for r in pdf.drop_duplicates("k").itertuples()]
-        ids = [int(i) for i, _, _ in concatenate(path, parts)]
         copies = int((pdf["k"] == 0).sum())
-        doc_id = pdf["doc_id"].iloc[0]
-        return pd.DataFrame({"doc_id": pd.array([doc_id] * copies, dtype="Int64"), "ids": [ids] * copies})
+        pieces = [Piece(r.head, _tokens(r.first), r.middle, r.tail, _tokens(r.last)) for r in pdf.drop_duplicates("k").itertuples()]
+        found = finish(concatenate(path, pieces))
+        out = pd.DataFrame([found] * copies, columns=[c.split()[0] for c in columns.split(", ")])
+        out.insert(0, "doc_id", pd.array([pdf["doc_id"].iloc[0]] * copies, dtype="Int64"))
+        return out
 
-    pieces = map_batches(rows, cut, "doc_id bigint, mark string, k int, piece string")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    whole = map_batches(rows.where(F.char_length("text") <= most), short, schema)
+    pieces = map_batches(rows.where(F.char_length("text") > most), cut, "doc_id bigint, mark string, k int, piece string")
     spread = pieces.repartition("doc_id", "mark", "k").select(F.struct("doc_id", "mark", "k").alias("key"), "piece")
     leaves = map_batches(
-        spread, leaf, "doc_id bigint, mark string, k int, piece string, ids array<int>, starts array<int>, ends array<int>", ("key", "piece")
+        spread, leaf, "doc_id bigint, mark string, k int, head string, first array<int>, middle array<int>, tail string, last array<int>", ("key", "piece")
     )
-    return leaves.groupBy("doc_id", "mark").applyInPandas(join, "doc_id bigint, ids array<int>")
+    return whole.unionByName(leaves.groupBy("doc_id", "mark").applyInPandas(join, schema))
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``doc_id, text`` of ``encoded(doc_id, ids)``, special tokens written out; null ids give null."""
+def _flat(tokens: list[Token]) -> list[int]:
+    return [x for t in tokens for x in t]
 
-    def rows(keys: list, ids: list) -> Iterator[tuple]:
-        t = tokenizer(path)
-        for i, x in zip(keys, ids, strict=True):
-            yield i, None if x is None else t.decode(x, skip_special_tokens=False)
 
-    return map_batches(encoded, rows, "doc_id bigint, text string", ("doc_id", "ids"))
+def _tokens(flat: np.ndarray) -> list[Token]:
+    return [tuple(t) for t in np.asarray(flat).reshape(-1, 3).tolist()]
+
+
+@lru_cache(maxsize=4)
+def number_texts(path: str) -> list[str]:
+    """Decimal text of every id."""
+    return [str(i) for i in range(tokenizer(path).get_vocab_size(with_added_tokens=True))]
 
 
-def code_digests(encoded: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of ``encoded(doc_id, ids)``."""
+@lru_cache(maxsize=4)
+def token_texts(path: str) -> list[str] | None:
+    """Text of every id if decoding is to join these with blanks: of tokenizers without a decoder."""
+    t = tokenizer(path)
+    if t.decoder is not None:
+        return None
+    return [t.id_to_token(i) or "" for i in range(t.get_vocab_size(with_added_tokens=True))]
+
+
+def decode_ids(path: str, ids: list[int]) -> str:
+    """Text of ids, special tokens written out."""
+    texts = token_texts(path)
+    if texts is None:
+        return tokenizer(path).decode(ids, skip_special_tokens=False)
+    return " ".join(map(texts.__getitem__, ids))
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """``doc_id, text`` of ``encoded(doc_id, ids)``, special tokens written out; null ids give null."""
 
     def rows(keys: list, ids: list) -> Iterator[tuple]:
-        t = tokenizer(path)
         for i, x in zip(keys, ids, strict=True):
-            text = t.decode(x, skip_special_tokens=False)
-            yield (
-                i,
-                len(x),
-                hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest(),
-                hashlib.sha256(text.encode()).hexdigest(),
-            )
-
-    return map_batches(encoded, rows, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", ("doc_id", "ids"))
+            yield i, None if x is None else decode_ids(path, x)
+
+    return map_batches(encoded, rows, "doc_id bigint, text string", ("doc_id", "ids"))

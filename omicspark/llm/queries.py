@@ -57,7 +57,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
-    return bpe_tree.code_digests(bpe_tree.encode(table(spark, sf_dir, "documents"), path), path)
+    return bpe_tree.code_digests(table(spark, sf_dir, "documents"), path)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
