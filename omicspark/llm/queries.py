@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, exact_dedup, mixing, partenum_join, pii, quality_rules, secrets, suffix_dedup, toxicity, url_reputation
+from . import bpe_tree, exact_dedup, mixing, oracles, partenum_join, pii, quality_rules, secrets, suffix_dedup, toxicity, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_quality_rules": oracles.OP1_QUALITY_RULES,
+    "op4_url_filter": oracles.OP4_URL_FILTER,
     "op3_exact_dedup": """
         WITH n AS (
           SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
