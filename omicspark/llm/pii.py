@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,44 +120,69 @@ def filter_bits(terms: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def places_of(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Places of ``terms(term)`` in whole texts: ``doc_id, mark, term, start, end``.
+class Picker:
+    """Hashes of words whose bit is set in a filter, remembered word by word within bounds."""
+
+    def __init__(self, bits: bytes):
+        self.bits, self.seen = bits, {}
+
+    def __call__(self, word: str) -> int | None:
+        if word not in self.seen:
+            if len(self.seen) > 200_000:
+                self.seen.clear()
+            h = term_hash(word.lower())
+            slot = h % FILTER_BITS
+            self.seen[word] = h if self.bits[slot >> 3] >> (slot & 7) & 1 else None
+        return self.seen[word]
+
 
-    A bit set of fixed size goes to the tasks and picks candidates; the join with ``terms`` is
-    exact, so a full bit set costs time and loses nothing.
+def texts_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``term, n_t``: rows of ``docs`` that hold each of ``terms(term)``.
+
+    A bit set of fixed size goes to the tasks and picks candidates, which are counted per batch; the join
+    with ``terms`` is exact, so a full bit set costs time and loses nothing.
     """
     bits = filter_bits(terms)
 
+    def rows(_: list, texts: list) -> Iterator[tuple]:
+        pick, counts = Picker(bits), Counter()
+        for text in texts:
+            counts.update({pick(w) for w in set(TERM.findall(text or ""))})
+        counts.pop(None, None)
+        yield from counts.items()
+
+    found = map_batches(docs, rows, "term bigint, n bigint")
+    return found.groupBy("term").agg(F.sum("n").alias("n_t")).join(terms, "term", "left_semi")
+
+
+def places_of(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """Places of ``terms(term)`` in whole texts, picked and joined likewise: ``doc_id, mark, term, start, end``."""
+    bits = filter_bits(terms)
+
     def rows(ids: list, texts: list) -> Iterator[tuple]:
         if not any(bits):
             return
-        seen: dict[str, int | None] = {}
+        pick = Picker(bits)
         for i, text in zip(ids, texts, strict=True):
-            mark = None
-            for m in TERM.finditer(text or ""):
-                word = m[0]
-                if word not in seen:
-                    if len(seen) > 200_000:
-                        seen.clear()
-                    h = term_hash(word.lower())
-                    slot = h % FILTER_BITS
-                    seen[word] = h if bits[slot >> 3] >> (slot & 7) & 1 else None
-                h = seen[word]
-                if h is not None:
-                    mark = term_hash(text) if mark is None else mark
-                    yield i, mark, h, m.start(), m.end()
+            hit = {w: h for w in set(TERM.findall(text or "")) if (h := pick(w)) is not None}
+            if hit:
+                mark = term_hash(text)
+                yield from ((i, mark, hit[m[0]], m.start(), m.end()) for m in TERM.finditer(text) if m[0] in hit)
 
     found = map_batches(docs, rows, "doc_id bigint, mark bigint, term bigint, start int, end int")
     return found.join(terms, "term", "left_semi")
 
 
-def revealing_terms(base: DataFrame, places: DataFrame, pairs: DataFrame, disclosure: float) -> DataFrame:
+def revealing_terms(docs: DataFrame, base: DataFrame, least_texts: int, disclosure: float) -> DataFrame:
     """Terms above the disclosure thresholds: ``term, bits``."""
+    near = base.select("mark", F.explode("pairs").alias("p")).select("mark", "p.entity", "p.term")
+    per_text = near.groupBy("entity", "term", "mark").agg(F.count(F.lit(1)).alias("n"))
+    pairs = per_text.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"))
+    pairs = stash(pairs.where(F.col("texts") >= least_texts), "pii_pairs")
+    held = base.select(F.explode(F.array_distinct("pairs.entity")).alias("entity"))
+    entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    totals = texts_with(docs, pairs.select("term").distinct())
     total = float(base.count())
-    entities = (
-        base.select("mark", F.explode("pairs.entity").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    )
-    totals = places.select("term", "mark").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     bits = F.log2(F.col("n_te") * F.lit(total) / (F.col("n_t") * F.col("n_e")))
     own = F.log2(F.lit(total) / F.col("n_e"))
     return (
@@ -175,9 +201,9 @@ def find_pii(docs: DataFrame, reach: int = 80, least_texts: int = 3, disclosure:
     ``spans`` list ``kind:start:end`` by kind, then start, in code points, the end exclusive.
 
     Beside the base patterns, terms that give an entity (an address, number or card) away are spans
-    of kind ``term``. Over all texts, exact copies once, ``n_te`` counts those where the term stands
-    within ``reach`` characters of the entity, ``n_t`` and ``n_e`` those that hold each. A term is
-    revealing if ``n_te >= least_texts``, ``P(e|t) = n_te / n_t >= disclosure``, and its pointwise mutual
+    of kind ``term``. Over all rows, ``n_te`` counts those where the term stands within ``reach``
+    characters of the entity, ``n_t`` and ``n_e`` those that hold each. A term is revealing if
+    ``least_texts`` different texts show the pair, ``P(e|t) = n_te / n_t >= disclosure``, and its pointwise mutual
     information ``log2(n_te N / (n_t n_e))`` is at least ``disclosure`` of the entity's own
     ``log2(N / n_e)``. It is marked wherever it stands, with or without the entity.
 
@@ -185,20 +211,10 @@ def find_pii(docs: DataFrame, reach: int = 80, least_texts: int = 3, disclosure:
     are ignored; an empty table gives an empty result.
     """
     base = stash(base_table(docs, reach), "pii_base")
-    pairs = stash(
-        base.select("mark", F.explode("pairs").alias("p"))
-        .select("mark", "p.entity", "p.term")
-        .distinct()
-        .groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("n_te"))
-        .where(F.col("n_te") >= least_texts),
-        "pii_pairs",
-    )
-    places = stash(places_of(docs, pairs.select("term").distinct()), "pii_places")
-    terms = revealing_terms(base, places, pairs, disclosure)
+    terms = stash(revealing_terms(docs, base, least_texts, disclosure), "pii_terms")
+    places = places_of(docs, terms.select("term"))
     found = (
-        places.join(terms, "term", "left_semi")
-        .groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
+        places.groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
         .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("places"))
         .select("__id", "__mark", F.transform("places", lambda p: F.concat_ws(":", F.lit("term"), p["start"], p["end"])).alias("terms"))
     )
