@@ -55,9 +55,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return docs.join(few, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic")
 
 
-def learn_terms(sample: DataFrame, most_terms: int, least_texts: int = 3, least_ratio: float = 8.0) -> list[tuple[str, float]]:
+def learn_terms(sample: DataFrame, most_terms: int, least_texts: int = 3, least_ratio: float = 40.0, margin: float = 4.0) -> list[tuple[str, float]]:
     """Terms far commoner in toxic texts of the sample, with their log ratio, the surest first.
 
+    The likelihood-ratio statistic of a term must exceed what the best of as many terms would reach by
+    chance (twice the log of their number) by ``margin``, so rare words of a large vocabulary do not pass.
+
     Texts that hold each term are counted per class, per batch first; at most ``most_terms`` rows go to the driver.
     """
 
@@ -74,13 +77,17 @@ def learn_terms(sample: DataFrame, most_terms: int, least_texts: int = 3, least_
     total = counts.where("term = ''").first()
     if not total or not total["toxic"] or not total["clean"]:
         return []
-    a, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
-    ratio = F.log(a / (total["toxic"] + 1)) - F.log(c / (total["clean"] + 1))
+    t, c = F.col("toxic"), F.col("clean")
+    share = total["toxic"] / (total["toxic"] + total["clean"])
+    ratio = F.log((t + 0.5) / (total["toxic"] + 1)) - F.log((c + 0.5) / (total["clean"] + 1))
+    part = lambda n, p: F.when(n > 0, n * F.log(n / ((t + c) * p))).otherwise(0.0)
+    evidence = 2 * (part(t, share) + part(c, 1 - share))
+    tried = counts.count()
     surest = (
         counts.where(f"term <> '' AND toxic >= {least_texts}")
-        .select("term", ratio.alias("ratio"), (ratio / F.sqrt(1 / a + 1 / c)).alias("z"))
-        .where((F.col("ratio") >= math.log(least_ratio)) & (F.col("z") >= 2.5))
-        .orderBy(F.desc("z"), "term")
+        .select("term", ratio.alias("ratio"), evidence.alias("g"))
+        .where((F.col("ratio") >= math.log(least_ratio)) & (F.col("g") >= 2 * math.log(tried) + margin))
+        .orderBy(F.desc("g"), "term")
         .limit(most_terms)
     )
     return [(r["term"], r["ratio"]) for r in surest.collect()]
@@ -156,11 +163,11 @@ class LabelModel:
         return out
 
     def posterior(self, vectors: np.ndarray) -> np.ndarray:
-        """Probability of toxic for each vote vector; only votes cast count as evidence."""
+        """Probability of toxic for each vote vector: abstaining counts only where all voters do."""
         x = (vectors[:, None] >> np.arange(VOTERS)) & 1
         for_toxic = np.log(self.rate[1] / self.rate[0]) * self.weight
         silent = np.log((1 - self.rate[1]) / (1 - self.rate[0])) * self.weight
-        return 1 / (1 + np.exp(-(np.log(self.prior / (1 - self.prior)) + x @ for_toxic + (1 - x) @ silent)))
+        return 1 / (1 + np.exp(-(np.log(self.prior / (1 - self.prior)) + x @ for_toxic + ~x.any(axis=1) * silent.sum())))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = 10_000, most_train: int = 20_000, most_terms: int = 400) -> DataFrame:
