@@ -59,7 +59,8 @@ def learn_terms(sample: DataFrame, most_terms: int, least_texts: int = 3, least_
     """Terms far commoner in toxic texts of the sample, with their log ratio, the surest first.
 
     The likelihood-ratio statistic of a term must exceed what the best of as many terms would reach by
-    chance (twice the log of their number) by ``margin``, so rare words of a large vocabulary do not pass.
+    chance (twice the log of their number) by ``margin``, so rare words of a large vocabulary do not pass;
+    and hardly a clean text may have it (one, and one for each fifty toxic ones).
 
     Texts that hold each term are counted per class, per batch first; at most ``most_terms`` rows go to the driver.
     """
@@ -72,7 +73,8 @@ def learn_terms(sample: DataFrame, most_terms: int, least_texts: int = 3, least_
         for term in seen[0].keys() | seen[1].keys():
             yield term, seen[0][term], seen[1][term]
 
-    counts = map_batches(sample, rows, "term string, clean bigint, toxic bigint", ("toxic", "text"))
+    # Copies of one text, at most the sample's rows, say nothing new about its words.
+    counts = map_batches(sample.dropDuplicates(["text", "toxic"]), rows, "term string, clean bigint, toxic bigint", ("toxic", "text"))
     counts = stash(counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxic_terms")
     total = counts.where("term = ''").first()
     if not total or not total["toxic"] or not total["clean"]:
@@ -84,7 +86,7 @@ def learn_terms(sample: DataFrame, most_terms: int, least_texts: int = 3, least_
     evidence = 2 * (part(t, share) + part(c, 1 - share))
     tried = counts.count()
     surest = (
-        counts.where(f"term <> '' AND toxic >= {least_texts}")
+        counts.where(f"term <> '' AND toxic >= {least_texts} AND clean <= 1 + toxic / 50")
         .select("term", ratio.alias("ratio"), evidence.alias("g"))
         .where((F.col("ratio") >= math.log(least_ratio)) & (F.col("g") >= 2 * math.log(tried) + margin))
         .orderBy(F.desc("g"), "term")
