@@ -1,11 +1,11 @@
-"""Every query of the library against its SQL, on the smallest tables."""
+"""Every query of the library against its SQL, on the tables the oracle uses."""
 
 import pytest
 
 from omicspark.queries import ORACLES, QUERIES
 from tests.comparing import connection, difference
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
