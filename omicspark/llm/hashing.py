@@ -8,7 +8,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Bytes of text that are hashed at once; a longer text is a batch of its own.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2 ** 64
 
 

@@ -15,11 +15,13 @@ from .components import components, forest
 from .hashing import mix64, set_key, shingle_sets
 
 #: Signatures that are combined in a task before they are shuffled.
-CHUNK = 1_000_000
+CHUNK = 500_000
 #: Least elements of a signature, and least size of sets that have partition signatures.
-LEAST_ELEMENTS, LEAST_SIZE = 2, 32
+LEAST_ELEMENTS, LEAST_SIZE = 1, 32
+#: One text in so many is looked at for common shingles; in how many of these a shingle is common; how many are kept at most.
+COMMON_SAMPLE, COMMON_TEXTS, MOST_COMMON = 8, 3, 100_000
 #: Shingles of a block of sets that are compared at once; a set counts as this many at least.
-BLOCK, LEAST_WEIGHT = 150_000, 100
+BLOCK, LEAST_WEIGHT = 100_000, 100
 
 
 class Bands:
@@ -50,7 +52,7 @@ class Bands:
         self.band(self.high[-1] if group < len(self.high) else group)
         top = self.high[group]
         distance = (100 - self.percent) * (top + top * 100 // self.percent) // (100 + self.percent)
-        slack = 2 + distance // 16
+        slack = 2 + distance // 20
         return distance // 2 + 1 + slack, slack
 
 
@@ -68,7 +70,7 @@ def _layout(percent: int, group: int) -> tuple[np.ndarray, np.ndarray, int]:
     return bounds, keys, slack
 
 
-def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
+def signatures(hashes: np.ndarray, percent: int, common: np.ndarray | None = None) -> np.ndarray:
     """PartEnum signatures of a sorted set of uniform 64-bit hashes.
 
     Two sets with 100 * intersection >= percent * union share one. The domain is cut into equal
@@ -76,21 +78,27 @@ def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
     partition. Signatures of fewer than ``LEAST_ELEMENTS`` elements are left out; a set with more
     such weak partitions than the slack, or a small one, also gets its prefix in the
     hash order, of which two linked sets share an element.
+
+    ``common`` elements, sorted, are left out of the domain of the partitions: that can only bring two sets
+    nearer, so any choice of them is right, and passages of many texts then make no signatures.
     """
-    size = len(hashes)
+    size, whole = len(hashes), hashes
     if not size:
         return hashes
+    if common is not None and len(common):
+        at = np.searchsorted(common, hashes)
+        hashes = hashes[common[np.minimum(at, len(common) - 1)] != hashes]
     own = bands(percent).band(size)
     out, rest = [], size < LEAST_SIZE * 100 // percent + 2
     with np.errstate(over="ignore"):
-        sums = np.zeros(size + 1, dtype=np.uint64)
+        sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
         np.cumsum(mix64(hashes), out=sums[1:])
         for group in (own - 1, own):
             if group < 0 or bands(percent).high[group] < LEAST_SIZE:
                 rest = True
                 continue
             bounds, keys, slack = _layout(percent, group)
-            at = np.append(np.searchsorted(hashes, bounds), size)
+            at = np.append(np.searchsorted(hashes, bounds), len(hashes))
             count = np.diff(at).reshape(-1, 3)
             part = np.diff(sums[at]).reshape(-1, 3)
             count = count.sum(axis=1, keepdims=True) - count
@@ -100,7 +108,7 @@ def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
             rest = rest or int((~strong).any(axis=1).sum()) > slack
         if rest:
             prefix = size - (size * percent + 99) // 100 + 1
-            out.append(mix64(hashes[:prefix] + np.uint64(0xD1B54A32D192ED03)))
+            out.append(mix64(whole[:prefix] + np.uint64(0xD1B54A32D192ED03)))
     return np.concatenate(out)
 
 
@@ -112,6 +120,23 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return map_batches(docs, rows, "doc_id bigint, n_shingles bigint, node bigint")
 
 
+def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """Sorted hashes of shingles that many texts have, from a sample of texts by a hash of their content.
+
+    At most ``MOST_COMMON`` go to the driver and on to the tasks. They only save work.
+    """
+
+    def rows(_: list, texts: list) -> Iterator[tuple]:
+        sets = list(shingle_sets(texts, width))
+        found, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, dtype=np.uint64),) * 2
+        return zip(found.view(np.int64).tolist(), n.tolist(), strict=True)
+
+    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(COMMON_SAMPLE)) == 0)
+    counts = map_batches(sample, rows, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") >= COMMON_TEXTS).orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).collect()
+    return np.sort(np.array([r["shingle"] for r in top], dtype=np.int64).view(np.uint64))
+
+
 def candidate_edges(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Edges ``a, b`` between set keys so that sets with a signature in common are connected.
 
@@ -120,6 +145,8 @@ def candidate_edges(docs: DataFrame, width: int, percent: int) -> DataFrame:
     goes on once. So the rows of one signature are at most as many as such chunks, whatever the group.
     """
 
+    common = common_shingles(docs, width)
+
     def combined(sigs: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((nodes, sigs))
         sigs, nodes = sigs[order], nodes[order]
@@ -144,7 +171,7 @@ def candidate_edges(docs: DataFrame, width: int, percent: int) -> DataFrame:
         for batch in batches:
             for s in shingle_sets(batch.column(0).to_pylist(), width):
                 if len(s):
-                    sigs.append(signatures(s, percent))
+                    sigs.append(signatures(s, percent, common))
                     nodes.append(np.full(len(sigs[-1]), set_key(s), dtype=np.int64))
                     held += len(sigs[-1])
                     if held >= CHUNK:
@@ -197,17 +224,23 @@ def linked_pairs(nodes: np.ndarray, sides: np.ndarray, values: np.ndarray, offse
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     common = np.zeros((n, n), dtype=np.float32)
-    step = max(1, 4_000_000 // max(n, 1))
+    step = max(1, 2_000_000 // max(n, 1))
     for low in range(0, int(column[-1]) + 1 if len(column) else 0, step):
         a, b = np.searchsorted(column, (low, low + step))
         table = np.zeros((n, step), dtype=np.float32)
         table[row[a:b], column[a:b] - low] = 1
         common += table @ table.T
-    union = sizes[:, None] + sizes[None, :] - common
-    hit = np.triu(100 * common.astype(np.float64) >= percent * union, 1)
-    if len(set(sides.tolist())) > 1:
-        hit &= sides[:, None] != sides[None, :]
-    return np.nonzero(hit)
+    both = len(set(sides.tolist())) > 1
+    found = []
+    for low in range(0, n, 256):
+        part = common[low : low + 256].astype(np.int64)
+        hit = 100 * part >= percent * (sizes[low : low + 256, None] + sizes[None, :] - part)
+        hit &= np.arange(n)[None, :] > np.arange(low, low + len(part))[:, None]
+        if both:
+            hit &= sides[low : low + 256, None] != sides[None, :]
+        a, b = np.nonzero(hit)
+        found.append((a + low, b))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, dtype=int),) * 2
 
 
 def verified_links(docs: DataFrame, sets: DataFrame, clusters: DataFrame, width: int, percent: int) -> DataFrame:
