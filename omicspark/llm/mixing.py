@@ -133,7 +133,8 @@ def mix(
         )
     )
     times = block_times(spark, [(size, -(-size // block), goal) for _, size, goal in goals], slots, seed)
-    taken = pieces.join(times, ["sid", "index"]).groupBy("sid", F.col("start").alias("__start"), F.col("doc_id").alias("__doc")).agg(
+    # The size of what Python makes is guessed from its few input rows; a hint keeps it from being broadcast.
+    taken = pieces.join(times.hint("merge"), ["sid", "index"]).groupBy("sid", F.col("start").alias("__start"), F.col("doc_id").alias("__doc")).agg(
         F.sum(F.col("words") * F.col("times")).alias("taken")
     )
     return placed.join(
