@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -38,9 +39,15 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Have the driver collect its garbage, upon which Spark deletes shuffle files no plan needs any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Have the driver collect its garbage, upon which Spark deletes shuffle files no plan needs any more.
+
+    A finished command's plan is held until Spark's listeners have heard of its end, hence the pauses and
+    the second round.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
 
 
 def ascii_lower(text: Column) -> Column:

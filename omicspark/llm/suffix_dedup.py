@@ -77,27 +77,61 @@ def run_keys(pointer: np.ndarray, first: np.ndarray, last: np.ndarray, length: i
         )
 
 
+def side_marks(pointer: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Two 16-bit marks per representative: of the ``half`` bytes before it and of those after it.
+
+    A ``length``-byte string around a representative has at least ``half`` = (length - Q) // 2 bytes of it on
+    one side, so two equal strings imply equal bytes there, one level between the initial bucket and the whole string.
+    """
+    half = (length - Q) // 2
+    if half < Q:
+        return np.zeros(len(at), dtype=np.int32)
+
+    def mark(start: np.ndarray) -> np.ndarray:
+        inside = (start >= 0) & (start + half - Q < len(pointer))
+        out = np.zeros(len(start), dtype=np.uint64)
+        out[inside] = refined(pointer, start[inside], half) >> np.uint64(48)
+        return out
+
+    return ((mark(at - half) << np.uint64(16)) | mark(at + Q)).astype(np.uint32).view(np.int32)
+
+
+def shared_sides(bucket: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """Bit 1 for rows whose mark before is that of another row of their bucket, bit 2 for the mark after."""
+    out = np.zeros(len(bucket), dtype=np.int8)
+    for bit, mark in ((1, sides.view(np.uint32) >> 16), (2, sides.view(np.uint32) & 0xFFFF)):
+        order = np.lexsort((mark, bucket))
+        b, m = bucket[order], mark[order]
+        same = (b[1:] == b[:-1]) & (m[1:] == m[:-1])
+        twin = np.zeros(len(b), dtype=bool)
+        twin[1:] |= same
+        twin[:-1] |= same
+        out[order[twin]] |= bit
+    return out
+
+
 def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
 
 
 def later_holders(rows: DataFrame) -> DataFrame:
-    """Refine buckets: ``bucket, key, doc_id, later`` of ``rows(bucket, key, doc_id, known)``.
+    """Refine buckets: ``bucket, key, doc_id, found`` of ``rows(bucket, key, doc_id, sides, known)``.
 
-    ``later`` is true for each document that holds a key some smaller one holds too, and false for
-    the smallest holder of each key of a bucket that has several keys. Rows with ``known`` were found
-    later where they were made, and pass. Documents are sorted within keys and keys within buckets; one pass with a
-    state of two rows reads them.
+    ``found`` is 0 for each document that holds a key some smaller one holds too. For the smallest holder
+    of each key of a bucket that has several keys it is 1, 2 or 3, the sides whose marks another key of the bucket shares;
+    without such a side there is no row. Rows with ``known`` were found later where they were made,
+    and pass. Documents are sorted within keys and keys within buckets; one pass with a state of two rows reads them, and
+    takes both sides of a bucket that runs on into the next batch as shared.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = [np.zeros(0, dtype=np.int64)] * 3
+        head = [np.zeros(0, dtype=np.int64)] * 3 + [np.zeros(0, dtype=np.int32)]
         told = 0  # rows of the head that went out already
         for batch in batches:
-            b, k, d = (batch.column(j).to_numpy() for j in range(3))
-            known = batch.column(3).to_numpy(zero_copy_only=False)
-            passed = (b[known], k[known], d[known])
-            b, k, d = (np.concatenate((h, x[~known])) for h, x in zip(head, (b, k, d), strict=True))
+            cells = [batch.column(j).to_numpy() for j in range(4)]
+            known = batch.column(4).to_numpy(zero_copy_only=False)
+            passed = [x[known] for x in cells[:3]]
+            b, k, d, sides = (np.concatenate((h, x[~known])) for h, x in zip(head, cells, strict=True))
             if len(b):
                 bucket_new = np.concatenate(([True], b[1:] != b[:-1]))
                 new = bucket_new | np.concatenate(([True], k[1:] != k[:-1]))
@@ -108,25 +142,28 @@ def later_holders(rows: DataFrame) -> DataFrame:
                 bucket_of = np.cumsum(bucket_new) - 1
                 several = np.bincount(bucket_of[start]) > 1
                 firsts = start[several[bucket_of[start]]]
-                firsts = firsts[firsts >= told]
+                flags = shared_sides(b[firsts], sides[firsts])
+                flags[(b[firsts] == b[-1]) | (bool(len(head[0])) & (b[firsts] == b[0]))] = 3
+                wanted = (firsts >= told) & (flags > 0)
+                firsts, flags = firsts[wanted], flags[wanted]
                 tail = start[bucket_of[start] == bucket_of[-1]]
                 keep = tail[[0]] if len(tail) == 1 else tail[[0, -1]]
                 told = 2 if len(tail) > 1 else 0
-                head = [x[keep] for x in (b, k, d)]
+                head = [x[keep] for x in (b, k, d, sides)]
                 where = np.flatnonzero(later)
                 out = [np.concatenate((p, x[where], x[firsts])) for p, x in zip(passed, (b, k, d), strict=True)]
-                flag = np.arange(len(out[0])) < len(passed[0]) + len(where)
+                found = np.concatenate((np.zeros(len(passed[0]) + len(where), dtype=np.int8), flags))
             else:
-                out, flag = list(passed), np.ones(len(passed[0]), dtype=bool)
-            if len(flag):
-                yield pa.RecordBatch.from_arrays([*map(pa.array, out), pa.array(flag)], names=["bucket", "key", "doc_id", "later"])
+                out, found = passed, np.zeros(len(passed[0]), dtype=np.int8)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([*map(pa.array, out), pa.array(found)], names=["bucket", "key", "doc_id", "found"])
 
     route = F.when(F.col("known"), F.xxhash64("doc_id")).otherwise(F.col("bucket"))
     dealt = rows.repartition(route).sortWithinPartitions("bucket", "key", "doc_id")
-    return dealt.mapInArrow(run, "bucket bigint, key bigint, doc_id bigint, later boolean")
+    return dealt.mapInArrow(run, "bucket bigint, key bigint, doc_id bigint, found tinyint")
 
 
-def combined(buckets: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+def combined(buckets: np.ndarray, keys: np.ndarray, sides: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
     """Rows of a task, one per bucket, key and document; only the smallest document's are not ``known``."""
     order = np.lexsort((ids, keys, buckets))
     b, k, d = buckets[order], keys[order], ids[order]
@@ -135,22 +172,22 @@ def combined(buckets: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> pa.Recor
     once = new.copy()
     once[1:] |= d[1:] != d[:-1]
     return pa.RecordBatch.from_arrays(
-        [pa.array(b[once].view(np.int64)), pa.array(k[once].view(np.int64)), pa.array(d[once]), pa.array(~new[once])],
-        names=["bucket", "key", "doc_id", "known"],
+        [pa.array(b[once].view(np.int64)), pa.array(k[once].view(np.int64)), pa.array(d[once]), pa.array(sides[order][once]), pa.array(~new[once])],
+        names=["bucket", "key", "doc_id", "sides", "known"],
     )
 
 
 def bucket_rows(docs: DataFrame, make) -> DataFrame:
-    """``bucket, key, doc_id, known`` from ``make(*row) -> (buckets, keys)``, combined per chunk of rows."""
+    """``bucket, key, doc_id, sides, known`` from ``make(*row) -> (buckets, keys, sides)``, combined per chunk of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         n = 0
         for batch in batches:
             for doc_id, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                b, k = make(*row)
+                b, k, sides = make(*row)
                 if len(b):
-                    held.append((b, k, np.full(len(b), doc_id, dtype=np.int64)))
+                    held.append((b, k, sides, np.full(len(b), doc_id, dtype=np.int64)))
                     n += len(b)
                     if n >= CHUNK:
                         yield combined(*map(np.concatenate, zip(*held, strict=True)))
@@ -158,7 +195,7 @@ def bucket_rows(docs: DataFrame, make) -> DataFrame:
         if held:
             yield combined(*map(np.concatenate, zip(*held, strict=True)))
 
-    return docs.mapInArrow(run, "bucket bigint, key bigint, doc_id bigint, known boolean")
+    return docs.mapInArrow(run, "bucket bigint, key bigint, doc_id bigint, sides int, known boolean")
 
 
 def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
@@ -172,8 +209,8 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     are equal meet in one bucket, and neighbouring strings share theirs as a run. The bucket is
     refined by the pointers of later offsets to the run's whole content: documents that hold a run
     after its smallest holder lose all its strings. Round two: where a bucket holds several
-    runs, the smallest holder of each has its strings refined to their full length one by one, and those
-    that a smaller document has too go. Pointers are content hashes, so no global ranking is
+    runs, the smallest holder of each has its strings refined to their full length one by one, on the sides of the
+    bucket that another run shares, and those that a smaller document has too go. Pointers are content hashes, so no global ranking is
     needed; a task forwards one row per bucket, key and chunk of its input, so a passage in a third of
     all documents makes no large group.
 
@@ -185,32 +222,39 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         raise ValueError(f"strings must have {Q} bytes or more")
     numbered = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
 
-    def runs(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         pointer = initial_buckets(_bytes(text))
         first, last, at = suffix_runs(pointer, length)
-        return pointer[at], run_keys(pointer, first, last, length) if len(first) else pointer[at]
+        keys = run_keys(pointer, first, last, length) if len(first) else pointer[at]
+        return pointer[at], keys, side_marks(pointer, at, length)
 
     judged = later_holders(bucket_rows(numbered, runs))
+    side = lambda n: F.collect_list(F.when(F.col("found") == n, F.col("key"))).alias(f"side{n}")
     lists = stash(
         judged.groupBy(F.col("doc_id").alias("__id")).agg(
-            F.collect_list(F.when(F.col("later"), F.col("key"))).alias("later"),
-            F.collect_list(F.when(~F.col("later"), F.col("key"))).alias("split"),
+            F.collect_list(F.when(F.col("found") == 0, F.col("key"))).alias("later"), side(1), side(2), side(3)
         ),
         "suffix_runs",
     )
 
-    def strings(text: str | None, split: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def strings(text: str | None, *split: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pointers of the strings on the shared sides of the runs to be split."""
         pointer = initial_buckets(_bytes(text))
-        first, last, _ = suffix_runs(pointer, length)
-        wanted = np.isin(run_keys(pointer, first, last, length), np.array(split, dtype=np.int64).view(np.uint64))
-        size = last[wanted] - first[wanted] + 1
-        at = np.repeat(first[wanted] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum()) if wanted.any() else first[:0]
-        keys = refined(pointer, at, length) if len(at) else pointer[:0]
-        return keys, np.zeros(len(keys), dtype=np.uint64)
-
-    more = lists.where(F.size("split") > 0).select("__id", "split")
-    texts = numbered.join(more, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "split")
-    found = later_holders(bucket_rows(texts, strings)).where("later")
+        first, last, at = suffix_runs(pointer, length)
+        keys, half = run_keys(pointer, first, last, length), (length - Q) // 2
+        low, high = last + 1, first - 1  # none
+        for flag, listed in zip((1, 2, 3), split, strict=True):
+            hit = np.isin(keys, np.array(listed, dtype=np.int64).view(np.uint64))
+            low[hit] = first[hit] if flag & 1 else np.maximum(first[hit], at[hit] - half + 1)
+            high[hit] = last[hit] if flag & 2 else np.minimum(last[hit], at[hit] - half)
+        size = np.maximum(high - low + 1, 0)
+        places = np.repeat(low - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
+        found = refined(pointer, places, length) if len(places) else pointer[:0]
+        return found, np.zeros(len(found), dtype=np.uint64), np.zeros(len(found), dtype=np.int32)
+
+    more = lists.where("size(side1) + size(side2) + size(side3) > 0").drop("later")
+    texts = numbered.join(more, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "side1", "side2", "side3")
+    found = later_holders(bucket_rows(texts, strings)).where("found = 0")
     single = stash(
         found.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list("bucket").alias("strings")), "suffix_strings"
     )
