@@ -166,3 +166,17 @@ def test_repeats_edges(spark):
     got = sorted((r.doc_id or -1, r.n_removed) for r in suffix_dedup.remove_repeats(docs).collect())
     assert got == [(-1, 0), (3, 0), (3, 0), (5, len(long)), (6, 0)]
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
+    other = long.replace("fox", "cat").replace("dog", "cow") + " and home"
+    docs = spark.createDataFrame([(3, long), (3, other), (5, other + long)], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.n_removed) for r in suffix_dedup.remove_repeats(docs, 20).collect())
+    assert got == [(3, 0), (3, 0), (5, len(other + long))]
+
+
+def test_repeats_of_runs_that_stand_often(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 300)
+    r = random.Random(5)
+    parts = ["".join(r.choice("abc ") for _ in range(r.randint(20, 130))) for _ in range(12)]
+    rows = [(d, "".join(r.choice(parts) for _ in range(r.randint(1, 9)))) for d in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == repeats_brute(rows, 50)
