@@ -3,38 +3,30 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import time
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import shared_folder
+
 #: One word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def stash(df: DataFrame, name: str, large: bool = True) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back; the folder goes when the driver ends.
 
     The plan that follows starts from files all executors can reach, so a lost executor costs
-    a re-read and not the recomputation of everything before.
+    a re-read and not the recomputation of everything before. After a ``large`` shuffle its files are released.
     """
-    path = f"{scratch_root(df.sparkSession).rstrip('/')}/corpus-{uuid.uuid4().hex}/{name}"
+    path = f"{shared_folder(df.sparkSession)}/{name}"
     df.write.option("compression", "zstd").parquet(path)
-    release(df.sparkSession)
+    if large:
+        release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

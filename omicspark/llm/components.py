@@ -37,7 +37,7 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     """
     a, b = F.col("a"), F.col("b")
     now = edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-    now, before = stash(now, "edges"), None
+    now, before = stash(now, "edges", large=False), None
     for _ in range(most_rounds):
         both = now.unionByName(now.select(b.alias("a"), a.alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
@@ -51,7 +51,7 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
             .unionByName(low.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        now = stash(small, "edges")
+        now = stash(small, "edges", large=False)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == before:
             break
