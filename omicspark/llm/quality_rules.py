@@ -105,14 +105,15 @@ def quantiles(sketch: DataFrame, keys: list[str], at: dict[str, int]) -> DataFra
     )
 
 
-def quality_rules(docs: DataFrame, spread: int = 6, least_group: int = 30) -> DataFrame:
+def quality_rules(docs: DataFrame, spread: int = 6, shrink: float = 30.0) -> DataFrame:
     """Judge ``docs(doc_id, text, lang, source, ...)`` by thresholds of their own language and source.
 
     Rows that fail the base rules (fewer than 50 words, or over half of the words in repeated
     three-word windows) are rejected and stay out of the sketches. Of the others each metric, in
     thousandths of a word, is sketched per language and source; a text is rejected if a metric lies
-    more than ``spread`` interquartile ranges and the metric's slack beyond the quartiles. Groups under ``least_group`` rows use the sketch of their language, which is the sum
-    of its sources' sketches, and languages under that size the sketch of all rows.
+    more than ``spread`` interquartile ranges and the metric's slack beyond the quartiles. A group's thresholds are shrunk to
+    those of its language, whose sketch is the sum of its sources' sketches, and these to those of all rows: a level of n rows
+    weighs n against ``shrink`` for the level above.
 
     Returns one row per input row: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, lang, source``. Null texts have no words and fail; a null
@@ -156,11 +157,11 @@ def quality_rules(docs: DataFrame, spread: int = 6, least_group: int = 30) -> Da
             merged = merged.select("*", *[F.lit(overall[c]).cast("long").alias(c) for c in wide.columns]) if overall else merged.limit(0).select("*", *[F.lit(None).cast("long").alias(c) for c in wide.columns])
 
     def limit(name: str) -> Column:
-        return (
-            F.when(F.col("n0") >= least_group, F.col(f"{name}0"))
-            .when(F.col("n1") >= least_group, F.col(f"{name}1"))
-            .otherwise(F.col(f"{name}2"))
-        )
+        above = F.col(f"{name}2")
+        for level in (1, 0):
+            n = F.col(f"n{level}").cast("double")
+            above = (n * F.col(f"{name}{level}") + shrink * above) / (n + shrink)
+        return above
 
     limits = merged.select(
         F.col("lang").alias("__lang"), F.col("source").alias("__source"), *[limit(f"{k}_{e}").alias(f"{k}_{e}") for k in METRICS for e in ("low", "high")]
