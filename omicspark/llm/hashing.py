@@ -89,6 +89,12 @@ def _shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
                 yield grams[:0]
 
 
+def set_proof(hashes: np.ndarray) -> int:
+    """Another signed 64-bit hash of a set, independent of ``set_key``."""
+    with np.errstate(over="ignore"):
+        return int(np.bitwise_xor.reduce(mix64(hashes * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x632BE59BD9B4E019)), initial=np.uint64(0)).view(np.int64))
+
+
 def set_key(hashes: np.ndarray) -> int:
     """Signed 64-bit key of a set; equal sets have equal keys."""
     with np.errstate(over="ignore"):

@@ -7,12 +7,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, stash
 from .components import components, forest
-from .hashing import mix64, set_key, shingle_sets
+from .hashing import mix64, set_key, set_proof, shingle_sets
 
 #: Signatures that are combined in a task before they are shuffled.
 CHUNK = 500_000
@@ -113,11 +113,25 @@ def signatures(hashes: np.ndarray, percent: int, common: np.ndarray | None = Non
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    def rows(ids: list, texts: list) -> Iterator[tuple]:
-        for i, s in zip(ids, shingle_sets(texts, width), strict=True):
-            yield i, len(s), set_key(s) if len(s) else None
+    """``doc_id, mark, n_shingles, node, proof``: a row's text by ``mark``, its set by ``node`` and, independent of it, ``proof``."""
+
+    def rows(keys: list, texts: list) -> Iterator[tuple]:
+        for key, s in zip(keys, shingle_sets(texts, width), strict=True):
+            yield key["doc_id"], key["mark"], len(s), set_key(s) if len(s) else None, set_proof(s)
+
+    keyed = docs.select(F.struct("doc_id", text_mark().alias("mark")).alias("key"), "text")
+    return map_batches(keyed, rows, "doc_id bigint, mark bigint, n_shingles bigint, node bigint, proof bigint", ("key", "text"))
+
+
+def text_mark() -> Column:
+    return F.coalesce(F.xxhash64("text"), F.lit(0))
 
-    return map_batches(docs, rows, "doc_id bigint, n_shingles bigint, node bigint")
+
+def refuse_collisions(sets: DataFrame) -> None:
+    """Raise if two different sets have one key, which the second hash and the size of their elements tell."""
+    found = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("proof").alias("a"), F.max("proof").alias("b"), F.min("n_shingles").alias("m"), F.max("n_shingles").alias("n"))
+    if not found.where("a <> b OR m <> n").isEmpty():
+        raise ValueError("two different sets have one 64-bit key; choose another hash base")
 
 
 def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
@@ -301,7 +315,10 @@ def verified_links(docs: DataFrame, sets: DataFrame, clusters: DataFrame, width:
     dealt = placed.select("label", "node", "items", F.explode(tasks).alias("t")).select("label", "node", "items", "t.*")
 
     def compare(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
+        # Rows that repeat an id and its text stand for one set.
+        sides = np.stack((group.column("node").to_numpy(), group.column("side").to_numpy().astype(np.int64)))
+        once = np.unique(sides, axis=1, return_index=True)[1]
+        group = (group.take(pa.array(np.sort(once))) if len(once) < group.num_rows else group).combine_chunks()
         nodes = group.column("node").to_numpy()
         items = group.column("items").combine_chunks()
         items = items if isinstance(items, pa.ListArray) else items.chunk(0)
@@ -326,19 +343,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links, itself included. ``n_links`` counts the different sets that the row's set links to.
 
     Equal sets are one node from the start, so copies never make pairs. Nodes that share a
-    PartEnum signature are gathered in groups, and an exact check in blocks decides the links. Sets and
-    shingles are known by 64-bit hashes.
+    PartEnum signature are gathered in groups, and an exact check in blocks decides the links. Shingles are known by 64-bit
+    hashes, sets by 64 bits that a second hash and their size must confirm, or the call raises.
 
     Texts that are null or have no words have an empty set and link with nothing. Rows of a
     null id share the component of rows with the same set, but stand for no set themselves. Repeated ids are judged by
     text each. Extra columns are ignored; an empty table gives an empty result.
     """
+    return _classes(docs, width, percent).drop("mark")
+
+
+def _classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Rows of ``near_duplicates`` with the ``mark`` of their text."""
     sets = stash(_sets(docs, width), "sets")
+    refuse_collisions(sets)
     clusters = stash(components(candidate_edges(docs, width, percent)), "clusters")
     links = stash(verified_links(docs, sets, clusters, width, percent), "links")
     labels = components(links.select("a", "b"))
     known = labels.select(F.col("node").alias("__node"), "label")
-    rows = sets.join(known, F.col("node") == F.col("__node"), "left").select("doc_id", "n_shingles", "node", F.coalesce("label", "node").alias("label"))
+    rows = sets.join(known, F.col("node") == F.col("__node"), "left").select("doc_id", "mark", "n_shingles", "node", F.coalesce("label", "node").alias("label"))
     least = rows.where("label IS NOT NULL").groupBy(F.col("label").alias("__label")).agg(F.min("doc_id").alias("component_id"))
     counts = links.groupBy(F.col("a").alias("__a")).agg(F.sum("n_links").alias("n_links"))
     return (
@@ -346,6 +369,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .join(counts, F.col("node") == F.col("__a"), "left")
         .select(
             "doc_id",
+            "mark",
             "n_shingles",
             F.coalesce("component_id", "doc_id").alias("component_id"),
             F.coalesce("n_links", F.lit(0)).alias("n_links"),
@@ -354,7 +378,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of ``docs`` whose id is the least of their class, and those without an id."""
-    found = near_duplicates(docs, width, percent)
-    dropped = found.where("component_id <> doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("__id"), "left_anti")
+    """Rows of ``docs`` whose id is the least of their class, and those without an id.
+
+    A row is known by its id and text, so rows of one id with different texts are judged each.
+    """
+    dropped = _classes(docs, width, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    return docs.join(dropped, (F.col("doc_id") == F.col("__id")) & (text_mark() == F.col("__mark")), "left_anti")
