@@ -71,6 +71,10 @@ def exact_dedup(
 
 
 def keep_one_copy(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns as they were."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__keep_id"))
-    return docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("__keep_id")), "left_semi")
+    """The rows of ``docs`` that stay, with their columns as they were.
+
+    A row is known by its id and its text: rows of one id with different texts are judged each, and equal ones all stay.
+    """
+    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__keep_id"), F.col("text_sha256").alias("__sha")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (sha256(ascii_lower(F.col("text"))) == F.col("__sha"))
+    return docs.join(kept, same, "left_semi")
