@@ -1,28 +1,34 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
-_STRENGTH = """CASE WHEN coalesce(sum(n * (n - 1) * mean * (1 - mean)), 0) = 0 THEN 200.0 ELSE 1 / least(greatest(round((sum((bad - n * mean) ** 2)
-      - sum(n * mean * (1 - mean))) / sum(n * (n - 1) * mean * (1 - mean)), 6), 1 / 201.0), 1 / 3.0) - 1 END"""
+from .url_reputation import SUFFIXES
+
+_STRENGTH = """CASE WHEN coalesce(sum(n * (n - 1) * mean * (1 - mean)), 0) = 0 THEN 50.0 ELSE 1 / least(greatest(round((sum((bad - n * mean) ** 2)
+      - sum(n * mean * (1 - mean))) / sum(n * (n - 1) * mean * (1 - mean)), 6), 1 / 51.0), 1 / 3.0) - 1 END"""
+_LISTED = ", ".join(f"('{s}', {s.count('.') + 1})" for s in SUFFIXES)
 
 OP4_URL_FILTER = f"""
     WITH j AS (
       SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-    o AS (SELECT host, CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END AS bad FROM j JOIN labels ON page_id = doc_id WHERE host <> ''),
-    h AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(sum(bad) AS DOUBLE) AS bad, string_split(host, '.') AS parts,
-                 regexp_matches(host, '\\.example\\.(com|net|org)$') AS deep, regexp_matches(host, '(^|\\.)example\\.(com|net|org)$') AS known FROM o GROUP BY host),
-    d AS (SELECT host, n, bad, array_to_string(parts[CASE WHEN deep THEN -3 ELSE -2 END:], '.') AS domain,
-                 array_to_string(parts[CASE WHEN known THEN -2 ELSE -1 END:], '.') AS suffix FROM h),
-    s1 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) FROM d) AS mean FROM d GROUP BY 1),
+    o AS (SELECT host, CASE WHEN quality IS NULL AND toxic IS NULL THEN NULL WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END AS bad FROM j LEFT JOIN labels ON page_id = doc_id WHERE host <> ''),
+    listed(name, k) AS (VALUES {_LISTED}),
+    h AS (SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS bad, string_split(host, '.') AS parts,
+                 (SELECT coalesce(max(k), 1) FROM listed WHERE o.host = name OR ends_with(o.host, '.' || name)) AS k FROM o GROUP BY host),
+    d AS (SELECT host, n, bad, array_to_string(parts[-least(k + 1, len(parts)):], '.') AS domain, array_to_string(parts[-least(k, len(parts)):], '.') AS suffix FROM h),
+    base AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS share FROM d),
+    s1 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT share FROM base) AS mean FROM d GROUP BY 1),
     m1 AS (SELECT {_STRENGTH} AS m FROM s1), p1 AS (SELECT suffix, (bad + m * mean) / (n + m) AS mean FROM s1, m1),
     s2 AS (SELECT d.suffix, domain, sum(n) AS n, sum(bad) AS bad, max(mean) AS mean FROM d JOIN p1 USING (suffix) GROUP BY 1, 2),
     m2 AS (SELECT {_STRENGTH} AS m FROM s2), p2 AS (SELECT domain, (bad + m * mean) / (n + m) AS mean FROM s2, m2),
     s3 AS (SELECT host, n, bad, mean FROM d JOIN p2 USING (domain)), m3 AS (SELECT {_STRENGTH} AS m FROM s3),
     ab AS (SELECT host, bad + m * mean AS a, n - bad + m * (1 - mean) AS b FROM s3, m3),
-    bound AS (SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bad_bound FROM ab),
+    c AS (SELECT host, a, b, 1 / (9 * a) AS sa, 1 / (9 * b) AS sb, 1 - 1 / (9 * a) AS ca, 1 - 1 / (9 * b) AS cb, -0.8416 AS z FROM ab),
+    r AS (SELECT host, greatest((ca * cb + z * sqrt(greatest(ca * ca * sb + cb * cb * sa - z * z * sa * sb, 0))) / (cb * cb - z * z * sb), 0) ** 3 * a / b AS odds FROM c),
+    bound AS (SELECT host, round(odds / (1 + odds), 6) AS bad_bound FROM r),
     rules(rhost, rpath, rverdict) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
     fit AS (SELECT DISTINCT host, path, arg_max(rhost || rpath, length(rhost || rpath)) OVER w AS rule, arg_max(rverdict, length(rhost || rpath)) OVER w AS rverdict
             FROM (SELECT DISTINCT host, path FROM j), rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) WINDOW w AS (PARTITION BY host, path))
-    SELECT page_id, host, path, rule, coalesce(rverdict, CASE WHEN bad_bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict, round(bad_bound, 6) AS bad_bound
+    SELECT page_id, host, path, rule, coalesce(rverdict, CASE WHEN bad_bound > (SELECT share FROM base) THEN 'block' ELSE 'allow' END) AS verdict, bad_bound
     FROM j LEFT JOIN bound USING (host) LEFT JOIN fit USING (host, path)"""
 
 OP1_QUALITY_RULES = """
@@ -42,11 +48,11 @@ OP1_QUALITY_RULES = """
            UNION ALL SELECT 2, NULL, NULL, metric, bucket, sum(n) FROM s GROUP BY metric, bucket),
     u AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER (PARTITION BY level, lang, source, metric) AS total,
             (bucket - greatest(0, bucket // 32 - 1) * 32) << greatest(0, bucket // 32 - 1) AS value FROM lv),
-    q AS (SELECT level, lang, source, metric, max(total) AS n, min(value) FILTER (upto * 1000 >= total * 250) AS q1, min(value) FILTER (upto * 1000 >= total * 750) AS q3 FROM u GROUP BY ALL),
+    q AS (SELECT level, lang, source, metric, CAST(max(total) AS DOUBLE) AS n, min(value) FILTER (upto * 1000 >= total * 250) AS q1, min(value) FILTER (upto * 1000 >= total * 750) AS q3 FROM u GROUP BY ALL),
     slack(metric, two, size) AS (VALUES ('word_length', true, 1000), ('symbols', false, 100), ('dup_lines', false, 50), ('repeats', false, 250)),
     t AS (SELECT level, lang, source, metric, n, CASE WHEN two THEN q1 - 6 * (q3 - q1) - size END AS low, q3 + 6 * (q3 - q1) + size AS high FROM q JOIN slack USING (metric)),
-    x AS (SELECT v.doc_id, coalesce(v.v < CASE WHEN t0.n >= 30 THEN t0.low WHEN t1.n >= 30 THEN t1.low ELSE t2.low END, false)
-            OR v.v > CASE WHEN t0.n >= 30 THEN t0.high WHEN t1.n >= 30 THEN t1.high ELSE t2.high END AS odd
+    x AS (SELECT v.doc_id, coalesce(v.v < (t0.n * t0.low + 30.0 * ((t1.n * t1.low + 30.0 * t2.low) / (t1.n + 30.0))) / (t0.n + 30.0), false)
+            OR v.v > (t0.n * t0.high + 30.0 * ((t1.n * t1.high + 30.0 * t2.high) / (t1.n + 30.0))) / (t0.n + 30.0) AS odd
           FROM v JOIN t t0 ON t0.level = 0 AND t0.metric = v.metric AND t0.lang IS NOT DISTINCT FROM v.lang AND t0.source IS NOT DISTINCT FROM v.source
           JOIN t t1 ON t1.level = 1 AND t1.metric = v.metric AND t1.lang IS NOT DISTINCT FROM v.lang JOIN t t2 ON t2.level = 2 AND t2.metric = v.metric)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce((SELECT bool_or(odd) FROM x WHERE x.doc_id = b.doc_id), false) AS kept, lang, source FROM b"""

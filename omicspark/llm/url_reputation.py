@@ -31,8 +31,12 @@ RULES = (
     Rule("example.net", "/de/8", "block"),
     Rule("org", "/es/", "block"),
 )
-#: Names under which others register their own.
-SUFFIXES = ("example.com", "example.net", "example.org")
+#: Names of more than one label under which others register their own. Give a full list for real corpora.
+SUFFIXES = (
+    "example.com", "example.net", "example.org", "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "edu.au", "co.nz", "org.nz",
+    "co.jp", "ne.jp", "or.jp", "ac.jp", "co.kr", "or.kr", "com.cn", "net.cn", "org.cn", "com.br", "org.br", "co.in", "net.in", "co.za", "com.mx", "com.ar",
+    "com.tr", "com.tw", "com.hk", "com.sg", "github.io", "blogspot.com", "s3.amazonaws.com",
+)
 
 
 def host_of(url: Column) -> Column:
@@ -56,19 +60,36 @@ def best_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return F.array_max(F.array(*fits)) if fits else F.lit(None).cast("struct<size:int,name:string,verdict:string>")
 
 
+def suffix_labels(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
+    """Labels of the longest public suffix that ``host`` is or ends in; 1 where none is listed."""
+    out = F.lit(1)
+    for k in sorted({s.count(".") + 1 for s in suffixes}):
+        listed = F.substring_index(host, ".", -k).isin(*[s for s in suffixes if s.count(".") + 1 == k])
+        out = F.when(listed & (F.size(F.split(host, r"\.")) >= k), F.lit(k)).otherwise(out)
+    return out
+
+
+def last_labels(host: Column, n: Column) -> Column:
+    parts = F.split(host, r"\.")
+    return F.array_join(F.slice(parts, F.greatest(F.size(parts) - n + 1, F.lit(1)), n), ".")
+
+
 def domain_of(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
     """Registered domain: the public suffix and one label more; the host itself if it has no more."""
-    known = F.lit(False)
-    for s in suffixes:
-        known = known | host.endswith("." + s)
-    return F.when(known, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+    return last_labels(host, suffix_labels(host, suffixes) + 1)
 
 
 def suffix_of(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
-    known = F.lit(False)
-    for s in suffixes:
-        known = known | (host == s) | host.endswith("." + s)
-    return F.when(known, F.substring_index(host, ".", -2)).otherwise(F.substring_index(host, ".", -1))
+    return last_labels(host, suffix_labels(host, suffixes))
+
+
+def beta_quantile(a: Column, b: Column, z: float) -> Column:
+    """Quantile of a beta distribution at the normal deviate ``z``, by cube roots of the odds (Paulson's approximation, in built-ins)."""
+    sa, sb = 1 / (9 * a), 1 / (9 * b)
+    ca, cb = 1 - sa, 1 - sb
+    root = (ca * cb + z * F.sqrt(F.greatest(ca * ca * sb + cb * cb * sa - z * z * sa * sb, F.lit(0.0)))) / (cb * cb - z * z * sb)
+    odds = F.pow(F.greatest(root, F.lit(0.0)), F.lit(3.0)) * a / b
+    return odds / (1 + odds)
 
 
 def _strength(groups: DataFrame, floor: float, ceiling: float) -> float:
@@ -90,18 +111,18 @@ def _strength(groups: DataFrame, floor: float, ceiling: float) -> float:
 
 
 def host_reputation(
-    outcomes: DataFrame, suffixes: tuple[str, ...] = SUFFIXES, floor: float = 2.0, ceiling: float = 200.0
-) -> DataFrame:
-    """Posterior of the bad share of each host of ``outcomes(host, bad)``: ``host, a, b``.
+    outcomes: DataFrame, suffixes: tuple[str, ...] = SUFFIXES, floor: float = 2.0, ceiling: float = 50.0
+) -> tuple[DataFrame, float]:
+    """Posterior of the bad share of each host of ``outcomes(host, bad)``: ``host, a, b``; and the share of all pages.
 
     Suffixes shrink to the share of all pages, registered domains to their suffix and hosts to
     their domain, each with a prior weight fitted to how the level scatters, within
-    ``floor`` to ``ceiling`` pages. ``bad`` is 0 or 1; rows with a null are left out.
+    ``floor`` to ``ceiling`` pages. ``bad`` is 0, 1, or null for a page without outcome; a host without any has its domain's prior.
     """
     hosts = (
-        outcomes.where(F.col("host").isNotNull() & F.col("bad").isNotNull())
+        outcomes.where(F.col("host").isNotNull())
         .groupBy("host")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
+        .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
         .select("host", "n", "bad", domain_of(F.col("host"), suffixes).alias("domain"), suffix_of(F.col("host"), suffixes).alias("suffix"))
     )
     n, bad = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
@@ -114,9 +135,10 @@ def host_reputation(
     means = level.select("domain", ((F.col("bad") + m * F.col("mean")) / (F.col("n") + m)).alias("mean"))
     level = hosts.join(means, "domain")
     m = _strength(level, floor, ceiling)
-    return level.select(
+    posterior = level.select(
         "host", (F.col("bad") + m * F.col("mean")).alias("a"), (F.col("n") - F.col("bad") + m * (1 - F.col("mean"))).alias("b")
     )
+    return posterior, overall
 
 
 def filter_urls(
@@ -124,25 +146,23 @@ def filter_urls(
     outcomes: DataFrame,
     rules: tuple[Rule, ...] = RULES,
     suffixes: tuple[str, ...] = SUFFIXES,
-    tolerance: float = 0.5,
-    z: float = 1.645,
+    tolerance: float | None = None,
+    z: float = -0.8416,
 ) -> DataFrame:
     """Judge every row of ``pages(page_id, url, ...)``: ``page_id, host, path, rule, verdict, bad_bound``.
 
-    The longest rule that fits decides; else the lower bound ``mean - z * sd`` of the host's
-    posterior bad share, learnt from ``outcomes(page_id, bad)``, and pages above ``tolerance`` are
-    blocked. Hosts without labelled pages are allowed (``bad_bound`` null). A null url or one
-    without ``://`` has an empty host and path and no reputation. Repeated pages are judged each;
-    an outcome counts for every page row of its id; null ids match nothing.
+    The longest rule that fits decides; else the lower bound (the quantile at ``z``, by default one in five) of the
+    posterior bad share of the host, learnt from ``outcomes(page_id, bad)``: pages of hosts whose bound is above ``tolerance``, by default the
+    share of all pages, are blocked. A host without labelled pages is judged by its domain's prior. A null url or one
+    without ``://`` has an empty host and path, no reputation (``bad_bound`` null) and is allowed. Repeated pages are judged each;
+    an outcome counts for every page row of its id; null ids match nothing; without outcomes no host is above the rest.
     """
     judged = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     labelled = outcomes.select(F.col("page_id").alias("__id"), "bad")
-    seen = judged.join(labelled, F.col("page_id") == F.col("__id")).where("host != ''").select("host", "bad")
-    a, b = F.col("a"), F.col("b")
-    bounds = host_reputation(seen, suffixes).select(
-        F.col("host").alias("__host"),
-        (a / (a + b) - z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))).alias("bad_bound"),
-    )
+    seen = judged.where("host != ''").join(labelled, F.col("page_id") == F.col("__id"), "left").select("host", "bad")
+    posterior, overall = host_reputation(seen, suffixes)
+    limit = overall if tolerance is None else tolerance
+    bounds = posterior.select(F.col("host").alias("__host"), F.round(beta_quantile(F.col("a"), F.col("b"), z), 6).alias("bad_bound"))
     rule = best_rule(F.col("host"), F.col("path"), rules)
     return (
         judged.join(bounds, F.col("host") == F.col("__host"), "left")
@@ -152,9 +172,7 @@ def filter_urls(
             "host",
             "path",
             F.col("best.name").alias("rule"),
-            F.coalesce(
-                F.col("best.verdict"), F.when(F.col("bad_bound") > tolerance, F.lit("block")).otherwise(F.lit("allow"))
-            ).alias("verdict"),
-            F.round("bad_bound", 6).alias("bad_bound"),
+            F.coalesce(F.col("best.verdict"), F.when(F.col("bad_bound") > limit, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
+            "bad_bound",
         )
     )
