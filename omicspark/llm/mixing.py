@@ -10,16 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stash, word_count
+from .hashing import mix64
 
-MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # fixed values: a public 64-bit finaliser
-
-
-def mix64(x: np.ndarray) -> np.ndarray:
-    """Well-mixed 64-bit values of 64-bit values."""
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
+#: Places of a running total that one task sums; the totals of such groups are summed apart.
+GROUP = 1024
+#: Slots that one task places, at about.
+TASK_SLOTS = 250_000
 
 
 def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -62,17 +58,31 @@ def targets(sizes: list[int], weights: list[float], budget: float, ceiling: floa
     return out
 
 
-def source_targets(sized: DataFrame, cycle: tuple[float, ...], budget: float, most_sources: int) -> list[tuple]:
-    """``(source, size, target)`` per source, in code-point order, null last.
+def source_targets(sized: DataFrame, cycle: tuple[float, ...], budget: float) -> DataFrame:
+    """``sid, source, source_size, target`` per source in code-point order, null last.
 
-    One row per source goes to the driver; more than ``most_sources`` are refused.
+    Of each source one row with its name and size goes to the driver: sources are named lists that people weigh, not data.
     """
-    per = sized.groupBy("source").agg(F.sum("size").alias("size")).limit(most_sources + 1).collect()
-    if len(per) > most_sources:
-        raise ValueError(f"more than {most_sources} sources")
-    per = sorted(((r["source"], r["size"]) for r in per), key=lambda r: (r[0] is None, r[0] or ""))
+    per = [(r["source"], r["size"]) for r in sized.groupBy("source").agg(F.sum("size").alias("size")).collect()]
+    per.sort(key=lambda r: (r[0] is None, r[0] or ""))
     goal = targets([s for _, s in per], [cycle[k % len(cycle)] for k in range(len(per))], budget * sum(s for _, s in per))
-    return [(name, size, t) for (name, size), t in zip(per, goal, strict=True)]
+    rows = [(k, name, size, t) for k, ((name, size), t) in enumerate(zip(per, goal, strict=True))]
+    return sized.sparkSession.createDataFrame(rows, "sid int, source string, source_size bigint, target double")
+
+
+def running_total(df: DataFrame, key: str, place: str, value: str, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over the smaller ``place`` of its ``key``, one row per key and place.
+
+    Sums within groups of ``GROUP`` places and sums of the groups before, so no task sees all places of a key that is hot.
+    """
+    grouped = df.withColumn("__group", F.floor(F.col(place) / GROUP))
+    sums = grouped.groupBy(key, "__group").agg(F.sum(value).alias("__sum"))
+    before = Window.partitionBy(key).orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col(key).alias("__key"), F.col("__group").alias("__of"), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
+    within = Window.partitionBy(key, "__group").orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    summed = grouped.withColumn("__in", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    joined = summed.join(sums, (F.col(key) == F.col("__key")) & (F.col("__group") == F.col("__of")))
+    return joined.withColumn(name, F.col("__in") + F.col("__base")).drop("__group", "__key", "__of", "__base", "__in")
 
 
 def mix(
@@ -82,12 +92,11 @@ def mix(
     block: int = 64,
     slots: int = 4096,
     seed: int = 17,
-    chunk_docs: int = 4096,
-    most_sources: int = 10_000,
+    chunk_docs: int = 512,
 ) -> DataFrame:
     """How many words a mix takes of every row of ``docs(doc_id, text, source, ...)``.
 
-    Returns ``doc_id, size, source_size, target, taken``, one row per input row. Sources in
+    Returns ``doc_id, size, source_size, target, taken, source, mark``, one row per input row; ``mark`` is a hash of the text. Sources in
     code-point order (null last) weigh ``cycle``, repeating, and share ``budget`` times all words;
     no target exceeds twice its source.
 
@@ -96,58 +105,69 @@ def mix(
     gets: the whole part of the expected number and a multinomial draw of the rest. A source's slots are numbered through all shards, and
     slot j takes the block that a pseudorandom permutation of the source's blocks gives to j modulo
     their number; slots beyond two rounds are left empty, so no word is taken over twice. Everything
-    follows from ``seed``, the ids and the sizes, so reruns agree.
+    follows from ``seed``, the ids, texts and sizes, so reruns agree.
 
     A null text has no words and takes none; null sources form a source; repeated ids are rows of
-    their own (told apart by size alone, ties share a place); extra columns are ignored; an empty table gives an
+    their own, in the order of size and a hash of the text; extra columns are ignored; an empty table gives an
     empty result.
     """
-    spark = docs.sparkSession
-    sized = stash(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix_sizes")
-    goals = source_targets(sized, cycle, budget, most_sources)
-    table = spark.createDataFrame(
-        [(k, name, size, -(-size // block), goal) for k, (name, size, goal) in enumerate(goals)],
-        "sid int, __source string, source_size bigint, blocks bigint, target double",
-    )
-    rows = sized.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    mark = F.coalesce(F.xxhash64("text"), F.lit(0)).alias("mark")
+    sized = stash(docs.select("doc_id", "source", mark, word_count(F.col("text")).alias("size")), "mix_sizes")
+    goals = source_targets(sized, cycle, budget)
+    named = goals.withColumnRenamed("source", "__source")
+    rows = sized.join(named, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
 
-    # Places in the source's stream: sums within chunks, then sums of the chunks before.
+    # Places in the source's stream: sums within chunks of rows, then sums of the chunks before.
     chunks = max(1, sized.count() // chunk_docs)
     order = F.xxhash64("doc_id", F.lit(seed))
     rows = rows.withColumn("order", order).withColumn("chunk", F.pmod(F.xxhash64("order"), F.lit(chunks)))
-    before = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy("sid", "chunk").agg(F.sum("size").alias("n")).select("sid", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    )
-    within = Window.partitionBy("sid", "chunk").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    starts = running_total(rows.groupBy("sid", "chunk").agg(F.sum("size").alias("n")), "sid", "chunk", "n", "base").drop("n")
+    within = Window.partitionBy("sid", "chunk").orderBy("order", "doc_id", "size", "mark").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("offset", F.coalesce(F.sum("size").over(within), F.lit(0))).join(starts, ["sid", "chunk"])
-    placed = placed.withColumn("start", F.col("base") + F.col("offset"))
+    placed = stash(placed.withColumn("start", F.col("base") + F.col("offset")).drop("base", "offset", "order", "chunk"), "mix_placed")
 
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
     pieces = (
         placed.where("size > 0")
-        .select("sid", "doc_id", "start", "size", F.explode(F.sequence(first, last)).alias("index"))
+        .select("sid", "start", "size", F.explode(F.sequence(first, last)).alias("index"))
         .select(
-            "sid", "doc_id", "start", "index",
+            "sid", "start", "index",
             (F.least(F.col("start") + F.col("size"), (F.col("index") + 1) * block) - F.greatest("start", F.col("index") * block)).alias("words"),
         )
     )
-    times = block_times(spark, [(size, -(-size // block), goal) for _, size, goal in goals], slots, seed)
+    times = block_times(goals, block, slots, seed)
     # The size of what Python makes is guessed from its few input rows; a hint keeps it from being broadcast.
-    taken = pieces.join(times.hint("merge"), ["sid", "index"]).groupBy("sid", F.col("start").alias("__start"), F.col("doc_id").alias("__doc")).agg(
+    taken = pieces.join(times.hint("merge"), ["sid", "index"]).groupBy(F.col("sid").alias("__sid"), F.col("start").alias("__start")).agg(
         F.sum(F.col("words") * F.col("times")).alias("taken")
     )
-    return placed.join(
-        taken.withColumnRenamed("sid", "__sid"),
-        (F.col("sid") == F.col("__sid")) & (F.col("start") == F.col("__start")) & F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("size") > 0),
-        "left",
-    ).select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "source",
+    # A start belongs to one row with words, as no two of a source begin at one place.
+    return placed.join(taken, (F.col("sid") == F.col("__sid")) & (F.col("start") == F.col("__start")) & (F.col("size") > 0), "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "source", "mark",
     )
 
 
-def block_times(spark, sources: list[tuple[int, int, float]], slots: int, seed: int) -> DataFrame:
+def draw_shard(expected: np.ndarray, shard: int, shards: int, slots: int, seed: int) -> np.ndarray:
+    """Slots of a shard per source: whole parts of the expectation and a multinomial draw of the rest."""
+    total = float(expected.sum())
+    size = slots if shard + 1 < shards else max(0, round(total) - slots * (shards - 1))
+    share = expected / total * size
+    counts = np.floor(share)
+    rest = share - counts
+    extra = int(size - counts.sum())
+    if extra > 0 and rest.sum() > 0:
+        counts += np.random.default_rng((seed, shard)).multinomial(extra, rest / rest.sum())
+    return counts.astype(np.int64)
+
+
+def blocks_of_slots(sid: int, first: int, n: int, blocks: int, seed: int) -> np.ndarray:
+    """Blocks that slots ``first`` to ``first + n`` of a source take; those beyond two rounds take none."""
+    j = np.arange(first, min(first + n, 2 * blocks))
+    return permute(j % blocks, blocks, seed * 1_000_003 + sid) if len(j) else j
+
+
+def block_times(goals: DataFrame, block: int, slots: int, seed: int) -> DataFrame:
     """``sid, index, times``: how often the shards' slots take each block of each source."""
+    sources = [(r["source_size"], -(-r["source_size"] // block), r["target"]) for r in goals.orderBy("sid").collect()]
     expected = np.array([goal * blocks / size if size else 0.0 for size, blocks, goal in sources])
     total = float(expected.sum())
     shards = max(1, -(-round(total) // slots)) if total else 0
@@ -156,47 +176,40 @@ def block_times(spark, sources: list[tuple[int, int, float]], slots: int, seed:
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                size = slots if shard + 1 < shards else max(0, round(total) - slots * (shards - 1))
-                share = expected / total * size
-                counts = np.floor(share)
-                rest = share - counts
-                extra = int(size - counts.sum())
-                if extra > 0 and rest.sum() > 0:
-                    counts += np.random.default_rng((seed, shard)).multinomial(extra, rest / rest.sum())
+                counts = draw_shard(expected, shard, shards, slots, seed)
                 own = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int32()), pa.array(np.full(len(own), shard), pa.int64()), pa.array(counts[own].astype(np.int64))],
-                    names=["sid", "shard", "n"],
+                    [pa.array(own, pa.int32()), pa.array(np.full(len(own), shard), pa.int64()), pa.array(counts[own])], names=["sid", "shard", "n"]
                 )
 
-    drawn = spark.range(shards).mapInArrow(draw, "sid int, shard bigint, n bigint")
-    before = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    runs = drawn.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    drawn = goals.sparkSession.range(shards).mapInArrow(draw, "sid int, shard bigint, n bigint")
+    runs = running_total(drawn, "sid", "shard", "n", "first")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for sid, first, n in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                j = np.arange(first, min(first + n, 2 * blocks[sid]))
-                if len(j):
-                    index = permute(j % blocks[sid], blocks[sid], seed * 1_000_003 + sid)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(j), sid), pa.int32()), pa.array(index, pa.int64())], names=["sid", "index"]
-                    )
-
-    placed = runs.select("sid", "first", "n").mapInArrow(place, "sid int, index bigint")
+                index = blocks_of_slots(sid, first, n, blocks[sid], seed)
+                if len(index):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(index), sid), pa.int32()), pa.array(index, pa.int64())], names=["sid", "index"])
+
+    # The few rows of the runs become many slots: they are dealt to a number of tasks that grows with these.
+    spread = runs.select("sid", "first", "n").repartition(max(1, -(-int(total) // TASK_SLOTS)), "sid", "first")
+    placed = spread.mapInArrow(place, "sid int, index bigint")
     return placed.groupBy("sid", "index").agg(F.count(F.lit(1)).alias("times"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """Rows of ``docs`` as often as the mix takes them, columns as they were.
 
-    A row stands ``taken / size`` times, the fraction decided by a hash of its id, so the words of
-    each source stay near its target; rows without words go.
+    A row stands ``taken / size`` times, the fraction decided by a hash of its id and text, so the words of
+    each source stay near its target; rows without words go. Rows that share id and text are each taken as often as they
+    are on average, the fraction decided once for all.
     """
-    found = mix(docs, **options).where("taken > 0").select(F.col("doc_id").alias("__id"), "size", "taken")
-    ratio = F.col("taken") / F.col("size")
-    chance = F.pmod(F.xxhash64("__id", F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
-    copies = F.floor(ratio) + F.when(chance < ratio - F.floor(ratio), 1).otherwise(0)
-    counted = found.select("__id", copies.cast("int").alias("__copies")).where("__copies > 0").groupBy("__id").agg(F.max("__copies").alias("__copies"))
-    joined = docs.join(counted, F.col("doc_id").eqNullSafe(F.col("__id")))
+    key = [F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")]
+    found = mix(docs, **options).where("size > 0").groupBy(*key).agg((F.sum("taken") / F.sum("size")).alias("ratio"))
+    chance = F.pmod(F.xxhash64("__id", "__mark", F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
+    copies = F.floor("ratio") + F.when(chance < F.col("ratio") - F.floor("ratio"), 1).otherwise(0)
+    counted = found.select("__id", "__mark", copies.cast("int").alias("__copies")).where("__copies > 0")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.coalesce(F.xxhash64("text"), F.lit(0)) == F.col("__mark"))
+    joined = docs.join(counted, same)
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)

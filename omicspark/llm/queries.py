@@ -44,7 +44,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("mark")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
