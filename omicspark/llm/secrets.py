@@ -24,7 +24,8 @@ LEAST_VALUE, LEAST_ACCESS = 8, 16
 KINDS = ("assign", "access", "hex", "pem", "token", "key")
 
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
-SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+#: A token: two JSON objects, whose base64 begins with these letters, and a signature.
+SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(e[yw][A-Za-z0-9_-]{8,})\.(e[yw][A-Za-z0-9_-]*)\.([A-Za-z0-9_-]*)")
 BLOB = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 MIXED_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}(?![0-9A-Fa-f])")
 
@@ -74,7 +75,8 @@ def is_der_key(data: bytes) -> bool:
     """A DER private key: one SEQUENCE over all bytes whose parts nest as a key's parts do.
 
     PKCS#1: version and eight more integers. SEC 1: version 1 and an octet string. PKCS#8:
-    version, an algorithm sequence that starts with an object identifier, and an octet string.
+    version, an algorithm sequence that starts with an object identifier, and an octet string that holds a key of one of
+    these kinds, an octet string or an integer and nothing else.
     """
     outer = der_element(data, 0)
     if outer is None or outer[0] != 0x30 or outer[2] != len(data):
@@ -88,35 +90,85 @@ def is_der_key(data: bytes) -> bool:
     if version == 1 and len(tags) >= 2 and tags[1] == 0x04 and 16 <= parts[1][2] - parts[1][1] <= 66:
         return True
     if len(tags) >= 3 and tags[1] == 0x30 and tags[2] == 0x04:
-        algorithm = der_children(data, parts[1][1], parts[1][2])
-        return bool(algorithm) and algorithm[0][0] == 0x06
+        inner = data[parts[2][1] : parts[2][2]]
+        element = der_element(inner, 0)
+        whole = element is not None and element[2] == len(inner) and element[0] in (0x02, 0x04)
+        return is_algorithm(data, parts[1]) and (whole or is_der_key(inner))
     return False
 
 
+def is_algorithm(data: bytes, part: tuple[int, int, int]) -> bool:
+    """An algorithm identifier: a SEQUENCE that starts with an object identifier."""
+    inside = der_children(data, part[1], part[2]) if part[0] == 0x30 else None
+    return bool(inside) and inside[0][0] == 0x06 and inside[0][2] > inside[0][1]
+
+
+def is_encrypted_der_key(data: bytes | None) -> bool:
+    """An encrypted PKCS#8 envelope: an algorithm with its parameters, and an octet string of the ciphertext."""
+    outer = der_element(data, 0) if data else None
+    if outer is None or outer[0] != 0x30 or outer[2] != len(data):
+        return False
+    parts = der_children(data, outer[1], outer[2])
+    return bool(parts) and len(parts) == 2 and is_algorithm(data, parts[0]) and parts[1][0] == 0x04 and parts[1][2] - parts[1][1] >= 16
+
+
+def is_encrypted_pem(body: str) -> bool:
+    """A traditional encrypted body: its headers, a blank line, and base64 of whole cipher blocks."""
+    headers, _, rest = body.replace("\r", "").partition("\n\n")
+    cipher = re.search(r"(?m)^DEK-Info: *[A-Z0-9-]+,[0-9A-Fa-f]{16,}$", headers)
+    data = from_base64("".join(rest.split())) if cipher and "Proc-Type: 4,ENCRYPTED" in headers else None
+    return bool(data) and len(data) >= 32 and len(data) % 8 == 0
+
+
 def is_length_prefixed_key(data: bytes) -> bool:
-    """An OpenSSH key blob: its magic, then length-prefixed strings that fit, the cipher first."""
+    """An OpenSSH key blob: its magic, cipher, key derivation and options, the number of keys, a public key of a known kind for each, and the private part."""
     magic = b"openssh-key-v1\0"
     if not data.startswith(magic):
         return False
     at = len(magic)
     for _ in range(3):  # cipher, key derivation, its options
-        if at + 4 > len(data):
+        at = prefixed_end(data, at)
+        if at is None:
             return False
-        at += 4 + int.from_bytes(data[at : at + 4], "big")
-    return at + 4 <= len(data)
+    keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+    if not 1 <= keys <= 16:
+        return False
+    for _ in range(keys):
+        end = prefixed_end(data, at)
+        kind = prefixed_end(data[:end], at + 4) if end is not None else None
+        if kind is None or not data[at + 8 : kind].startswith((b"ssh-", b"ecdsa-", b"sk-")):
+            return False
+        at = end
+    return prefixed_end(data, at) == len(data)
+
+
+def prefixed_end(data: bytes, at: int) -> int | None:
+    """End of the string at ``at`` that four bytes of length precede, if it fits."""
+    if at + 4 > len(data):
+        return None
+    end = at + 4 + int.from_bytes(data[at : at + 4], "big")
+    return end if end <= len(data) else None
 
 
 def is_key(data: bytes | None) -> bool:
     return bool(data) and (is_der_key(data) or is_length_prefixed_key(data))
 
 
-def is_signed_header(part: str) -> bool:
-    """A token header: base64 of a JSON object that names its algorithm."""
+def json_object(part: str) -> dict | None:
+    """The object whose JSON is in base64, or None."""
     try:
-        header = json.loads(from_base64(part) or b"")
+        found = json.loads(from_base64(part) or b"")
     except (ValueError, RecursionError):
+        return None
+    return found if isinstance(found, dict) else None
+
+
+def is_signed_token(header: str, payload: str, signature: str) -> bool:
+    """A token: its header names an algorithm, its payload is an object, and unless the algorithm is none, a signature decodes."""
+    head = json_object(header)
+    if head is None or not isinstance(head.get("alg"), str) or json_object(payload) is None:
         return False
-    return isinstance(header, dict) and isinstance(header.get("alg"), str)
+    return head["alg"].lower() == "none" or len(from_base64(signature) or b"") >= 16
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -133,7 +185,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Candidates whose decoded bytes have the structure of a key or a signed token.
 
     Hex and base64 runs decode to DER or OpenSSH keys; PEM bodies, white space aside, must decode
-    to a key or carry an encryption header; tokens need a JSON header with an algorithm. A run
+    to a key or to the envelope of an encrypted one; tokens need a JSON header with an algorithm, a payload and a signature. A run
     that decodes to anything else is no finding.
     """
     out = []
@@ -144,11 +196,11 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
             if end < 0:
                 continue
             body = text[m.end() : end]
-            encrypted = "ENCRYPTED" in m[1] or "ENCRYPTED" in body
-            if encrypted or is_key(from_base64("".join(body.split()))):
+            data = from_base64("".join(body.split()))
+            if is_key(data) or is_encrypted_der_key(data) or is_encrypted_pem(body):
                 out.append((m.start(), end + len(mark), "pem"))
-    if "eyJ" in text:
-        out += [(m.start(), m.end(), "token") for m in SIGNED.finditer(text) if is_signed_header(m[1])]
+    if ".ey" in text or ".ew" in text:
+        out += [(m.start(), m.end(), "token") for m in SIGNED.finditer(text) if is_signed_token(*m.groups())]
     for m in BLOB.finditer(text):
         if m[0][0] in "Mb" and is_key(from_base64(m[0])):  # 0x30 and the OpenSSH magic start so
             out.append((m.start(), m.end(), "key"))
