@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -37,10 +38,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def terms_of(text: str) -> set[str]:
-    """Words in lower case, and ``abcd*`` for the first four and five letters of longer ones."""
-    words = {w for w in WORD.findall(text.lower()) if len(w) > 2}
-    return words | {w[:4] + "*" for w in words if len(w) > 4} | {w[:5] + "*" for w in words if len(w) > 5}
+def hash64(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def terms_in_company(text: str) -> dict[str, int]:
+    """The terms of a text, words in lower case and ``abcd*`` for the first four and five letters of longer ones, with a hash of the words beside the first place of each."""
+    words = WORD.findall(text.lower())
+    out: dict[str, int] = {}
+    for k, w in enumerate(words):
+        if len(w) > 2 and w not in out:
+            company = hash64(" ".join(words[max(0, k - 1) : k + 2]))
+            for term in (w, *([w[:4] + "*"] if len(w) > 4 else ()), *([w[:5] + "*"] if len(w) > 5 else ())):
+                out.setdefault(term, company)
+    return out
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
@@ -55,27 +66,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return docs.join(few, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic")
 
 
-def learn_terms(sample: DataFrame, most_terms: int, least_texts: int = 3, least_ratio: float = 40.0, margin: float = 4.0) -> list[tuple[str, float]]:
+def learn_terms(sample: DataFrame, least_texts: int = 3, least_ratio: float = 6.0, margin: float = 4.0) -> list[tuple[str, float]]:
     """Terms far commoner in toxic texts of the sample, with their log ratio, the surest first.
 
     The likelihood-ratio statistic of a term must exceed what the best of as many terms would reach by
-    chance (twice the log of their number) by ``margin``, so rare words of a large vocabulary do not pass;
-    and hardly a clean text may have it (one, and one for each fifty toxic ones).
+    chance (twice the log of their number) by ``margin``, so rare words of a large vocabulary do not pass. Clean texts may
+    have it too: its share of toxic texts must exceed ``least_ratio`` times that of clean ones, and how far it does is
+    the label model's to judge.
 
-    Texts that hold each term are counted per class, per batch first; at most ``most_terms`` rows go to the driver.
+    What is counted per class are the different companies a term keeps, the words beside its first place in a text: words of
+    passages that many texts copy keep one. Equal rows are dropped per batch first. The sample bounds the terms that go to the driver.
     """
 
     def rows(labels: list, texts: list) -> Iterator[tuple]:
-        seen: tuple[Counter, Counter] = Counter(), Counter()
-        for toxic, text in zip(labels, texts, strict=True):
-            seen[toxic == 1].update(terms_of(text or ""))
-            seen[toxic == 1][""] += 1
-        for term in seen[0].keys() | seen[1].keys():
-            yield term, seen[0][term], seen[1][term]
-
-    # Copies of one text, at most the sample's rows, say nothing new about its words.
-    counts = map_batches(sample.dropDuplicates(["text", "toxic"]), rows, "term string, clean bigint, toxic bigint", ("toxic", "text"))
-    counts = stash(counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxic_terms")
+        seen = Counter()
+        for k, (toxic, text) in enumerate(zip(labels, texts, strict=True)):
+            seen.update((term, company, toxic == 1) for term, company in terms_in_company(text or "").items())
+            seen["", hash64(f"{k} {text}"), toxic == 1] += 1
+        for (term, company, toxic), n in seen.items():
+            yield term, company, toxic
+
+    # Copies of texts and passages say nothing new about their words: a term counts once per class and company.
+    told = map_batches(sample.dropDuplicates(["text", "toxic"]), rows, "term string, company bigint, toxic boolean", ("toxic", "text")).distinct()
+    counts = stash(told.groupBy("term").agg(F.count_if(~F.col("toxic")).alias("clean"), F.count_if("toxic").alias("toxic")), "toxic_terms")
     total = counts.where("term = ''").first()
     if not total or not total["toxic"] or not total["clean"]:
         return []
@@ -86,21 +99,20 @@ def learn_terms(sample: DataFrame, most_terms: int, least_texts: int = 3, least_
     evidence = 2 * (part(t, share) + part(c, 1 - share))
     tried = counts.count()
     surest = (
-        counts.where(f"term <> '' AND toxic >= {least_texts} AND clean <= 1 + toxic / 50")
+        counts.where(f"term <> '' AND toxic >= {least_texts}")
         .select("term", ratio.alias("ratio"), evidence.alias("g"))
         .where((F.col("ratio") >= math.log(least_ratio)) & (F.col("g") >= 2 * math.log(tried) + margin))
         .orderBy(F.desc("g"), "term")
-        .limit(most_terms)
     )
     return [(r["term"], r["ratio"]) for r in surest.collect()]
 
 
 def find_terms(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """``doc_id, found``: which of ``terms`` and patterns each whole text has; null counts as empty."""
+    """``doc_id, mark, found``: which of ``terms`` and patterns each whole text has; null counts as empty."""
     known = frozenset(terms)
 
-    def rows(ids: list, texts: list) -> Iterator[tuple]:
-        for i, text in zip(ids, texts, strict=True):
+    def rows(keys: list, texts: list) -> Iterator[tuple]:
+        for key, text in zip(keys, texts, strict=True):
             text = text or ""
             found = set()
             for w in set(WORD.findall(text.lower())):
@@ -110,9 +122,10 @@ def find_terms(docs: DataFrame, terms: list[str]) -> DataFrame:
                     found.add(p)
                 if (p := w[:5] + "*") in known and len(w) > 5:
                     found.add(p)
-            yield i, sorted(found) + [k for k, p in PATTERNS.items() if p.search(text)]
+            yield key["doc_id"], key["mark"], sorted(found) + [k for k, p in PATTERNS.items() if p.search(text)]
 
-    return map_batches(docs, rows, "doc_id bigint, found array<string>")
+    keyed = docs.select(F.struct("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("mark")).alias("key"), "text")
+    return map_batches(keyed, rows, "doc_id bigint, mark bigint, found array<string>", ("key", "text"))
 
 
 def voter_of(terms: list[str]) -> dict[str, int]:
@@ -172,12 +185,11 @@ class LabelModel:
         return 1 / (1 + np.exp(-(np.log(self.prior / (1 - self.prior)) + x @ for_toxic + ~x.any(axis=1) * silent.sum())))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = 10_000, most_train: int = 20_000, most_terms: int = 400) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = 10_000, most_train: int = 20_000) -> DataFrame:
     """Score every whole text of ``docs(doc_id, text, ...)``: ``doc_id, held_out, score, predicted``.
 
     Rows whose crc32(doc_id) is divisible by 5 are held out: their labels are never read. Of the
-    others at most ``most_labelled`` of each class teach which terms and prefixes (at most
-    ``most_terms``) mark toxic texts; these and a fixed lexicon are dealt to voters, beside pattern
+    others at most ``most_labelled`` of each class teach which terms and prefixes mark toxic texts; these and a fixed lexicon are dealt to voters, beside pattern
     voters. The label model is fitted to the votes of all texts and gives each a posterior; a logistic
     regression on the terms found learns these posteriors from at most ``most_train`` rows, again by
     a hash of the id. The score depends on the text alone.
@@ -186,8 +198,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = 10_0
     never labelled; repeated rows get the same score each; other columns are ignored. Without labels
     of both classes the fixed lexicon alone votes; an empty table gives an empty result.
     """
+    found, score = _scores(docs, labels, most_labelled, most_train)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")
+    )
+
+
+def _scores(docs: DataFrame, labels: DataFrame, most_labelled: int = 10_000, most_train: int = 20_000) -> tuple[DataFrame, Column]:
+    """``doc_id, mark, found`` of every row and the score as an expression of them."""
     sample = stash(labelled_sample(docs, labels, most_labelled), "toxic_sample")
-    learnt = [t for t, _ in learn_terms(sample, most_terms)]
+    learnt = [t for t, _ in learn_terms(sample)]
     terms = learnt + [t for t in LEXICON if t not in set(learnt)]
     found = stash(find_terms(docs, terms), "toxic_found")
     voters = voter_of(terms)
@@ -208,10 +228,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = 10_0
 
     points = F.create_map(*[x for t, w in weights.items() for x in (F.lit(t), F.lit(w))])
     total = F.aggregate("found", F.lit(float(bias)), lambda acc, t: acc + F.coalesce(points[t], F.lit(0.0)))
-    score = F.round(1 / (1 + F.exp(-total)), 9)
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int")
-    )
+    return found, F.round(1 / (1 + F.exp(-total)), 9)
 
 
 def _classifier(voted: DataFrame, terms: list[str], model: LabelModel, vectors: np.ndarray, most: int) -> tuple[dict[str, float], float]:
@@ -233,6 +250,8 @@ def _classifier(voted: DataFrame, terms: list[str], model: LabelModel, vectors:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` that are not predicted toxic, columns as they were."""
-    bad = score_toxicity(docs, labels, **options).where("predicted = 1").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    """Rows of ``docs`` that are not predicted toxic, columns as they were; a row is known by its id and text."""
+    found, score = _scores(docs, labels, **options)
+    bad = found.where(score >= 0.5).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.coalesce(F.xxhash64("text"), F.lit(0)) == F.col("__mark"))
+    return docs.join(bad, same, "left_anti")
