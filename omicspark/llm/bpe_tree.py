@@ -42,6 +42,26 @@ def encode_plain(path: str, text: str, shift: int = 0) -> list[Token]:
     return [(i, a + shift, b + shift) for i, (a, b) in zip(e.ids, e.offsets, strict=True)]
 
 
+#: The normaliser and pre-tokenizer of files whose texts are the encodings of their runs between blanks, in any case.
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+@lru_cache(maxsize=4)
+def by_runs(path: str) -> bool:
+    """Whether the file's tokenizer drops white space, lets no piece cross it and lower-cases: known by what the file says."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    steps = (made.get("normalizer") or {}).get("normalizers") or [made.get("normalizer") or {}]
+    cuts = (made.get("pre_tokenizer") or {}).get("pretokenizers") or [made.get("pre_tokenizer") or {}]
+    first = cuts[0]
+    drops = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and first.get("pattern") == {"Regex": _SPLIT}
+    plain = all(c.get("type") == "ByteLevel" and not c.get("add_prefix_space") and not c.get("use_regex") for c in cuts[1:])
+    kinds = [s.get("type") for s in steps]
+    return bool(drops and plain and set(kinds) <= {"NFC", "Replace", "Lowercase"} and "Lowercase" in kinds)
+
+
 class Runs:
     """Ids of runs between blanks as packed 32-bit numbers, remembered within bounds.
 
@@ -92,7 +112,11 @@ def runs_of(path: str) -> Runs:
 
 
 def encode_texts(path: str, texts: list[str]) -> Iterator[np.ndarray]:
-    """Ids of each text by its runs between blanks."""
+    """Ids of each text: by its runs between blanks where the tokenizer allows it (``by_runs``), else by the library as a whole."""
+    if not by_runs(path):
+        for e in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(e.ids, dtype="<i4")
+        return
     group: list[list[str]] = []
     size = 0
     for k, text in enumerate(texts):
@@ -120,7 +144,9 @@ class Piece(NamedTuple):
 
 
 def encode_piece(path: str, text: str) -> Piece:
-    """One leaf of the tree. The ends reach to the first blank beyond the margin, so they stand on their own."""
+    """One leaf of the tree. The ends reach to the first blank beyond the margin, so they stand on their own; without runs it is kept whole."""
+    if not by_runs(path):
+        return Piece(text, encode_plain(path, text), None, "", [])
     low, high = text.find(" ", MARGIN), text.rfind(" ", 0, max(0, len(text) - MARGIN))
     if low < 0 or high <= low:
         return Piece(text, encode_plain(path, text), None, "", [])
@@ -220,8 +246,8 @@ def encode_tree(path: str, text: str, most: int = LONG_CHARS) -> list[int]:
 def encode(docs: DataFrame, path: str, long_chars: int = LONG_CHARS) -> DataFrame:
     """``doc_id, ids`` of every whole text of ``docs(doc_id, text, ...)``, in the library's ids.
 
-    Texts up to ``long_chars`` are encoded where they are read, run by run. Longer ones are halved to
-    pieces that different tasks encode, then joined per text as a tree. A null text counts as
+    Texts up to ``long_chars`` are encoded where they are read, run by run if the tokenizer allows it. Longer ones are halved to
+    pieces that different tasks encode, then joined per text as a tree; copies of a long text are encoded once. A null text counts as
     empty and has no ids. Repeated and null ``doc_id`` are encoded each; other columns are ignored; an
     empty table gives an empty result.
     """
@@ -250,11 +276,10 @@ def _encoded(docs: DataFrame, path: str, most: int, finish: Callable[[np.ndarray
         for i, found in zip(ids, encode_texts(path, texts), strict=True):
             yield (i, *finish(found))
 
-    def cut(ids: list, texts: list) -> Iterator[tuple]:
-        for i, text in zip(ids, texts, strict=True):
-            mark = hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()
+    def cut(marks: list, texts: list) -> Iterator[tuple]:
+        for mark, text in zip(marks, texts, strict=True):
             for k, piece in enumerate(halves(text, most)):
-                yield i, mark, k, piece
+                yield mark, k, piece
 
     def leaf(keys: list, texts: list) -> Iterator[tuple]:
         for key, text in zip(keys, texts, strict=True):
@@ -262,22 +287,19 @@ def _encoded(docs: DataFrame, path: str, most: int, finish: Callable[[np.ndarray
             yield (*key.values(), p.head, _flat(p.first), p.middle, p.tail, _flat(p.last))
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
-        copies = int((pdf["k"] == 0).sum())
-        pieces = [Piece(r.head, _tokens(r.first), r.middle, r.tail, _tokens(r.last)) for r in pdf.drop_duplicates("k").itertuples()]
-        found = finish(concatenate(path, pieces))
-        out = pd.DataFrame([found] * copies, columns=[c.split()[0] for c in columns.split(", ")])
-        out.insert(0, "doc_id", pd.array([pdf["doc_id"].iloc[0]] * copies, dtype="Int64"))
+        pieces = [Piece(r.head, _tokens(r.first), r.middle, r.tail, _tokens(r.last)) for r in pdf.sort_values("k").itertuples()]
+        out = pd.DataFrame([finish(concatenate(path, pieces))], columns=[c.split()[0] for c in columns.split(", ")])
+        out.insert(0, "mark", pdf["mark"].iloc[0])
         return out
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     whole = map_batches(rows.where(F.char_length("text") <= most), short, schema)
-    pieces = map_batches(rows.where(F.char_length("text") > most), cut, "doc_id bigint, mark string, k int, piece string")
-    spread = pieces.repartition("doc_id", "mark", "k").select(F.struct("doc_id", "mark", "k").alias("key"), "piece")
-    leaves = map_batches(
-        spread, leaf, "doc_id bigint, mark string, k int, head string, first array<int>, middle array<int>, tail string, last array<int>", ("key", "piece")
-    )
-    return whole.unionByName(leaves.groupBy("doc_id", "mark").applyInPandas(join, schema))
+    long = rows.where(F.char_length("text") > most).withColumn("mark", F.sha2("text", 256))
+    pieces = map_batches(long.dropDuplicates(["mark"]), cut, "mark string, k int, piece string", ("mark", "text"))
+    spread = pieces.repartition("mark", "k").select(F.struct("mark", "k").alias("key"), "piece")
+    leaves = map_batches(spread, leaf, "mark string, k int, head string, first array<int>, middle array<int>, tail string, last array<int>", ("key", "piece"))
+    done = leaves.groupBy("mark").applyInPandas(join, f"mark string, {columns}")
+    return whole.unionByName(long.select("doc_id", "mark").join(done, "mark").drop("mark"))
 
 
 def _flat(tokens: list[Token]) -> list[int]:
