@@ -76,17 +76,21 @@ def term_hash(term: str) -> int:
 
 
 def nearby_terms(text: str, spans: list[tuple[int, int, str]], reach: int) -> list[tuple[int, int]]:
-    """``(entity, term)`` hashes of whole terms within ``reach`` characters of an entity, itself left out."""
+    """``(entity, term)`` hashes of whole terms within ``reach`` characters of an entity, itself left out.
+
+    Entities are the value found and its class: a term may give away whose data it is, or that there are some.
+    """
     out = set()
     for start, end, kind in spans:
-        entity = term_hash(f"{kind} {text[start:end].lower()}")
+        entities = term_hash(f"{kind} {text[start:end].lower()}"), term_hash(kind)
         for low, high in ((max(0, start - reach), start), (end, min(len(text), end + reach))):
             for m in TERM.finditer(text, low, high):
                 cut = (m.start() == low > 0 and text[low - 1].isalnum()) or (
                     m.end() == high < len(text) and text[high].isalnum()
                 )
                 if not cut and not any(s < m.end() and m.start() < e for s, e, _ in spans):
-                    out.add((entity, term_hash(m[0].lower())))
+                    term = term_hash(m[0].lower())
+                    out.update((entity, term) for entity in entities)
     return sorted(out)
 
 
@@ -200,7 +204,7 @@ def find_pii(docs: DataFrame, reach: int = 80, least_texts: int = 3, disclosure:
     Returns ``doc_id, n_email, n_ip, n_card, n_phone, base, spans`` per input row; ``base`` and
     ``spans`` list ``kind:start:end`` by kind, then start, in code points, the end exclusive.
 
-    Beside the base patterns, terms that give an entity (an address, number or card) away are spans
+    Beside the base patterns, terms that give an entity (an address, number or card, or the class of these) away are spans
     of kind ``term``. Over all rows, ``n_te`` counts those where the term stands within ``reach``
     characters of the entity, ``n_t`` and ``n_e`` those that hold each. A term is revealing if
     ``least_texts`` different texts show the pair, ``P(e|t) = n_te / n_t >= disclosure``, and its pointwise mutual
