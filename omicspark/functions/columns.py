@@ -34,30 +34,29 @@ def sum_if_complete(value: Column) -> Column:
     return F.when(F.count(value) == F.count(F.lit(1)), F.sum(value))
 
 
+def gff_pairs(field: Column) -> Column:
+    """Attribute column as an array of ``struct(k, v)``; the whole line is GTF (``k "v";``) if a quoted value follows a key, else GFF3 (``k=v;``)."""
+    gff3 = F.contains(field, F.lit("=")) & ~field.rlike('\\w\\s+"')
+    parts = F.transform(F.split(field, ";"), lambda p: F.trim(p))
+    text = lambda k, v: F.struct(F.trim(k).alias("k"), F.trim(v).alias("v"))
+    named = F.transform(F.filter(parts, lambda p: F.contains(p, F.lit("="))), lambda p: text(F.substring_index(p, "=", 1), F.substring(p, F.instr(p, "=") + 1, F.length(p))))
+    form = r'^(\S+)\s+"?([^"]*)"?$'
+    quoted = F.transform(F.filter(parts, lambda p: p.rlike(form)), lambda p: text(F.regexp_extract(p, form, 1), F.regexp_extract(p, form, 2)))
+    return F.when(gff3, named).otherwise(quoted)
+
+
 def gff_attributes(field: Column) -> Column:
-    """Attribute column of GFF3 (``k=v;``) or GTF (``k "v";``) as a map, the last of repeated keys winning."""
-    parts = F.filter(F.transform(F.split(field, ";"), lambda p: F.trim(p)), lambda p: p != "")
-    pairs = F.transform(
-        parts,
-        lambda p: F.when(
-            p.rlike("^[^\\s=\"]+="),
-            F.struct(F.trim(F.substring_index(p, "=", 1)).alias("k"), F.expr("''").alias("v")).withField(
-                "v", F.trim(F.regexp_replace(p, "^[^=]*=", ""))
-            ),
-        ).otherwise(
-            F.struct(F.regexp_extract(p, r"^(\S+)", 1).alias("k"), F.regexp_replace(F.regexp_replace(p, r"^\S+\s*", ""), '^"|"$', "").alias("v"))
-        ),
-    )
-    return last_wins_map(pairs)
+    """Attribute column of GFF3 or GTF as a map, the last of repeated keys winning."""
+    return last_wins_map(gff_pairs(field))
 
 
 def last_wins_map(pairs: Column) -> Column:
-    """Map of an array of ``struct(k, v)`` in which later entries replace earlier ones."""
-    return F.aggregate(
-        pairs,
-        F.create_map().cast("map<string,string>"),
-        lambda acc, p: F.map_concat(F.map_filter(acc, lambda k, _: k != p["k"]), F.create_map(p["k"], p["v"])),
-    )
+    """Map of an array of ``struct(k, v)`` in which later entries replace earlier ones.
+
+    An entry stays if none after it has its key. The array is bound once, as the variable of an outer ``transform``.
+    """
+    last = lambda a: F.filter(a, lambda p, i: ~F.exists(F.slice(a, i + 2, F.size(a)), lambda q: q["k"] == p["k"]))
+    return F.element_at(F.transform(F.array(pairs), lambda a: F.map_from_entries(last(a))), 1)
 
 
 def percent_map(field: Column) -> Column:
@@ -87,14 +86,16 @@ def cigar_ops(cigar: Column) -> Column:
 
 
 def reference_steps(ops: Column, start: Column) -> Column:
-    """Operations with the reference position at which each begins."""
+    """Operations with the reference position and the place in the read (``seq_at``, from 0) at which each begins."""
     moves = lambda o: F.when(o["op"].isin("M", "D", "N", "=", "X"), o["len"]).otherwise(0)
+    reads = lambda o: F.when(o["op"].isin("M", "I", "S", "=", "X"), o["len"]).otherwise(0)
     return F.transform(
         ops,
         lambda o, i: F.struct(
             o["op"].alias("op"),
             o["len"].alias("len"),
             (start + F.aggregate(F.slice(ops, F.lit(1), i), F.lit(0).cast("long"), lambda acc, x: acc + moves(x))).alias("pos"),
+            F.aggregate(F.slice(ops, F.lit(1), i), F.lit(0), lambda acc, x: acc + reads(x)).alias("seq_at"),
         ),
     )
 

@@ -135,11 +135,15 @@ def technical_merge(counts: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def technical_metrics(metrics: DataFrame, members: DataFrame, numerator: str, denominator: str) -> DataFrame:
-    """Rates of technical groups: sums divided, and null if any member's part is null."""
+    """Rates of technical groups: sums divided, and null if any member's part is null.
+
+    Members are listed in the order of ``members(sample_id, merge_id, ord)`` if that has one, else by id.
+    """
     grouped = metrics.join(members, "sample_id", "left").groupBy(F.coalesce("merge_id", "sample_id").alias("merge_id"))
+    place = F.struct(F.col("ord") if "ord" in members.columns else F.lit(0), F.col("sample_id"))
     out = grouped.agg(
         F.count(F.lit(1)).alias("n_members"),
-        F.array_join(F.sort_array(F.collect_set("sample_id")), "|").alias("constituent_sample_ids"),
+        F.array_join(F.transform(F.sort_array(F.collect_set(place)), lambda m: m["sample_id"]), "|").alias("constituent_sample_ids"),
         sum_if_complete(F.col(numerator)).alias("numerator"),
         sum_if_complete(F.col(denominator)).alias("denominator"),
     )
@@ -155,7 +159,7 @@ def merged_categories(counters: DataFrame, members: DataFrame) -> DataFrame:
     return seen.join(sizes, "merge_id").select("merge_id", "category", F.when(F.col("n_seen") == F.col("n_members"), F.col("n")).alias("n"))
 
 
-def group_summary(values: DataFrame, keys: list[str], value: str, unit: str, positive_zero: bool = True) -> DataFrame:
+def group_summary(values: DataFrame, keys: list[str], value: str, unit: str) -> DataFrame:
     """Per group: totals, valid, missing and zero rows, distinct units, and quartiles by linear interpolation."""
     v = F.col(value)
     labels = [F.when(F.col(k).isNull() | (F.trim(F.col(k)) == ""), "(missing)").otherwise(F.col(k)).alias(k) for k in keys]
@@ -179,8 +183,10 @@ def scope_totals(values: DataFrame, keys: list[str], value: str, unit: str) -> D
 
 
 def headline_cards(metrics: DataFrame, small_pct: float = 0.01) -> DataFrame:
-    """One row of counts: zero assigned, zero sum, unavailable and tiny positive rates."""
+    """One row of counts: zero assigned, zero sum, unavailable and tiny positive rates; technical aggregates do not count."""
     rate = F.col("assignment_rate_pct")
+    if "qc_level" in metrics.columns:
+        metrics = metrics.where(~F.col("qc_level").eqNullSafe("technical_aggregate"))
     return metrics.agg(
         F.count_if("zero_assigned").alias("n_zero_assigned"),
         F.count_if(F.col("gene_count_sum") == 0).alias("n_zero_sum"),
@@ -230,6 +236,91 @@ def exposure_groups(libraries: DataFrame, label: str, control: str, high_ppm: fl
     )
 
 
+def library_qc(metadata: DataFrame, stats: DataFrame, companions: DataFrame, label: str, control: str, signal: str, high_ppm: float, least_aligned: int, groups: list[str]) -> DataFrame:
+    """Libraries with their alignment and each companion organism's share, exposure group and gates.
+
+    ``stats(sample, ...)`` has some of the six counters, whose sum is the library's fragments; ``companions(sample_id, organism,
+    gene_id, n)`` are count rows with their ``__`` counters. Samples must be in all of them; ``signal`` names the organism whose
+    parts per million set the group.
+    """
+    names = [c for c in ("assigned", *HTSEQ_COUNTERS) if c in stats.columns]
+    st = stats.select(F.col("sample").alias("sample_id"), sum((F.col(c) for c in names), F.lit(0)).alias("fragments"), "assigned", "not_aligned")
+    q = metadata.join(st, "sample_id").withColumn("primary_aligned", F.col("fragments") - F.col("not_aligned"))
+    special = F.col("gene_id").startswith("__")
+    per = companions.groupBy("sample_id").pivot("organism", organisms_of(companions)).agg(
+        F.sum(F.when(~special, F.col("n"))).alias("assigned"), F.sum(F.when(F.col("gene_id") != "__not_aligned", F.col("n"))).alias("aligned"), F.sum("n").alias("total")
+    )
+    q = q.join(per, "sample_id")
+    for organism in organisms_of(companions):
+        q = q.where(F.col(f"{organism}_total").isNotNull())
+        q = q.withColumn(f"{organism}_aligned_pct", ratio(F.col(f"{organism}_aligned"), F.col(f"{organism}_total")))
+        q = q.withColumn(f"{organism}_ppm", ratio(F.col(f"{organism}_assigned"), F.col("fragments"), 1e6)).drop(f"{organism}_aligned", f"{organism}_total")
+    grouped = exposure_groups(q.withColumn("ppm", F.col(f"{signal}_ppm")), label, control, high_ppm, least_aligned, groups)
+    return q.join(grouped, "sample_id")
+
+
+def organisms_of(companions: DataFrame) -> list[str]:
+    """The companion organisms, sorted; one short name each goes to the driver, as a pivot needs its columns."""
+    return sorted(r["organism"] for r in companions.select("organism").distinct().collect())
+
+
+def export_subset(counts: DataFrame, samples: list[str]) -> DataFrame:
+    """Wide matrix of the chosen samples in their order, genes of the whole matrix; a sample it lacks raises."""
+    wanted = counts.where(F.col("sample_id").isin(*samples))
+    found = {r["sample_id"] for r in wanted.select("sample_id").distinct().collect()}  # at most the samples asked for
+    if set(samples) - found:
+        raise ValueError(f"samples missing from the matrix: {sorted(set(samples) - found)}")
+    genes = counts.select("gene_id").distinct()
+    return genes.join(merge_counts(wanted, samples), "gene_id", "left")
+
+
+def matched_statistics(samples: DataFrame, stats: DataFrame) -> DataFrame:
+    """Samples with their statistics row by ``(stats_path, stats_key)``; those without one keep nulls."""
+    s = stats.withColumnsRenamed({"stats_path": "__path", "stats_key": "__key"})
+    return samples.join(s, (F.col("stats_path") == F.col("__path")) & (F.col("stats_key") == F.col("__key")), "left").drop("__path", "__key")
+
+
+def statistics_problems(samples: DataFrame, stats: DataFrame) -> DataFrame:
+    """``rule, key, detail`` where a sample has no or several statistics rows, or samples share one."""
+    key = F.concat_ws("|", "stats_path", "stats_key").alias("key")
+    wanted = samples.where("stats_path IS NOT NULL").groupBy("stats_path", "stats_key").agg(F.count(F.lit(1)).alias("n_samples"))
+    there = stats.groupBy("stats_path", "stats_key").agg(F.count(F.lit(1)).alias("n_rows"))
+    both = wanted.join(there, ["stats_path", "stats_key"], "left").na.fill(0, ["n_rows"])
+    reused = both.where("n_samples > 1").select(F.lit("reused").alias("rule"), key, F.col("n_samples").cast("string").alias("detail"))
+    return reused.unionByName(both.where("n_rows <> 1").select(F.lit("not_one_row").alias("rule"), key, F.col("n_rows").cast("string").alias("detail")))
+
+
+def categories_with_metrics(categories: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Unassigned categories beside the metrics of their sample and level; a level that is not given is the library's."""
+    level = lambda df: df.withColumn("qc_level", F.coalesce("qc_level", F.lit("library")) if "qc_level" in df.columns else F.lit("library"))
+    return level(categories).join(level(metrics), ["sample_id", "qc_level"], "left")
+
+
+def modelling_gates(samples: DataFrame) -> DataFrame:
+    """Per analysis of ``samples(analysis_id, analysis_mode, count_unit, biological_unit_status)`` the first reason not to model it, or ''."""
+    unit = F.coalesce("count_unit", F.lit("unknown"))
+    open_status = F.lower(F.coalesce("biological_unit_status", F.lit(""))).isin("unverified", "unknown")
+    per = samples.groupBy("analysis_id", "analysis_mode").agg(F.count_distinct(unit).alias("n_units"), F.count_if(open_status).alias("n_unverified"))
+    reason = F.when(F.col("n_units") > 1, "mixed_units").when((F.col("analysis_mode") == "inferential") & (F.col("n_unverified") > 0), "unverified_biology").otherwise("")
+    return per.withColumn("reason", reason)
+
+
+def dashboard_defaults(metrics: DataFrame) -> DataFrame:
+    """Metrics with the detection share computed anew and groups that are not named ``unknown``."""
+    name = lambda c, default: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(default)).alias(c)
+    detected = ratio(F.col("genes_detected").try_cast("double"), F.col("quantified_gene_count").try_cast("double")).alias("supplied_gene_detection_pct")
+    study = name("study_id", "unknown study") if "study_id" in metrics.columns else F.lit("all samples").alias("study_id")
+    others = [c for c in metrics.columns if c not in ("group", "study_id", "supplied_gene_detection_pct")]
+    return metrics.select(*others, name("group", "unknown"), study, detected)
+
+
+def composition_bars(libraries: DataFrame, shares: dict[str, str]) -> DataFrame:
+    """``sample_id, genome, pct`` of the named share columns and of the rest of 100 %, which is never negative."""
+    rest = F.greatest(F.lit(0.0), F.lit(100.0) - sum((F.col(c) for c in shares.values()), F.lit(0.0)))
+    wide = libraries.select("sample_id", *[F.col(c).cast("double").alias(n) for n, c in shares.items()], rest.alias("other"))
+    return wide.unpivot(["sample_id"], [*shares, "other"], "genome", "pct")
+
+
 def membership(samples: DataFrame, chosen: str, sets: str = "sample_sets") -> DataFrame:
     """Whether each sample is analysed and why not: ``sample_id, selected, reason``."""
     inside = F.array_contains(bar_list(F.col(sets)), chosen)
@@ -240,9 +331,9 @@ def membership(samples: DataFrame, chosen: str, sets: str = "sample_sets") -> Da
 
 def eligibility(counts: DataFrame, least_cpm: float = 1.0, least_samples: int = 2) -> DataFrame:
     """Per sample: library, detected genes and the sum retained over genes with enough CPM in enough samples."""
-    w = Window.partitionBy("sample_id")
-    cpm = counts.withColumn("library", F.sum("n").over(w)).withColumn("cpm", ratio(F.col("n"), F.col("library"), 1e6))
-    positive = counts.groupBy("sample_id").agg(F.sum("n").alias("s")).where("s > 0").count()
+    libraries = counts.groupBy("sample_id").agg(F.sum("n").alias("library"))
+    cpm = counts.join(libraries, "sample_id").withColumn("cpm", ratio(F.col("n"), F.col("library"), 1e6))
+    positive = libraries.where("library > 0").count()
     genes = cpm.groupBy("gene_id").agg(F.count_if(F.col("cpm") >= least_cpm).alias("k"))
     genes = genes.where(F.col("k") >= min(least_samples, positive)).select("gene_id", F.lit(True).alias("kept"))
     return cpm.join(genes, "gene_id", "left").groupBy("sample_id").agg(

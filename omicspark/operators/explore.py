@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Samples whose pairwise matrix may go to the driver.
@@ -47,7 +47,9 @@ def leading_distance(expr: DataFrame, k: int = 500, value: str = "logcpm") -> Da
 
 
 def _square(pairs: DataFrame, value: str) -> tuple[list[str], np.ndarray]:
-    rows = pairs.select("s1", "s2", value).limit(MOST_SAMPLES * MOST_SAMPLES).collect()
+    rows = pairs.select("s1", "s2", value).limit(MOST_SAMPLES * (MOST_SAMPLES + 1) // 2 + 1).collect()
+    if len(rows) > MOST_SAMPLES * (MOST_SAMPLES + 1) // 2:
+        raise ValueError(f"a matrix of more than {MOST_SAMPLES} samples is not taken to the driver")
     names = sorted({r["s1"] for r in rows} | {r["s2"] for r in rows})
     at = {n: i for i, n in enumerate(names)}
     out = np.zeros((len(names), len(names)))
@@ -62,6 +64,13 @@ def _fixed_signs(vectors: np.ndarray) -> np.ndarray:
     return vectors * np.where(vectors[top, np.arange(vectors.shape[1])] < 0, -1, 1)
 
 
+def gram_matrix(centred: DataFrame, value: str = "v") -> DataFrame:
+    """Inner products of samples over genes, each pair once: ``s1, s2, g``. Partial sums per pair are combined before the shuffle."""
+    a = centred.select("gene_id", F.col("sample_id").alias("s1"), F.col(value).alias("v1"))
+    b = centred.select("gene_id", F.col("sample_id").alias("s2"), F.col(value).alias("v2"))
+    return a.join(b, "gene_id").where("s1 <= s2").groupBy("s1", "s2").agg(F.sum(F.col("v1") * F.col("v2")).alias("g"))
+
+
 def pca(expr: DataFrame, genes: DataFrame | None = None, components: int = 3, value: str = "logcpm") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scores, variance shares and loadings of samples on centred, unscaled genes.
 
@@ -71,10 +80,7 @@ def pca(expr: DataFrame, genes: DataFrame | None = None, components: int = 3, va
     if genes is not None:
         expr = expr.join(genes.select("gene_id"), "gene_id", "left_semi")
     centred = expr.withColumn("v", F.col(value) - F.avg(value).over(Window.partitionBy("gene_id")))
-    a = centred.select("gene_id", F.col("sample_id").alias("s1"), F.col("v").alias("v1"))
-    b = centred.select("gene_id", F.col("sample_id").alias("s2"), F.col("v").alias("v2"))
-    gram = a.join(b, "gene_id").where("s1 <= s2").groupBy("s1", "s2").agg(F.sum(F.col("v1") * F.col("v2")).alias("g"))
-    names, matrix = _square(gram, "g")
+    names, matrix = _square(gram_matrix(centred), "g")
     values, vectors = np.linalg.eigh(matrix) if names else (np.zeros(0), np.zeros((0, 0)))
     order = np.argsort(values)[::-1][:components]
     top, vectors = np.clip(values[order], 0, None), _fixed_signs(vectors[:, order]) if names else vectors
@@ -102,6 +108,12 @@ def mds(distances: DataFrame, dimensions: int = 2) -> DataFrame:
     return distances.sparkSession.createDataFrame(rows, "sample_id string, dim int, coordinate double")
 
 
+def candidate_expression(expr: DataFrame, candidates: DataFrame, samples: DataFrame, value: str = "logcpm") -> DataFrame:
+    """Expression of the candidate genes beside their ``label, logFC, FDR`` and each sample's ``exposure_group``, for box plots."""
+    few = candidates.select("gene_id", "label", "logFC", "FDR")
+    return expr.join(few, "gene_id").join(samples.select("sample_id", "exposure_group"), "sample_id", "left").select("sample_id", "gene_id", F.col(value), "exposure_group", "label", "logFC", "FDR")
+
+
 def top_per_group(df: DataFrame, by: list[str], order: list, k: int) -> DataFrame:
     """The first ``k`` rows of each group, no ties."""
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= k)
@@ -109,8 +121,13 @@ def top_per_group(df: DataFrame, by: list[str], order: list, k: int) -> DataFram
 
 def ordered_levels(df: DataFrame, column: str, levels: str) -> DataFrame:
     """Rows sorted by the place of their value in a ``|`` list, the rest after it."""
-    place = F.array_position(F.split(F.lit(levels), r"\|"), F.col(column))
-    return df.orderBy(F.when(place == 0, F.lit(1 << 30)).otherwise(place), column)
+    return df.orderBy(level_place(F.col(column), levels), column)
+
+
+def level_place(value: Column, levels: str) -> Column:
+    """Place of a value in a ``|`` list; those that are not in it come after all."""
+    place = F.array_position(F.split(F.lit(levels), r"\|"), value)
+    return F.when(place == 0, F.lit(1 << 30)).otherwise(place)
 
 
 def attach_metadata(scores: DataFrame, samples: DataFrame) -> DataFrame:

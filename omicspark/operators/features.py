@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
+
 #: Orders of preference.
 FEATURES = ("exon", "CDS", "cds", "transcript", "mRNA", "gene")
 ATTRIBUTES = ("gene_id", "gene", "ID", "Name", "locus_tag", "Parent")
@@ -19,6 +21,32 @@ def attribute_coverage(features: DataFrame) -> DataFrame:
     return seen.join(totals, "type").select("type", "attribute", "n_rows", "n_with", "n_values")
 
 
+def choice_notes(coverage: DataFrame, chosen: DataFrame, most_apart: float = 0.05) -> DataFrame:
+    """``note, detail`` on a choice: groups far from the number of genes, and other spellings of the feature with their rows."""
+    types = coverage.groupBy("type").agg(F.max("n_rows").alias("n_rows"))
+    pick = chosen.select(F.col("type").alias("__type"), "n_groups")
+    genes = types.where("type = 'gene'").join(pick, F.col("n_groups").isNotNull())
+    apart = genes.where(F.abs(F.col("n_groups") - F.col("n_rows")) / F.col("n_rows") > most_apart)
+    other = types.join(pick, (F.lower("type") == F.lower("__type")) & (F.col("type") != F.col("__type")))
+    return apart.select(F.lit("groups_and_genes").alias("note"), F.concat_ws(" vs ", "n_groups", "n_rows").alias("detail")).unionByName(
+        other.agg(F.sum("n_rows").alias("n")).where("n IS NOT NULL").select(F.lit("case_variants").alias("note"), F.col("n").cast("string").alias("detail"))
+    )
+
+
+def merged_nodes(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes ``id, type, gene_id`` and edges ``id, parent, ord`` of ``features(type, attrs, ord)``.
+
+    Rows of one id are one node: its first parents and first gene id that are not empty, and a gene if any of them is. A row
+    without an id stands under its gene id.
+    """
+    a = lambda k: F.nullif(F.trim(F.col("attrs")[k]), F.lit(""))
+    rows = features.select(F.coalesce(a("ID"), a("gene_id")).alias("id"), "type", a("gene_id").alias("gene_id"), a("Parent").alias("parents"), "ord").where("id IS NOT NULL")
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("ord"))).alias(c)
+    merged = rows.groupBy("id").agg(F.when(F.max(F.col("type") == "gene"), "gene").otherwise(F.min_by("type", "ord")).alias("type"), first("gene_id"), first("parents"))
+    edges = merged.where("parents IS NOT NULL").select("id", F.posexplode(F.split("parents", ",")).alias("ord", "parent"))
+    return merged.select("id", "type", "gene_id"), edges.select("id", F.trim("parent").alias("parent"), "ord").where("parent <> ''")
+
+
 def choose_feature_and_attribute(coverage: DataFrame, feature: str | None = None, attribute: str | None = None, least: float = 0.99) -> DataFrame:
     """One row: the feature to count on and the attribute to group by.
 
@@ -38,25 +66,25 @@ def choose_feature_and_attribute(coverage: DataFrame, feature: str | None = None
     return chosen.join(best, "type", "left")
 
 
-def resolve_genes(nodes: DataFrame, edges: DataFrame, most_rounds: int = 20) -> DataFrame:
+def resolve_genes(nodes: DataFrame, edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     """Gene of every id: ``id, gene_id, depth``.
 
     ``nodes(id, type, gene_id)``, ``edges(id, parent, ord)``. A gene is its own; an id with a stored gene has
-    that; others take it from their parents, the least ``ord`` that resolves. Levels are joined one by one,
-    so cycles end, and each level's open ids shrink; ids that never resolve are left out.
+    that; others take it from the parents that resolve in the fewest levels, of these the least ``ord``. Levels are joined one by one and written to the
+    shared folder, so cycles end, and each level's open ids shrink; ids that never resolve are left out. A hierarchy of more
+    than ``most_rounds`` levels raises.
     """
     own = F.when(F.col("type") == "gene", F.col("id")).otherwise(F.col("gene_id"))
     done = nodes.select("id", own.alias("gene_id")).where("gene_id IS NOT NULL").withColumn("depth", F.lit(0))
-    open_edges = edges.join(done, "id", "left_anti")
+    open_edges, new = edges.join(done, "id", "left_anti"), done
     for depth in range(1, most_rounds + 1):
-        step = open_edges.join(done.select(F.col("id").alias("parent"), F.col("gene_id").alias("g")), "parent")
-        found = step.groupBy("id").agg(F.min_by("g", "ord").alias("gene_id")).withColumn("depth", F.lit(depth))
-        found = found.checkpoint() if edges.sparkSession.sparkContext.getCheckpointDir() else found.persist()
-        if found.isEmpty():
-            break
-        done = done.unionByName(found)
-        open_edges = open_edges.join(found, "id", "left_anti")
-    return done
+        step = open_edges.join(new.select(F.col("id").alias("parent"), F.col("gene_id").alias("g")), "parent")
+        new = kept(step.groupBy("id").agg(F.min_by("g", "ord").alias("gene_id")).withColumn("depth", F.lit(depth)), f"genes_{depth}")
+        if new.isEmpty():
+            return done
+        done = done.unionByName(new)
+        open_edges = open_edges.join(new, "id", "left_anti")
+    raise ValueError(f"a hierarchy of more than {most_rounds} levels")
 
 
 def add_gene_id(features: DataFrame, resolved: DataFrame, wanted: list[str]) -> DataFrame:
@@ -75,6 +103,12 @@ def gene_id_coverage(features: DataFrame, wanted: list[str], least: float = 0.99
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), has.alias("n_with"), (has >= least * F.count(F.lit(1))).alias("passed"))
 
 
+def unresolved(features: DataFrame, wanted: list[str], most: int = 10) -> DataFrame:
+    """The first ``most`` rows of the wanted types without a gene, by ``ord``: a report."""
+    rows = features.where(F.col("type").isin(*wanted) & F.col("attrs")["gene_id"].isNull())
+    return rows.orderBy("ord").limit(most).select(F.coalesce(F.col("attrs")["ID"], F.col("attrs")["Parent"]).alias("id"), "type")
+
+
 def transcript_map(features: DataFrame) -> DataFrame:
     """``transcript_id, gene_id`` of transcripts with id and parent (the first of a list).
 

@@ -48,11 +48,21 @@ def pair_by_stem(ids: DataFrame, first: str = "A", second: str = "B") -> DataFra
     return side(first, "ha_gene_id").join(side(second, "hb_gene_id"), "stem")
 
 
-def renamed_ids(ids: DataFrame, suffix: str) -> DataFrame:
-    """Old and new ids with a haplotype suffix, once only: ``seq_id, new_id``."""
-    return ids.select("seq_id", F.when(F.col("seq_id").endswith(suffix), F.col("seq_id")).otherwise(F.concat("seq_id", F.lit(suffix))).alias("new_id"))
+def renamed_ids(ids: DataFrame, allele: str) -> DataFrame:
+    """``seq_id, stem, new_id`` of ids that end in the allele's letter, which an underscore then sets apart."""
+    stem = F.expr("substring(seq_id, 1, length(seq_id) - 1)")
+    return ids.where(F.col("seq_id").endswith(allele)).select("seq_id", stem.alias("stem"), F.concat(stem, F.lit(f"_{allele}")).alias("new_id"))
 
 
-def unpaired_share(n_unpaired: int, n_all: int, most: float = 0.3) -> bool:
-    """Whether so many genes are unpaired that the table deserves a warning."""
-    return n_all > 0 and n_unpaired / n_all > most
+def rename_problems(ha: DataFrame, hb: DataFrame) -> DataFrame:
+    """``rule, key, detail``: ids of either side ``(seq_id)`` without their letter, and new ids that are not unique."""
+    bad = [ids.where(~F.col("seq_id").endswith(x)).select(F.lit("wrong_letter").alias("rule"), F.col("seq_id").alias("key"), F.lit(x).alias("detail")) for ids, x in ((ha, "A"), (hb, "B"))]
+    made = renamed_ids(ha, "A").unionByName(renamed_ids(hb, "B")).groupBy("new_id").count().where("count > 1")
+    return bad[0].unionByName(bad[1]).unionByName(made.select(F.lit("collision").alias("rule"), F.col("new_id").alias("key"), F.col("count").cast("string").alias("detail")))
+
+
+def unpaired_share(counts: DataFrame, unpaired: DataFrame, most: float = 0.3) -> DataFrame:
+    """One row: genes, unpaired genes, their share, and whether it deserves a warning."""
+    both = counts.select("gene_id", F.lit(0).alias("alone")).unionByName(unpaired.select("gene_id", F.lit(1).alias("alone"))).groupBy("gene_id").agg(F.max("alone").alias("alone"))
+    share = F.sum("alone") / F.count(F.lit(1))
+    return both.agg(F.count(F.lit(1)).alias("n_genes"), F.sum("alone").alias("n_unpaired"), share.alias("share"), (share > most).alias("warning"))

@@ -26,6 +26,8 @@ def design_matrix(samples: list[dict], factors: dict[str, str], numerics: list[s
         coded[f] = [(f"factor:{f}:{quote(v, safe='')}", np.array([float(s[f] == v) for s in samples])) for v in levels]
     for f in numerics:
         x = np.array([float(s[f]) for s in samples])
+        if not np.isfinite(x).all():
+            raise ValueError(f"{f} is not finite")
         if np.ptp(x) == 0:
             raise ValueError(f"{f} does not vary")
         coded[f] = [(f"numeric:{f}", x)]
@@ -52,9 +54,19 @@ def design_problems(x: np.ndarray, samples: list[dict], cell: list[str], unit: s
     cells: dict[tuple, set] = {}
     for s in samples:
         cells.setdefault(tuple(s[c] for c in cell), set()).add(s[unit])
-    out += [f"cell {k} has fewer than two units" for k, v in sorted(cells.items()) if len(v) < 2]
-    if subject is None and len({s[unit] for s in samples}) < len(samples):
-        out.append("repeated units need a subject")
+    units = {s[unit] for s in samples}
+    if subject is None:
+        out += [f"cell {k} has fewer than two units" for k, v in sorted(cells.items()) if cell and len(v) < 2]
+        if len(units) < len(samples):
+            out.append("repeated units need a subject")
+    else:
+        pairs = {(s[unit], s[subject]) for s in samples}
+        if len({u for u, _ in pairs}) < len(pairs) or len({v for _, v in pairs}) < len(pairs):
+            out.append("subject and unit are not one to one")
+        if len({v for _, v in pairs}) < 2:
+            out.append("at least two subjects are needed")
+    if not cell and len(units) < 3:
+        out.append("a numeric design needs three units")
     return out
 
 

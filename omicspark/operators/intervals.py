@@ -33,7 +33,7 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int,
 def points_in(points: DataFrame, spans: DataFrame, keys: list[str], pos: str, width: int, anti: bool = False) -> DataFrame:
     """Rows of ``points`` whose position lies in some interval of ``spans(keys, start, end)``, or in none.
 
-    Spans are first merged where they overlap within a bin, so the semi-join meets few rows of each.
+    Only spans are dealt to several bins; a point has one, so the semi-join is an equi-join on keys and bin.
     """
     b = spans.select(*[F.col(k).alias(f"__{k}") for k in keys], "start", "end").withColumn("__bin", _bins(F.col("start"), F.col("end"), width))
     on = (F.floor(F.col(pos) / width) == F.col("__bin")) & (F.col(pos) >= F.col("start")) & (F.col(pos) <= F.col("end"))
@@ -45,9 +45,10 @@ def points_in(points: DataFrame, spans: DataFrame, keys: list[str], pos: str, wi
 def genes_in_blocks(genes: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
     """Genes contained in blocks of their chromosome: ``block_id, gene_id, chrom, start, end``.
 
-    ``genes(gene_id, chrom, start, end)``, ``blocks(block_id, chrom, start, end)``; containment, not overlap.
+    ``genes(gene_id, chrom, start, end)``, ``blocks(block_id, chrom, start, end)``; containment, not overlap. A block's bounds may
+    stand either way round, as those of an inverted one do.
     """
-    b = blocks.select("block_id", F.col("chrom").alias("__chrom"), F.col("start").alias("lo"), F.col("end").alias("hi"))
+    b = blocks.select("block_id", F.col("chrom").alias("__chrom"), F.least("start", "end").alias("lo"), F.greatest("start", "end").alias("hi"))
     b = b.withColumn("__bin", _bins(F.col("lo"), F.col("hi"), width))
     on = (
         (F.col("chrom") == F.col("__chrom"))
@@ -92,46 +93,55 @@ def phased_sites(snps: DataFrame, genes: DataFrame | None = None, width: int = 1
 
 
 def aligned_blocks(alignments: DataFrame) -> DataFrame:
-    """Aligned stretches of reads: ``read_id, chrom, start, end`` (1-based, closed) per M, = or X operation."""
+    """Aligned stretches of reads: their columns with ``start, end`` (1-based, closed) and ``seq_at``, the base of the read at ``start``, per M, = or X operation."""
     steps = reference_steps(cigar_ops(F.col("cigar")), F.col("pos0"))
     return (
         alignments.select("*", F.explode(F.filter(steps, lambda o: o["op"].isin("M", "=", "X"))).alias("o"))
         .withColumn("start", F.col("o.pos") + 1)
         .withColumn("end", F.col("o.pos") + F.col("o.len"))
+        .withColumn("seq_at", F.col("o.seq_at") + 1)
         .drop("o")
     )
 
 
+def base_at(reads: DataFrame, pos: Column) -> Column:
+    """Place in the read of reference position ``pos``: whole reads start at ``start``, aligned blocks at their ``seq_at``."""
+    first = F.col("seq_at") if "seq_at" in reads.columns else F.lit(1)
+    return (pos - F.col("start") + first).cast("int")
+
+
 def kept_alignments(alignments: DataFrame, first_only: bool = True) -> DataFrame:
     """Without unmapped, secondary, duplicate and supplementary records, and of pairs the first read only."""
     kept = alignments.where(~flag_set(F.col("flag"), 0x4 | 0x100 | 0x400 | 0x800))
     return kept.where(~flag_set(F.col("flag"), 0x1) | flag_set(F.col("flag"), 0x40)) if first_only else kept
 
 
-def count_features(reads: DataFrame, exons: DataFrame, width: int, least_mapq: int = 10) -> DataFrame:
+def count_features(reads: DataFrame, exons: DataFrame, width: int, least_mapq: int = 10, stranded: str = "forward") -> DataFrame:
     """Reads per gene by the union rule, with the counters of what was not assigned: ``category, n``.
 
-    ``reads(read_id, chrom, start, end, strand, mapq, nh, mapped)``, ``exons(gene_id, chrom, start, end,
-    strand)``. One gene: counted; none: ``__no_feature``; several: ``__ambiguous``; then unmapped, low quality
-    and multi-mapped reads as counters of their own.
+    ``reads(read_id, chrom, start, end, strand, mapq, nh, mapped)``, a row per read or per aligned block, ``exons(gene_id, chrom,
+    start, end, strand)``. One gene: counted; none: ``__no_feature``; several: ``__ambiguous``; then unmapped, low quality
+    and multi-mapped reads as counters of their own. ``stranded``: reads lie on their gene's strand (``forward``), on the
+    other (``reverse``), or on either (``unstranded``).
     """
+    sides = {"forward": "read_strand = exon_strand", "reverse": "read_strand <> exon_strand", "unstranded": "true"}
     status = (
         F.when(~F.col("mapped"), "__not_aligned").when(F.col("nh") > 1, "__alignment_not_unique").when(F.col("mapq") < least_mapq, "__too_low_aQual")
     )
     judged = reads.withColumn("status", status)
     usable = judged.where("status IS NULL").select("read_id", "chrom", "start", "end", F.col("strand").alias("read_strand"))
     features = exons.select("gene_id", "chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"), F.col("strand").alias("exon_strand"))
-    hits = overlap_join(usable, features, ["chrom"], width).where("read_strand = exon_strand")
+    hits = overlap_join(usable, features, ["chrom"], width).where(sides[stranded])
     genes = hits.groupBy("read_id").agg(F.count_distinct("gene_id").alias("k"), F.min("gene_id").alias("gene_id"))
-    called = usable.select("read_id").join(genes, "read_id", "left").select(
+    called = usable.select("read_id").distinct().join(genes, "read_id", "left").select(
         F.when(F.col("k").isNull(), "__no_feature").when(F.col("k") > 1, "__ambiguous").otherwise(F.col("gene_id")).alias("category")
     )
-    rest = judged.where("status IS NOT NULL").select(F.col("status").alias("category"))
+    rest = judged.where("status IS NOT NULL").select("read_id", F.col("status").alias("category")).distinct().select("category")
     return called.unionByName(rest).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
 
 
 def split_by_snps(reads: DataFrame, snps: DataFrame, width: int) -> DataFrame:
-    """``read_id, route``: reads over a variant are to be mapped again, the others kept."""
+    """``read_id, route``: reads with a variant in one of their rows (whole reads or aligned blocks) are to be mapped again, the others kept."""
     spans = reads.select("read_id", "chrom", "start", "end")
     points = snps.select("chrom", F.col("pos").alias("r_start"), F.col("pos").alias("r_end"))
     hit = overlap_join(spans, points, ["chrom"], width).select("read_id").distinct().withColumn("hit", F.lit(True))
@@ -143,11 +153,26 @@ def swapped_reads(reads: DataFrame, snps: DataFrame, width: int) -> DataFrame:
     """Reads over variants with the base at each replaced by the other allele: ``read_id, pos, seq``."""
     points = snps.select("chrom", F.col("pos").alias("r_start"), F.col("pos").alias("r_end"), "ref", "alt")
     hits = overlap_join(reads, points, ["chrom"], width)
-    at = (F.col("r_start") - F.col("start") + 1).cast("int")
+    at = base_at(reads, F.col("r_start"))
     other = F.when(F.substring("seq", at, F.lit(1)) == F.col("ref"), F.col("alt")).otherwise(F.col("ref"))
     return hits.where(at <= F.length("seq")).select("read_id", F.col("r_start").alias("pos"), F.overlay("seq", other, at, F.lit(1)).alias("seq"))
 
 
+def mapped_again(reads: DataFrame, snps: DataFrame, remapped: DataFrame, width: int) -> DataFrame:
+    """Reads that a variant does not bias: those over none, and those that land at their place with the other allele.
+
+    ``reads(read_id, mate, chrom, pos0, cigar, start, end)``; ``remapped`` has the same columns but the last two, of the reads with swapped
+    alleles. Of a read all swapped forms must return: one that does not drops it.
+    """
+    routes = split_by_snps(reads, snps, width)
+    through = reads.join(routes.where("route = 'keep'"), "read_id", "left_semi")
+    again = reads.join(routes.where("route = 'to_remap'"), "read_id", "left_semi")
+    place = ["read_id", "mate", "chrom", "pos0", "cigar"]
+    moved = remapped.select(*place).join(again.select(*place), place, "left_anti").select("read_id").distinct()
+    back = same_place(again, remapped).join(moved, "read_id", "left_anti")
+    return through.unionByName(back)
+
+
 def same_place(before: DataFrame, after: DataFrame) -> DataFrame:
     """Reads that map again to where they were: same id, mate, chromosome, position and CIGAR."""
     return before.join(after.select("read_id", "mate", "chrom", "pos0", "cigar"), ["read_id", "mate", "chrom", "pos0", "cigar"], "left_semi")
@@ -156,11 +181,11 @@ def same_place(before: DataFrame, after: DataFrame) -> DataFrame:
 def allele_counts(reads: DataFrame, snps: DataFrame, width: int, least_mapq: int = 20, least_baseq: int = 10) -> DataFrame:
     """Reads with each allele per phased site: ``chrom, pos, ref, alt, a_count, b_count, total_count``.
 
-    ``reads(chrom, start, end, seq, qual, mapq)``, ungapped; qualities are ASCII less 33.
+    ``reads(chrom, start, end, seq, qual, mapq)``, ungapped reads or the aligned blocks of gapped ones; qualities are ASCII less 33.
     """
     points = snps.select("chrom", F.col("pos").alias("r_start"), F.col("pos").alias("r_end"), "ref", "alt")
     hits = overlap_join(reads.where(F.col("mapq") >= least_mapq), points, ["chrom"], width)
-    at = (F.col("r_start") - F.col("start") + 1).cast("int")
+    at = base_at(reads, F.col("r_start"))
     seen = hits.select(
         "chrom", F.col("r_start").alias("pos"), "ref", "alt", F.substring("seq", at, F.lit(1)).alias("base"), (F.ascii(F.substring("qual", at, F.lit(1))) - 33).alias("q")
     ).where(F.col("q") >= least_baseq)

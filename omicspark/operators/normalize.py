@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,16 +43,18 @@ def design_filter(counts: DataFrame, largest_leverage: float, least_count: float
 def tmm_factors(counts: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05) -> DataFrame:
     """Trimmed mean of M-values: ``sample_id, library, tmm_factor`` (published definition).
 
-    The reference is the sample whose upper quartile share is nearest the mean of all. Only its id goes
-    to the driver; ratios, ranks and weighted means are per sample.
+    The reference is the sample whose upper quartile share is nearest the mean of all. One row per sample, its library, quartile
+    and factor, goes to the driver; ratios, ranks and weighted means are per sample. ``counts`` is read several times: give a
+    written table (``kept``), not a plan that aggregates it anew.
     """
+    libraries = library_sizes(counts).where("library > 0")
     some = counts.groupBy("gene_id").agg(F.sum("n").alias("t")).where("t > 0").select("gene_id")
-    rows = counts.join(some, "gene_id", "left_semi").join(library_sizes(counts).where("library > 0"), "sample_id")
-    quart = rows.groupBy("sample_id").agg((F.percentile("n", F.lit(0.75)) / F.max("library")).alias("f75"))
-    mean = quart.agg(F.avg("f75")).first()[0]
-    if mean is None:
+    rows = counts.join(some, "gene_id", "left_semi").join(libraries, "sample_id")
+    quart = {r["sample_id"]: (r["q"], r["library"]) for r in rows.groupBy("sample_id").agg(F.percentile("n", F.lit(0.75)).alias("q"), F.max("library").alias("library")).collect()}
+    if not quart:
         return counts.limit(0).select("sample_id", F.col("n").alias("library"), F.lit(1.0).alias("tmm_factor"))
-    ref = quart.orderBy(F.round(F.abs(F.col("f75") - mean), 12), "sample_id").first()["sample_id"]
+    mean = math.fsum(q / n for q, n in quart.values()) / len(quart)
+    ref = min(quart, key=lambda s: (round(abs(quart[s][0] / quart[s][1] - mean), 12), s))
     base = rows.where(F.col("sample_id") == ref).select("gene_id", F.col("n").alias("r"), F.col("library").alias("rl"))
     both = rows.join(base, "gene_id").where("n > 0 AND r > 0")
     p, q = F.col("n") / F.col("library"), F.col("r") / F.col("rl")
@@ -62,9 +66,10 @@ def tmm_factors(counts: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05) ->
     keep = lambda r, t: (r > F.floor(F.col("g") * t)) & (r <= F.col("g") - F.floor(F.col("g") * t))
     kept = ranked.where(keep(F.col("rm"), trim_m) & keep(F.col("ra"), trim_a))
     raw = kept.groupBy("sample_id").agg(F.pow(F.lit(2.0), F.sum(F.col("w") * F.col("m")) / F.sum("w")).alias("raw"))
-    full = library_sizes(counts).where("library > 0").join(raw, "sample_id", "left").withColumn("raw", F.coalesce("raw", F.lit(1.0)))
-    centre = full.agg(F.exp(F.avg(F.log("raw")))).first()[0]
-    return full.select("sample_id", "library", (F.col("raw") / centre).alias("tmm_factor"))
+    found = {r["sample_id"]: r["raw"] for r in raw.collect()}
+    centre = math.exp(math.fsum(math.log(found.get(s, 1.0)) for s in quart) / len(quart))
+    one = counts.sparkSession.createDataFrame([(s, n, found.get(s, 1.0) / centre) for s, (_, n) in quart.items()], libraries.withColumn("tmm_factor", F.lit(1.0)).schema)
+    return F.broadcast(one)
 
 
 def log_cpm(counts: DataFrame, factors: DataFrame, prior: float = 2.0) -> DataFrame:

@@ -44,6 +44,32 @@ def genome_stats(seqs: DataFrame, by: list[str] | None = None, prefix_bp: int |
     )
 
 
+def genome_line_stats(lines: DataFrame, prefix_bp: int | None = None) -> DataFrame:
+    """The same figures per file from ``lines(path, record, at, chunk)``, sequence lines of records of any length.
+
+    With ``prefix_bp`` the composition is of the lines up to and with the one that reaches it: their places are sums within a split
+    and of the splits before, so no file is gathered.
+    """
+    df = lines.withColumn("bp", F.char_length("chunk").cast("long"))
+    scanned = F.lit(True)
+    if prefix_bp is not None:
+        splits = df.groupBy(F.col("path").alias("__path"), F.col("at.block").alias("__block")).agg(F.sum("bp").alias("__bp"))
+        earlier = Window.partitionBy("__path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+        splits = splits.select("__path", "__block", F.coalesce(F.sum("__bp").over(earlier), F.lit(0)).alias("__base"))
+        within = Window.partitionBy("path", "at.block").orderBy("at.i").rowsBetween(Window.unboundedPreceding, -1)
+        df = df.withColumn("__in", F.coalesce(F.sum("bp").over(within), F.lit(0))).join(splits, (F.col("path") == F.col("__path")) & (F.col("at.block") == F.col("__block")))
+        scanned = F.col("__in") + F.col("__base") < prefix_bp
+    part = lambda c: F.sum(F.when(scanned, c).otherwise(0).cast("long"))
+    per = df.groupBy("path", "record").agg(
+        F.sum("bp").alias("bp"), part(F.col("bp")).alias("scanned"), part(F.regexp_count("chunk", F.lit("[Nn]"))).alias("n_bp"), part(F.regexp_count("chunk", F.lit("[a-z]"))).alias("soft_bp")
+    )
+    share = lambda c: F.when(F.sum("scanned") > 0, F.sum(c) / F.sum("scanned"))
+    return per.groupBy("path").agg(
+        F.sum("bp").alias("total_bp"), F.count(F.lit(1)).alias("contigs"), F.max("bp").alias("max_contig_bp"),
+        share("n_bp").alias("n_fraction"), share("soft_bp").alias("softmask_fraction"), F.sum("scanned").alias("composition_scanned_bp"),
+    )
+
+
 def size_class(bp: Column) -> Column:
     out = None
     for name, top in SIZE_CLASSES:
@@ -169,5 +195,5 @@ def first_reads(reads: DataFrame, n: int, by: list[str], order: list[str]) -> Da
 
 def sampled_reads(reads: DataFrame, n: int, seed: int) -> DataFrame:
     """``n`` read ids by a seeded hash; mates share their id and so their fate."""
-    ids = reads.select("read_id").distinct().orderBy(F.xxhash64("read_id", F.lit(seed)), "read_id").limit(n)
+    ids = reads.select("read_id").distinct().orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "read_id")), "read_id").limit(n)
     return reads.join(ids, "read_id", "left_semi")

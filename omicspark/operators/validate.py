@@ -14,7 +14,12 @@ MATE_RULES = (
     (r"_R1_(\d+)$", r"_R2_$1"), (r"_R1$", "_R2"), (r"\.R1$", ".R2"), (r"_1$", "_2"), (r"\.1$", ".2"),
     (r"_fwd$", "_rev"), (r"_f$", "_r"), (r"-1$", "-2"),
 )
-FASTQ_END = r"\.(fastq|fq)(\.gz)?$"
+FASTQ_END = r"(?i)\.(fastq|fq)(\.(gz|bz2|zst))?$"
+STRANDS = ("auto", "unstranded", "forward", "reverse")
+READ_TYPES = ("short", "isoseq", "ont_cdna", "ont_drna")
+USES = ("braker", "stringtie", "count", "all")
+DESIGNS = ("group", "additive", "factorial", "paired", "trend")
+TESTS = ("qlf", "treat", "deseq2")
 
 
 def violations(df: DataFrame, rule: str, broken: Column, key: Column, detail: Column | None = None) -> DataFrame:
@@ -75,17 +80,30 @@ def input_contract(inputs: DataFrame, samples: DataFrame) -> DataFrame:
 
 
 def analysis_contract(analyses: DataFrame, contrasts: DataFrame) -> DataFrame:
-    """Rules of analyses and contrasts: enumerations, ranges, presence, and cell weights that sum to nothing."""
+    """Rules of analyses and contrasts: enumerations, ranges, variables named once, presence, and cell weights that sum to nothing.
+
+    ``analyses(analysis_id, analysis_mode, design_type, effect_test, fdr_cut, lfc_cut, seed, factor_cols, numeric_cols)``,
+    ``contrasts(analysis_id, contrast_id, basis, weight)``, all text.
+    """
     a = F.col("analysis_id")
+    fdr, lfc = F.col("fdr_cut").try_cast("double"), F.col("lfc_cut").try_cast("double")
+    finite = lambda x: ~F.isnan(x) & (x < float("inf"))
+    names = F.concat(bar_list(F.col("factor_cols")), bar_list(F.col("numeric_cols")))
     weights = contrasts.groupBy("analysis_id", "contrast_id").agg(F.sum(F.col("weight").try_cast("double")).alias("w"), F.count_distinct("basis").alias("b"), F.max("basis").alias("basis"))
     cid = F.concat_ws("|", "analysis_id", "contrast_id")
     return union_all(
         [
-            violations(analyses, "mode", ~F.col("mode").isin("explore", "contrast"), a, F.col("mode")),
-            violations(analyses, "fdr", ~F.col("fdr").try_cast("double").between(0, 1), a, F.col("fdr")),
-            violations(analyses, "lfc", F.col("lfc").try_cast("double") < 0, a, F.col("lfc")),
-            violations(analyses.where("mode = 'contrast'").join(contrasts, "analysis_id", "left_anti"), "no_contrast", F.lit(True), a),
-            violations(analyses.where("mode = 'explore'").join(contrasts, "analysis_id", "left_semi"), "contrast_not_wanted", F.lit(True), a),
+            violations(analyses, "mode", ~F.col("analysis_mode").isin("inferential", "exploratory"), a, F.col("analysis_mode")),
+            violations(analyses, "design_type", ~F.col("design_type").isin(*DESIGNS), a, F.col("design_type")),
+            violations(analyses, "effect_test", ~F.col("effect_test").isin(*TESTS), a, F.col("effect_test")),
+            violations(analyses, "fdr_cut", ~((fdr > 0) & (fdr <= 1)), a, F.col("fdr_cut")),
+            violations(analyses, "lfc_cut", ~((lfc >= 0) & finite(lfc)), a, F.col("lfc_cut")),
+            violations(analyses, "seed", ~F.col("seed").try_cast("bigint").between(0, 2147483647), a, F.col("seed")),
+            violations(analyses, "variables", F.size(F.array_distinct(names)) < F.size(names), a),
+            violations(analyses.where("analysis_mode = 'inferential'").join(contrasts, "analysis_id", "left_anti"), "no_contrast", F.lit(True), a),
+            violations(analyses.where("analysis_mode = 'exploratory'").join(contrasts, "analysis_id", "left_semi"), "contrast_not_wanted", F.lit(True), a),
+            violations(contrasts, "contrast_basis", ~F.col("basis").isin("cell", "coefficient"), cid, F.col("basis")),
+            violations(contrasts, "contrast_weight", ~finite(F.abs(F.col("weight").try_cast("double"))), cid, F.col("weight")),
             violations(weights, "weights", (F.col("basis") == "cell") & (F.abs("w") > 1e-10), cid, F.col("w")),
             violations(weights, "basis", F.col("b") > 1, cid),
         ]
@@ -128,13 +146,16 @@ def metadata_conflicts(declared: DataFrame, found: DataFrame, keys: list[str]) -
 
 
 def sheet_rules(sheet: DataFrame) -> DataFrame:
-    """Sample-sheet rules on ``sheet(line, sample_id, layout, fastq_1, fastq_2, strandedness, use_for, bam)``."""
+    """Sample-sheet rules on ``sheet(line, sample_id, layout, fastq_1, fastq_2, strandedness, read_type, use_for, bam)``; columns it lacks count as blank."""
+    for c in ("read_type", "use_for"):
+        sheet = sheet if c in sheet.columns else sheet.withColumn(c, F.lit(""))
     cell = lambda c: F.when(~F.lower(F.trim(F.coalesce(F.col(c), F.lit("")))).isin(*SHEET_MISSING), F.trim(F.col(c)))
     key = F.col("sample_id")
     layout, mate = F.lower(F.coalesce(cell("layout"), F.lit(""))), cell("fastq_2").isNotNull()
     bam, reads = cell("bam").isNotNull(), cell("fastq_1").isNotNull()
     n1, n2 = (F.size(F.split(F.coalesce(cell(c), F.lit("")), "[;,]")) for c in ("fastq_1", "fastq_2"))
     first = sheet.groupBy("sample_id").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    uses = F.filter(F.transform(F.split(F.lower(F.coalesce(cell("use_for"), F.lit(""))), "[,;]"), lambda u: F.trim(u)), lambda u: u != "")
     enum = lambda c, values: cell(c).isNotNull() & ~F.lower(cell(c)).isin(*values)
     return union_all(
         [
@@ -143,8 +164,10 @@ def sheet_rules(sheet: DataFrame) -> DataFrame:
             violations(sheet, "interleaved_with_mate", (layout == "interleaved") & mate, key),
             violations(sheet, "bam_or_fastq", bam == reads, key),
             violations(sheet, "replicate_lists", mate & (n1 != n2), key),
-            violations(sheet, "sample_id", ~F.coalesce(F.col("sample_id"), F.lit("")).rlike("^[A-Za-z0-9][A-Za-z0-9_.-]*$"), key),
-            violations(sheet, "strandedness", enum("strandedness", ("auto", "forward", "reverse", "unstranded")), key, F.col("strandedness")),
+            violations(sheet, "sample_id", ~F.coalesce(F.col("sample_id"), F.lit("")).rlike("^[A-Za-z0-9][A-Za-z0-9_.-]{0,63}$"), key),
+            violations(sheet, "strandedness", enum("strandedness", STRANDS), key, F.col("strandedness")),
+            violations(sheet, "read_type", enum("read_type", READ_TYPES), key, F.col("read_type")),
+            violations(sheet, "use_for", cell("use_for").isNotNull() & (F.size(F.array_except(uses, F.array(*map(F.lit, USES)))) > 0), key, F.col("use_for")),
             first.select(F.lit("duplicate_sample").alias("rule"), F.col("sample_id").alias("key"), F.col("first").cast("string").alias("detail")),
         ]
     )
@@ -163,7 +186,11 @@ def resolved_layout(layout: Column, has_bam: Column, paired_bam: Column, has_mat
 
 
 def inferred_mates(files: DataFrame, listing: DataFrame) -> DataFrame:
-    """Mate of each first-read file of ``files(path)`` among ``listing(path, size)``: the first rule whose result exists and is not empty."""
+    """Mate of each first-read file of ``files(path)`` among ``listing(path, size)``: the first rule whose result exists and is not empty.
+
+    A name without a FASTQ ending has no mate.
+    """
+    files = files.where(F.col("path").rlike(FASTQ_END))
     stem, end = F.regexp_replace("path", FASTQ_END, ""), F.regexp_extract("path", FASTQ_END, 0)
     rules = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(p).alias("p"), F.lit(r).alias("r")) for i, (p, r) in enumerate(MATE_RULES)])
     tried = files.select("path", stem.alias("stem"), end.alias("end"), F.explode(rules).alias("m"))
@@ -172,7 +199,18 @@ def inferred_mates(files: DataFrame, listing: DataFrame) -> DataFrame:
     return tried.join(real, "mate").groupBy("path").agg(F.min_by("mate", "rule").alias("mate"), F.min("rule").alias("rule"))
 
 
-def selected_uses(rows: DataFrame, consumer: str, every: tuple[str, ...] = ("quant", "ase", "annotation")) -> DataFrame:
+def mate_id_conflicts(pairs: DataFrame, reads: DataFrame, n: int = 4) -> DataFrame:
+    """Pairs ``(path, mate)`` whose first ``n`` read ids differ: ``rule, key, detail``; ``reads(path, ord, read_id)``.
+
+    A file without reads says nothing.
+    """
+    first = reads.where(F.col("ord") < n).groupBy("path").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "read_id"))), lambda r: r["read_id"]).alias("ids"))
+    left = pairs.join(first, "path")
+    both = left.join(first.select(F.col("path").alias("mate"), F.col("ids").alias("mate_ids")), "mate")
+    return violations(both, "mate_ids", F.col("ids") != F.col("mate_ids"), F.col("path"), F.concat_ws(" vs ", F.col("ids")[0], F.col("mate_ids")[0]))
+
+
+def selected_uses(rows: DataFrame, consumer: str, every: tuple[str, ...] = USES[:3]) -> DataFrame:
     """Rows whose ``use_for`` list names the consumer; ``all`` names each."""
     uses = F.flatten(F.transform(bar_list(F.translate("use_for", ";,", "||")), lambda u: F.when(F.lower(u) == "all", F.array(*map(F.lit, every))).otherwise(F.array(F.lower(u)))))
     return rows.where(F.array_contains(uses, consumer))

@@ -1,7 +1,9 @@
-"""Readers: each gives rows with the file they came from and, where order counts, their line."""
+"""Readers: each gives rows with the file they came from and, where order counts, their place in it."""
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,11 +12,13 @@ from ..functions.columns import gff_attributes, number
 
 #: Headings that sample sheets use for a column, and endings of a sample's files.
 SHEET_ALIASES = {
-    "sample": "sample_id", "sampleid": "sample_id", "sample_name": "sample_id", "id": "sample_id", "name": "sample_id",
-    "fastq1": "fastq_1", "r1": "fastq_1", "read1": "fastq_1", "reads": "fastq_1", "fq1": "fastq_1", "fastq": "fastq_1",
-    "fastq2": "fastq_2", "r2": "fastq_2", "read2": "fastq_2", "fq2": "fastq_2",
-    "strand": "strandedness", "library_type": "strandedness", "rep": "replicate", "group": "condition", "treatment": "condition",
-    "bam_file": "bam", "cram": "bam", "alignment": "bam", "genome": "genome_id", "reference": "genome_id", "library_layout": "layout", "use": "use_for", "type": "read_type",
+    "sample": "sample_id", "sample_id": "sample_id", "id": "sample_id", "name": "sample_id",
+    "layout": "layout", "library_layout": "layout", "type": "layout",
+    "fastq_1": "fastq_1", "fastq1": "fastq_1", "r1": "fastq_1", "read1": "fastq_1", "fq1": "fastq_1",
+    "fastq_2": "fastq_2", "fastq2": "fastq_2", "r2": "fastq_2", "read2": "fastq_2", "fq2": "fastq_2",
+    "strandedness": "strandedness", "strand": "strandedness", "condition": "condition", "group": "condition",
+    "replicate": "replicate", "rep": "replicate", "read_type": "read_type", "bam": "bam", "alignment": "bam",
+    "genome_id": "genome_id", "genome": "genome_id", "use_for": "use_for",
 }
 HTSEQ_ENDINGS = r"(\.htseq\.tsv|\.tsv|\.txt)$"
 BAM_ENDINGS = r"(\.sorted)?\.bam$"
@@ -26,31 +30,64 @@ TRIM_METRICS = {
     "bp_trimmed": r"Quality-trimmed:\s+([\d,]+)",
     "bp_written": r"Total written \(filtered\):\s+([\d,]+)",
 }
+#: Fixed value: a peptidase family code.
+MEROPS_CODE = r"\b([ACGMNPSTUI]\d{1,2}[A-Z]?)\b"
+
+
+def base_name(path: Column) -> Column:
+    return F.regexp_extract(path, "[^/]+$", 0)
 
 
-def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``file, line, value`` of text files, gzip included; lines of a file are numbered from 0.
+def lines(spark: SparkSession, path: str | list[str], deep: bool = False) -> DataFrame:
+    """``path, file, at, value`` of text files, gzip included.
 
-    A file is read in splits, so numbering sorts by the position Spark gives each row within its file.
+    ``at`` orders the lines of a file: the start of the split they were read in, then the place within it. Files are known
+    by their whole path, and no line moves: a large file stays in its splits. With ``deep`` folders below are read too.
     """
-    df = spark.read.text(path).select(
-        F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("file"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("i")).alias("__at"),
+    return spark.read.option("recursiveFileLookup", deep).text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        base_name(F.col("_metadata.file_path")).alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i")).alias("at"),
         F.rtrim(F.regexp_replace("value", "^\\x{FEFF}|\\r$", "")).alias("value"),
     )
-    return df.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("__at")) - 1).select("file", "line", "value")
+
+
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``lines`` with ``line``, counted from 0 in each file: a count per split, summed over the splits before (one row each)."""
+    rows = lines(spark, path)
+    splits = rows.groupBy(F.col("path").alias("__path"), F.col("at.block").alias("__block")).agg(F.min("at.i").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy("__path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("__path", "__block", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"))
+    return rows.join(splits, (F.col("path") == F.col("__path")) & (F.col("at.block") == F.col("__block"))).select(
+        "path", "file", "at", "value", (F.col("at.i") + F.col("__shift")).alias("line")
+    )
 
 
 def _cut(sep: str = "\t") -> Column:
     return F.split("value", sep)
 
 
+def refuse_shared_names(df: DataFrame, ending: str = "") -> None:
+    """Raise if two files of ``df`` have one name, which here names the sample. The list of files is the driver's own."""
+    import re
+
+    names = Counter(re.sub(ending, "", f.rsplit("/", 1)[-1]) if ending else f.rsplit("/", 1)[-1] for f in df.inputFiles())
+    twice = sorted(n for n, k in names.items() if k > 1)
+    if twice:
+        raise ValueError(f"several files for one sample: {twice[:10]}")
+
+
 def read_htseq(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Genes and counters of two-column files: ``sample_id, gene_id, n`` and ``sample_id, category, n``; the last of repeated keys wins."""
-    raw = lines(spark, path).where("value <> ''").select(
-        F.regexp_replace("file", HTSEQ_ENDINGS, "").alias("sample_id"), "line", _cut()[0].alias("key"), F.get(_cut(), F.lit(1)).try_cast("double").cast("bigint").alias("n")
+    """Genes and counters of two-column files: ``sample_id, gene_id, n`` and ``sample_id, category, n``; the last of repeated keys wins.
+
+    The sample is the file's name without its ending; two files that would share one are refused.
+    """
+    text = lines(spark, path)
+    refuse_shared_names(text, HTSEQ_ENDINGS)
+    raw = text.where("value <> ''").select(
+        F.regexp_replace("file", HTSEQ_ENDINGS, "").alias("sample_id"), "at", _cut()[0].alias("key"), F.get(_cut(), F.lit(1)).try_cast("double").cast("bigint").alias("n")
     )
-    last = raw.groupBy("sample_id", "key").agg(F.max_by("n", "line").alias("n"))
+    last = raw.groupBy("sample_id", "key").agg(F.max_by("n", "at").alias("n"))
     special = F.col("key").startswith("__")
     return (
         last.where(~special).withColumnRenamed("key", "gene_id"),
@@ -59,20 +96,20 @@ def read_htseq(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, D
 
 
 def htseq_problems(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines without exactly two fields, empty or repeated keys, and counts that are no whole numbers: ``file, rule, key``."""
-    raw = lines(spark, path).where("value <> ''").select("file", F.size(_cut()).alias("k"), _cut()[0].alias("key"), F.get(_cut(), F.lit(1)).alias("n"))
+    """Lines without exactly two fields, empty or repeated keys, and counts that are no whole numbers: ``path, rule, key``."""
+    raw = lines(spark, path).where("value <> ''").select("path", F.size(_cut()).alias("k"), _cut()[0].alias("key"), F.get(_cut(), F.lit(1)).alias("n"))
     x = F.col("n").try_cast("double")
     rule = F.when(F.col("k") != 2, "fields").when(F.trim("key") == "", "empty_key").when(x.isNull() | (x < 0) | (x != F.rint(x)), "count")
-    twice = raw.groupBy("file", "key").count().where("count > 1").select("file", F.lit("duplicate").alias("rule"), "key")
-    return raw.select("file", rule.alias("rule"), "key").where("rule IS NOT NULL").unionByName(twice)
+    twice = raw.groupBy("path", "key").count().where("count > 1").select("path", F.lit("duplicate").alias("rule"), "key")
+    return raw.select("path", rule.alias("rule"), "key").where("rule IS NOT NULL").unionByName(twice)
 
 
 def read_featurecounts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``sample_id, gene_id, n`` of raw feature tables: the last column counts, its heading names the sample."""
     raw = lines(spark, path).where("value <> '' AND NOT startswith(value, '#')")
-    head = raw.where("startswith(value, 'Geneid\\t')").select("file", F.regexp_replace(F.regexp_extract(F.element_at(_cut(), -1), "[^/]+$", 0), BAM_ENDINGS, "").alias("sample_id"))
-    body = raw.where("NOT startswith(value, 'Geneid\\t')").select("file", "line", _cut()[0].alias("gene_id"), F.element_at(_cut(), -1).try_cast("bigint").alias("n"))
-    return body.join(F.broadcast(head), "file").groupBy("sample_id", "gene_id").agg(F.max_by("n", "line").alias("n"))
+    head = raw.where("startswith(value, 'Geneid\\t')").select("path", F.regexp_replace(base_name(F.element_at(_cut(), -1)), BAM_ENDINGS, "").alias("sample_id"))
+    body = raw.where("NOT startswith(value, 'Geneid\\t')").select("path", "at", _cut()[0].alias("gene_id"), F.element_at(_cut(), -1).try_cast("bigint").alias("n"))
+    return body.join(head, "path").groupBy("sample_id", "gene_id").agg(F.max_by("n", "at").alias("n"))
 
 
 def read_matrix(spark: SparkSession, path: str, gene_column: str | None = None) -> DataFrame:
@@ -82,21 +119,33 @@ def read_matrix(spark: SparkSession, path: str, gene_column: str | None = None)
     gene = gene_column or wide.columns[0]
     skip = {gene, "Chr", "Start", "End", "Strand", "Length"}
     values = [c for c in wide.columns if c not in skip]
-    long = wide.unpivot([gene], values, "sample_id", "n").withColumnRenamed(gene, "gene_id").where("NOT startswith(gene_id, '__')")
+    long = wide.unpivot([F.col(f"`{gene}`")], [F.col(f"`{c}`") for c in values], "sample_id", "n").withColumnRenamed(gene, "gene_id")
+    long = long.where("NOT coalesce(startswith(gene_id, '__'), false)")
     return long.select("sample_id", "gene_id", number(F.col("n")).alias("n"))
 
 
+def matrix_problems(long: DataFrame, integer: bool = True) -> DataFrame:
+    """What a matrix read by ``read_matrix`` must not have: ``rule, key, detail`` of empty and repeated genes and of bad counts."""
+    gene, n = F.coalesce(F.trim("gene_id"), F.lit("")), F.col("n")
+    bad = F.when(gene == "", "empty_gene").when(n.isNull(), "not_a_number").when(n < 0, "negative").when(F.lit(integer) & (n != F.rint(n)), "not_integer")
+    cells = long.select(bad.alias("rule"), gene.alias("key"), F.col("sample_id").alias("detail")).where("rule IS NOT NULL")
+    twice = long.groupBy("sample_id", "gene_id").count().where("count > 1 AND gene_id IS NOT NULL")
+    return cells.unionByName(twice.select(F.lit("duplicate_gene").alias("rule"), F.col("gene_id").alias("key"), F.col("sample_id").alias("detail")))
+
+
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """``sample_id, category, n`` of a counter's summary table."""
     wide = spark.read.csv(path, header=True, sep="\t")
-    long = wide.unpivot([wide.columns[0]], wide.columns[1:], "sample", "n").withColumnRenamed(wide.columns[0], "category")
-    return long.select(F.regexp_replace(F.regexp_extract("sample", "[^/]+$", 0), BAM_ENDINGS, "").alias("sample_id"), "category", F.col("n").try_cast("bigint").alias("n"))
+    long = wide.unpivot([F.col(f"`{wide.columns[0]}`")], [F.col(f"`{c}`") for c in wide.columns[1:]], "sample", "n").withColumnRenamed(wide.columns[0], "category")
+    return long.select(F.regexp_replace(base_name(F.col("sample")), BAM_ENDINGS, "").alias("sample_id"), "category", F.col("n").try_cast("bigint").alias("n"))
 
 
 def legacy_rows(stats: DataFrame) -> DataFrame:
-    """Statistics rows keyed by the first of three id columns that the table has."""
-    key = next(c for c in ("sample_id_original", "sample", "sample_id") if c in stats.columns)
-    return stats.withColumn("key", F.col(key))
+    """Statistics rows with ``key``, the first of three id columns that the table has."""
+    key = next((c for c in ("sample_id_original", "sample", "sample_id") if c in stats.columns), None)
+    if key is None:
+        raise ValueError("no sample id column in the statistics")
+    return stats.withColumn("key", F.col(f"`{key}`"))
 
 
 def read_salmon(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -115,11 +164,11 @@ def read_salmon_meta(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_gff(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Features of GFF3 and GTF, attributes as a map: ``file, line, seqid, source, type, start, end, score, strand, phase, attrs``."""
+    """Features of GFF3 and GTF, attributes as a map: ``path, file, at, seqid, source, type, start, end, score, strand, phase, attrs``."""
     c = _cut()
     rows = lines(spark, path).where("value <> '' AND NOT startswith(value, '#')").where(F.size(c) >= 9)
     return rows.select(
-        "file", "line", c[0].alias("seqid"), c[1].alias("source"), c[2].alias("type"), c[3].try_cast("bigint").alias("start"),
+        "path", "file", "at", c[0].alias("seqid"), c[1].alias("source"), c[2].alias("type"), c[3].try_cast("bigint").alias("start"),
         c[4].try_cast("bigint").alias("end"), c[5].alias("score"), c[6].alias("strand"), c[7].alias("phase"), gff_attributes(c[8]).alias("attrs"),
     )
 
@@ -128,27 +177,52 @@ def genes_of(gff: DataFrame) -> DataFrame:
     return gff.where("type = 'gene'").select(F.col("seqid").alias("chrom"), "start", "end", F.col("attrs")["ID"].alias("gene_id"))
 
 
+def with_transcripts(gff: DataFrame) -> DataFrame:
+    """Features of the files that hold a transcript at all; the others would only add noise to a merge."""
+    return gff.join(gff.where("type = 'transcript'").select("path").distinct(), "path", "left_semi")
+
+
 def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``file, ord, seq_id, descr, sequence``: a record begins at each line that starts with ``>``."""
-    df = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("file"), F.monotonically_increasing_id().alias("ord"), F.regexp_replace("value", "^>", "").alias("r"))
+    """``path, file, ord, seq_id, descr, sequence``, a record in a row; contigs near 2 GB need ``fasta_lines``."""
+    df = spark.read.option("lineSep", "\n>").text(path).select(
+        F.col("_metadata.file_path").alias("path"), base_name(F.col("_metadata.file_path")).alias("file"), F.monotonically_increasing_id().alias("ord"), F.regexp_replace("value", "^>", "").alias("r")
+    )
     head = F.regexp_replace(F.substring_index("r", "\n", 1), "\\r$", "")
     body = F.regexp_replace(F.expr("substring(r, length(substring_index(r, '\n', 1)) + 1)"), "\\s+", "")
-    return df.where("trim(r) <> ''").select("file", "ord", F.regexp_extract(head, r"^(\S+)", 1).alias("seq_id"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("descr"), body.alias("sequence"))
+    return df.where("trim(r) <> ''").select("path", "file", "ord", F.regexp_extract(head, r"^(\S+)", 1).alias("seq_id"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("descr"), body.alias("sequence"))
+
+
+def fasta_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path, file, record, seq_id, at, chunk``: sequence lines with the record they belong to, so that no contig stands in one row.
+
+    A line belongs to the last header before it in its split, or else to the last one of the splits before (one row per split).
+    """
+    rows = lines(spark, path)
+    head = F.when(F.col("value").startswith(">"), F.struct("at", "value"))
+    rows = rows.withColumn("__head", head)
+    block = Window.partitionBy("path", "at.block").orderBy("at.i").rowsBetween(Window.unboundedPreceding, 0)
+    marked = rows.withColumn("__own", F.last("__head", ignorenulls=True).over(block))
+    splits = rows.groupBy(F.col("path").alias("__path"), F.col("at.block").alias("__block")).agg(F.max("__head").alias("__end"))
+    earlier = Window.partitionBy("__path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("__path", "__block", F.last("__end", ignorenulls=True).over(earlier).alias("__carried"))
+    joined = marked.where("__head IS NULL AND value <> ''").join(splits, (F.col("path") == F.col("__path")) & (F.col("at.block") == F.col("__block")))
+    owner = F.coalesce("__own", "__carried")
+    return joined.select("path", "file", owner["at"].alias("record"), F.regexp_extract(owner["value"], r"^>\s*(\S*)", 1).alias("seq_id"), "at", F.trim("value").alias("chunk")).where("record IS NOT NULL")
 
 
 def fasta_ids(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``source, seq_id``: first words of the header lines."""
+    """``path, source, seq_id``: first words of the header lines."""
     return spark.read.text(path).where("startswith(value, '>')").select(
-        F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("source"), F.regexp_extract("value", r"^>\s*(\S*)", 1).alias("seq_id")
+        F.col("_metadata.file_path").alias("path"), base_name(F.col("_metadata.file_path")).alias("source"), F.regexp_extract("value", r"^>\s*(\S*)", 1).alias("seq_id")
     )
 
 
 def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``file, ord, read_id, seq, qual``; mate endings are cut from ids."""
-    rows = lines(spark, path).withColumn("ord", F.floor(F.col("line") / 4)).withColumn("k", F.col("line") % 4)
+    """``path, file, ord, read_id, seq, qual`` of four-line records; mate endings are cut from ids."""
+    rows = numbered_lines(spark, path).withColumn("ord", F.floor(F.col("line") / 4)).withColumn("k", F.col("line") % 4)
     part = lambda k: F.max(F.when(F.col("k") == k, F.col("value")))
-    reads = rows.groupBy("file", "ord").agg(part(0).alias("h"), part(1).alias("seq"), part(3).alias("qual"))
-    return reads.where("startswith(h, '@')").select("file", "ord", F.regexp_replace(F.regexp_extract("h", r"^@(\S+)", 1), "[/._][12]$", "").alias("read_id"), "seq", "qual")
+    reads = rows.groupBy("path", "file", "ord").agg(part(0).alias("h"), part(1).alias("seq"), part(3).alias("qual"))
+    return reads.where("startswith(h, '@')").select("path", "file", "ord", F.regexp_replace(F.regexp_extract("h", r"^@(\S+)", 1), "[/._][12]$", "").alias("read_id"), "seq", "qual")
 
 
 SYRI_COLUMNS = "ref_chr ref_start ref_end ref_seq query_seq query_chr query_start query_end id parent_id type copy_status".split()
@@ -160,8 +234,10 @@ def read_syri(spark: SparkSession, path: str) -> DataFrame:
 
 
 def syri_blocks(syri: DataFrame) -> DataFrame:
-    """Syntenic and inverted blocks: ``block_id`` and both sides' ranges."""
-    return syri.where("type IN ('SYN', 'INV')").select(F.col("id").alias("block_id"), "ref_chr", "ref_start", "ref_end", "query_chr", "query_start", "query_end", (F.col("type") == "INV").alias("inverted"))
+    """Syntenic blocks: ``block_id``, both sides' ranges, and whether the query side runs backwards."""
+    ends = ("ref_start", "ref_end", "query_start", "query_end")
+    whole = syri.where("type = 'SYN'").dropna(subset=list(ends))
+    return whole.select(F.col("id").alias("block_id"), "ref_chr", "ref_start", "ref_end", "query_chr", "query_start", "query_end", (F.col("query_start") > F.col("query_end")).alias("inverted"))
 
 
 def syri_snps(syri: DataFrame) -> DataFrame:
@@ -181,38 +257,38 @@ def single_base(variants: DataFrame) -> DataFrame:
 
 
 def read_hits(spark: SparkSession, path: str) -> DataFrame:
-    """Six-column homology hits with their line as ``ord``."""
+    """Six-column homology hits with their place in the file as ``ord``."""
     c = _cut()
     typed = [c[0].alias("query_id"), c[1].alias("subject_id"), c[2].try_cast("double").alias("pident"), c[3].try_cast("int").alias("length"), c[4].try_cast("double").alias("evalue"), c[5].try_cast("double").alias("bitscore")]
-    return lines(spark, path).where("value <> '' AND NOT startswith(value, '#')").where(F.size(c) >= 6).select(*typed, F.col("line").alias("ord"))
+    return lines(spark, path).where("value <> '' AND NOT startswith(value, '#')").where(F.size(c) >= 6).select(*typed, F.col("at").alias("ord"))
 
 
 def read_eggnog(spark: SparkSession, path: str) -> DataFrame:
-    """Orthology annotations; the heading is the first line with one ``#``."""
-    raw = spark.read.text(path).where("value <> '' AND NOT startswith(value, '##')")
+    """Orthology annotations with their place as ``ord``; the heading is the first line with one ``#``."""
+    raw = lines(spark, path).where("value <> '' AND NOT startswith(value, '##')")
     head = raw.where("startswith(value, '#')").select("value").first()
     names = head["value"].lstrip("#").split("\t") if head else []
     wanted = {"query": "protein_id", "Description": "description", "Preferred_name": "preferred_name", "GOs": "gos", "EC": "ec", "KEGG_ko": "kegg_ko", "COG_category": "cog"}
     c = F.split("value", "\t")
     at = {n: names.index(n) for n in wanted if n in names}
-    return raw.where("NOT startswith(value, '#')").select(*[(F.get(c, F.lit(at[n])) if n in at else F.lit(None).cast("string")).alias(a) for n, a in wanted.items()])
+    return raw.where("NOT startswith(value, '#')").select(*[(F.get(c, F.lit(at[n])) if n in at else F.lit(None).cast("string")).alias(a) for n, a in wanted.items()], F.col("at").alias("ord"))
 
 
 def read_interpro(spark: SparkSession, path: str) -> DataFrame:
     """``protein_id, product``: the first description of each protein that is one."""
     c = _cut()
-    rows = lines(spark, path).where(F.size(c) >= 6).select(c[0].alias("protein_id"), c[5].alias("product"), "line").where("trim(product) NOT IN ('', '-')")
-    return rows.groupBy("protein_id").agg(F.min_by("product", "line").alias("product"))
+    rows = lines(spark, path).where(F.size(c) >= 6).select(c[0].alias("protein_id"), c[5].alias("product"), "at").where("trim(product) NOT IN ('', '-')")
+    return rows.groupBy("protein_id").agg(F.min_by("product", "at").alias("product"))
 
 
 def with_columns(df: DataFrame, names: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Columns by their first alias that is present, null where none is."""
-    return df.select(*[F.coalesce(*[F.col(f"`{a}`") for a in aliases if a in df.columns] or [F.lit(None).cast("string")]).alias(n) for n, aliases in names.items()])
+    """Columns by the first of their aliases that has text, null where none has."""
+    return df.select(*[F.coalesce(*[F.nullif(F.col(f"`{a}`"), F.lit("")) for a in aliases if a in df.columns] or [F.lit(None).cast("string")]).alias(n) for n, aliases in names.items()])
 
 
 def read_dbcan(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.csv(path, header=True, sep="\t")
-    return with_columns(df, {"protein_id": ("Gene ID",), "hmmer": ("HMMER",), "ecami": ("eCAMI", "dbCAN_sub"), "diamond": ("DIAMOND",), "n_tools": ("#ofTools",)})
+    return with_columns(df, {"protein_id": ("Gene ID", df.columns[0]), "hmmer": ("HMMER",), "ecami": ("eCAMI",), "diamond": ("DIAMOND",), "n_tools": ("#ofTools",)})
 
 
 def read_funannotate(spark: SparkSession, path: str) -> DataFrame:
@@ -220,62 +296,77 @@ def read_funannotate(spark: SparkSession, path: str) -> DataFrame:
     return with_columns(df, {"protein_id": ("gene_id", "ID", "query_id"), "product": ("product", "Product")})
 
 
+def _first_word(c: Column) -> Column:
+    return F.regexp_extract(c, r"^\s*(\S+)", 1)
+
+
 def read_signalp(spark: SparkSession, path: str) -> DataFrame:
-    """``protein_id, tool, call`` of a two-column prediction table."""
-    rows = spark.read.text(path).where("value <> '' AND NOT startswith(value, '#')")
+    """``protein_id, call`` of a two-column prediction table; the last row of a protein wins."""
     c = F.split("value", "\t")
-    return rows.select(F.regexp_extract(c[0], r"^(\S+)", 1).alias("protein_id"), F.lit("signalp").alias("tool"), c[1].alias("call"))
+    rows = lines(spark, path).where("trim(value) <> '' AND NOT startswith(value, '#')").where(F.size(c) > 1)
+    return rows.groupBy(_first_word(c[0]).alias("protein_id")).agg(F.max_by(c[1], F.col("at")).alias("call"))
 
 
-def read_targetp(spark: SparkSession, path: str) -> DataFrame:
-    return read_signalp(spark, path).withColumn("tool", F.lit("targetp"))
+read_targetp = read_signalp
 
 
 def read_deeploc(spark: SparkSession, path: str) -> DataFrame:
+    """``protein_id, compartment, signals``."""
     df = spark.read.csv(path, header=True)
-    return with_columns(df, {"protein_id": ("Protein_ID", "ACC"), "compartment": ("Localizations", "Prediction")})
+    out = with_columns(df, {"protein_id": ("Protein_ID",), "compartment": ("Localizations",), "signals": ("Signals",)})
+    return out.withColumn("protein_id", _first_word(F.col("protein_id")))
 
 
 def read_topology(spark: SparkSession, path: str) -> DataFrame:
-    """Three-line topology records: ``protein_id, kind, n_tm``, spans counted as runs of M."""
-    rows = lines(spark, path).where("value <> ''").withColumn("k", F.col("line") % 3).withColumn("r", F.floor(F.col("line") / 3))
+    """Three-line topology records: ``protein_id, kind, n_tm``, spans counted as runs of M or of B."""
+    rows = numbered_lines(spark, path).where("value <> ''").withColumn("k", F.col("line") % 3).withColumn("r", F.floor(F.col("line") / 3))
     part = lambda k: F.max(F.when(F.col("k") == k, F.col("value")))
-    rec = rows.groupBy("file", "r").agg(part(0).alias("h"), part(2).alias("t"))
-    return rec.select(F.regexp_extract("h", r"^>(\S+)", 1).alias("protein_id"), F.regexp_extract("h", r"\|\s*(\S+)", 1).alias("kind"), F.regexp_count("t", F.lit("M+")).alias("n_tm"))
+    rec = rows.groupBy("path", "r").agg(part(0).alias("h"), part(2).alias("t"))
+    return rec.select(F.regexp_extract("h", r"^>\s*(\S+)", 1).alias("protein_id"), F.regexp_extract("h", r"\|\s*(\S+)", 1).alias("kind"), F.regexp_count("t", F.lit("M+|B+")).alias("n_tm"))
 
 
 def read_phobius(spark: SparkSession, path: str) -> DataFrame:
-    """Short output: ``protein_id, n_tm, call``."""
+    """Short output of four columns: ``protein_id, n_tm, call``."""
     c = F.split(F.trim("value"), r"\s+")
-    rows = spark.read.text(path).where(F.size(c) >= 3).where("NOT startswith(value, 'SEQENCE')")
+    rows = spark.read.text(path).where(F.size(c) >= 4).where("NOT startswith(value, 'SEQ')")
     return rows.select(c[0].alias("protein_id"), c[1].try_cast("int").alias("n_tm"), F.when(c[2] == "Y", "SP").otherwise("-").alias("call"))
 
 
 def read_effectors(spark: SparkSession, path: str) -> DataFrame:
+    """``protein_id, call``: the last column of each row, whatever it says."""
     c = F.split("value", "\t")
-    return spark.read.text(path).where("NOT startswith(value, '#')").where(c[F.size(c) - 1].rlike("(?i)^(cytoplasmic|apoplastic)?.*effector") & ~c[F.size(c) - 1].rlike("(?i)non-effector")).select(
-        F.regexp_extract(c[0], r"^(\S+)", 1).alias("protein_id")
-    )
+    rows = lines(spark, path).where("trim(value) <> '' AND NOT startswith(value, '#')")
+    return rows.groupBy(_first_word(c[0]).alias("protein_id")).agg(F.max_by(F.element_at(c, -1), F.col("at")).alias("call"))
+
+
+def read_merops(spark: SparkSession, path: str) -> DataFrame:
+    """``protein_id, family``: of each protein's first hit the family code in its last column (the second if there are few), else that text."""
+    c = F.split("value", "\t")
+    rows = lines(spark, path).where("trim(value) <> '' AND NOT startswith(value, '#')").where(F.size(c) >= 2)
+    code = F.regexp_extract(F.when(F.size(c) > 5, F.element_at(c, -1)).otherwise(c[1]), MEROPS_CODE, 1)
+    return rows.groupBy(c[0].alias("protein_id")).agg(F.min_by(F.when(code != "", code).otherwise(c[1]), F.col("at")).alias("family"))
 
 
 def read_trim_reports(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Six figures per trimming report, null where a report lacks one."""
     df = spark.read.text(path, wholetext=True)
     figures = [F.replace(F.nullif(F.regexp_extract("value", p, 1), F.lit("")), F.lit(","), F.lit("")).try_cast("bigint").alias(n) for n, p in TRIM_METRICS.items()]
-    return df.select(F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("file"), *figures)
+    return df.select(F.col("_metadata.file_path").alias("path"), base_name(F.col("_metadata.file_path")).alias("file"), *figures)
 
 
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """Sample sheet with headings by alias, lists as arrays, and the line of each row."""
-    comma = path.endswith(".csv")
+    """Sample sheet with headings by alias, lists as arrays, and the line of each row; other headings are left out."""
+    comma = path.lower().rstrip("/").endswith(".csv")
     sep, inner = (",", ";") if comma else ("\t", ",")
-    rows = lines(spark, path).where("trim(value) <> '' AND NOT startswith(value, '#')")
-    head = rows.orderBy("line").first()
-    names = [SHEET_ALIASES.get(h.strip().lower(), h.strip().lower()) for h in head["value"].split(sep)] if head else []
-    cells = F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(len(names)))), {"sep": sep})
-    body = rows.where(F.col("line") > (head["line"] if head else 0)).select("line", cells.alias("c"))
-    out = body.select("line", *[F.trim(F.col(f"c.c{i}")).alias(n) for i, n in enumerate(names)])
-    return out.select("line", *[(F.split(c, inner) if c.startswith("fastq_") else F.col(c)).alias(c) for c in names])
+    rows = numbered_lines(spark, path).where("trim(value) <> '' AND NOT startswith(ltrim(value), '#')")
+    head = rows.orderBy("at").first()
+    found = [SHEET_ALIASES.get(h.strip().lower()) for h in head["value"].split(sep)] if head else []
+    if head and "sample_id" not in found:
+        raise ValueError(f"{path}: no sample id column")
+    cells = F.split("value", sep)
+    body = rows.where(F.col("line") > (head["line"] if head else 0))
+    out = body.select((F.col("line") + 1).alias("line"), *[F.trim(F.get(cells, F.lit(i))).alias(n) for i, n in enumerate(found) if n])
+    return out.select("line", *[(F.split(c, inner) if c.startswith("fastq_") else F.col(c)).alias(c) for c in out.columns[1:]])
 
 
 def read_control(spark: SparkSession, path: str, columns: list[str], extra: bool = False) -> DataFrame:
@@ -284,19 +375,18 @@ def read_control(spark: SparkSession, path: str, columns: list[str], extra: bool
     header = first["value"].lstrip("﻿").split("\t") if first else []
     if len(set(header)) < len(header) or set(columns) - set(header) or (set(header) - set(columns) and not extra):
         raise ValueError(f"{path}: headings {header} do not match {columns}")
-    schema = ", ".join(f"`{h}` string" for h in header) + ", __bad string"
-    df = spark.read.csv(path, header=True, sep="\t", schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord="__bad").cache()
-    if not df.where("__bad IS NOT NULL").isEmpty():
+    cells = spark.read.text(path).where("trim(value) <> ''").select(F.size(F.split("value", "\t")).alias("n"))
+    if not cells.where(F.col("n") != len(header)).isEmpty():
         raise ValueError(f"{path}: rows with another number of cells")
-    return df.drop("__bad")
+    return spark.read.csv(path, header=True, sep="\t", schema=", ".join(f"`{h}` string" for h in header))
 
 
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Alignments of SAM text: ``file, line, read_id, flag, chrom, pos0, mapq, cigar, seq, qual, nh``."""
+    """Alignments of SAM text: ``path, file, at, read_id, flag, chrom, pos0, mapq, cigar, seq, qual, nh``."""
     c = _cut()
     rows = lines(spark, path).where("value <> '' AND NOT startswith(value, '@')").where(F.size(c) >= 11)
     return rows.select(
-        "file", "line", c[0].alias("read_id"), c[1].try_cast("int").alias("flag"), c[2].alias("chrom"), (c[3].try_cast("bigint") - 1).alias("pos0"), c[4].try_cast("int").alias("mapq"),
+        "path", "file", "at", c[0].alias("read_id"), c[1].try_cast("int").alias("flag"), c[2].alias("chrom"), (c[3].try_cast("bigint") - 1).alias("pos0"), c[4].try_cast("int").alias("mapq"),
         c[5].alias("cigar"), c[9].alias("seq"), c[10].alias("qual"), F.regexp_extract("value", r"\tNH:i:(\d+)", 1).try_cast("int").alias("nh"),
     )
 
@@ -306,11 +396,26 @@ def file_hashes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
 
 
-def read_run_metadata(spark: SparkSession, path: str | list[str], keys: list[str]) -> DataFrame:
-    """Options of run-metadata JSON, nested under ``quantification`` or ``options``, or on top."""
+#: Options of a run that count as provenance.
+RUN_OPTIONS = ("count_feature", "count_attribute", "nonunique", "count_multimappers", "overlap_mode", "fractional", "tool_version")
+
+
+def read_run_metadata(spark: SparkSession, path: str | list[str], keys: list[str] = RUN_OPTIONS) -> DataFrame:
+    """Options of run-metadata JSON, nested under ``quantification`` or ``options``, or on top: ``path, file`` and a column per key."""
     df = spark.read.text(path, wholetext=True)
     value = lambda k: F.coalesce(*[F.get_json_object("value", f"$.{p}{k}") for p in ("quantification.", "options.", "")])
-    return df.select(F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("file"), *[value(k).alias(k) for k in keys])
+    return df.select(F.col("_metadata.file_path").alias("path"), base_name(F.col("_metadata.file_path")).alias("file"), *[value(k).alias(k) for k in keys])
+
+
+def provenance(inputs: DataFrame, hashes: DataFrame, options: DataFrame) -> DataFrame:
+    """Inputs with the hash of their counts and, as ``effective_`` columns, the options their run was made with.
+
+    ``inputs(input_id, counts_file, metadata_file, ...)``, ``hashes(file, sha256)``, ``options(file, ...)``; what is missing stays null.
+    """
+    h = hashes.select(F.col("file").alias("counts_file"), F.col("sha256").alias("counts_sha256"))
+    named = [F.col(c).alias(f"effective_{c}") for c in options.columns if c not in ("path", "file")]
+    o = options.select(F.col("file").alias("metadata_file"), *named)
+    return inputs.join(h, "counts_file", "left").join(o, "metadata_file", "left")
 
 
 def read_strand_map(spark: SparkSession, path: str) -> DataFrame:
@@ -319,9 +424,14 @@ def read_strand_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_libraries(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
-    """Count files of a manifest ``(sample_id, organism, file)`` as ``sample_id, organism, gene_id, n``, counters with their ``__``."""
-    raw = lines(spark, folder).select("file", _cut()[0].alias("gene_id"), F.get(_cut(), F.lit(1)).try_cast("bigint").alias("n"))
-    return raw.join(manifest.withColumn("file", F.regexp_extract("file", "[^/]+$", 0)), "file").select("sample_id", "organism", "gene_id", "n")
+    """Count files of a manifest ``(sample_id, organism, file)`` as ``sample_id, organism, gene_id, n``, counters with their ``__``.
+
+    ``file`` is a path below ``folder``; it matches the end of the path that was read.
+    """
+    raw = lines(spark, folder, deep=True).select("path", _cut()[0].alias("gene_id"), F.get(_cut(), F.lit(1)).try_cast("bigint").alias("n"))
+    root = folder.rstrip("/").rsplit("/", 1)[-1] + "/"
+    inside = raw.withColumn("file", F.expr(f"substring(path, length(path) - length(substring_index(path, '/{root}', -1)) + 1)"))
+    return inside.join(manifest, "file").select("sample_id", "organism", "gene_id", "n")
 
 
 def read_map(spark: SparkSession, path: str, names: tuple[str, str]) -> DataFrame:

@@ -22,46 +22,69 @@ def write_matrix(counts: DataFrame, path: str, samples: list[str], order: DataFr
 def write_decimal_matrix(values: DataFrame, path: str, samples: list[str]) -> None:
     """Wide matrix of three decimals (halves rounded up), genes sorted, absent cells ``0.000``."""
     wide = values.groupBy("gene_id").pivot("sample_id", samples).agg(F.sum("n")).na.fill(0.0, samples)
-    write_table(wide.orderBy("gene_id").select("gene_id", *[F.format_string("%.3f", F.col(f"`{s}`")).alias(s) for s in samples]), path)
+    write_table(wide.orderBy("gene_id").select("gene_id", *[F.format_string("%.3f", F.col(f"`{s}`").cast("double")).alias(s) for s in samples]), path)
 
 
-def write_lines(df: DataFrame, path: str, header: str | None = None) -> None:
-    """The ``value`` column as text in its order, after header lines."""
+def write_lines(df: DataFrame, path: str, order: list[str] | None = None, header: list[str] | None = None) -> None:
+    """The ``value`` column as text: header lines first, then rows by ``order``.
+
+    One range sort over both, headers with the least keys, so the order holds across the part files.
+    """
+    order = order or []
+    rows = df.select(F.lit(1).alias("__k"), F.lit(0).alias("__h"), *order, "value")
     if header is not None:
-        top = df.sparkSession.createDataFrame([(header,)], "value string")
-        df = top.unionByName(df.select("value"))
-    df.select("value").write.mode("overwrite").text(path)
+        top = df.sparkSession.createDataFrame(list(enumerate(header)), "__h int, value string").withColumn("__k", F.lit(0))
+        rows = rows.unionByName(top, allowMissingColumns=True)
+    if header is not None or order:
+        rows = rows.orderBy("__k", "__h", *order)
+    rows.select("value").write.mode("overwrite").text(path)
 
 
 def write_vcf(sites: DataFrame, path: str, sample: str = "sample") -> None:
     """Phased sites sorted by chromosome and position."""
     row = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("PASS"), F.lit("."), F.lit("GT"), "gt")
-    head = f"##fileformat=VCFv4.2\n##FORMAT=<ID=GT,Number=1,Type=String,Description=\"Genotype\">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t{sample}"
-    write_lines(sites.orderBy("chrom", "pos", "ref", "alt").select(row.alias("value")), path, head)
+    head = ["##fileformat=VCFv4.2", '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">', f"#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t{sample}"]
+    write_lines(sites.select("chrom", "pos", "ref", "alt", row.alias("value")), path, ["chrom", "pos", "ref", "alt"], head)
 
 
 def write_snps_by_chromosome(snps: DataFrame, path: str) -> None:
-    """One folder per chromosome with ``pos ref alt`` lines."""
-    lines = snps.select("chrom", F.concat_ws(" ", F.col("pos").cast("string"), "ref", "alt").alias("value"))
-    lines.repartition("chrom").sortWithinPartitions("chrom").write.mode("overwrite").partitionBy("chrom").text(path)
+    """``<chrom>.snps.txt`` for each chromosome, a folder of ``pos ref alt`` lines by position.
+
+    Rows are dealt by ranges of chromosome and position, so a chromosome is written by several tasks. Only the folders, one
+    per chromosome, are named by the driver.
+    """
+    rows = snps.select("chrom", "pos", F.concat_ws("\t", F.col("pos").cast("string"), "ref", "alt").alias("value"))
+    dealt = rows.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos").select("chrom", "value")
+    dealt.write.mode("overwrite").partitionBy("chrom").text(path)
+    spark = snps.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("chrom="):
+            fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder, unescape(name.removeprefix("chrom=")) + ".snps.txt"))
 
 
 def bed_rows(genes: DataFrame) -> DataFrame:
     """Zero-based half-open lines of genes."""
-    return genes.select(F.concat_ws("\t", "chrom", (F.col("start") - 1).cast("string"), F.col("end").cast("string"), "gene_id").alias("value"))
+    return genes.select("chrom", "start", F.concat_ws("\t", F.col("chrom").cast("string"), (F.col("start") - 1).cast("string"), F.col("end").cast("string"), "gene_id").alias("value"))
 
 
-def gff_rows(features: DataFrame, gtf: bool = False) -> DataFrame:
-    """Features as GFF3 or GTF lines."""
-    pair = (lambda e: F.concat(e["key"], F.lit(' "'), e["value"], F.lit('";'))) if gtf else (lambda e: F.concat_ws("=", e["key"], e["value"]))
-    attrs = F.array_join(F.transform(F.map_entries("attrs"), pair), " " if gtf else ";")
+def gff_rows(features: DataFrame) -> DataFrame:
+    """Features as lines, each in its own style: GTF if it has a ``transcript_id`` and no ``Parent``, else GFF3."""
+    attrs = F.col("attrs")
+    gtf = F.map_contains_key(attrs, F.lit("transcript_id")) & ~F.map_contains_key(attrs, F.lit("Parent"))
+    join = lambda form, sep: F.array_join(F.transform(F.map_entries(attrs), form), sep)
+    quoted = join(lambda e: F.concat(e["key"], F.lit(' "'), e["value"], F.lit('";')), " ")
+    plain = F.concat(join(lambda e: F.concat(e["key"], F.lit("="), e["value"]), ";"), F.lit(";"))
     text = [F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in ("seqid", "source", "type", "start", "end", "score", "strand", "phase")]
-    return features.select(F.concat_ws("\t", *text, attrs).alias("value"))
+    return features.select("seqid", "start", F.concat_ws("\t", *text, F.when(gtf, quoted).otherwise(plain)).alias("value"))
 
 
 def fasta_rows(seqs: DataFrame) -> DataFrame:
     """Records of ``seqs(seq_id, sequence)`` as FASTA text."""
-    return seqs.select(F.concat(F.lit(">"), "seq_id", F.lit("\n"), "sequence").alias("value"))
+    return seqs.select("seq_id", F.concat(F.lit(">"), "seq_id", F.lit("\n"), "sequence").alias("value"))
 
 
 def write_json_summary(row: DataFrame, path: str) -> None:
@@ -72,3 +95,25 @@ def write_qc_bundle(tables: dict[str, DataFrame], path: str) -> None:
     """The QC tables by name, each in a folder of its own."""
     for name, df in tables.items():
         write_table(df, f"{path}/{name}")
+
+
+def write_named_files(rows: DataFrame, path: str, order: list[str]) -> None:
+    """``rows(file, value, ...)`` as text files of those names below ``path``, lines by ``order``.
+
+    A file is what one library, report or sheet has, so a task writes it whole; the driver only gives it its name.
+    """
+    dealt = rows.repartition("file").sortWithinPartitions("file", *order).select("file", "value")
+    spark = rows.sparkSession
+    jvm = spark._jvm
+    parts, target = jvm.org.apache.hadoop.fs.Path(f"{path}/_parts"), jvm.org.apache.hadoop.fs.Path(path)
+    dealt.write.mode("overwrite").partitionBy("file").text(f"{path}/_parts")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for folder in fs.listStatus(parts):
+        name = folder.getPath().getName()
+        if name.startswith("file="):
+            goal = jvm.org.apache.hadoop.fs.Path(target, unescape(name.removeprefix("file=")))
+            fs.mkdirs(goal.getParent())
+            (part,) = [x.getPath() for x in fs.listStatus(folder.getPath()) if x.getPath().getName().startswith("part-")]
+            fs.rename(part, goal)
+    fs.delete(parts, True)
