@@ -24,6 +24,13 @@ class Tables:
         key = [F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("sample_id"), F.concat(F.lit("g"), F.col("l_partkey").cast("string")).alias("gene_id")]
         return li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(*key).agg(F.sum("l_quantity").cast("bigint").alias("n"))
 
+    def dense_counts(self) -> DataFrame:
+        """Counts of every sample and part, as a counter writes them: 0 where a library has no read."""
+        names = [r["sample_id"] for r in self.samples().select("sample_id").collect()]
+        genes = self.read("part").select(F.concat(F.lit("g"), F.col("p_partkey").cast("string")).alias("gene_id"))
+        grid = genes.select("gene_id", F.explode(F.array(*map(F.lit, sorted(names)))).alias("sample_id"))
+        return grid.join(self.counts(), ["gene_id", "sample_id"], "left").select("sample_id", "gene_id", F.coalesce("n", F.lit(0)).alias("n"))
+
     def samples(self) -> DataFrame:
         n, r = self.read("nation"), self.read("region")
         return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(
@@ -143,6 +150,7 @@ SQL = {
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL""",
     "samples": """SELECT 'S' || n_nationkey AS sample_id, CASE WHEN n_regionkey % 2 = 0 THEN 'control' ELSE 'treated' END AS treatment,
         'b' || (n_nationkey % 3) AS batch, r_name AS region, n_nationkey AS number FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "dense": """SELECT sample_id, gene_id, coalesce(n, 0) AS n FROM samples CROSS JOIN (SELECT 'g' || p_partkey AS gene_id FROM part) LEFT JOIN counts USING (sample_id, gene_id)""",
     "counters": """SELECT 'S' || (user_id % 25) AS sample_id, CASE event_type WHEN 'view' THEN 'no_feature' WHEN 'click' THEN 'ambiguous'
         WHEN 'error' THEN 'too_low_aQual' WHEN 'purchase' THEN 'not_aligned' WHEN 'signup' THEN 'alignment_not_unique' END AS category,
         count(*) AS n FROM events GROUP BY ALL""",

@@ -2,32 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .functions.columns import percent_map
-from .operators import annotation, counts, enrichment, explore, features, haplotypes, inference, intervals, normalize, sequences, validate
-from .plans.bindings import SQL, Tables, with_views
+from .operators import annotation, counts, enrichment, explore, features, haplotypes, inference, intervals, normalize, sequences, tables, validate
+from .registry import query
 from .sources import readers
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None, *views: str):
-    """Register a function of ``Tables`` under ``name``, with the SQL that gives its rows."""
-
-    def add(f: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
-        if sql:
-            ORACLES[name] = with_views(sql, *views) if views else sql
-        return f
-
-    return add
-
+from .sources.scratch import kept
 
 SAMPLES = [f"S{i}" for i in range(25)]
 
@@ -242,9 +225,13 @@ def _(t):
     return counts.assay_conflicts(df, "assay", ["nation", "mode"])
 
 
-@query("strand_mix", "SELECT 'forward,reverse' AS directions, true AS mixed", "samples")
+@query(
+    "strand_mix",
+    """SELECT string_agg(DISTINCT e, ',' ORDER BY e) AS directions, count(DISTINCT e) > 1 AS mixed FROM (SELECT CASE WHEN number % 2 = 0 THEN 'forward' ELSE 'reverse' END AS e FROM samples WHERE number % 3 <> 0)""",
+    "samples",
+)
 def _(t):
-    return counts.strand_mix(t.samples().select(F.when(F.col("number") % 2 == 0, "forward").otherwise("reverse").alias("effective")))
+    return counts.strand_mix(t.samples().where("number % 3 <> 0").select(F.when(F.col("number") % 2 == 0, "forward").otherwise("reverse").alias("effective")))
 
 
 @query(
@@ -338,23 +325,23 @@ def _(t):
 
 LADDER_SQL = """WITH d AS (SELECT doc_id AS protein_id, lang, source, CASE WHEN length(trim(text, ' ')) = 0 THEN '' ELSE split_part(trim(text, ' '), ' ', 1) END AS w FROM documents),
     f AS (SELECT protein_id, CASE WHEN protein_id % 17 = 0 THEN 'kinase ' || source END AS p FROM d WHERE protein_id % 11 = 0 OR protein_id % 17 = 0),
-    s AS (SELECT protein_id, CASE WHEN lower(trim(coalesce(w, ''), ' ')) NOT IN ('', '-', 'na', 'none', 'hypothetical protein', 'uncharacterized protein', 'unknown', 'predicted protein') THEN trim(w, ' ') END AS p
+    s AS (SELECT protein_id, CASE WHEN lower(trim(coalesce(w, ''), ' ')) NOT IN ('', '-', 'n/a', 'na', 'unknown', 'unnamed protein product', 'uncharacterized protein', 'hypothetical protein') THEN trim(w, ' ') END AS p
       FROM d WHERE protein_id % 3 = 0 AND protein_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
     e AS (SELECT protein_id, CASE WHEN lang <> 'en' THEN 'domain ' || lang END AS p FROM d WHERE protein_id % 4 = 1),
     c AS (SELECT protein_id FROM d WHERE protein_id % 9 = 2), i AS (SELECT protein_id, source AS p FROM d WHERE protein_id % 5 = 2),
     r AS (SELECT d.protein_id, coalesce(f.p, s.p, e.p, i.p, 'hypothetical protein') AS product,
       CASE WHEN f.p IS NOT NULL THEN 'funannotate2' WHEN s.p IS NOT NULL THEN 'swissprot' WHEN e.p IS NOT NULL THEN 'eggnog' WHEN i.p IS NOT NULL THEN 'interpro' ELSE 'none' END AS product_source,
-      concat_ws(';', CASE WHEN f.protein_id IS NOT NULL THEN 'funannotate2' END, CASE WHEN s.protein_id IS NOT NULL THEN 'swissprot' END, CASE WHEN e.protein_id IS NOT NULL THEN 'eggnog' END,
-        CASE WHEN c.protein_id IS NOT NULL THEN 'dbcan' END, CASE WHEN i.protein_id IS NOT NULL THEN 'interpro' END) AS evidence
+      concat_ws(',', CASE WHEN f.p IS NOT NULL THEN 'funannotate2' END, CASE WHEN s.p IS NOT NULL THEN 'swissprot' END, CASE WHEN e.protein_id IS NOT NULL THEN 'eggnog' END,
+        CASE WHEN c.protein_id IS NOT NULL THEN 'dbcan' END, CASE WHEN i.p IS NOT NULL THEN 'interpro' END) AS evidence
       FROM d LEFT JOIN f USING (protein_id) LEFT JOIN s USING (protein_id) LEFT JOIN e USING (protein_id) LEFT JOIN c USING (protein_id) LEFT JOIN i USING (protein_id))"""
 
 
-@query("product_ladder", LADDER_SQL + " SELECT *, CASE WHEN evidence = '' THEN 0 ELSE len(string_split(evidence, ';')) END AS n_evidence FROM r")
+@query("product_ladder", LADDER_SQL + " SELECT *, CASE WHEN evidence = '' THEN 0 ELSE len(string_split(evidence, ',')) END AS n_evidence FROM r")
 def _(t):
     return annotation.product_table(t.proteins(), t.evidence())
 
 
-@query("evidence_tags", LADDER_SQL + " SELECT tag, count(*) AS n FROM (SELECT unnest(string_split(evidence, ';')) AS tag FROM r) WHERE tag <> '' GROUP BY 1")
+@query("evidence_tags", LADDER_SQL + " SELECT tag, count(*) AS n FROM (SELECT unnest(string_split(evidence, ',')) AS tag FROM r) WHERE tag <> '' GROUP BY 1")
 def _(t):
     return annotation.evidence_tags(annotation.product_table(t.proteins(), t.evidence()))
 
@@ -471,13 +458,13 @@ def _(t):
 
 @query(
     "allele_table",
-    PAIR_SQL + """, p AS (SELECT DISTINCT ha_gene_id, hb_gene_id FROM a JOIN c USING (block_id, rank) WHERE a.n = c.n AND block_id % 50 = 0)
+    PAIR_SQL + """, p AS (SELECT DISTINCT ha_gene_id, hb_gene_id FROM a JOIN c USING (block_id, rank) WHERE a.n = c.n)
     SELECT ha_gene_id, hb_gene_id FROM p UNION ALL SELECT gene_id, NULL FROM genes WHERE chrom < 3 AND gene_id NOT IN (SELECT ha_gene_id FROM p)
     UNION ALL SELECT NULL, gene_id FROM genes WHERE chrom >= 3 AND gene_id NOT IN (SELECT hb_gene_id FROM p)""",
     "blocks", "genes",
 )
 def _(t):
-    p = _pairs_in_blocks(t).where("block_id % 50 = 0").select("ha_gene_id", "hb_gene_id").distinct()
+    p = _pairs_in_blocks(t).select("ha_gene_id", "hb_gene_id").distinct()
     return intervals.allele_table(p, t.genes().where("chrom < 3"), t.genes().where("chrom >= 3"))
 
 
@@ -533,13 +520,13 @@ def _(t):
 
 @query(
     "allele_swap",
-    SITES + """, q AS (SELECT *, repeat('ACGT', 13) AS seq FROM alignments WHERE library % 10 = 0)
+    SITES + """, q AS (SELECT *, repeat('ACGT', 13) AS seq FROM alignments)
     SELECT read_id, pos, seq[1:CAST(pos - "start" AS INT)] || CASE WHEN seq[CAST(pos - "start" + 1 AS INT)] = ref THEN alt ELSE ref END || seq[CAST(pos - "start" + 2 AS INT):] AS seq
     FROM q JOIN sites s ON s.chrom = q.chrom AND pos BETWEEN "start" AND "end" WHERE pos - "start" + 1 <= 52""",
     "alignments", "snps",
 )
 def _(t):
-    reads = t.alignments().where("library % 10 = 0").withColumn("seq", F.repeat(F.lit("ACGT"), F.lit(13)))
+    reads = t.alignments().withColumn("seq", F.repeat(F.lit("ACGT"), F.lit(13)))
     return intervals.swapped_reads(reads, intervals.phased_sites(t.snps()).distinct(), 500).select("read_id", "pos", "seq")
 
 
@@ -686,11 +673,11 @@ def _(t):
 
 @query(
     "quality_by_cycle",
-    "SELECT mate, CAST(i AS INT) AS \"cycle\", round(avg(unicode(substr(seq, CAST(i AS INT) + 1, 1)) - 33), 6) AS mean_quality, count(*) AS n FROM reads, range(0, 50) r(i) WHERE i < length(seq) GROUP BY 1, 2",
+    "SELECT mate, CAST(i AS INT) AS \"cycle\", round(avg(unicode(c) - 33), 6) AS mean_quality, count(*) AS n FROM (SELECT mate, unnest(range(0, length(seq))) AS i, unnest(string_split(seq, '')) AS c FROM reads WHERE seq <> '') GROUP BY 1, 2",
     "reads",
 )
 def _(t):
-    out = sequences.quality_by_cycle(t.reads().withColumn("qual", F.col("seq")), ["mate"], 50)
+    out = sequences.quality_by_cycle(t.reads().withColumn("qual", F.col("seq")), ["mate"])
     return out.withColumn("mean_quality", F.round("mean_quality", 6))
 
 
@@ -733,6 +720,7 @@ def _(t):
     "manifest_rules",
     """WITH s AS (SELECT o_orderkey AS k, 's' || (o_orderkey % 5000) AS id, o_orderkey FROM orders)
     SELECT 'pe_without_mate' AS rule, id AS key, '' AS detail FROM s WHERE k % 7 = 0 AND k % 3 <> 0 UNION ALL SELECT 'se_with_mate', id, '' FROM s WHERE k % 7 = 1 AND k % 3 = 0
+    UNION ALL SELECT 'read_type', id, 'pacbio' FROM s WHERE k % 19 = 0 UNION ALL SELECT 'use_for', id, 'count;maps' FROM s WHERE k % 23 = 0
     UNION ALL SELECT 'strandedness', id, 'sideways' FROM s WHERE k % 11 = 0 UNION ALL SELECT 'bam_or_fastq', id, '' FROM s WHERE k % 13 = 0
     UNION ALL SELECT 'duplicate_sample', id, CAST(min(k) AS VARCHAR) FROM s GROUP BY id HAVING count(*) > 1""",
 )
@@ -742,6 +730,7 @@ def _(t):
         k.alias("line"), F.concat(F.lit("s"), (k % 5000).cast("string")).alias("sample_id"), F.when(k % 7 == 0, "PE").when(k % 7 == 1, "SE").otherwise("").alias("layout"),
         F.lit("a_R1.fastq.gz").alias("fastq_1"), F.when(k % 3 == 0, "a_R2.fastq.gz").otherwise("-").alias("fastq_2"),
         F.when(k % 11 == 0, "sideways").otherwise("auto").alias("strandedness"), F.when(k % 13 == 0, "a.bam").otherwise("NA").alias("bam"),
+        F.when(k % 19 == 0, "pacbio").otherwise("Short").alias("read_type"), F.when(k % 23 == 0, "count;maps").otherwise("all").alias("use_for"),
     )
     return validate.sheet_rules(sheet)
 
@@ -812,8 +801,8 @@ def _(t):
     "SELECT o_orderkey FROM orders WHERE o_orderkey % 4 IN (0, 1)",
 )
 def _(t):
-    use = F.when(F.col("o_orderkey") % 4 == 0, "quant;ase").when(F.col("o_orderkey") % 4 == 1, "ALL").otherwise("ase")
-    return validate.selected_uses(t.read("orders").select("o_orderkey", use.alias("use_for")), "quant").select("o_orderkey")
+    use = F.when(F.col("o_orderkey") % 4 == 0, "count;braker").when(F.col("o_orderkey") % 4 == 1, "ALL").otherwise("stringtie")
+    return validate.selected_uses(t.read("orders").select("o_orderkey", use.alias("use_for")), "count").select("o_orderkey")
 
 
 # Normalisation and exploration
@@ -847,7 +836,7 @@ TMM_SQL = """+ t AS (SELECT gene_id FROM counts GROUP BY 1 HAVING sum(n) > 0), r
 
 @query("tmm_factors", TMM_SQL + " SELECT sample_id, CAST(library AS BIGINT) AS library, round(factor, 8) AS tmm_factor FROM tmm", "counts")
 def _(t):
-    return normalize.tmm_factors(t.counts()).withColumn("tmm_factor", F.round("tmm_factor", 8))
+    return normalize.tmm_factors(kept(t.counts(), "counts")).withColumn("tmm_factor", F.round("tmm_factor", 8))
 
 
 LOGCPM_SQL = TMM_SQL + """, eff AS (SELECT sample_id, library * factor AS e FROM tmm), lc AS (SELECT c.sample_id, c.gene_id,
@@ -855,7 +844,7 @@ LOGCPM_SQL = TMM_SQL + """, eff AS (SELECT sample_id, library * factor AS e FROM
 
 
 def _log_cpm(t):
-    c = t.counts()
+    c = kept(t.counts(), "counts")
     return normalize.log_cpm(c, normalize.tmm_factors(c))
 
 
@@ -893,7 +882,7 @@ def _(t):
         F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("sample_id"), F.col("l_partkey").alias("transcript_id"), F.col("l_extendedprice").alias("eff_length"), F.col("l_quantity").alias("tpm"), F.col("l_quantity").alias("num_reads")
     )
     gene_map = t.read("part").select(F.col("p_partkey").alias("transcript_id"), F.concat(F.lit("g"), F.col("p_partkey").cast("string")).alias("gene_id"))
-    return normalize.length_offsets(normalize.gene_lengths(quant, gene_map)).withColumn("offset", F.round("offset", 6))
+    return normalize.length_offsets(kept(normalize.gene_lengths(quant, gene_map), "lengths")).withColumn("offset", F.round("offset", 6))
 
 
 PAIRS_SQL = "+ x AS (SELECT * FROM expression WHERE sample_id % 10 = 0), d AS (SELECT a.sample_id AS s1, b.sample_id AS s2, a.gene_id, (a.logcpm - b.logcpm) ** 2 AS d2 FROM x a JOIN x b USING (gene_id) WHERE a.sample_id < b.sample_id)"
@@ -926,25 +915,50 @@ def _(t):
     return explore.mds(explore.leading_distance(expr, 500)).withColumn("coordinate", F.round("coordinate", 6))
 
 
+def _pca(t):
+    expr = kept(_log_cpm(t), "logcpm")
+    return explore.pca(expr, explore.top_variable(expr, 500))
+
+
 @query("pca_variance")
 def _(t):
-    return explore.pca(_log_cpm(t), explore.top_variable(_log_cpm(t), 500))[1].withColumn("variance_fraction", F.round("variance_fraction", 6))
+    return _pca(t)[1].withColumn("variance_fraction", F.round("variance_fraction", 6))
 
 
 @query("pca_scores")
 def _(t):
-    return explore.pca(_log_cpm(t), explore.top_variable(_log_cpm(t), 500))[0].withColumn("score", F.round("score", 5))
+    return _pca(t)[0].withColumn("score", F.round("score", 5))
+
+
+@query(
+    "sample_gram",
+    DENSE_SQL + """, x AS (SELECT sample_id, gene_id, log2(n + 1) - avg(log2(n + 1)) OVER (PARTITION BY gene_id) AS v FROM counts)
+    SELECT a.sample_id AS s1, b.sample_id AS s2, round(sum(a.v * b.v), 4) AS g FROM x a JOIN x b USING (gene_id) WHERE a.sample_id <= b.sample_id GROUP BY 1, 2""",
+    "counts",
+)
+def _(t):
+    """What the principal components are taken from."""
+    expr = t.counts().withColumn("v", F.log2(F.col("n") + 1))
+    centred = expr.withColumn("v", F.col("v") - F.avg("v").over(Window.partitionBy("gene_id")))
+    return explore.gram_matrix(centred).withColumn("g", F.round("g", 4))
 
 
 # Inference and enrichment
 
 
 def _dense(t):
-    """log2 counts of the genes that all samples have."""
-    c = t.counts().withColumn("logcpm", F.log2(F.col("n") + 1))
-    full = c.groupBy("gene_id").agg(F.count(F.lit(1)).alias("k")).where("k >= 12").select("gene_id")
-    grid = full.select("gene_id", F.explode(F.array(*[F.lit(s) for s in SAMPLES])).alias("sample_id"))
-    return grid.join(c, ["gene_id", "sample_id"], "left").select("sample_id", "gene_id", F.coalesce("logcpm", F.lit(0.0)).alias("logcpm"))
+    """log2 counts of all samples for the genes that the design's filter keeps (groups of ten)."""
+    c = kept(t.dense_counts(), "dense")
+    genes = normalize.design_filter(c, 1 / 10).select("gene_id")
+    return c.join(genes, "gene_id", "left_semi").select("sample_id", "gene_id", F.log2(F.col("n") + 1).alias("logcpm"))
+
+
+DENSE_Y = """+ dl AS (SELECT sample_id, sum(n) AS lib FROM dense GROUP BY 1), cut AS (SELECT 10 / median(lib) * 1e6 AS c FROM dl),
+    few AS (SELECT gene_id FROM dense JOIN dl USING (sample_id), cut GROUP BY 1 HAVING count(*) FILTER (n * 1e6 / lib >= c) >= 10 - 1e-14 AND sum(n) >= 15),
+    y AS (SELECT gene_id, sample_id, treatment, batch, CASE WHEN treatment = 'treated' THEN 1 ELSE 0 END AS x, log2(n + 1) AS v FROM dense JOIN few USING (gene_id) JOIN samples USING (sample_id))"""
+#: The effect of one factor beside another by residuals: of both its indicator and the values, less the means of the other's levels.
+EFFECT_SQL = DENSE_Y + """, w AS (SELECT gene_id, treatment, v, x - avg(x) OVER (PARTITION BY gene_id, batch) AS r, v - avg(v) OVER (PARTITION BY gene_id, batch) AS e, v - avg(v) OVER (PARTITION BY gene_id, treatment) AS e0 FROM y),
+    g AS (SELECT gene_id, sum(r * e) / sum(r * r) AS lfc, sum(r * r) AS srr, sum(e * e) - sum(r * e) ** 2 / sum(r * r) AS rss, sum(e0 * e0) AS rss0 FROM w GROUP BY 1)"""
 
 
 def _design(t):
@@ -967,11 +981,10 @@ def _contrast(t):
 
 @query(
     "group_effect",
-    """+ full_genes AS (SELECT gene_id FROM counts GROUP BY 1 HAVING count(*) >= 12), y AS (SELECT gene_id, s.sample_id, treatment, coalesce(log2(n + 1), 0) AS v FROM full_genes CROSS JOIN samples s LEFT JOIN counts USING (gene_id, sample_id))
-    SELECT gene_id, round(avg(v) FILTER (treatment = 'treated') - avg(v) FILTER (treatment = 'control'), 6) AS "logFC",
+    DENSE_Y + """ SELECT gene_id, round(avg(v) FILTER (treatment = 'treated') - avg(v) FILTER (treatment = 'control'), 6) AS "logFC",
     round((avg(v) FILTER (treatment = 'treated') - avg(v) FILTER (treatment = 'control')) / sqrt((var_samp(v) FILTER (treatment = 'treated') * (count(*) FILTER (treatment = 'treated') - 1) + var_samp(v) FILTER (treatment = 'control') * (count(*) FILTER (treatment = 'control') - 1)) / 23.0
       * (1.0 / count(*) FILTER (treatment = 'treated') + 1.0 / count(*) FILTER (treatment = 'control'))), 5) AS statistic FROM y GROUP BY 1""",
-    "counts", "samples",
+    "counts", "samples", "dense",
 )
 def _(t):
     rows = [r.asDict() for r in t.samples().orderBy("sample_id").collect()]
@@ -980,17 +993,35 @@ def _(t):
     return out.select("gene_id", F.round("logFC", 6).alias("logFC"), F.round("statistic", 5).alias("statistic"))
 
 
-@query("contrast_fit")
+def _student_sql(df: int) -> str:
+    """Two-sided tail of Student's t for odd freedom, a finite sum in the angle whose tangent is |t| / sqrt(df)."""
+    c, terms = 1.0, []
+    for k in range((df - 1) // 2):
+        c *= 2 * k / (2 * k + 1) if k else 1.0
+        terms.append(f"{c!r} * cos(a) ** {2 * k + 1}")
+    return f"1 - 2 / pi() * (a + sin(a) * ({' + '.join(terms)}))"
+
+
+@query(
+    "contrast_fit",
+    EFFECT_SQL + f""", s AS (SELECT gene_id, lfc, lfc / sqrt(rss / 21 / srr) AS st, atan(abs(lfc / sqrt(rss / 21 / srr)) / sqrt(21)) AS a FROM g), p AS (SELECT gene_id, lfc, st, {_student_sql(21)} AS p FROM s),
+    q AS (SELECT *, p * count(*) OVER () / row_number() OVER (ORDER BY p, gene_id) AS q FROM p), f AS (SELECT *, least(1.0, min(q) OVER (ORDER BY p DESC, gene_id DESC ROWS UNBOUNDED PRECEDING)) AS fdr FROM q)
+    SELECT 'treated' AS contrast_id, gene_id, round(lfc, 6) AS "logFC", round(st, 6) AS statistic, round(p, 6) AS "PValue", round(fdr, 6) AS "FDR",
+    CASE WHEN fdr < 0.9 AND lfc > 0.3 THEN 'Up' WHEN fdr < 0.9 AND lfc < -0.3 THEN 'Down' ELSE 'Unchanged' END AS "Regulation" FROM f""",
+    "counts", "samples", "dense",
+)
 def _(t):
     return _contrast(t).select("contrast_id", "gene_id", *[F.round(c, 6).alias(c) for c in ("logFC", "statistic", "PValue", "FDR")], "Regulation")
 
 
-@query("omnibus")
+@query(
+    "omnibus",
+    EFFECT_SQL + """ SELECT gene_id, round((rss0 - rss) / 2 / (rss / 21), 6) AS statistic, round((1 + 2 * ((rss0 - rss) / 2 / (rss / 21)) / 21) ** (-10.5), 6) AS "PValue" FROM g""",
+    "counts", "samples", "dense",
+)
 def _(t):
     names, x, fitted = _tested(t)
     vectors = [inference.coefficient_contrast(names, {n: 1.0}) for n in names if n.startswith("factor:batch")]
-    import numpy as np
-
     out = inference.omnibus_test(fitted, x, np.stack(vectors))
     return out.select("gene_id", F.round("statistic", 6).alias("statistic"), F.round("PValue", 6).alias("PValue"))
 
@@ -1072,20 +1103,19 @@ def _(t):
 
 @query("union_distinct", "SELECT p_brand AS label FROM part UNION SELECT c_mktsegment FROM customer UNION SELECT o_orderpriority FROM orders")
 def _(t):
-    parts = [t.read(a).select(F.col(c).alias("label")) for a, c in (("part", "p_brand"), ("customer", "c_mktsegment"), ("orders", "o_orderpriority"))]
-    return validate.union_all(parts).distinct()
+    return tables.union_distinct([t.read(a).select(F.col(c).alias("label")) for a, c in (("part", "p_brand"), ("customer", "c_mktsegment"), ("orders", "o_orderpriority"))])
 
 
 @query("set_difference", "SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 0")
 def _(t):
     used = t.read("orders").where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("id"))
-    return t.read("customer").select(F.col("c_custkey").alias("id")).distinct().join(used, "id", "left_anti")
+    return tables.only_in(t.read("customer").select(F.col("c_custkey").alias("id")), used, ["id"])
 
 
 @query("set_intersection", "SELECT c_custkey AS id FROM customer WHERE c_custkey % 2 = 0 INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def _(t):
     used = t.read("orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"))
-    return t.read("customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id")).distinct().join(used, "id", "left_semi")
+    return tables.in_both(t.read("customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id")), used, ["id"])
 
 
 @query("percent_decode_map", "SELECT p_partkey, p_name AS name, p_brand || '+x' AS brand FROM part")
@@ -1097,7 +1127,9 @@ def _(t):
 
 @query("first_wins", "SELECT user_id, arg_min(event_type, event_id) AS first_type, arg_max(event_type, event_id) AS last_type FROM events GROUP BY 1")
 def _(t):
-    return t.read("events").groupBy("user_id").agg(F.min_by("event_type", "event_id").alias("first_type"), F.max_by("event_type", "event_id").alias("last_type"))
+    e = t.read("events").select("user_id", "event_type", "event_id")
+    first = tables.one_per_key(e, ["user_id"], ["event_id"], last=False).select("user_id", F.col("event_type").alias("first_type"))
+    return first.join(tables.one_per_key(e, ["user_id"], ["event_id"]).select("user_id", F.col("event_type").alias("last_type")), "user_id")
 
 
 @query("single_base_sites", "SELECT event_id, chrom, pos FROM snps WHERE ref <> 'N' AND length(ref) = 1", "snps")

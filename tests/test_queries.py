@@ -2,7 +2,7 @@
 
 import pytest
 
-from omicspark.queries import ORACLES, QUERIES
+from omicspark.catalog import ORACLES, QUERIES
 from tests.comparing import connection, difference
 
 SF = "/root/testdata/sf0.01"
