@@ -103,19 +103,38 @@ def test_near_duplicates_edges(spark):
     odd = spark.createDataFrame(
         [(None, "a b c d e f", 1), (4, "a b c d e f", 2), (4, "a b c d e f", 3), (9, "z " * 5000, 4)], "doc_id bigint, text string, node int"
     )
-    got = sorted((r.doc_id or -1, r.component_id) for r in partenum_join.near_duplicates(odd).collect())
+    rows = partenum_join.near_duplicates(odd).collect()
+    assert {r.n_links for r in rows} == {0}
+    got = sorted((r.doc_id or -1, r.component_id) for r in rows)
     assert got == [(-1, 4), (4, 4), (4, 4), (9, 9)]
     assert sorted(r.doc_id or -1 for r in partenum_join.keep_one_of_each(odd).collect()) == [-1, 4, 4, 9]
 
 
+def test_rows_are_told_by_id_and_text(spark):
+    words = [f"w{i}" for i in range(60)]
+    one, other, third = " ".join(words), " ".join(words[:58] + ["x", "y"]), " ".join(reversed(words))
+    docs = spark.createDataFrame([(1, one), (1, one), (2, other), (2, third), (9, third)], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.component_id, r.n_links) for r in partenum_join.near_duplicates(docs).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (2, 2, 0), (9, 2, 0)]
+    assert sorted((r.doc_id, r.text) for r in partenum_join.keep_one_of_each(docs).collect()) == sorted([(1, one), (1, one), (2, third)])
+    rows = spark.createDataFrame([(5, "a", 1), (5, "b", 2), (7, "A", 3), (7, "A", 4), (None, "b", 5)], "doc_id bigint, text string, kept int")
+    assert sorted((r.doc_id, r.text, r.kept) for r in exact_dedup.keep_one_copy(rows).collect()) == [(5, "b", 2), (7, "A", 3), (7, "A", 4)]
+
+
+def test_set_collisions_are_refused(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, 5, 7, 3), (2, 5, 8, 3)], "doc_id bigint, node bigint, proof bigint, n_shingles bigint")
+    with pytest.raises(ValueError):
+        partenum_join.refuse_collisions(docs)
+
+
 def test_shingles_do_not_cross_texts():
     whole = list(shingle_sets(["a b c", None, "d e f g", ""], 4))
     assert [len(s) for s in whole] == [1, 0, 1, 0]
     assert whole[0][0] != whole[2][0]
 
 
-@pytest.mark.parametrize("name", ["op3_exact_dedup"])
-def test_exact_dedup_sql(spark, name):
+@pytest.mark.parametrize("name", ["op1_quality_rules", "op3_exact_dedup", "op4_url_filter"])
+def test_sql(spark, name):
     from omicspark.llm.queries import ORACLES, QUERIES
 
     sf = "/root/testdata/sf0.001"
