@@ -43,7 +43,7 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: Learnt scores, permutations and tokens are beyond SQL; tests hold the stages against brute force.
+#: Learnt scores, permutations and tokens are beyond SQL; tests hold the rows of the whole against plain loops.
 ORACLE_SQL = None
 
 
