@@ -238,8 +238,8 @@ def test_readers_and_writers(spark, tmp_path):
     (tmp_path / "a.gff3").write_text("##gff\nc1\ts\tgene\t1\t9\t.\t+\t.\tID=g1;Name=x\nc1\ts\texon\t1\t5\t.\t+\t.\tParent=g1\nbad line\n")
     gff = readers.read_gff(spark, str(tmp_path / "a.gff3"))
     assert gff.count() == 2 and one(readers.genes_of(gff)).gene_id == "g1"
-    lines = [r.value for r in writers.gff_rows(gff.orderBy("line")).collect()]
-    assert lines[1] == "c1\ts\texon\t1\t5\t.\t+\t.\tParent=g1"
+    lines = [r.value for r in writers.gff_rows(gff.orderBy("at")).collect()]
+    assert lines[1] == "c1\ts\texon\t1\t5\t.\t+\t.\tParent=g1;"
     (tmp_path / "a.fa").write_text(">q1 first one\nACG\nTnn\n>q2\nAC\n")
     assert [(r.seq_id, r.descr, r.sequence) for r in readers.read_fasta(spark, str(tmp_path / "a.fa")).orderBy("ord").collect()] == [("q1", "first one", "ACGTnn"), ("q2", "", "AC")]
     (tmp_path / "r.fastq").write_text("@r1/1 x\nACGT\n+\nIIII\n@r2/1\nAC\n+\nII\n")
@@ -274,3 +274,140 @@ def test_import_reports_problems_and_still_gives_qc(spark):
     assay = project.import_assay(c, k, samples, inputs)
     assert {r.rule for r in assay.problems.collect()} == {"include_analysis", "not_one_to_one"}
     assert one(assay.metrics).assignment_rate_pct == 100
+
+
+# Files: names, places, sizes
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        want = set()
+        for folder, tag, end in (("a", "x", "\n"), ("b", "y", "\r\n")):
+            (tmp_path / folder).mkdir()
+            text = "".join(f"@{tag}{i}/1 more{end}ACGT{i}{end}+{end}IIII{i}{end}" for i in range(60))
+            (tmp_path / folder / "r.fastq").write_bytes(text.encode())
+            want |= {(folder, f"{tag}{i}", f"ACGT{i}", f"IIII{i}") for i in range(60)}
+        reads = readers.read_fastq(spark, [str(tmp_path / "a" / "r.fastq"), str(tmp_path / "b" / "r.fastq")])
+        got = {(r.path.split("/")[-2], r.read_id, r.seq, r.qual) for r in reads.collect()}
+        assert got == want
+        contig = "\n".join("ACGTNacgtn"[: 1 + i % 10] for i in range(300))
+        (tmp_path / "g.fa").write_text(f">c1 long\n{contig}\n>c2\nNN\nac\n")
+        rows = readers.fasta_lines(spark, str(tmp_path / "g.fa"))
+        assert {(r.seq_id, r.n) for r in rows.groupBy("seq_id").agg(F.count("*").alias("n")).collect()} == {("c1", 300), ("c2", 2)}
+        stats = one(sequences.genome_line_stats(rows))
+        assert (stats.total_bp, stats.contigs, stats.max_contig_bp) == (1654, 2, 1650)
+        lines = contig.split("\n") + ["NN", "ac"]
+        some, total = [], 0
+        for line in lines:
+            if total < 500:
+                some.append(line)
+                total += len(line)
+        prefix = one(sequences.genome_line_stats(rows, 500))
+        text = "".join(some)
+        assert prefix.composition_scanned_bp == len(text) and prefix.total_bp == 1654
+        assert prefix.n_fraction == pytest.approx(sum(c in "Nn" for c in text) / len(text)) and prefix.softmask_fraction == pytest.approx(sum(c.islower() for c in text) / len(text))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_samples_that_share_a_name_are_refused(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "s1.tsv").write_text("g1\t3\n")
+    with pytest.raises(ValueError):
+        readers.read_htseq(spark, [str(tmp_path / "a" / "s1.tsv"), str(tmp_path / "b" / "s1.tsv")])
+
+
+def test_gzip_and_last_value_wins(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "s1.htseq.tsv.gz", "wt") as f:
+        f.write("g1\t3\ng1\t4\n__ambiguous\t2\n")
+    genes, special = readers.read_htseq(spark, str(tmp_path / "s1.htseq.tsv.gz"))
+    assert one(genes).n == 4 and one(special).n == 2
+
+
+def test_attribute_style_is_the_lines(spark):
+    from omicspark.functions.columns import gff_attributes
+
+    texts = ['ID=a; Name = b c ;ID=z', 'gene_id "g1"; note "x=y"; level 2', 'Parent=p1,p2;', '']
+    got = [r.m for r in spark.createDataFrame([(t,) for t in texts], "t string").select(gff_attributes(F.col("t")).alias("m")).collect()]
+    assert got == [{"Name": "b c", "ID": "z"}, {"gene_id": "g1", "note": "x=y", "level": "2"}, {"Parent": "p1,p2"}, {}]
+
+
+def test_constants_of_the_formats(spark, tmp_path):
+    assert [one(spark.range(1).select(annotation.informative(F.lit(t)).alias("x"))).x for t in ("N/A", "Unnamed protein product", "none", "predicted protein")] == [None, None, "none", "predicted protein"]
+    assert readers.SHEET_ALIASES["type"] == "layout" and "treatment" not in readers.SHEET_ALIASES and "cram" not in readers.SHEET_ALIASES
+    ends = spark.createDataFrame([(n,) for n in ("a_R1.fq.BZ2", "a_R1.fastq.zst", "a_R1.txt")], "path string")
+    listing = spark.createDataFrame([("a_R2.fq.BZ2", 1), ("a_R2.fastq.zst", 1), ("a_R2.txt", 1)], "path string, size bigint")
+    assert {r.mate for r in validate.inferred_mates(ends, listing).collect()} == {"a_R2.fq.BZ2", "a_R2.fastq.zst"}
+    (tmp_path / "t.3line").write_text(">p1 | TM\nMKL\nIMMMOBBI\n>p2 | GLOB\nMKL\nIIIIIIII\n")
+    assert {(r.protein_id, r.kind, r.n_tm) for r in readers.read_topology(spark, str(tmp_path / "t.3line")).collect()} == {("p1", "TM", 2), ("p2", "GLOB", 0)}
+    (tmp_path / "syri.out").write_text("c\t1\t90\t-\t-\tq\t95\t2\tB1\t-\tSYN\t-\nc\t1\t90\t-\t-\tq\t2\t95\tB2\t-\tINV\t-\n")
+    block = one(readers.syri_blocks(readers.read_syri(spark, str(tmp_path / "syri.out"))))
+    assert block.block_id == "B1" and block.inverted
+    genes = spark.createDataFrame([("g", "q", 10, 20)], "gene_id string, chrom string, start bigint, end bigint")
+    blocks = spark.createDataFrame([("B1", "q", 95, 2)], "block_id string, chrom string, start bigint, end bigint")
+    assert one(intervals.genes_in_blocks(genes, blocks, 10)).gene_id == "g"
+    snps = spark.createDataFrame([("c1", 30, "A", "G"), ("c1", 4, "C", "T")], "chrom string, pos bigint, ref string, alt string")
+    writers.write_snps_by_chromosome(snps, str(tmp_path / "snps"))
+    assert "".join(p.read_text() for p in sorted((tmp_path / "snps" / "c1.snps.txt").glob("part*"))) == "4\tC\tT\n30\tA\tG\n"
+    long_id = spark.createDataFrame([(1, "s" * 65, "", "a.fq", "", "", "")], "line bigint, sample_id string, layout string, fastq_1 string, fastq_2 string, strandedness string, bam string")
+    assert {r.rule for r in validate.sheet_rules(long_id).collect()} == {"sample_id"}
+
+
+def test_merops_takes_the_first_hit(spark, tmp_path):
+    (tmp_path / "m.txt").write_text("# made\np1\tMER1 S8A like\np1\tMER2 C1\np2\tx\t1\t2\t3\tM10 family\np3\todd\n")
+    assert {(r.protein_id, r.family) for r in readers.read_merops(spark, str(tmp_path / "m.txt")).collect()} == {("p1", "S8A"), ("p2", "M10"), ("p3", "odd")}
+
+
+def test_last_product_wins_by_its_place(spark):
+    rows = spark.createDataFrame([("p", "kinase", 1), ("p", "ligase", 2), ("p", "n/a", 3)], "protein_id string, product string, ord int")
+    got = one(annotation.product_table(rows.select("protein_id").distinct(), {"swissprot": rows}))
+    assert got.product == "ligase" and got.evidence == "swissprot"
+
+
+# Limits raise
+
+
+def test_limits_raise(spark, monkeypatch):
+    monkeypatch.setattr(explore, "MOST_SAMPLES", 2)
+    pairs = spark.createDataFrame([("a", "b", 1.0), ("a", "c", 1.0), ("b", "c", 1.0), ("a", "d", 2.0)], "s1 string, s2 string, distance double")
+    with pytest.raises(ValueError):
+        explore.mds(pairs)
+    nodes = spark.createDataFrame([("n0", "gene", None)], "id string, type string, gene_id string")
+    edges = spark.createDataFrame([(f"n{i + 1}", f"n{i}", 0) for i in range(6)], "id string, parent string, ord int")
+    with pytest.raises(ValueError):
+        features.resolve_genes(nodes, edges, most_rounds=4)
+    assert features.resolve_genes(nodes, edges).agg(F.max("depth")).first()[0] == 6
+
+
+def test_reused_ids_fill_what_is_empty(spark):
+    rows = spark.createDataFrame([("gene", {"ID": "x"}, 1), ("exon", {"ID": "x", "Parent": "p, q", "gene_id": ""}, 2), ("exon", {"ID": "x", "Parent": "r", "gene_id": "late"}, 3), ("exon", {"gene_id": "only"}, 4)], "type string, attrs map<string,string>, ord int")
+    nodes, edges = features.merged_nodes(rows)
+    assert {(r.id, r.type, r.gene_id) for r in nodes.collect()} == {("x", "gene", "late"), ("only", "exon", "only")}
+    assert {(r.id, r.parent, r.ord) for r in edges.collect()} == {("x", "p", 0), ("x", "q", 1)}
+
+
+def test_designs_are_checked(spark):
+    samples = [{"sample_id": f"s{i}", "treatment": "t" if i % 2 else "c", "unit": f"u{i // 2}", "subject": f"p{i // 2}"} for i in range(6)]
+    _, _, x = inference.design_matrix(samples, {"treatment": "c"})
+    assert inference.design_problems(x, samples, ["treatment"], "unit") == ["repeated units need a subject"]
+    assert inference.design_problems(x, samples, ["treatment"], "unit", "subject") == []
+    samples[0]["subject"] = "p2"
+    assert "subject and unit are not one to one" in inference.design_problems(x, samples, ["treatment"], "unit", "subject")
+    with pytest.raises(ValueError):
+        inference.design_matrix([{**s, "dose": "nan"} for s in samples], {}, ["dose"])
+
+
+def test_gapped_reads_are_judged_by_block(spark):
+    reads = spark.createDataFrame([("r", 1, "c", 9, 60, "2S4M100N3I4M", "xxACGTyyyACGT", "I" * 13)], "read_id string, mate int, chrom string, pos0 bigint, mapq int, cigar string, seq string, qual string")
+    blocks = intervals.aligned_blocks(reads)
+    assert {(b.start, b.end, b.seq_at) for b in blocks.collect()} == {(10, 13, 3), (114, 117, 10)}
+    snps = spark.createDataFrame([("c", 11, "C", "T"), ("c", 50, "A", "G"), ("c", 116, "A", "G")], "chrom string, pos bigint, ref string, alt string")
+    got = {(r.pos, r.a_count, r.b_count) for r in intervals.allele_counts(blocks, snps, 50).collect()}
+    assert got == {(11, 1, 0), (116, 0, 1)}
+    assert one(intervals.split_by_snps(blocks, snps.where("pos = 50"), 50)).route == "keep"
