@@ -20,7 +20,9 @@ CHUNK, BATCH_BYTES = 1_000_000, 1 << 17
 #: Strings must be so much longer than ``Q`` at most: offsets within a run are kept in 16 bits.
 MOST_LENGTH = 1 << 15
 _LATER = mix64(np.arange(11, 15, dtype=np.uint64)) | np.uint64(1)
-_WHOLE = np.uint64(0xFFFF)
+_LOW16 = np.uint64(0xFFFF)
+#: In place of the representative's offset: the cover is several places of a run that overlap.
+_MERGED = np.uint64(0xFFFF << 16)
 _U16, _U32 = np.uint64(16), np.uint64(32)
 
 
@@ -103,7 +105,7 @@ def side_marks(pointer: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.nd
 def shared_sides(bucket: np.ndarray, sides: np.ndarray) -> np.ndarray:
     """Bit 1 for rows whose mark before is that of another row of their bucket, bit 2 for the mark after."""
     out = np.zeros(len(bucket), dtype=np.int8)
-    for bit, mark in ((1, sides >> np.uint64(48)), (2, (sides >> _U32) & _WHOLE)):
+    for bit, mark in ((1, sides >> np.uint64(48)), (2, (sides >> _U32) & _LOW16)):
         order = np.lexsort((mark, bucket))
         b, m = bucket[order], mark[order]
         same = (b[1:] == b[:-1]) & (m[1:] == m[:-1])
@@ -139,35 +141,37 @@ def packed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
 
 
 def later_holders(rows: DataFrame, length: int) -> DataFrame:
-    """Refine buckets: ``doc_id, mark, span, found`` of ``rows(bucket, key, doc_id, mark, cover, sides)``.
-
-    With ``found`` 0, ``span`` is the cover (start, length) of a key in a document when a smaller one holds that key too.
-    With 1, it is where (start, number) the strings stand, in a smallest holder of one of several keys of a bucket, that
-    another key may have as well: on the sides whose marks it shares. Rows without ``sides`` were found later where they
-    were made, and pass. Documents are sorted within keys and keys within buckets; one pass reads them with the last key
-    and its smallest holder as state, and takes both sides of a bucket that runs on into another batch as shared.
+    """Refine buckets: ``doc_id, mark, span, found, source, source_mark, place`` of ``rows(bucket, key, doc_id, mark, cover, sides, other)``.
+
+    With ``found`` 0, ``span`` is the cover (start, length) of a key in a document when a smaller one, ``source``, holds that key too, at ``place``
+    (start, length of the run). With 1, it is where (start, number) the strings stand, in a smallest holder of one of several keys of a bucket,
+    that another key may have as well: on the sides whose marks it shares. Rows without ``sides`` were found later where they
+    were made, and pass: they bring their source in place of bucket and key. Documents are sorted within keys and keys within buckets; one pass
+    reads them with the last key and its smallest holder as state, and takes both sides of a bucket that runs on into
+    another batch as shared.
     """
     half = (length - Q) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: tuple[int, int, int] | None = None
+        state: tuple[int, ...] | None = None
         for batch in batches:
-            b, k, d, mark, cover, sides = (batch.column(j).to_numpy() for j in range(6))
-            here = np.flatnonzero(sides)
-            out = [[x[sides == 0] for x in (d, mark, cover)] + [np.zeros(len(b) - len(here), dtype=np.int8)]]
+            b, k, d, mark, cover, sides, other = (batch.column(j).to_numpy() for j in range(7))
+            past, here = np.flatnonzero(sides == 0), np.flatnonzero(sides)
+            out = [[x[past] for x in (d, mark, cover)] + [np.zeros(len(past), dtype=np.int8)] + [x[past] for x in (b, other, k)]]
             if len(here):
                 b, k, d, mark, cover = (x[here] for x in (b, k, d, mark, cover))
                 sides = sides[here].view(np.uint64)
                 turn = np.concatenate(([True], b[1:] != b[:-1]))
                 new = turn | np.concatenate(([True], k[1:] != k[:-1]))
                 start, run_of = np.flatnonzero(new), np.cumsum(new) - 1
-                least = d[start]
+                far = (sides & _LOW16).astype(np.int64)
+                least, least_mark, least_at = d[start], mark[start], packed(cover[start] >> 32, far[start] - 1 + length)
                 edge = b == b[-1]
                 if state and state[0] == b[0]:
                     edge |= b == b[0]
                     if state[1] == k[0]:
-                        least[0] = state[2]
-                state = int(b[-1]), int(k[-1]), int(least[-1])
+                        least[0], least_mark[0], least_at[0] = state[2:]
+                state = int(b[-1]), int(k[-1]), int(least[-1]), int(least_mark[-1]), int(least_at[-1])
                 later = d != least[run_of]
                 bucket_of = (np.cumsum(turn) - 1)[start]
                 several = (np.bincount(bucket_of) > 1)[bucket_of]
@@ -175,26 +179,27 @@ def later_holders(rows: DataFrame, length: int) -> DataFrame:
                 flags[several] = shared_sides(b[start[several]], sides[start[several]])
                 flags = np.where(edge, 3, flags[run_of])
                 hold = np.flatnonzero(~later & (flags > 0))
-                flags, first, far = flags[hold], cover[hold] >> 32, (sides[hold] & _WHOLE).astype(np.int64)
-                at = first + ((sides[hold] >> _U16) & _WHOLE).astype(np.int64)
-                last = np.where(far == int(_WHOLE), first + (cover[hold] & 0xFFFFFFFF) - length, first + far - 1)
-                flags = np.where(far == int(_WHOLE), 3, flags)
+                first, merged = cover[hold] >> 32, (sides[hold] & _MERGED) == _MERGED
+                at = first + ((sides[hold] >> _U16) & _LOW16).astype(np.int64)
+                last = np.where(merged, first + (cover[hold] & 0xFFFFFFFF) - length, first + far[hold] - 1)
+                flags = np.where(merged, 3, flags[hold])
                 low = np.where(flags & 1, first, np.maximum(first, at - half + 1))
                 n = np.where(flags & 2, last, np.minimum(last, at - half)) - low + 1
                 hold, low, n = hold[n > 0], low[n > 0], n[n > 0]
-                out.append([x[later] for x in (d, mark, cover)] + [np.zeros(int(later.sum()), dtype=np.int8)])
-                out.append([d[hold], mark[hold], packed(low, n), np.ones(len(hold), dtype=np.int8)])
+                late = np.flatnonzero(later)
+                out.append([x[late] for x in (d, mark, cover)] + [np.zeros(len(late), dtype=np.int8)] + [x[run_of[late]] for x in (least, least_mark, least_at)])
+                out.append([d[hold], mark[hold], packed(low, n), np.ones(len(hold), dtype=np.int8)] + [np.zeros(len(hold), dtype=np.int64)] * 3)
             columns = [np.concatenate(x) for x in zip(*out, strict=True)]
             if len(columns[0]):
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["doc_id", "mark", "span", "found"])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["doc_id", "mark", "span", "found", "source", "source_mark", "place"])
 
     route = F.when(F.col("sides") == 0, F.xxhash64("doc_id")).otherwise(F.col("bucket"))
     dealt = rows.repartition(route).sortWithinPartitions("bucket", "key", "doc_id")
-    return dealt.mapInArrow(run, "doc_id bigint, mark bigint, span bigint, found tinyint")
+    return dealt.mapInArrow(run, "doc_id bigint, mark bigint, span bigint, found tinyint, source bigint, source_mark bigint, place bigint")
 
 
 def combined(bucket, key, doc, mark, first, size, sides) -> pa.RecordBatch:
-    """Rows of a task by bucket, key and document; those of other documents than a key's smallest get no ``sides``.
+    """Rows of a task by bucket, key and document; those of other documents than a key's smallest get no ``sides`` but that one as their source.
 
     Places of one key in one document that overlap are one cover, as in a text that repeats a short period.
     """
@@ -205,29 +210,29 @@ def combined(bucket, key, doc, mark, first, size, sides) -> pa.RecordBatch:
     many = np.flatnonzero(twin[1:] | twin[:-1])
     part = order[many]
     order[many] = part[np.lexsort((first[part], doc[part], key[part], bucket[part]))]
-    k, d, m, at, sides = (x[order] for x in (key, doc, mark, first, sides))
-    end = at + size[order]
+    k, d, m, at, size, sides = (x[order] for x in (key, doc, mark, first, size, sides))
+    end = at + size
     new = np.ones(len(b), dtype=bool)
     new[1:] = ~twin[1:-1] | (k[1:] != k[:-1])
-    least = d[np.flatnonzero(new)][np.cumsum(new) - 1]
     apart = new.copy()
     apart[1:] |= (d[1:] != d[:-1]) | (m[1:] != m[:-1]) | (at[1:] > end[:-1])
     keep = np.flatnonzero(apart)
+    least = np.flatnonzero(new)[np.cumsum(new)[keep] - 1]  # the row of each key's smallest document
     stop = np.append(keep[1:], len(b))
     sides = sides[keep]
-    sides[stop - keep > 1] |= _WHOLE
-    sides[d[keep] != least[keep]] = 0
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(b[keep].view(np.int64)), pa.array(k[keep].view(np.int64)), pa.array(d[keep]), pa.array(m[keep]),
-            pa.array(packed(at[keep], end[stop - 1] - at[keep])), pa.array(sides.view(np.int64)),
-        ],
-        names=["bucket", "key", "doc_id", "mark", "cover", "sides"],
-    )
+    sides[stop - keep > 1] |= _MERGED
+    known = d[keep] != d[least]
+    sides[known] = 0
+    from_at = packed(at[least], size[least])
+    columns = [
+        np.where(known, d[least], b[keep].view(np.int64)), np.where(known, from_at, k[keep].view(np.int64)), d[keep], m[keep],
+        packed(at[keep], end[stop - 1] - at[keep]), sides.view(np.int64), np.where(known, m[least], 0),
+    ]
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["bucket", "key", "doc_id", "mark", "cover", "sides", "other"])
 
 
 def bucket_rows(docs: DataFrame, make: Callable[..., tuple]) -> DataFrame:
-    """``bucket, key, doc_id, mark, cover, sides`` of ``docs(doc_id, mark, text, ...)``, combined per chunk of rows.
+    """``bucket, key, doc_id, mark, cover, sides, other`` of ``docs(doc_id, mark, text, ...)``, combined per chunk of rows.
 
     ``make(data, bounds, first text, *other columns)`` gives, for texts that stand one after another, per row the number of its text, bucket,
     key, offset in the text, covered bytes and sides.
@@ -250,7 +255,68 @@ def bucket_rows(docs: DataFrame, make: Callable[..., tuple]) -> DataFrame:
         if held:
             yield combined(*map(np.concatenate, zip(*held, strict=True)))
 
-    return docs.mapInArrow(run, "bucket bigint, key bigint, doc_id bigint, mark bigint, cover bigint, sides bigint")
+    return docs.mapInArrow(run, "bucket bigint, key bigint, doc_id bigint, mark bigint, cover bigint, sides bigint, other bigint")
+
+
+CLAIM = "array<struct<start:int,n:int,source:bigint,source_mark:bigint,at:int,size:int>>"
+
+
+def claims(found: DataFrame) -> DataFrame:
+    """``doc_id, mark, claims`` of rows found later, ``found(doc_id, mark, spans)``: a text's covers that run on beside the same source are one claim."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            listed = batch.column(2)
+            flat = listed.flatten()
+            span, source, source_mark, place = (flat.field(j).to_numpy() for j in range(4))
+            text = np.repeat(np.arange(len(listed)), listed.value_lengths().to_numpy())
+            start, n, at, size = span >> 32, span & 0xFFFFFFFF, place >> 32, place & 0xFFFFFFFF
+            order = np.lexsort((start, at - start, source_mark, source, n != size, text))
+            text, start, n, source, source_mark, at, size = (x[order] for x in (text, start, n, source, source_mark, at, size))
+            whole = n == size
+            same = (text[1:] == text[:-1]) & (source[1:] == source[:-1]) & (source_mark[1:] == source_mark[:-1]) & (at[1:] - start[1:] == at[:-1] - start[:-1])
+            end = np.zeros(0, dtype=np.int64)
+            new = np.ones(len(text), dtype=bool)
+            if len(text):
+                # Ends rise with starts within one source and shift up to the longest before; a claim ends where the next begins beyond.
+                block = np.cumsum(np.concatenate(([True], ~(same & whole[1:] & whole[:-1]))))
+                lift = block * (int((start + n).max()) + 1)
+                end = np.maximum.accumulate(start + n + lift) - lift
+                new[1:] = (block[1:] != block[:-1]) | (start[1:] > end[:-1])
+            head = np.flatnonzero(new)
+            tail = np.append(head[1:], len(text)) - 1
+            length = end[tail] - start[head] if len(head) else n[head]
+            fetched = np.where(whole[head], length, size[head])
+            offsets = np.searchsorted(text[head], np.arange(len(listed) + 1))
+            cells = [start[head].astype(np.int32), length.astype(np.int32), source[head], source_mark[head], at[head].astype(np.int32), fetched.astype(np.int32)]
+            made = pa.StructArray.from_arrays([*map(pa.array, cells)], names=["start", "n", "source", "source_mark", "at", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), made)], names=["doc_id", "mark", "claims"])
+
+    return found.select("doc_id", "mark", "spans").mapInArrow(rows, f"doc_id bigint, mark bigint, claims {CLAIM}")
+
+
+def evidence(claimed: DataFrame, texts: DataFrame) -> DataFrame:
+    """``__doc, __text, proofs`` of ``claimed(doc_id, mark, claims)``: each claim's place in its text with the bytes its source has there."""
+    c = claimed.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__text"), F.explode("claims").alias("c"))
+    held = c.join(texts, (F.col("c.source") == F.col("doc_id")) & (F.col("c.source_mark") == F.col("mark")))
+    content = F.substring(F.col("text").cast("binary"), F.col("c.at") + 1, F.col("c.size"))
+    # Rows that repeat an id and its text bring a claim's bytes once each; one is enough.
+    return held.groupBy("__doc", "__text").agg(F.collect_set(F.struct("c.start", "c.n", content.alias("content"))).alias("proofs"))
+
+
+def covers(content: bytes, text: bytes) -> bool:
+    """Whether places of ``content`` in ``text`` cover it from end to end."""
+    if len(content) == len(text):
+        return content == text
+    if not text.startswith(content):
+        return False
+    end = len(content)
+    while end < len(text):
+        at = text.rfind(content, end - len(content) + 1, min(len(text), end + len(content)))
+        if at < 0:
+            return False
+        end = at + len(content)
+    return True
 
 
 def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
@@ -268,8 +334,8 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     bucket that another run shares, and those that a smaller document has too go. Rows carry their places, so texts
     are hashed in these rounds and not for the cut. Pointers are content hashes, so no global ranking is
     needed; a task forwards few rows per bucket, key and chunk of its input, so a passage in a third of
-    all documents makes no large group. Equal strings are those equal in both the 64-bit bucket and the 64-bit key that
-    refines it to the whole content.
+    all documents makes no large group. Hashes only find candidates: before the cut, each text gets the bytes its sources have at
+    the places it claims and compares them; if a hash ever lied, the call raises, and it never misses an equal string.
 
     A null text counts as empty. Rows of a null id neither lose bytes nor cost others any; rows of one id are one
     document. Texts under ``length`` bytes stay. Extra columns are ignored; an empty table
@@ -291,10 +357,11 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         return text, pointer[at], run_keys(pointer, first, last, length) if len(first) else pointer[at], first - bounds[text], last - first + length, sides
 
     judged = later_holders(bucket_rows(numbered, runs), length)
-    spans = lambda n: F.collect_list(F.when(F.col("found") == n, F.col("span")))
-    lists = stash(
-        judged.groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).agg(spans(0).alias("later"), spans(1).alias("split")), "suffix_runs"
-    )
+    is_found = lambda n, c: F.collect_list(F.when(F.col("found") == n, c))
+    span = F.struct("span", "source", "source_mark", "place")
+    lists = stash(judged.groupBy("doc_id", "mark").agg(is_found(0, span).alias("spans"), is_found(1, F.col("span")).alias("split")), "suffix_runs")
+    first_claims = claims(lists.where("size(spans) > 0"))
+    lists = lists.withColumnsRenamed({"doc_id": "__id", "mark": "__mark"})
     own = (F.col("doc_id") == F.col("__id")) & (F.col("mark") == F.col("__mark"))
 
     def strings(data: np.ndarray, bounds: np.ndarray, low: int, split: pa.Array) -> tuple:
@@ -310,48 +377,44 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     more = lists.where("size(split) > 0").select("__id", "__mark", "split")
     texts = numbered.join(more, own).select("doc_id", "mark", "text", "split")
     found = later_holders(bucket_rows(texts, strings), length).where("found = 0")
-    single = stash(
-        found.groupBy(F.col("doc_id").alias("__doc"), F.col("mark").alias("__text")).agg(F.collect_list("span").alias("strings")), "suffix_strings"
-    )
+    single = stash(found.groupBy("doc_id", "mark").agg(F.collect_list(span).alias("spans")), "suffix_strings")
+    proofs = stash(evidence(first_claims.unionByName(claims(single)), numbered), "suffix_proofs")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = text_bytes(batch.column(1))
-            limits = bounds.tolist()
-            places = [(c.value_lengths().fill_null(0).to_numpy(), c.flatten().to_numpy()) for c in batch.columns[2:]]
-            ends = [np.cumsum(n) for n, _ in places]
-            out = []
-            for k in range(batch.num_rows):
-                covers = np.concatenate([v[e[k] - n[k] : e[k]] for (n, v), e in zip(places, ends, strict=True)])
-                out.append(cut(data[limits[k] : limits[k + 1]], covers))
+            limits, listed = bounds.tolist(), batch.column(2)
+            n = listed.value_lengths().fill_null(0).to_numpy()
+            ends, flat = np.cumsum(n), listed.flatten()
+            start, size, content = flat.field(0).to_numpy(), flat.field(1).to_numpy(), flat.field(2)
+            out = [cut(data[limits[k] : limits[k + 1]], start[e - m : e], size[e - m : e], content[e - m : e]) for k, (m, e) in enumerate(zip(n.tolist(), ends.tolist(), strict=True))]
             made = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), CUT_TYPES, strict=True)] if out else []
             if made:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    joined = (
-        docs.select("doc_id", mark.alias("mark"), "text")
-        .join(lists.where(F.size("later") > 0).select("__id", "__mark", "later"), own, "left")
-        .join(single, (F.col("doc_id") == F.col("__doc")) & (F.col("mark") == F.col("__text")), "left")
-        .select("doc_id", "text", "later", "strings")
-    )
-    return joined.mapInArrow(rows, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<array<bigint>>")
+    joined = docs.select("doc_id", mark.alias("mark"), "text").join(proofs, (F.col("doc_id") == F.col("__doc")) & (F.col("mark") == F.col("__text")), "left")
+    return joined.select("doc_id", "text", "proofs").mapInArrow(rows, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<array<bigint>>")
 
 
 CUT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64())))
 
 
-def cut(data: np.ndarray, covers: np.ndarray) -> tuple[int, int, int, str, list[list[int]]]:
-    """Bytes, removed bytes, spans, digest of the rest, and the spans, of packed covers (start, length)."""
-    if not len(covers):
+def cut(data: np.ndarray, start: np.ndarray, size: np.ndarray, content: pa.Array) -> tuple[int, int, int, str, list[list[int]]]:
+    """Bytes, removed bytes, spans, digest of the rest, and the spans, of places whose content is compared with that of their sources."""
+    if not len(start):
         return len(data), 0, 0, hashlib.sha256(data).hexdigest(), []
-    covers = np.sort(covers)
-    start = covers >> 32
-    end = np.maximum.accumulate(start + (covers & 0xFFFFFFFF))
+    raw = data.tobytes()
+    for low, n, held in zip(start.tolist(), size.tolist(), content.to_pylist(), strict=True):
+        if not covers(held, raw[low : low + n]):
+            raise ValueError("two different strings have equal hashes; choose another hash base")
+    order = np.argsort(start, kind="stable")
+    start = start[order].astype(np.int64)
+    end = np.maximum.accumulate(start + size[order])
     new = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1])))
     spans = np.stack((start[new], np.append(end[new[1:] - 1], end[-1])), axis=1).tolist()
     digest, at = hashlib.sha256(), 0
     for low, high in spans:
-        digest.update(data[at:low])
+        digest.update(raw[at:low])
         at = high
-    digest.update(data[at:])
-    return len(data), sum(high - low for low, high in spans), len(spans), digest.hexdigest(), spans
+    digest.update(raw[at:])
+    return len(raw), sum(high - low for low, high in spans), len(spans), digest.hexdigest(), spans
