@@ -542,3 +542,43 @@ def _(t):
     vector = inference.cell_contrast(names, [({"treatment": "treated", "batch": "b1"}, 1.0), ({"treatment": "control", "batch": "b1"}, -1.0)], factors)
     fitted = inference.fit(_dense(t), ids, x)
     return fitted.select("gene_id", F.round(sum(F.col("beta")[i] * float(v) for i, v in enumerate(np.asarray(vector))), 6).alias("logFC"))
+
+
+# Whole assays
+
+
+@query(
+    "import_problems",
+    """+ u AS (SELECT sample_id, (SELECT count(DISTINCT gene_id) FROM counts) - count(DISTINCT gene_id) AS m FROM counts GROUP BY 1)
+    SELECT 'gene_sets_differ' AS rule, sample_id AS key, CAST(m AS VARCHAR) AS detail FROM u WHERE m > 0 UNION ALL SELECT 'not_one_to_one', k, '' FROM (VALUES ('S24'), ('SX')) x(k)
+    UNION ALL SELECT 'disjoint', 'T' || (number // 2), '' FROM samples WHERE number = 6""",
+    "counts", "samples",
+)
+def _(t):
+    return _imported(t).problems
+
+
+@query(
+    "import_groups",
+    """+ s AS (SELECT sample_id, CAST(sum(n) AS BIGINT) AS a FROM counts GROUP BY 1), c AS (SELECT sample_id, CAST(sum(n) AS BIGINT) AS b, count(*) AS k FROM counters GROUP BY 1),
+    m AS (SELECT sample_id, CASE WHEN number < 20 THEN 'T' || (number // 2) ELSE sample_id END AS merge_id, a, CASE WHEN k = 5 THEN a + b END AS p FROM s LEFT JOIN c USING (sample_id) JOIN samples USING (sample_id))
+    SELECT merge_id, count(*) AS n_members, CAST(sum(a) AS BIGINT) AS numerator, CASE WHEN count(p) = count(*) THEN CAST(sum(p) AS BIGINT) END AS denominator FROM m GROUP BY 1""",
+    "counts", "counters", "samples",
+)
+def _(t):
+    return _imported(t).groups.select("merge_id", "n_members", "numerator", "denominator")
+
+
+def _imported(t):
+    from .plans import project
+
+    k = F.col("number")
+    merge = F.when(k < 20, F.concat(F.lit("T"), F.floor(k / 2).cast("string")))
+    listed = t.samples().where("number <> 24").select("sample_id", "number")
+    listed = listed.unionByName(listed.where("number = 0").select(F.lit("SX").alias("sample_id"), F.lit(99).alias("number")))
+    samples = listed.select(
+        "sample_id", F.lit("i").alias("input_id"), F.col("sample_id").alias("source_sample_id"), F.lit("true").alias("include_analysis"), F.lit("").alias("exclusion_reason"),
+        merge.alias("technical_merge_id"), (k % 2).alias("technical_partition_id"), F.when(k == 6, "no").otherwise("true").alias("technical_disjoint"),
+    )
+    inputs = t.spark.createDataFrame([("i", "x.tsv", "exclusive", None)], "input_id string, path string, count_mode string, sha256 string")
+    return project.import_assay(t.counts(), t.counters(), samples, inputs)
