@@ -18,6 +18,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.omicspark.release", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.local.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         .getOrCreate()
