@@ -34,8 +34,10 @@ def release(spark: SparkSession) -> None:
     """Have the driver collect its garbage, upon which Spark deletes shuffle files no plan needs any more.
 
     A finished command's plan is held until Spark's listeners have heard of its end, hence the pauses and
-    the second round.
+    the second round. ``spark.omicspark.release`` set to false leaves it out, where disk is ample and tables are small.
     """
+    if spark.conf.get("spark.omicspark.release", "true") == "false":
+        return
     for _ in range(2):
         gc.collect()
         time.sleep(0.3)
