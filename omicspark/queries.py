@@ -218,11 +218,16 @@ def _(t):
 @query(
     "assay_compat",
     """SELECT c_mktsegment AS assay, field, count(DISTINCT value) AS n_values FROM (
-      SELECT c_mktsegment, 'nation' AS field, CAST(c_nationkey AS VARCHAR) AS value FROM customer UNION ALL SELECT c_mktsegment, 'mode', 'exclusive' FROM customer) GROUP BY 1, 2 HAVING count(DISTINCT value) > 1""",
+      SELECT c_mktsegment, 'reference' AS field, CAST(c_nationkey AS VARCHAR) AS value FROM customer UNION ALL SELECT c_mktsegment, 'annotation', 'a1' FROM customer UNION ALL SELECT c_mktsegment, 'assignment_mode', 'exclusive' FROM customer
+      UNION ALL SELECT c_mktsegment, 'gene_universe', CASE WHEN c_custkey % 2 = 0 THEN 'full' ELSE 'filtered' END FROM customer UNION ALL SELECT c_mktsegment, 'annotation_sha256', CASE WHEN c_mktsegment[1:1] < 'F' THEN md5(c_name) END FROM customer
+      UNION ALL SELECT c_mktsegment, 'effective_nonunique', CASE WHEN c_acctbal < 0 THEN 'all' ELSE 'none' END FROM customer UNION ALL SELECT c_mktsegment, 'quant_tool', 'htseq' FROM customer) GROUP BY 1, 2 HAVING count(DISTINCT value) > 1""",
 )
 def _(t):
-    df = t.read("customer").select(F.col("c_mktsegment").alias("assay"), F.col("c_nationkey").alias("nation"), F.lit("exclusive").alias("mode"))
-    return counts.assay_conflicts(df, "assay", ["nation", "mode"])
+    fields = {
+        "reference": F.col("c_nationkey"), "annotation": F.lit("a1"), "assignment_mode": F.lit("exclusive"), "gene_universe": F.when(F.col("c_custkey") % 2 == 0, "full").otherwise("filtered"),
+        "annotation_sha256": F.when(F.substring("c_mktsegment", 1, 1) < "F", F.md5("c_name")), "effective_nonunique": F.when(F.col("c_acctbal") < 0, "all").otherwise("none"), "quant_tool": F.lit("htseq"),
+    }
+    return counts.assay_conflicts(t.read("customer").select(F.col("c_mktsegment").alias("assay"), *[c.alias(n) for n, c in fields.items()]), "assay", list(fields))
 
 
 @query(
