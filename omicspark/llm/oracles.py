@@ -44,15 +44,17 @@ OP1_QUALITY_RULES = """
     v AS (SELECT doc_id, lang, source, metric, CAST(floor(1000 * x / n_words) AS BIGINT) AS v FROM b,
             LATERAL (VALUES ('word_length', word_chars), ('symbols', n_symbols), ('dup_lines', n_dup_lines), ('repeats', n_repeat_words)) t(metric, x) WHERE NOT base_failed),
     s AS (SELECT lang, source, metric, greatest(0, length(bin(v)) - 6) * 32 + (v >> greatest(0, length(bin(v)) - 6)) AS bucket, count(*) AS n FROM v GROUP BY ALL),
-    lv AS (SELECT 0 AS level, lang, source, metric, bucket, n FROM s UNION ALL SELECT 1, lang, NULL, metric, bucket, sum(n) FROM s GROUP BY lang, metric, bucket
-           UNION ALL SELECT 2, NULL, NULL, metric, bucket, sum(n) FROM s GROUP BY metric, bucket),
-    u AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER (PARTITION BY level, lang, source, metric) AS total,
+    a2 AS (SELECT metric, bucket, sum(n) / sum(sum(n)) OVER (PARTITION BY metric) AS share FROM s GROUP BY 1, 2),
+    o1 AS (SELECT lang, metric, bucket, sum(n) AS n FROM s GROUP BY 1, 2, 3), t1 AS (SELECT lang, metric, sum(n) AS total FROM s GROUP BY 1, 2),
+    a1 AS (SELECT t1.lang, t1.metric, a2.bucket, (coalesce(o1.n, 0) + 30.0 * share) / (total + 30.0) AS share FROM t1 JOIN a2 USING (metric)
+           LEFT JOIN o1 ON o1.lang IS NOT DISTINCT FROM t1.lang AND o1.metric = t1.metric AND o1.bucket = a2.bucket),
+    t0 AS (SELECT lang, source, metric FROM s GROUP BY 1, 2, 3),
+    lv AS (SELECT t0.lang, t0.source, t0.metric, a1.bucket, coalesce(s.n, 0) + 30.0 * share AS n FROM t0 JOIN a1 ON a1.lang IS NOT DISTINCT FROM t0.lang AND a1.metric = t0.metric
+           LEFT JOIN s ON s.lang IS NOT DISTINCT FROM t0.lang AND s.source IS NOT DISTINCT FROM t0.source AND s.metric = t0.metric AND s.bucket = a1.bucket),
+    u AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, metric ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER (PARTITION BY lang, source, metric) AS total,
             (bucket - greatest(0, bucket // 32 - 1) * 32) << greatest(0, bucket // 32 - 1) AS value FROM lv),
-    q AS (SELECT level, lang, source, metric, CAST(max(total) AS DOUBLE) AS n, min(value) FILTER (upto * 1000 >= total * 250) AS q1, min(value) FILTER (upto * 1000 >= total * 750) AS q3 FROM u GROUP BY ALL),
+    q AS (SELECT lang, source, metric, min(value) FILTER (round(upto, 6) * 1000 >= round(total, 6) * 250) AS q1, min(value) FILTER (round(upto, 6) * 1000 >= round(total, 6) * 750) AS q3 FROM u GROUP BY ALL),
     slack(metric, two, size) AS (VALUES ('word_length', true, 1000), ('symbols', false, 100), ('dup_lines', false, 50), ('repeats', false, 250)),
-    t AS (SELECT level, lang, source, metric, n, CASE WHEN two THEN q1 - 6 * (q3 - q1) - size END AS low, q3 + 6 * (q3 - q1) + size AS high FROM q JOIN slack USING (metric)),
-    x AS (SELECT v.doc_id, coalesce(v.v < (t0.n * t0.low + 30.0 * ((t1.n * t1.low + 30.0 * t2.low) / (t1.n + 30.0))) / (t0.n + 30.0), false)
-            OR v.v > (t0.n * t0.high + 30.0 * ((t1.n * t1.high + 30.0 * t2.high) / (t1.n + 30.0))) / (t0.n + 30.0) AS odd
-          FROM v JOIN t t0 ON t0.level = 0 AND t0.metric = v.metric AND t0.lang IS NOT DISTINCT FROM v.lang AND t0.source IS NOT DISTINCT FROM v.source
-          JOIN t t1 ON t1.level = 1 AND t1.metric = v.metric AND t1.lang IS NOT DISTINCT FROM v.lang JOIN t t2 ON t2.level = 2 AND t2.metric = v.metric)
+    t AS (SELECT lang, source, metric, CASE WHEN two THEN q1 - 6 * (q3 - q1) - size END AS low, q3 + 6 * (q3 - q1) + size AS high FROM q JOIN slack USING (metric)),
+    x AS (SELECT v.doc_id, coalesce(v.v < t.low, false) OR v.v > t.high AS odd FROM v JOIN t ON t.metric = v.metric AND t.lang IS NOT DISTINCT FROM v.lang AND t.source IS NOT DISTINCT FROM v.source)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce((SELECT bool_or(odd) FROM x WHERE x.doc_id = b.doc_id), false) AS kept, lang, source FROM b"""

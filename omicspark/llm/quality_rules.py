@@ -101,19 +101,41 @@ def quantiles(sketch: DataFrame, keys: list[str], at: dict[str, int]) -> DataFra
     )
     return ranked.groupBy(*keys).agg(
         F.max("total").alias("n"),
-        *[F.min(F.when(F.col("upto") * 1000 >= F.col("total") * q, bucket_floor(F.col("bucket")))).alias(k) for k, q in at.items()],
+        *[F.min(F.when(F.round("upto", 6) * 1000 >= F.round("total", 6) * q, bucket_floor(F.col("bucket")))).alias(k) for k, q in at.items()],
     )
 
 
+def blended_sketch(sketch: DataFrame, shrink: float) -> DataFrame:
+    """Sketch ``lang, source, metric, bucket, n`` with the weight of ``shrink`` rows of the language's sketch mixed into each source's.
+
+    A language's is the sum of its sources' with ``shrink`` rows of the sketch of all rows mixed in likewise, so a group of few rows
+    has nearly the quantiles of the level above and a large one its own. Sketches are small, whatever the rows.
+    """
+    above = sketch.groupBy("metric", "bucket").agg(F.sum("n").alias("n"))
+    above = above.select("metric", "bucket", (F.col("n") / F.sum("n").over(Window.partitionBy("metric"))).alias("share"))
+    for keys in (["lang"], ["lang", "source"]):
+        own = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
+        totals = own.groupBy(*keys, "metric").agg(F.sum("n").alias("total"))
+        up = above.select(*[F.col(c).alias(f"__{c}") for c in above.columns])
+        on = F.col("metric") == F.col("__metric")
+        frame = totals.join(up, on & F.col("lang").eqNullSafe(F.col("__lang")) if "lang" in above.columns else on).select(*keys, "metric", "total", F.col("__bucket").alias("bucket"), F.col("__share").alias("share"))
+        mine = own.select(*[F.col(c).alias(f"__{c}") for c in own.columns])
+        same = (F.col("metric") == F.col("__metric")) & (F.col("bucket") == F.col("__bucket"))
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+        weight = F.coalesce(F.col("__n"), F.lit(0)) + shrink * F.col("share")
+        above = frame.join(mine, same, "left").select(*keys, "metric", "bucket", weight.alias("n"), (weight / (F.col("total") + shrink)).alias("share"))
+    return above.select("lang", "source", "metric", "bucket", "n")
+
+
 def quality_rules(docs: DataFrame, spread: int = 6, shrink: float = 30.0) -> DataFrame:
     """Judge ``docs(doc_id, text, lang, source, ...)`` by thresholds of their own language and source.
 
     Rows that fail the base rules (fewer than 50 words, or over half of the words in repeated
     three-word windows) are rejected and stay out of the sketches. Of the others each metric, in
     thousandths of a word, is sketched per language and source; a text is rejected if a metric lies
-    more than ``spread`` interquartile ranges and the metric's slack beyond the quartiles. A group's thresholds are shrunk to
-    those of its language, whose sketch is the sum of its sources' sketches, and these to those of all rows: a level of n rows
-    weighs n against ``shrink`` for the level above.
+    more than ``spread`` interquartile ranges and the metric's slack beyond the quartiles. A group's sketch has ``shrink`` rows of its
+    language's mixed in, and this has as many of that of all rows, so groups of few rows have nearly the thresholds of the level above.
 
     Returns one row per input row: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, lang, source``. Null texts have no words and fail; a null
@@ -129,42 +151,14 @@ def quality_rules(docs: DataFrame, spread: int = 6, shrink: float = 30.0) -> Dat
     long = base.where(~F.col("base_failed")).select(
         "lang", "source", F.explode(F.create_map(*[x for k, v in per_word.items() for x in (F.lit(k), v)])).alias("metric", "value")
     )
-    sketch = quantile_sketch(long, ["lang", "source", "metric"])
-    merged = None
-    for level, keys in enumerate((["lang", "source"], ["lang"], [])):
-        part = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
-        q = quantiles(part, [*keys, "metric"], {"q1": 250, "q2": 500, "q3": 750})
-        side = F.create_map(*[x for k, (_, s, _) in METRICS.items() for x in (F.lit(k), F.lit(s))])[F.col("metric")]
-        slack = F.create_map(*[x for k, (_, _, s) in METRICS.items() for x in (F.lit(k), F.lit(s))])[F.col("metric")]
-        reach = spread * (F.col("q3") - F.col("q1")) + slack
-        q = q.select(
-            *keys,
-            "metric",
-            "n",
-            F.when(side == "both", F.col("q1") - reach).alias("low"),
-            (F.col("q3") + reach).alias("high"),
-        )
-        wide = q.groupBy(*keys).agg(
-            F.max("n").alias(f"n{level}"),
-            *[F.max(F.when(F.col("metric") == k, F.col(e))).alias(f"{k}_{e}{level}") for k in METRICS for e in ("low", "high")],
-        )
-        if merged is None:
-            merged = wide
-        elif keys:
-            merged = merged.join(wide.withColumnRenamed("lang", "__lang"), F.col("lang").eqNullSafe(F.col("__lang"))).drop("__lang")
-        else:
-            overall = wide.first()  # one row of thresholds
-            merged = merged.select("*", *[F.lit(overall[c]).cast("long").alias(c) for c in wide.columns]) if overall else merged.limit(0).select("*", *[F.lit(None).cast("long").alias(c) for c in wide.columns])
-
-    def limit(name: str) -> Column:
-        above = F.col(f"{name}2")
-        for level in (1, 0):
-            n = F.col(f"n{level}").cast("double")
-            above = (n * F.col(f"{name}{level}") + shrink * above) / (n + shrink)
-        return above
-
-    limits = merged.select(
-        F.col("lang").alias("__lang"), F.col("source").alias("__source"), *[limit(f"{k}_{e}").alias(f"{k}_{e}") for k in METRICS for e in ("low", "high")]
+    sketch = stash(quantile_sketch(long, ["lang", "source", "metric"]), "quality_sketch", large=False)
+    q = quantiles(blended_sketch(sketch, shrink), ["lang", "source", "metric"], {"q1": 250, "q3": 750})
+    side = F.create_map(*[x for k, (_, s, _) in METRICS.items() for x in (F.lit(k), F.lit(s))])[F.col("metric")]
+    slack = F.create_map(*[x for k, (_, _, s) in METRICS.items() for x in (F.lit(k), F.lit(s))])[F.col("metric")]
+    reach = spread * (F.col("q3") - F.col("q1")) + slack
+    ends = {"low": F.when(side == "both", F.col("q1") - reach), "high": F.col("q3") + reach}
+    limits = q.groupBy(F.col("lang").alias("__lang"), F.col("source").alias("__source")).agg(
+        *[F.max(F.when(F.col("metric") == k, e)).alias(f"{k}_{end}") for k in METRICS for end, e in ends.items()]
     )
     odd = F.lit(False)
     for k, v in per_word.items():
