@@ -292,11 +292,11 @@ def _(t):
 
 @query(
     "uniprot_headers",
-    """SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'A' || s_suppkey END AS accession, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE 'odd ' || s_name END AS description, CASE WHEN s_suppkey % 4 = 0 THEN 'Pinus densiflora' END AS organism FROM supplier""",
+    """SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'A' || s_suppkey END AS accession, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE 'odd ' || s_name END AS description, CASE WHEN s_suppkey % 4 = 0 THEN 'Zea mays' END AS organism FROM supplier""",
 )
 def _(t):
     k = F.col("s_suppkey")
-    known = F.concat(F.lit(">sp|A"), k.cast("string"), F.lit("|E"), k.cast("string"), F.lit(" "), "s_name", F.when(k % 4 == 0, " OS=Pinus densiflora OX=77912 PE=1").otherwise(""))
+    known = F.concat(F.lit(">sp|A"), k.cast("string"), F.lit("|E"), k.cast("string"), F.lit(" "), "s_name", F.when(k % 4 == 0, " OS=Zea mays OX=4577 PE=1").otherwise(""))
     head = annotation.parse_uniprot_header(F.when(k % 2 == 0, known).otherwise(F.concat(F.lit(">odd "), "s_name")))
     return t.read("supplier").select("s_suppkey", head["accession"].alias("accession"), head["description"].alias("description"), head["organism"].alias("organism"))
 
