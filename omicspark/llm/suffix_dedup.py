@@ -16,7 +16,7 @@ from .hashing import _BYTE, _powers, mix64
 #: Bytes of the initial buckets.
 Q = 16
 #: Rows that are combined in a task before they are shuffled, and bytes of text that are hashed at once.
-CHUNK, BATCH_BYTES = 1_000_000, 1 << 17
+CHUNK, BATCH_BYTES = 500_000, 1 << 17
 #: Strings must be so much longer than ``Q`` at most: offsets within a run are kept in 16 bits.
 MOST_LENGTH = 1 << 15
 _LATER = mix64(np.arange(11, 15, dtype=np.uint64)) | np.uint64(1)
@@ -155,7 +155,7 @@ def later_holders(rows: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: tuple[int, ...] | None = None
         for batch in batches:
-            b, k, d, mark, cover, sides, other = (batch.column(j).to_numpy() for j in range(7))
+            mark, other, sides, cover, d, b, k = (batch.column(j).to_numpy() for j in range(7))
             past, here = np.flatnonzero(sides == 0), np.flatnonzero(sides)
             out = [[x[past] for x in (d, mark, cover)] + [np.zeros(len(past), dtype=np.int8)] + [x[past] for x in (b, other, k)]]
             if len(here):
@@ -225,14 +225,16 @@ def combined(bucket, key, doc, mark, first, size, sides) -> pa.RecordBatch:
     sides[known] = 0
     from_at = packed(at[least], size[least])
     columns = [
-        np.where(known, d[least], b[keep].view(np.int64)), np.where(known, from_at, k[keep].view(np.int64)), d[keep], m[keep],
-        packed(at[keep], end[stop - 1] - at[keep]), sides.view(np.int64), np.where(known, m[least], 0),
+        m[keep], np.where(known, m[least], 0), sides.view(np.int64), packed(at[keep], end[stop - 1] - at[keep]), d[keep],
+        np.where(known, d[least], b[keep].view(np.int64)), np.where(known, from_at, k[keep].view(np.int64)),
     ]
-    return pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["bucket", "key", "doc_id", "mark", "cover", "sides", "other"])
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["mark", "other", "sides", "cover", "doc_id", "bucket", "key"])
 
 
 def bucket_rows(docs: DataFrame, make: Callable[..., tuple]) -> DataFrame:
-    """``bucket, key, doc_id, mark, cover, sides, other`` of ``docs(doc_id, mark, text, ...)``, combined per chunk of rows.
+    """``mark, other, sides, cover, doc_id, bucket, key`` of ``docs(doc_id, mark, text, ...)``, combined per chunk of rows.
+
+    What is mostly 0 stands first, where rows compress best.
 
     ``make(data, bounds, first text, *other columns)`` gives, for texts that stand one after another, per row the number of its text, bucket,
     key, offset in the text, covered bytes and sides.
@@ -255,7 +257,7 @@ def bucket_rows(docs: DataFrame, make: Callable[..., tuple]) -> DataFrame:
         if held:
             yield combined(*map(np.concatenate, zip(*held, strict=True)))
 
-    return docs.mapInArrow(run, "bucket bigint, key bigint, doc_id bigint, mark bigint, cover bigint, sides bigint, other bigint")
+    return docs.mapInArrow(run, "mark bigint, other bigint, sides bigint, cover bigint, doc_id bigint, bucket bigint, key bigint")
 
 
 CLAIM = "array<struct<start:int,n:int,source:bigint,source_mark:bigint,at:int,size:int>>"
@@ -296,19 +298,18 @@ def claims(found: DataFrame) -> DataFrame:
 
 
 def evidence(claimed: DataFrame, texts: DataFrame) -> DataFrame:
-    """``__doc, __text, proofs`` of ``claimed(doc_id, mark, claims)``: each claim's place in its text with the bytes its source has there."""
+    """``__doc, __text, proofs`` of ``claimed(doc_id, mark, claims)``: each claim's place in its text with the SHA-256 of the bytes its source has there."""
     c = claimed.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__text"), F.explode("claims").alias("c"))
     held = c.join(texts, (F.col("c.source") == F.col("doc_id")) & (F.col("c.source_mark") == F.col("mark")))
-    content = F.substring(F.col("text").cast("binary"), F.col("c.at") + 1, F.col("c.size"))
-    # Rows that repeat an id and its text bring a claim's bytes once each; one is enough.
-    return held.groupBy("__doc", "__text").agg(F.collect_set(F.struct("c.start", "c.n", content.alias("content"))).alias("proofs"))
+    digest = F.unhex(F.sha2(F.substring(F.col("text").cast("binary"), F.col("c.at") + 1, F.col("c.size")), 256))
+    # Rows that repeat an id and its text bring a claim's digest once each; comparing it again does no harm.
+    return held.groupBy("__doc", "__text").agg(F.collect_list(F.struct("c.start", "c.n", "c.size", digest.alias("digest"))).alias("proofs"))
 
 
-def covers(content: bytes, text: bytes) -> bool:
-    """Whether places of ``content`` in ``text`` cover it from end to end."""
-    if len(content) == len(text):
-        return content == text
-    if not text.startswith(content):
+def covers(size: int, digest: bytes, text: bytes) -> bool:
+    """Whether the first ``size`` bytes of ``text`` have the digest and places of them cover it from end to end."""
+    content = text[:size]
+    if hashlib.sha256(content).digest() != digest:
         return False
     end = len(content)
     while end < len(text):
@@ -334,8 +335,8 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     bucket that another run shares, and those that a smaller document has too go. Rows carry their places, so texts
     are hashed in these rounds and not for the cut. Pointers are content hashes, so no global ranking is
     needed; a task forwards few rows per bucket, key and chunk of its input, so a passage in a third of
-    all documents makes no large group. Hashes only find candidates: before the cut, each text gets the bytes its sources have at
-    the places it claims and compares them; if a hash ever lied, the call raises, and it never misses an equal string.
+    all documents makes no large group. The 64-bit hashes only find candidates: before the cut, each text gets the SHA-256 of the bytes its
+    sources have at the places it claims and compares it with that of its own; if a hash ever lied, the call raises, and it never misses an equal string.
 
     A null text counts as empty. Rows of a null id neither lose bytes nor cost others any; rows of one id are one
     document. Texts under ``length`` bytes stay. Extra columns are ignored; an empty table
@@ -386,8 +387,11 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
             limits, listed = bounds.tolist(), batch.column(2)
             n = listed.value_lengths().fill_null(0).to_numpy()
             ends, flat = np.cumsum(n), listed.flatten()
-            start, size, content = flat.field(0).to_numpy(), flat.field(1).to_numpy(), flat.field(2)
-            out = [cut(data[limits[k] : limits[k + 1]], start[e - m : e], size[e - m : e], content[e - m : e]) for k, (m, e) in enumerate(zip(n.tolist(), ends.tolist(), strict=True))]
+            start, length, size, digest = flat.field(0).to_numpy(), flat.field(1).to_numpy(), flat.field(2).to_numpy(), flat.field(3)
+            out = [
+                cut(data[limits[k] : limits[k + 1]], start[e - m : e], length[e - m : e], size[e - m : e], digest[e - m : e])
+                for k, (m, e) in enumerate(zip(n.tolist(), ends.tolist(), strict=True))
+            ]
             made = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), CUT_TYPES, strict=True)] if out else []
             if made:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
@@ -399,17 +403,17 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
 CUT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64())))
 
 
-def cut(data: np.ndarray, start: np.ndarray, size: np.ndarray, content: pa.Array) -> tuple[int, int, int, str, list[list[int]]]:
+def cut(data: np.ndarray, start: np.ndarray, length: np.ndarray, size: np.ndarray, digests: pa.Array) -> tuple[int, int, int, str, list[list[int]]]:
     """Bytes, removed bytes, spans, digest of the rest, and the spans, of places whose content is compared with that of their sources."""
     if not len(start):
         return len(data), 0, 0, hashlib.sha256(data).hexdigest(), []
     raw = data.tobytes()
-    for low, n, held in zip(start.tolist(), size.tolist(), content.to_pylist(), strict=True):
-        if not covers(held, raw[low : low + n]):
+    for low, n, held, digest in zip(start.tolist(), length.tolist(), size.tolist(), digests.to_pylist(), strict=True):
+        if not covers(held, digest, raw[low : low + n]):
             raise ValueError("two different strings have equal hashes; choose another hash base")
     order = np.argsort(start, kind="stable")
     start = start[order].astype(np.int64)
-    end = np.maximum.accumulate(start + size[order])
+    end = np.maximum.accumulate(start + length[order])
     new = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1])))
     spans = np.stack((start[new], np.append(end[new[1:] - 1], end[-1])), axis=1).tolist()
     digest, at = hashlib.sha256(), 0
