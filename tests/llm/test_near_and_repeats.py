@@ -199,18 +199,3 @@ def test_repeats_of_runs_that_stand_often(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix_dedup.remove_repeats(docs).collect()}
     assert got == repeats_brute(rows, 50)
-
-
-def test_a_lying_hash_is_refused(spark, monkeypatch):
-    import numpy as np
-    import pyarrow as pa
-
-    text = b"abcabcabcabcabc-"
-    sha = lambda x: hashlib.sha256(x).digest()
-    data = np.frombuffer(text, dtype=np.uint8)
-    one = lambda start, n, size, digest: suffix_dedup.cut(data, *(np.array([x]) for x in (start, n, size)), pa.array([digest], pa.binary()))
-    assert one(0, 6, 6, sha(b"abcabc"))[1] == 6
-    assert one(0, 15, 6, sha(b"abcabc"))[1:3] == (15, 1)  # places of six bytes that overlap
-    for bad in ((0, 6, 6, sha(b"abcabd")), (0, 16, 6, sha(b"abcabc"))):
-        with pytest.raises(ValueError):
-            one(*bad)
