@@ -58,3 +58,54 @@ OP1_QUALITY_RULES = """
     t AS (SELECT lang, source, metric, CASE WHEN two THEN q1 - 6 * (q3 - q1) - size END AS low, q3 + 6 * (q3 - q1) + size AS high FROM q JOIN slack USING (metric)),
     x AS (SELECT v.doc_id, coalesce(v.v < t.low, false) OR v.v > t.high AS odd FROM v JOIN t ON t.metric = v.metric AND t.lang IS NOT DISTINCT FROM v.lang AND t.source IS NOT DISTINCT FROM v.source)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce((SELECT bool_or(odd) FROM x WHERE x.doc_id = b.doc_id), false) AS kept, lang, source FROM b"""
+
+OP11_CONVERSATION_REPAIR = """
+    WITH RECURSIVE tab AS (SELECT list(v ORDER BY n) AS t FROM (SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v FROM range(256) r(n))),
+    j AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS id FROM conversations),
+    h AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(id) + 1), lambda i: CAST(ascii(id[i]) AS BIGINT))),
+                 lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8)), 4294967295) % 20 AS d FROM j, tab),
+    d AS (SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                 unnest(CASE d WHEN 0 THEN CAST([] AS INTEGER[]) WHEN 3 THEN [1, 2] ELSE [1] END) AS k FROM h),
+    o AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+    r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ink FROM o),
+    f AS (SELECT *, CASE WHEN ink = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(ink, 1) IN ('.', '!', '?') THEN '' ELSE 'truncated' END AS fault,
+                 coalesce(lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] NOT IN ('su', 'ua', 'au'), false) AS illegal FROM r),
+    n AS (SELECT conv_id, count(f.i) AS n, coalesce(max(f.turn) - min(f.turn) + 1 - count(DISTINCT f.turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                 count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+          FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN f USING (conv_id) GROUP BY 1),
+    e AS (SELECT s, edit, initial, s2, c, role AS new_role FROM (VALUES (0, 'D', NULL, 0, 4, NULL), (1, 'D', NULL, 1, 4, NULL), (2, 'D', NULL, 2, 4, NULL), (3, 'D', NULL, 3, 4, NULL),
+            (0, 'K', 's', 1, 0, NULL), (0, 'K', 'u', 2, 0, NULL), (1, 'K', 'u', 2, 0, NULL), (3, 'K', 'u', 2, 0, NULL), (2, 'K', 'a', 3, 0, NULL),
+            (0, 'R', NULL, 2, 3, 'user'), (1, 'R', NULL, 2, 3, 'user'), (3, 'R', NULL, 2, 3, 'user'), (2, 'R', NULL, 3, 3, 'assistant')) t(s, edit, initial, s2, c, role)),
+    ins(s, s2, c, a, o) AS (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''), (0, 2, 3, 'I', 'user:'), (1, 2, 3, 'I', 'user:'), (3, 2, 3, 'I', 'user:'),
+            (2, 3, 3, 'I', 'assistant:'), (0, 3, 6, 'II', 'user:' || chr(10) || 'assistant:'), (1, 3, 6, 'II', 'user:' || chr(10) || 'assistant:')),
+    v AS (
+      SELECT conv_id, CAST(0 AS BIGINT) AS i, s2 AS s, CAST(c AS BIGINT) AS c, a, o FROM (SELECT DISTINCT conv_id FROM conversations), ins WHERE ins.s = 0
+      UNION ALL
+      SELECT conv_id, i, s, b.c, b.a, b.o FROM (
+        SELECT w.conv_id, w.i, ins.s2 AS s, arg_min({'c': w.c + ins.c, 'a': w.a || ins.a, 'o': w.o || CASE WHEN w.o = '' OR ins.o = '' THEN '' ELSE chr(10) END || ins.o},
+                                                    lpad(CAST(w.c + ins.c AS VARCHAR), 12, '0') || w.a || ins.a) AS b
+        FROM (SELECT v.conv_id, f.i, e.s2 AS s, v.c + e.c + CASE WHEN fault = 'truncated' AND edit <> 'D' THEN 3 ELSE 0 END AS c, v.a || edit AS a,
+                     CASE WHEN edit = 'D' THEN v.o ELSE v.o || CASE WHEN v.o = '' THEN '' ELSE chr(10) END || coalesce(new_role, f.role) || ':' || f.text END AS o
+              FROM v JOIN f ON v.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = v.i + 1
+              JOIN e ON e.s = v.s AND (edit = 'D' OR fault IN ('', 'truncated')) AND (edit <> 'K' OR initial = f.role[1:1])) w JOIN ins ON w.s = ins.s
+        GROUP BY 1, 2, 3))
+    SELECT n.conv_id, gaps, blank, duplicate, truncated, illegal, min(v.c) AS cost, arg_min(v.a, lpad(CAST(v.c AS VARCHAR), 12, '0') || v.a) AS audit,
+           sha256(arg_min(v.o, lpad(CAST(v.c AS VARCHAR), 12, '0') || v.a)) AS repaired_sha256
+    FROM n JOIN v ON n.conv_id IS NOT DISTINCT FROM v.conv_id AND v.i = n.n AND v.s IN (0, 3) GROUP BY 1, 2, 3, 4, 5, 6"""
+
+OP13_COLLOCATIONS = r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+    g AS (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase FROM w, (VALUES (1), (2), (3)) t(m)),
+    f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY 1, 2, 3),
+    n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY 1),
+    c AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND a >= 10),
+    cut AS (SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.a AS HUGEINT) * y.a) AS score
+            FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c JOIN f x ON x.lang = c.lang AND x.m = k AND x.phrase = array_to_string(ws[1:k], ' ')
+            JOIN f y ON y.lang = c.lang AND y.m = c.m - k AND y.phrase = array_to_string(ws[k + 1:], ' ')),
+    low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    part AS (SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, a FROM c WHERE m = 3),
+    longer AS (SELECT lang, phrase, max(a) AS most FROM part GROUP BY 1, 2),
+    ranked AS (SELECT low.lang, low.phrase, a, l, r, CAST(score AS BIGINT) AS score, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, low.phrase) AS rank
+               FROM low LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""

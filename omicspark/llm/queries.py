@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, exact_dedup, mixing, oracles, partenum_join, pii, quality_rules, secrets, suffix_dedup, toxicity, url_reputation
+from . import (
+    bpe_tree, collocations, conversation_repair, exact_dedup, mixing, oracles, partenum_join, pii, quality_classifier, quality_rules,
+    secrets, suffix_dedup, toxicity, url_reputation,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +68,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.base_digest(found).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_summary(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -76,11 +91,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_pii": op10_pii,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": oracles.OP1_QUALITY_RULES,
     "op4_url_filter": oracles.OP4_URL_FILTER,
+    "op11_conversation_repair": oracles.OP11_CONVERSATION_REPAIR,
+    "op13_collocations": oracles.OP13_COLLOCATIONS,
     "op3_exact_dedup": """
         WITH n AS (
           SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
