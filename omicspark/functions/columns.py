@@ -50,13 +50,17 @@ def gff_attributes(field: Column) -> Column:
     return last_wins_map(gff_pairs(field))
 
 
-def last_wins_map(pairs: Column) -> Column:
-    """Map of an array of ``struct(k, v)`` in which later entries replace earlier ones.
-
-    An entry stays if none after it has its key. The array is bound once, as the variable of an outer ``transform``.
-    """
+def last_pairs(pairs: Column) -> Column:
+    """An array of ``struct(k, v)`` without entries whose key comes again after them; most arrays have none and stay as they are."""
+    keys = lambda a: F.transform(a, lambda p: p["k"])
     last = lambda a: F.filter(a, lambda p, i: ~F.exists(F.slice(a, i + 2, F.size(a)), lambda q: q["k"] == p["k"]))
-    return F.element_at(F.transform(F.array(pairs), lambda a: F.map_from_entries(last(a))), 1)
+    pick = lambda a: F.when(F.size(F.array_distinct(keys(a))) == F.size(a), a).otherwise(last(a))
+    return F.element_at(F.transform(F.array(pairs), pick), 1)  # the array is bound once, as the variable of an outer transform
+
+
+def last_wins_map(pairs: Column) -> Column:
+    """Map of an array of ``struct(k, v)`` in which later entries replace earlier ones."""
+    return F.map_from_entries(last_pairs(pairs))
 
 
 def percent_map(field: Column) -> Column:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..sources.scratch import kept
 
@@ -13,19 +16,23 @@ ATTRIBUTES = ("gene_id", "gene", "ID", "Name", "locus_tag", "Parent")
 
 
 def attribute_coverage(features: DataFrame) -> DataFrame:
-    """Per feature type and attribute of ``features(type, attrs)``: rows, rows with it, distinct values."""
+    """Per feature type and attribute of ``features(type, attrs)``: rows, rows with it, distinct values.
+
+    ``attrs`` is a map, or the array of ``struct(k, v)`` of ``last_pairs(gff_pairs(...))``, which spares a map per row.
+    """
     totals = features.groupBy("type").agg(F.count(F.lit(1)).alias("n_rows"))
-    seen = features.select("type", F.explode("attrs").alias("attribute", "value")).groupBy("type", "attribute").agg(
-        F.count(F.lit(1)).alias("n_with"), F.count_distinct("value").alias("n_values")
-    )
-    return seen.join(totals, "type").select("type", "attribute", "n_rows", "n_with", "n_values")
+    pairs = F.map_entries("attrs") if isinstance(features.schema["attrs"].dataType, MapType) else F.col("attrs")
+    seen = features.select("type", F.explode(pairs).alias("p")).select("type", "p.*").toDF("type", "key", "value")
+    values = seen.groupBy("type", "key", "value").agg(F.count(F.lit(1)).alias("n"))  # a row per value: no set of values in one state
+    known = values.groupBy("type", F.col("key").alias("attribute")).agg(F.sum("n").alias("n_with"), F.count("value").alias("n_values"))
+    return known.join(totals, "type").select("type", "attribute", "n_rows", "n_with", "n_values")
 
 
 def choice_notes(coverage: DataFrame, chosen: DataFrame, most_apart: float = 0.05) -> DataFrame:
     """``note, detail`` on a choice: groups far from the number of genes, and other spellings of the feature with their rows."""
     types = coverage.groupBy("type").agg(F.max("n_rows").alias("n_rows"))
     pick = chosen.select(F.col("type").alias("__type"), "n_groups")
-    genes = types.where("type = 'gene'").join(pick, F.col("n_groups").isNotNull())
+    genes = types.where("type = 'gene'").crossJoin(F.broadcast(pick)).where("n_groups IS NOT NULL")  # one row each
     apart = genes.where(F.abs(F.col("n_groups") - F.col("n_rows")) / F.col("n_rows") > most_apart)
     other = types.join(pick, (F.lower("type") == F.lower("__type")) & (F.col("type") != F.col("__type")))
     return apart.select(F.lit("groups_and_genes").alias("note"), F.concat_ws(" vs ", "n_groups", "n_rows").alias("detail")).unionByName(
@@ -66,25 +73,54 @@ def choose_feature_and_attribute(coverage: DataFrame, feature: str | None = None
     return chosen.join(best, "type", "left")
 
 
-def resolve_genes(nodes: DataFrame, edges: DataFrame, most_rounds: int = 100) -> DataFrame:
+def resolve_genes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Gene of every id: ``id, gene_id, depth``.
 
-    ``nodes(id, type, gene_id)``, ``edges(id, parent, ord)``. A gene is its own; an id with a stored gene has
-    that; others take it from the parents that resolve in the fewest levels, of these the least ``ord``. Levels are joined one by one and written to the
-    shared folder, so cycles end, and each level's open ids shrink; ids that never resolve are left out. A hierarchy of more
-    than ``most_rounds`` levels raises.
+    ``nodes(id, type, gene_id)``, ``edges(id, parent, ord)``. A gene is its own; an id with a stored gene has that; any other takes the gene of
+    its first parent, by ``ord``, that has one, however many levels up. Ids without a gene are left out.
+
+    Each open id points to its first parent still possible. Pointers are doubled, so ``d`` levels take ``log d`` joins, and end at an
+    id with a gene or at a dead one. Of a chain with a dead end the last id that has another parent goes on to that one; ids behind
+    it are dead, and so are all of a chain without such an id. Where pointers lead round, the greatest id of the cycle that has another parent goes on to that. Rounds
+    are needed per failing parent on a chain, not per level.
     """
     own = F.when(F.col("type") == "gene", F.col("id")).otherwise(F.col("gene_id"))
-    done = nodes.select("id", own.alias("gene_id")).where("gene_id IS NOT NULL").withColumn("depth", F.lit(0))
-    open_edges, new = edges.join(done, "id", "left_anti"), done
-    for depth in range(1, most_rounds + 1):
-        step = open_edges.join(new.select(F.col("id").alias("parent"), F.col("gene_id").alias("g")), "parent")
-        new = kept(step.groupBy("id").agg(F.min_by("g", "ord").alias("gene_id")).withColumn("depth", F.lit(depth)), f"genes_{depth}")
-        if new.isEmpty():
-            return done
-        done = done.unionByName(new)
-        open_edges = open_edges.join(new, "id", "left_anti")
-    raise ValueError(f"a hierarchy of more than {most_rounds} levels")
+    found = [nodes.select("id", own.alias("gene_id")).where("gene_id IS NOT NULL").withColumn("depth", F.lit(0))]
+    live = kept(edges.select("id", "parent", "ord").where("id IS NOT NULL AND parent IS NOT NULL").join(found[0], "id", "left_anti"), "edges")
+    while not live.isEmpty():
+        ended, round_about = _chains(live, reduce(DataFrame.unionByName, found))
+        found.append(kept(ended.where("kind = 'gene'").select("id", "gene_id", (F.col("steps") + F.col("depth")).cast("int").alias("depth")), "genes"))
+        lost = ended.where("kind = 'dead'").unionByName(round_about)
+        dead = kept(lost.where("other IS NULL").select("id").union(ended.where("kind = 'dead'").select("at")).distinct(), "dead_ids")
+        on_cycle = round_about.join(round_about.select(F.col("at").alias("id")).distinct(), "id", "left_semi").where("more")
+        left = on_cycle.groupBy("least").agg(F.max_by(F.struct("id", F.col("first").alias("parent")), "id").alias("e")).select("e.id", "e.parent")
+        closed = found[-1].select("id").unionByName(dead)
+        live = live.join(closed, "id", "left_anti").join(dead.select(F.col("id").alias("parent")), "parent", "left_anti").join(left, ["id", "parent"], "left_anti")
+        live = kept(live.select("id", "parent", "ord"), "edges")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _chains(live: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Where the first parents of each id lead: rows that end, at an id with a gene or a dead one, and rows that go round for ever.
+
+    ``id, at, first, more, other, least, steps, kind, gene_id, depth``: ``first`` is the parent pointed to and ``more`` whether there are others; ``other`` is the last id of the chain with
+    other parents, ``least`` the least id on it, ``steps`` its length.
+    """
+    pointers = kept(live.groupBy("id").agg(F.min_by("parent", F.struct("ord", "parent")).alias("at"), (F.count_distinct("parent") > 1).alias("more")), "pointers")
+    ends = known.select(F.col("id").alias("at"), F.lit("gene").alias("kind"), "gene_id", "depth")
+    ends = ends.unionByName(pointers.select(F.col("id").alias("at"), F.lit("open").alias("kind")), allowMissingColumns=True)
+    rows = pointers.withColumns({"first": F.col("at"), "other": F.when(F.col("more"), F.col("id")), "least": F.col("at"), "steps": F.lit(1).cast("bigint")})
+    rows = kept(rows.join(ends, "at", "left").withColumn("kind", F.coalesce("kind", F.lit("dead"))), "chains")
+    names, ended, going, before, span = rows.columns, rows.where("kind <> 'open'"), rows.where("kind = 'open'"), None, 1
+    while (n := going.count()) and not (n == before and span >= n):
+        ahead = ended.unionByName(going).select(*[F.col(c).alias(f"__{c}") for c in ("id", "at", "other", "least", "steps", "kind", "gene_id", "depth")])
+        joined = going.drop("kind", "gene_id", "depth").join(ahead, F.col("at") == F.col("__id"))
+        rows = kept(joined.select(
+            "id", F.col("__at").alias("at"), "first", "more", F.coalesce("__other", "other").alias("other"), F.least("least", "__least").alias("least"),
+            (F.col("steps") + F.col("__steps")).alias("steps"), *[F.col(f"__{c}").alias(c) for c in ("kind", "gene_id", "depth")],
+        ).select(*names), "chains")
+        ended, going, before, span = ended.unionByName(rows.where("kind <> 'open'")), rows.where("kind = 'open'"), n, 2 * span
+    return ended, going
 
 
 def add_gene_id(features: DataFrame, resolved: DataFrame, wanted: list[str]) -> DataFrame:

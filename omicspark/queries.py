@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .functions.columns import percent_map
@@ -555,14 +557,14 @@ ATTR_SQL = """WITH f AS (SELECT 'gene' AS type, 'ID' AS a, CAST(o_orderkey AS VA
 
 
 def _features(t):
-    from .functions.columns import gff_attributes
+    from .functions.columns import gff_pairs, last_pairs
 
     k = lambda c: F.col(c).cast("string")
     name = F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit(";Name="), "o_orderpriority")).otherwise("")
     genes = t.read("orders").select(F.lit("gene").alias("type"), F.concat(F.lit("ID="), k("o_orderkey"), name).alias("text"))
     exon = F.concat(F.lit('ID "'), k("l_orderkey"), F.lit(":"), k("l_partkey"), F.lit('"; Parent "'), k("l_orderkey"), F.lit('";'))
     exons = t.read("lineitem").select(F.lit("exon").alias("type"), exon.alias("text"))
-    return genes.unionByName(exons).select("type", gff_attributes(F.col("text")).alias("attrs"))
+    return genes.unionByName(exons).select("type", last_pairs(gff_pairs(F.col("text"))).alias("attrs"))
 
 
 @query("attr_coverage", ATTR_SQL + " SELECT * FROM c")
@@ -589,6 +591,33 @@ def _(t):
     return features.resolve_genes(nodes, up.unionByName(exons))
 
 
+@query(
+    "resolve_ordered_parents",
+    """WITH o AS (SELECT 'o' || o_orderkey AS id, CASE WHEN o_custkey % 10 <> 0 THEN 'c' || o_custkey WHEN o_orderkey % 3 = 0 THEN 'c1' END AS gene_id, CAST(1 AS INTEGER) AS depth FROM orders),
+    l AS (SELECT 'l' || l_orderkey || ':' || l_linenumber AS id, coalesce(o.gene_id, CASE WHEN l_partkey % 2 = 0 THEN 'c2' END) AS gene_id, CASE WHEN o.gene_id IS NULL THEN 1 ELSE 2 END AS depth
+          FROM lineitem JOIN o ON o.id = 'o' || l_orderkey)
+    SELECT 'c' || c_custkey AS id, 'c' || c_custkey AS gene_id, 0 AS depth FROM customer WHERE c_custkey % 10 <> 0
+    UNION ALL SELECT * FROM o WHERE gene_id IS NOT NULL UNION ALL SELECT * FROM l WHERE gene_id IS NOT NULL
+    UNION ALL SELECT 's' || s_suppkey, 'c1', s_suppkey FROM supplier UNION ALL SELECT 'n' || n_nationkey, 'c1', (32 - n_nationkey) % 25 + 1 FROM nation""",
+)
+def _(t):
+    """Parents in written order: orders of lost customers take a second parent or fail, lines ask their order before a nearer gene, suppliers are a chain as long as their number, nations a ring with one way out."""
+    name = lambda p, *c: F.concat(F.lit(p), *[x for k, n in enumerate(c) for x in ([F.lit(":")] * (k > 0) + [F.col(n).cast("string")])])
+    up = lambda rows, id_, parent, ord_=0: rows.select(id_.alias("id"), parent.alias("parent"), F.lit(ord_).alias("ord"))
+    kind = F.when(F.col("c_custkey") % 10 != 0, "gene").otherwise("region")
+    nodes = t.read("customer").select(name("c", "c_custkey").alias("id"), kind.alias("type"), F.lit(None).cast("string").alias("gene_id"))
+    o, li, n = t.read("orders"), t.read("lineitem"), t.read("nation")
+    line = name("l", "l_orderkey", "l_linenumber")
+    supplier = t.read("supplier").withColumn("before", F.col("s_suppkey") - 1)
+    edges = [
+        up(o, name("o", "o_orderkey"), name("c", "o_custkey")), up(o.where("o_orderkey % 3 = 0"), name("o", "o_orderkey"), F.lit("c1"), 1),
+        up(li, line, F.lit("nowhere")), up(li, line, name("o", "l_orderkey"), 1), up(li.where("l_partkey % 2 = 0"), line, F.lit("c2"), 2),
+        up(supplier.where("before > 0"), name("s", "s_suppkey"), name("s", "before")), up(supplier.where("before = 0"), F.lit("s1"), F.lit("c1")),
+        up(n, name("n", "n_nationkey"), F.concat(F.lit("n"), ((F.col("n_nationkey") + 1) % 25).cast("string"))), up(n.where("n_nationkey = 7"), F.lit("n7"), F.lit("c1"), 1),
+    ]
+    return features.resolve_genes(nodes, reduce(DataFrame.unionByName, edges))
+
+
 # Sequences
 
 

@@ -98,6 +98,52 @@ def test_overlap_join_matches_brute_force(spark):
         assert got == sorted((x[0], y[0]) for x in a for y in b if x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3])
 
 
+def gene_of(start, own, parents):
+    """The first parent that has a gene, depth first in written order; what was seen is not asked again."""
+    seen, stack = set(), [(start, 0)]
+    while stack:
+        at, depth = stack.pop()
+        if at in seen:
+            continue
+        seen.add(at)
+        if at in own:
+            return own[at], depth
+        stack += [(p, depth + 1) for p in reversed(parents.get(at, []))]
+
+
+def resolved(spark, own, parents):
+    nodes = spark.createDataFrame([(k, "mRNA", v) for k, v in own.items()], "id string, type string, gene_id string")
+    edges = spark.createDataFrame([(k, p, i) for k, ps in parents.items() for i, p in enumerate(ps)], "id string, parent string, ord int")
+    return {r.id: (r.gene_id, r.depth) for r in features.resolve_genes(nodes, edges).collect()}
+
+
+def test_parents_in_written_order(spark):
+    own = {"gene1": "gene1", "geneX": "geneX"}
+    parents = {"tx1": ["gene1"], "exon": ["tx1", "geneX"], "lost": ["nowhere", "gone"], "late": ["lost", "tx1"], "deep": ["late", "geneX"]}
+    got = resolved(spark, own, parents)
+    assert got["exon"] == ("gene1", 2) and "lost" not in got and got["late"] == ("gene1", 2) and got["deep"] == ("gene1", 3)
+
+
+def test_parents_of_many_levels_and_shapes(spark):
+    r = random.Random(4)
+    own = {f"g{i}": f"G{i}" for i in range(3)}
+    parents = {f"c{i + 1}": [f"c{i}"] for i in range(1000)} | {"c0": ["g0"]}
+    names = [f"x{i}" for i in range(60)]
+    for i, n in enumerate(names):  # parents have smaller numbers, so nothing leads round
+        parents[n] = r.sample(names[:i] + ["nowhere", "g1", "g2"] * (i % 4 == 0) + ["gone"], k=min(r.randint(1, 4), i + 1)) if i else ["gone"]
+    want = {k: gene_of(k, own, parents) for k in [*own, *parents]}
+    assert resolved(spark, own, parents) == {k: v for k, v in want.items() if v}
+
+
+def test_parents_that_lead_round(spark):
+    own = {"g": "g"}
+    ring = {f"r{i}": [f"r{(i + 1) % 7}"] for i in range(7)}
+    way_out = ring | {"r3": ["r4", "g"], "tail": ["tail2"], "tail2": ["nowhere", "r6"]}
+    got = resolved(spark, own, way_out)
+    assert got == {k: gene_of(k, own, way_out) for k in [*own, *way_out]}
+    assert resolved(spark, own, ring | {"tail": ["r1", "g"], "self": ["self"]}) == {"g": ("g", 0), "tail": ("g", 1)}
+
+
 def test_resolution_of_parents(spark):
     nodes = spark.createDataFrame([("g1", "gene", None), ("t1", "mRNA", None), ("x1", "exon", "stored"), ("loop", "mRNA", None)], "id string, type string, gene_id string")
     edges = spark.createDataFrame([("t1", "g1", 0), ("e1", "t1", 0), ("e2", "nowhere", 0), ("e2", "t1", 1), ("loop", "pool", 0), ("pool", "loop", 0)], "id string, parent string, ord int")
@@ -378,11 +424,6 @@ def test_limits_raise(spark, monkeypatch):
     pairs = spark.createDataFrame([("a", "b", 1.0), ("a", "c", 1.0), ("b", "c", 1.0), ("a", "d", 2.0)], "s1 string, s2 string, distance double")
     with pytest.raises(ValueError):
         explore.mds(pairs)
-    nodes = spark.createDataFrame([("n0", "gene", None)], "id string, type string, gene_id string")
-    edges = spark.createDataFrame([(f"n{i + 1}", f"n{i}", 0) for i in range(6)], "id string, parent string, ord int")
-    with pytest.raises(ValueError):
-        features.resolve_genes(nodes, edges, most_rounds=4)
-    assert features.resolve_genes(nodes, edges).agg(F.max("depth")).first()[0] == 6
 
 
 def test_reused_ids_fill_what_is_empty(spark):
@@ -411,3 +452,88 @@ def test_gapped_reads_are_judged_by_block(spark):
     got = {(r.pos, r.a_count, r.b_count) for r in intervals.allele_counts(blocks, snps, 50).collect()}
     assert got == {(11, 1, 0), (116, 0, 1)}
     assert one(intervals.split_by_snps(blocks, snps.where("pos = 50"), 50)).route == "keep"
+
+
+# Intervals of all lengths and fragments of mates
+
+
+def test_overlaps_and_points_of_all_lengths(spark):
+    r = random.Random(11)
+    span = lambda i: (i, r.randrange(2), s := r.randrange(1, 4000), s + r.choice([0, 3, 40, 900, 10**6, 10**12]))
+    a, b = [span(i) for i in range(80)], [span(i) for i in range(80)] + [(900, 1, 1, 10**15)]
+    left = spark.createDataFrame(a, "i int, chrom int, start bigint, end bigint")
+    right = spark.createDataFrame(b, "j int, chrom int, r_start bigint, r_end bigint")
+    want = sorted((x[0], y[0]) for x in a for y in b if x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3])
+    for width in (1, 7, 300):
+        assert sorted((x.i, x.j) for x in intervals.overlap_join(left, right, ["chrom"], width).collect()) == want
+    spans = right.select("chrom", F.col("r_start").alias("start"), F.col("r_end").alias("end"))
+    inside = {x[0] for x in a if any(x[1] == y[1] and y[2] <= x[2] <= y[3] for y in b)}
+    points = left.select("i", "chrom", F.col("start").alias("pos"))
+    for width in (1, 300):
+        assert {x.i for x in intervals.points_in(points, spans, ["chrom"], "pos", width).collect()} == inside
+        assert {x.i for x in intervals.points_in(points, spans, ["chrom"], "pos", width, anti=True).collect()} == {x[0] for x in a} - inside
+    assert intervals.points_in(points, spans.limit(0), ["chrom"], "pos", 7).count() == 0
+    assert intervals.overlap_join(left, right.limit(0), ["chrom"], 7).count() == 0
+    blocks = spark.createDataFrame([(y[0], y[1], y[3], y[2]) for y in b], "block_id int, chrom int, start bigint, end bigint")
+    genes = left.withColumnRenamed("i", "gene_id")
+    got = {(x.block_id, x.gene_id) for x in intervals.genes_in_blocks(genes, blocks, 7).collect()}
+    assert got == {(y[0], x[0]) for x in a for y in b if x[1] == y[1] and y[2] <= x[2] and x[3] <= y[3]}
+
+
+def test_a_chromosome_long_interval_is_one_row(spark):
+    spans = spark.createDataFrame([(1, 250_000_000)], "start bigint, end bigint")
+    place = F.struct(F.lit(0).alias("role"), intervals._level(F.col("start"), F.col("end"), 100).alias("level"))
+    assert intervals._dealt(spans, "start", "end", 100, [place], "x_").count() == 1
+
+
+def fragments_brute(rows, exons, mode, stranded, fractional):
+    out = {}
+    for read in {x[0] for x in rows}:
+        mates = [x for x in rows if x[0] == read]
+        aligned = [x for x in mates if x[7]]
+        if not aligned:
+            sets = "__not_aligned"
+        elif any(x[6] > 1 for x in aligned):
+            sets = "__alignment_not_unique"
+        elif any(x[5] < 10 for x in aligned):
+            sets = "__too_low_aQual"
+        else:
+            fits = lambda x, e: {"forward": x[4] == e[4], "reverse": x[4] != e[4], "unstranded": True}[stranded]
+            at = [{e[0] for e in exons if e[1] == x[1] and e[2] <= p <= e[3] and fits(x, e)} for x in aligned for p in range(x[2], x[3] + 1)]
+            if mode == "union":
+                sets = set().union(*at)
+            else:
+                at = [s for s in at if s] if mode == "intersection-nonempty" else at
+                sets = set.intersection(*at) if at else set()
+        if isinstance(sets, str):
+            share = {sets: 1}
+        elif fractional and sets:
+            share = {g: 1 / len(sets) for g in sets}
+        else:
+            share = {"__no_feature" if not sets else "__ambiguous" if len(sets) > 1 else next(iter(sets)): 1}
+        for k, v in share.items():
+            out[k] = out.get(k, 0) + v
+    return out
+
+
+def test_one_status_per_fragment_and_modes(spark):
+    reads = "read_id string, chrom string, start bigint, end bigint, strand string, mapq int, nh int, mapped boolean"
+    two = [("a", "c", 10, 20, "+", 60, 1, True), ("a", "c", 10, 20, "+", 0, 1, False), ("b", "c", 12, 22, "+", 60, 1, True), ("b", "c", 30, 40, "+", 3, 1, True)]
+    exons = spark.createDataFrame([("g1", "c", 1, 100, "+")], "gene_id string, chrom string, start bigint, end bigint, strand string")
+    got = {x.category: x.n for x in intervals.count_features(spark.createDataFrame(two, reads), exons, 50).collect()}
+    assert got == {"g1": 1, "__too_low_aQual": 1}  # two pairs, two counts
+    r = random.Random(8)
+    rows = []
+    for i in range(60):
+        at, strand = r.randrange(1, 150), r.choice("+-")
+        for _ in range(r.choice([1, 2, 2, 3])):
+            s = at + r.randrange(0, 40)
+            rows.append((f"r{i}", r.choice("ccd"), s, s + r.randrange(0, 25), strand, r.choice([60, 60, 60, 5]), r.choice([1] * 9 + [2]), r.random() < 0.85))
+    parts = [(f"g{r.randrange(7)}", r.choice("cd"), s := r.randrange(1, 180), s + r.choice([5, 30, 120]), r.choice("+-")) for _ in range(18)]
+    frame, genes = spark.createDataFrame(rows, reads), spark.createDataFrame(parts, exons.schema)
+    for mode in intervals.MODES:
+        for stranded, fractional in (("forward", False), ("unstranded", False), ("unstranded", True)):
+            got = {x.category: x.n for x in intervals.count_features(frame, genes, 20, stranded=stranded, mode=mode, fractional=fractional).collect()}
+            assert got == pytest.approx(fragments_brute(rows, parts, mode, stranded, fractional)), (mode, stranded, fractional)
+    with pytest.raises(ValueError):
+        intervals.count_features(frame, genes, 20, mode="none")
