@@ -16,7 +16,7 @@ from .word_arrays import Words, byte_classes, mixed, name_hashes, words_of
 GAPS, ENDS = " \t", ".,;:!?\n\x0b\x0c\r"
 CLASSES = byte_classes(GAPS, ENDS)
 #: Bytes of text that are counted together in a task, and bounds of the filter of phrases, in bits.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 FILTER_BITS = (1 << 16, 1 << 27)
 
 

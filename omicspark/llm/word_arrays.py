@@ -49,15 +49,17 @@ def words_of(texts: pa.Array, classes: np.ndarray, lower: bool = False) -> Words
     kind = classes[data]
     part = kind == PART
     heads = offsets[:-1][offsets[:-1] < offsets[1:]]
-    first = part.copy()
+    first, last = part.copy(), part.copy()
     first[1:] &= ~part[:-1]
     first[heads] = part[heads]
+    last[:-1] &= ~part[1:]
+    last[heads[1:] - 1] = part[heads[1:] - 1]
     starts = np.flatnonzero(first)
-    ended = np.cumsum(part, dtype=np.int64)
-    lengths = np.diff(np.append(ended[starts] - 1, ended[-1])) if len(starts) else np.zeros(0, np.int64)
+    lengths = np.flatnonzero(last) - starts + 1
     breaks = kind == END
     breaks[heads] = True
-    piece = np.cumsum(breaks, dtype=np.int32)[starts]
+    piece = np.searchsorted(np.flatnonzero(breaks), starts, side="right")
+    del first, last, breaks, kind
     packed = pa.LargeStringArray.from_buffers(
         len(starts), pa.py_buffer(np.append(0, np.cumsum(lengths)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[part]))
     )
