@@ -244,6 +244,33 @@ def _(t):
     return per.agg(F.sum("total_bp").alias("total_bp"), F.sum("contigs").alias("contigs"), F.max("max_contig_bp").alias("max_contig_bp"), share("n_fraction"), share("softmask_fraction"))
 
 
+@query(
+    "io_genome_chunks",
+    """WITH s AS (SELECT 's' || p_partkey AS chrom, repeat('ACGTn', 6) || repeat('NNac', p_size) AS seq FROM part)
+    SELECT chrom, k AS chunk_no, substr(seq, k * 20 + 1, 21) AS chunk FROM s, range(0, 20) r(k) WHERE k * 20 < length(seq)""",
+)
+def _(t):
+    return sequences.genome_chunks(readers.fasta_lines(t.spark, _fasta(t)), 20).drop("path")
+
+
+@query(
+    "splice_motifs_of_a_genome",
+    """WITH c AS (SELECT o_orderkey AS k, (o_orderkey * 13) % 900 AS p, o_orderkey % 2 = 1 AS reverse FROM orders), m AS (SELECT *,
+      substr('GTAGCATC', CAST((p + 20) % 8 AS INT) + 1, 1) || substr('GTAGCATC', CAST((p + 21) % 8 AS INT) + 1, 1) AS d, substr('GTAGCATC', CAST((p + 54) % 8 AS INT) + 1, 1) || substr('GTAGCATC', CAST((p + 55) % 8 AS INT) + 1, 1) AS a FROM c)
+    SELECT k AS read_id, CASE WHEN d || '-' || a IN ('GT-AG', 'GC-AG', 'AT-AC') THEN '+' WHEN d || '-' || a IN ('CT-AC', 'CT-GC', 'GT-AT') THEN '-' ELSE '' END AS strand, reverse FROM m""",
+)
+def _(t):
+    """Spliced reads of customers' contigs, written as FASTA lines of different widths and looked up in the chunks made of them."""
+    width = 7 + F.col("c_custkey") % 50
+    seqs = t.read("customer").select(F.concat(F.lit("k"), text("c_custkey")).alias("seq_id"), F.regexp_replace(F.repeat(F.lit("gtAGCATC"), F.lit(125)), F.concat(F.lit("(.{"), width.cast("string"), F.lit("})")), F.lit("$1\n")).alias("sequence"))
+    path = _folder(t, "genome")
+    writers.fasta_rows(seqs).select("value").write.text(path)
+    k = F.col("o_orderkey")
+    al = t.read("orders").select(F.lit("s").alias("sample_id"), k.alias("read_id"), F.when(k % 2 == 1, 16).otherwise(0).alias("flag"), F.concat(F.lit("k"), text("o_custkey")).alias("chrom"), ((k * 13) % 900).alias("pos0"), F.lit("20M36N30M").alias("cigar"))
+    ev = sequences.splice_evidence(al, sequences.genome_chunks(readers.fasta_lines(t.spark, path), 100), 100)
+    return ev.select("read_id", F.coalesce(F.get("strands", F.lit(0)), F.lit("")).alias("strand"), "reverse")
+
+
 @query("io_fastq", "SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'a.fastq' ELSE 'b.fastq' END AS file, 'r' || o_orderkey AS read_id, o_orderpriority AS seq, repeat('I', length(o_orderpriority)) AS qual FROM orders")
 def _(t):
     k = F.col("o_orderkey")

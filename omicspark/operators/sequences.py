@@ -94,6 +94,31 @@ def shared_ids(ids: DataFrame) -> DataFrame:
     return ids.groupBy("seq_id").agg(F.count_distinct("source").alias("n_sources"), F.count(F.lit(1)).alias("n_rows")).where("n_sources > 1")
 
 
+def genome_chunks(lines: DataFrame, chunk_bp: int) -> DataFrame:
+    """``path, chrom, chunk_no, chunk``: the genome of ``fasta_lines`` in chunks for lookups by position.
+
+    Chunk k starts at k * ``chunk_bp`` and runs one base over, so two bases next to each other stand in one chunk. A line's place in its contig is what
+    lies before it in its split and, one row per contig and split, in the splits before; lines may be of any width, also a contig in one. Pieces of
+    a chunk meet by its number.
+    """
+    place = ["path", "record", "block"]
+    rows = lines.withColumn("block", F.col("at.block")).withColumn("bp", F.length("chunk").cast("bigint"))
+    upto = Window.unboundedPreceding, -1
+    splits = rows.groupBy(*place).agg(F.sum("bp").alias("bp"))
+    before = F.coalesce(F.sum("bp").over(Window.partitionBy("path", "record").orderBy("block").rowsBetween(*upto)), F.lit(0))
+    splits = splits.select("path", "record", "block", before.alias("__before"))
+    within = F.coalesce(F.sum("bp").over(Window.partitionBy(*place).orderBy("at.i").rowsBetween(*upto)), F.lit(0))
+    placed = rows.withColumn("__within", within).join(splits, place).withColumn("start", F.col("__before") + F.col("__within"))
+    first, last = F.greatest(F.floor((F.col("start") - 1) / chunk_bp), F.lit(0)), F.floor((F.col("start") + F.col("bp") - 1) / chunk_bp)
+    cut = placed.where("bp > 0").select("path", "record", "seq_id", "start", "bp", F.encode("chunk", "utf-8").alias("line"), F.explode(F.sequence(first, last)).alias("chunk_no"))
+    begin = F.greatest(F.col("start"), F.col("chunk_no") * chunk_bp)
+    end = F.least(F.col("start") + F.col("bp"), (F.col("chunk_no") + 1) * chunk_bp + 1)
+    piece = F.substring("line", (begin - F.col("start") + 1).cast("int"), (end - begin).cast("int")).cast("string")  # bytes are cut without a walk from the start
+    pieces = cut.select("path", "record", "seq_id", "chunk_no", F.struct(begin.alias("at"), piece.alias("piece")).alias("p"))
+    met = pieces.groupBy("path", "record", "seq_id", "chunk_no").agg(F.array_sort(F.collect_list("p")).alias("ps"))  # no more than one chunk
+    return met.select("path", F.col("seq_id").alias("chrom"), "chunk_no", F.array_join("ps.piece", "").alias("chunk"))
+
+
 def splice_evidence(alignments: DataFrame, chunks: DataFrame, chunk_bp: int) -> DataFrame:
     """Per spliced read its strand by the motifs at its introns: ``read_id, reverse, strands, noncanonical``.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -69,8 +71,6 @@ def _cut(sep: str = "\t") -> Column:
 
 def refuse_shared_names(df: DataFrame, ending: str = "") -> None:
     """Raise if two files of ``df`` have one name, which here names the sample. The list of files is the driver's own."""
-    import re
-
     names = Counter(re.sub(ending, "", f.rsplit("/", 1)[-1]) if ending else f.rsplit("/", 1)[-1] for f in df.inputFiles())
     twice = sorted(n for n, k in names.items() if k > 1)
     if twice:
@@ -217,12 +217,40 @@ def fasta_ids(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``path, file, ord, read_id, seq, qual`` of four-line records; mate endings are cut from ids."""
+def read_fastq(spark: SparkSession, path: str | list[str], split_bytes: int | None = None) -> DataFrame:
+    """``path, file, ord, read_id, seq, qual`` of four-line records; mate endings are cut from ids. ``ord`` rises within a file.
+
+    Files are read in ranges of ``split_bytes`` (by default Spark's own) that begin with the first record in them; packed files are one range. In a store that only
+    Spark's readers open, lines are numbered and gathered instead, which moves them.
+    """
+    from pyarrow import ArrowInvalid, fs
+
+    from .fastq import Fastq
+
+    listed = spark.read.format("binaryFile").load(path).select("path", "length").orderBy("path").collect()  # names and sizes alone
+    files = [(re.sub("^file:/+", "file:///", r["path"]), r["length"]) for r in listed]
+    try:
+        for scheme in {uri.split(":", 1)[0]: uri for uri, _ in files}.values():
+            fs.FileSystem.from_uri(scheme)
+    except (ArrowInvalid, NotImplementedError, OSError):
+        return _fastq_lines(spark, path)
+    size = split_bytes or int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
+    spark.dataSource.register(Fastq)
+    rows = spark.read.format(Fastq.name()).option("files", json.dumps(files)).option("bytes", size).load()
+    clean = lambda c: F.rtrim(F.regexp_replace(c, "^\\x{FEFF}|\\r$", ""))
+    rows = rows.select("path", base_name(F.col("path")).alias("file"), "ord", clean("h").alias("h"), clean("seq").alias("seq"), clean("qual").alias("qual"))
+    return rows.where("startswith(h, '@')").select("path", "file", "ord", read_id_of(F.col("h")).alias("read_id"), "seq", "qual")
+
+
+def read_id_of(header: Column) -> Column:
+    return F.regexp_replace(F.regexp_extract(header, r"^@(\S+)", 1), "[/._][12]$", "")
+
+
+def _fastq_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = numbered_lines(spark, path).withColumn("ord", F.floor(F.col("line") / 4)).withColumn("k", F.col("line") % 4)
     part = lambda k: F.max(F.when(F.col("k") == k, F.col("value")))
     reads = rows.groupBy("path", "file", "ord").agg(part(0).alias("h"), part(1).alias("seq"), part(3).alias("qual"))
-    return reads.where("startswith(h, '@')").select("path", "file", "ord", F.regexp_replace(F.regexp_extract("h", r"^@(\S+)", 1), "[/._][12]$", "").alias("read_id"), "seq", "qual")
+    return reads.where("startswith(h, '@')").select("path", "file", "ord", read_id_of(F.col("h")).alias("read_id"), "seq", "qual")
 
 
 SYRI_COLUMNS = "ref_chr ref_start ref_end ref_seq query_seq query_chr query_start query_end id parent_id type copy_status".split()

@@ -1,5 +1,7 @@
 """Operators on small invented tables: rules, missing values and edge cases."""
 
+import gzip
+import io
 import math
 import random
 
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from omicspark.functions import columns, tails
 from omicspark.operators import annotation, counts, enrichment, explore, features, haplotypes, inference, intervals, normalize, sequences, validate
 from omicspark.plans import project
-from omicspark.sources import readers, writers
+from omicspark.sources import fastq, readers, writers
 
 
 def one(df):
@@ -537,3 +539,58 @@ def test_one_status_per_fragment_and_modes(spark):
             assert got == pytest.approx(fragments_brute(rows, parts, mode, stranded, fractional)), (mode, stranded, fractional)
     with pytest.raises(ValueError):
         intervals.count_features(frame, genes, 20, mode="none")
+
+
+# Files in ranges
+
+
+def test_fastq_in_ranges(spark, tmp_path):
+    r = random.Random(12)
+    want = []
+    for name in ("a.fastq", "b.fq"):
+        text = b""
+        for i in range(300):
+            n = r.choice([0, 1, 5, 40])
+            qual = "".join(r.choice("@+I#") for _ in range(n))  # quality lines that look like headers
+            want.append((name, f"r{i}", "ACGT"[i % 4] * n, qual))
+            text += f"@r{i}/1 more\n{'ACGT'[i % 4] * n}\n+{'again' * (i % 2)}\n{qual}\n".encode()
+        (tmp_path / name).write_bytes(text if name == "a.fastq" else text.rstrip(b"\n"))
+    (tmp_path / "c.fq.gz").write_bytes(gzip.compress(b"@x 1\nAC\n+\n@@\n") + gzip.compress(b"@y\r\nGG\r\n+\r\n++\r\n"))  # two members
+    (tmp_path / "d.fq").write_bytes(b"")
+    want += [("c.fq.gz", "x", "AC", "@@"), ("c.fq.gz", "y", "GG", "++")]
+    for size in (37, 500, 1 << 20):
+        reads = readers.read_fastq(spark, [str(tmp_path / n) for n in ("a.fastq", "b.fq", "c.fq.gz", "d.fq")], split_bytes=size)
+        assert sorted((x.file, x.read_id, x.seq, x.qual) for x in reads.collect()) == sorted(want)
+        assert [x.read_id for x in reads.where("file = 'a.fastq'").orderBy("ord").collect()] == [f"r{i}" for i in range(300)]
+    assert "Exchange" not in reads._jdf.queryExecution().executedPlan().toString()
+    lines = readers._fastq_lines(spark, [str(tmp_path / n) for n in ("a.fastq", "b.fq")])
+    assert sorted((x.file, x.read_id, x.seq, x.qual) for x in lines.collect()) == sorted(want[:600])
+
+
+def test_records_of_a_stream_do_not_depend_on_blocks():
+    r = random.Random(3)
+    rows = [[f"@h{i}".encode(), b"A" * (n := r.randrange(6)), b"+", bytes(r.choice(b"@+I") for _ in range(n))] for i in range(60)]
+    data = b"".join(b"\n".join(x) + b"\n" for x in rows)
+    for size in (1, 13, 64, 1000):
+        for block in (1, 7, 10_000):
+            got = [x for s in range(0, len(data), size) for _, lines in fastq.records(io.BytesIO(data), s, min(s + size, len(data)), block) for x in lines]
+            assert got == [x for row in rows for x in row], (size, block)
+
+
+def test_chunks_of_a_genome(spark, tmp_path):
+    r = random.Random(14)
+    contigs = {f"c{i}": "".join(r.choice("ACGTacgtN") for _ in range(r.choice([1, 9, 10, 11, 500, 3000]))) for i in range(12)}
+    text = ""
+    for name, seq in contigs.items():
+        width = r.choice([1, 7, 60, 10_000])
+        text += f">{name} some words\n" + "".join(seq[i : i + width] + "\n" * r.choice([1, 1, 2]) for i in range(0, len(seq), width))
+    (tmp_path / "g.fa").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("700b", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            for size in (10, 333):
+                got = {(x.chrom, x.chunk_no): x.chunk for x in sequences.genome_chunks(readers.fasta_lines(spark, str(tmp_path / "g.fa")), size).collect()}
+                assert got == {(n, k): s[k * size : (k + 1) * size + 1] for n, s in contigs.items() for k in range(-(-len(s) // size))}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
