@@ -59,7 +59,9 @@ def by_runs(path: str) -> bool:
     drops = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and first.get("pattern") == {"Regex": _SPLIT}
     plain = all(c.get("type") == "ByteLevel" and not c.get("add_prefix_space") and not c.get("use_regex") for c in cuts[1:])
     kinds = [s.get("type") for s in steps]
-    return bool(drops and plain and set(kinds) <= {"NFC", "Replace", "Lowercase"} and "Lowercase" in kinds)
+    # What replaces must act on white space alone, or a replacement could join runs or depend on what surrounds them.
+    blanks = all(s.get("pattern") == {"Regex": "\\s+"} and s.get("content") == " " for s in steps if s.get("type") == "Replace")
+    return bool(blanks and drops and plain and set(kinds) <= {"NFC", "Replace", "Lowercase"} and "Lowercase" in kinds)
 
 
 class Runs:

@@ -44,6 +44,17 @@ def release(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
+def unused(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """``names``, each with as many underscores before it as no column of ``df`` has that name in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return tuple(out)
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z in lower case and every other character as it was; null counts as empty.
 

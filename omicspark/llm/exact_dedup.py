@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stash
+from .common import ascii_lower, stash, unused
 
 
 def sha256(content: Column) -> Column:
@@ -73,8 +73,10 @@ def exact_dedup(
 def keep_one_copy(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns as they were.
 
-    A row is known by its id and its text: rows of one id with different texts are judged each, and equal ones all stay.
+    A row is known by its id and its text: rows of one id with different texts are judged each, and equal ones all stay. Null texts are empty ones;
+    any other column may have any name; an empty table stays empty.
     """
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__keep_id"), F.col("text_sha256").alias("__sha")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (sha256(ascii_lower(F.col("text"))) == F.col("__sha"))
+    keep_id, sha = unused(docs, "__keep_id", "__sha")
+    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias(keep_id), F.col("text_sha256").alias(sha)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(keep_id)) & (sha256(ascii_lower(F.col("text"))) == F.col(sha))
     return docs.join(kept, same, "left_semi")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stash, word_count
+from .common import stash, unused, word_count
 from .hashing import mix64
 
 #: Places of a running total that one task sums; the totals of such groups are summed apart.
@@ -203,13 +203,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A row stands ``taken / size`` times, the fraction decided by a hash of its id and text, so the words of
     each source stay near its target; rows without words go. Rows that share id and text are each taken as often as they
-    are on average, the fraction decided once for all.
+    are on average, the fraction decided once for all. Any other column may have any name; an empty table stays empty.
     """
-    key = [F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")]
+    known, mark, n, copy = unused(docs, "__id", "__mark", "__copies", "__copy")
+    key = [F.col("doc_id").alias(known), F.col("mark").alias(mark)]
     found = mix(docs, **options).where("size > 0").groupBy(*key).agg((F.sum("taken") / F.sum("size")).alias("ratio"))
-    chance = F.pmod(F.xxhash64("__id", "__mark", F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
+    chance = F.pmod(F.xxhash64(known, mark, F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
     copies = F.floor("ratio") + F.when(chance < F.col("ratio") - F.floor("ratio"), 1).otherwise(0)
-    counted = found.select("__id", "__mark", copies.cast("int").alias("__copies")).where("__copies > 0")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.coalesce(F.xxhash64("text"), F.lit(0)) == F.col("__mark"))
+    counted = found.select(known, mark, copies.cast("int").alias(n)).where(F.col(n) > 0)
+    same = F.col("doc_id").eqNullSafe(F.col(known)) & (F.coalesce(F.xxhash64("text"), F.lit(0)) == F.col(mark))
     joined = docs.join(counted, same)
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).drop(known, mark, n, copy)

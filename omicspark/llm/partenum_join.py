@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stash
+from .common import map_batches, stash, unused
 from .components import components, forest
 from .hashing import mix64, set_key, set_proof, shingle_sets
 
@@ -380,7 +380,9 @@ def _classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Rows of ``docs`` whose id is the least of their class, and those without an id.
 
-    A row is known by its id and text, so rows of one id with different texts are judged each.
+    A row is known by its id and text, so rows of one id with different texts are judged each. Rows without words stay;
+    any other column may have any name; an empty table stays empty.
     """
-    dropped = _classes(docs, width, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
-    return docs.join(dropped, (F.col("doc_id") == F.col("__id")) & (text_mark() == F.col("__mark")), "left_anti")
+    known, mark = unused(docs, "__id", "__mark")
+    dropped = _classes(docs, width, percent).where("component_id <> doc_id").select(F.col("doc_id").alias(known), F.col("mark").alias(mark)).distinct()
+    return docs.join(dropped, (F.col("doc_id") == F.col(known)) & (text_mark() == F.col(mark)), "left_anti")

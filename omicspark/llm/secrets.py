@@ -27,6 +27,10 @@ PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
 #: A token: two JSON objects, whose base64 begins with these letters, and a signature.
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(e[yw][A-Za-z0-9_-]{8,})\.(e[yw][A-Za-z0-9_-]*)\.([A-Za-z0-9_-]*)")
 BLOB = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
+#: Base64 broken into lines of equal length, as mail and configuration files have it.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/=])(?:[A-Za-z0-9+/]{40,100}\r?\n[\x20\t]*){1,}[A-Za-z0-9+/]{1,100}={0,2}(?![A-Za-z0-9+/=])")
+#: How often a candidate is decoded again: base64 of a PEM, hex of that, and so on.
+LAYERS = 3
 MIXED_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}(?![0-9A-Fa-f])")
 
 
@@ -74,9 +78,9 @@ def der_children(data: bytes, start: int, end: int) -> list[tuple[int, int, int]
 def is_der_key(data: bytes) -> bool:
     """A DER private key: one SEQUENCE over all bytes whose parts nest as a key's parts do.
 
-    PKCS#1: version and eight more integers. SEC 1: version 1 and an octet string. PKCS#8:
-    version, an algorithm sequence that starts with an object identifier, and an octet string that holds a key of one of
-    these kinds, an octet string or an integer and nothing else.
+    PKCS#1: version and eight more integers whose lengths fit each other: a modulus of 512 bits or more, two primes that together are as long, three
+    numbers no longer than these. SEC 1: version 1 and an octet string. PKCS#8: version, an algorithm sequence that starts with an object
+    identifier, and an octet string that holds a key of one of these kinds, or one octet string or integer of 16 bytes or more.
     """
     outer = der_element(data, 0)
     if outer is None or outer[0] != 0x30 or outer[2] != len(data):
@@ -86,13 +90,15 @@ def is_der_key(data: bytes) -> bool:
         return False
     tags, version = [p[0] for p in parts], data[parts[0][1]]
     if len(tags) >= 9 and all(t == 0x02 for t in tags[:9]):
-        return True
+        modulus, public, private, p, q, *rest = (end - start - (data[start] == 0) for _, start, end in parts[1:9])
+        primes = abs(p + q - modulus) <= 1 and min(p, q) >= modulus // 4
+        return modulus >= 64 and primes and 1 <= public <= modulus and modulus // 2 <= private <= modulus and all(1 <= n <= max(p, q) for n in rest)
     if version == 1 and len(tags) >= 2 and tags[1] == 0x04 and 16 <= parts[1][2] - parts[1][1] <= 66:
         return True
     if len(tags) >= 3 and tags[1] == 0x30 and tags[2] == 0x04:
         inner = data[parts[2][1] : parts[2][2]]
         element = der_element(inner, 0)
-        whole = element is not None and element[2] == len(inner) and element[0] in (0x02, 0x04)
+        whole = element is not None and element[2] == len(inner) and element[0] in (0x02, 0x04) and element[2] - element[1] >= 16
         return is_algorithm(data, parts[1]) and (whole or is_der_key(inner))
     return False
 
@@ -154,6 +160,27 @@ def is_key(data: bytes | None) -> bool:
     return bool(data) and (is_der_key(data) or is_length_prefixed_key(data))
 
 
+def holds_secret(data: bytes | None, layers: int = LAYERS) -> bool:
+    """Whether decoded bytes are a key, or text that holds a PEM or a signed token or is one more encoding of such."""
+    if not data:
+        return False
+    if is_key(data) or is_encrypted_der_key(data):
+        return True
+    if not layers or not data.isascii() or b"\0" in data:
+        return False
+    text = data.decode().strip()
+    return bool(pem_spans(text) or token_spans(text)) or any(holds_secret(d, layers - 1) for d in decodings(text))
+
+
+def decodings(text: str) -> Iterator[bytes]:
+    """What a text that is one run of hex or base64, on one line or many, stands for."""
+    run = "".join(text.split())
+    if len(run) >= 40 and len(run) % 2 == 0 and re.fullmatch(r"[0-9A-Fa-f]+", run):
+        yield bytes.fromhex(run)
+    if len(run) >= 40 and re.fullmatch(r"[A-Za-z0-9+/_-]+={0,2}", run) and (data := from_base64(run)):
+        yield data
+
+
 def json_object(part: str) -> dict | None:
     """The object whose JSON is in base64, or None."""
     try:
@@ -181,31 +208,47 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
-def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
-    """Candidates whose decoded bytes have the structure of a key or a signed token.
-
-    Hex and base64 runs decode to DER or OpenSSH keys; PEM bodies, white space aside, must decode
-    to a key or to the envelope of an encrypted one; tokens need a JSON header with an algorithm, a payload and a signature. A run
-    that decodes to anything else is no finding.
-    """
+def pem_spans(text: str) -> list[tuple[int, int, str]]:
+    """PEM blocks whose body, white space and escaped line ends aside, decodes to a key or to the envelope of an encrypted one."""
     out = []
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
             mark = f"-----END {m[1]}-----"
             end = text.find(mark, m.end())
-            if end < 0:
-                continue
-            body = text[m.end() : end]
-            data = from_base64("".join(body.split()))
-            if is_key(data) or is_encrypted_der_key(data) or is_encrypted_pem(body):
-                out.append((m.start(), end + len(mark), "pem"))
-    if ".ey" in text or ".ew" in text:
-        out += [(m.start(), m.end(), "token") for m in SIGNED.finditer(text) if is_signed_token(*m.groups())]
+            if end >= 0:
+                body = text[m.end() : end].replace("\\r", "").replace("\\n", "\n")
+                data = from_base64("".join(body.split()))
+                if is_key(data) or is_encrypted_der_key(data) or is_encrypted_pem(body):
+                    out.append((m.start(), end + len(mark), "pem"))
+    return out
+
+
+def token_spans(text: str) -> list[tuple[int, int, str]]:
+    """Tokens with a JSON header that names an algorithm, a payload and a signature."""
+    if ".ey" not in text and ".ew" not in text:
+        return []
+    return [(m.start(), m.end(), "token") for m in SIGNED.finditer(text) if is_signed_token(*m.groups())]
+
+
+def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
+    """Candidates whose decoded bytes have the structure of a key or a signed token.
+
+    PEM blocks and signed tokens are found as such. Hex and base64 runs, on one line or broken into many, decode to DER or OpenSSH keys, or to text that
+    holds a PEM or a token, or is encoded again, up to ``LAYERS`` times. A run that decodes to anything else is no finding.
+    """
+    out = pem_spans(text) + token_spans(text)
+    taken = [(s, e) for s, e, _ in out]
+    free = lambda s, e: not any(a <= s and e <= b for a, b in taken)
+    for m in WRAPPED.finditer(text):
+        if free(m.start(), m.end()) and holds_secret(from_base64("".join(m[0].split()))):
+            out.append((m.start(), m.end(), "key"))
+            taken.append(m.span())
     for m in BLOB.finditer(text):
-        if m[0][0] in "Mb" and is_key(from_base64(m[0])):  # 0x30 and the OpenSSH magic start so
+        if free(m.start(), m.end()) and holds_secret(from_base64(m[0])):
             out.append((m.start(), m.end(), "key"))
+            taken.append(m.span())
     for m in MIXED_HEX.finditer(text):
-        if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
+        if len(m[0]) % 2 == 0 and free(m.start(), m.end()) and holds_secret(bytes.fromhex(m[0])):
             out.append((m.start(), m.end(), "key"))
     return out
 

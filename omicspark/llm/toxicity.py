@@ -14,7 +14,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stash
+from .common import map_batches, stash, unused
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Insults that vote before any are learnt.
@@ -162,13 +162,16 @@ class LabelModel:
         q = np.where(seen > 0, (labelled[:, 1] + 2 * q) / (seen + 2), q)
         self.weight = np.ones(VOTERS)
         for _ in range(rounds):
+            before = q
             mass = np.stack([free * (1 - q) + labelled[:, 0], free * q + labelled[:, 1]])
             self.rate = (mass @ x + np.array([[0.02], [0.2]])) / (mass.sum(axis=1)[:, None] + 1)
             self.weight = 1 / (1 + self._correlation(x, mass).sum(axis=1))
             q = self.posterior(vectors)
+            if np.abs(q - before).max(initial=0.0) < 1e-9:
+                break
 
     def _correlation(self, x: np.ndarray, mass: np.ndarray) -> np.ndarray:
-        """Positive correlations of voters within a class, the classes weighted by their mass."""
+        """Positive correlations of voters within a class, the mean over both classes: toxic texts are few, but it is there that voters agree."""
         out = np.zeros((VOTERS, VOTERS))
         for y in (0, 1):
             both = (x * mass[y][:, None]).T @ x / max(mass[y].sum(), 1)
@@ -250,8 +253,12 @@ def _classifier(voted: DataFrame, terms: list[str], model: LabelModel, vectors:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` that are not predicted toxic, columns as they were; a row is known by its id and text."""
+    """Rows of ``docs`` that are not predicted toxic, columns as they were; a row is known by its id and text.
+
+    Null texts are scored as empty ones; any other column may have any name; an empty table stays empty.
+    """
+    known, mark = unused(docs, "__id", "__mark")
     found, score = _scores(docs, labels, **options)
-    bad = found.where(score >= 0.5).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.coalesce(F.xxhash64("text"), F.lit(0)) == F.col("__mark"))
+    bad = found.where(score >= 0.5).select(F.col("doc_id").alias(known), F.col("mark").alias(mark)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(known)) & (F.coalesce(F.xxhash64("text"), F.lit(0)) == F.col(mark))
     return docs.join(bad, same, "left_anti")

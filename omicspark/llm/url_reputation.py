@@ -33,7 +33,7 @@ RULES = (
 )
 #: Names of more than one label under which others register their own. Give a full list for real corpora.
 SUFFIXES = (
-    "example.com", "example.net", "example.org", "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "edu.au", "co.nz", "org.nz",
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "edu.au", "co.nz", "org.nz",
     "co.jp", "ne.jp", "or.jp", "ac.jp", "co.kr", "or.kr", "com.cn", "net.cn", "org.cn", "com.br", "org.br", "co.in", "net.in", "co.za", "com.mx", "com.ar",
     "com.tr", "com.tw", "com.hk", "com.sg", "github.io", "blogspot.com", "s3.amazonaws.com",
 )

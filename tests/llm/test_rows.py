@@ -72,6 +72,9 @@ def test_sketch_merges_and_bounds_the_error(spark):
 
 # URLs
 
+#: In these tests others register names below the example domains.
+REGISTRIES = ("example.com", "example.net", "example.org")
+
 
 def test_url_rules_and_reputation(spark):
     rows = [
@@ -81,7 +84,7 @@ def test_url_rules_and_reputation(spark):
     bad = [(100 + i, "https://spam.example.net/x") for i in range(60)] + [(300 + i, "https://fine.example.org/x") for i in range(60)]
     pages = spark.createDataFrame(rows + bad, "page_id bigint, url string").withColumn("host", F.lit("clash"))
     outcomes = spark.createDataFrame([(i, 1) for i in range(100, 160)] + [(i, 0) for i in range(300, 360)] + [(None, 1), (1, None)], "page_id bigint, bad int")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_reputation.filter_urls(pages, outcomes).collect()}
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_reputation.filter_urls(pages, outcomes, suffixes=REGISTRIES).collect()}
     assert got[1] == ("example.com", "/en/7/x", "example.com/en/7", "allow")
     assert got[2] == ("a.example.com", "/en/6", "com/en/", "block")
     assert got[3] == ("x.net", "/de/1", "net/de/", "allow") and got[4][2:] == ("example.net/de/8", "block")
@@ -96,7 +99,7 @@ def test_url_rules_and_reputation(spark):
 
 def test_hosts_shrink_to_their_domain(spark):
     seen = [("a.one.example.com", 1)] * 40 + [("b.one.example.com", 1)] + [("c.two.example.com", 0)] * 40 + [("d.two.example.com", 1)] + [("e.three.example.com", k % 2) for k in range(40)]
-    posterior = {r.host: r.a / (r.a + r.b) for r in url_reputation.host_reputation(spark.createDataFrame(seen, "host string, bad int"))[0].collect()}
+    posterior = {r.host: r.a / (r.a + r.b) for r in url_reputation.host_reputation(spark.createDataFrame(seen, "host string, bad int"), REGISTRIES)[0].collect()}
     assert posterior["b.one.example.com"] > posterior["d.two.example.com"]
 
 
