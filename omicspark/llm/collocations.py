@@ -29,7 +29,8 @@ def windows(text: bytes, most: int) -> Iterator[bytes]:
             cut = min((k for c in ENDS if (k := text.find(c.encode(), at + most)) >= 0), default=len(text))
         yield text[at : cut + 1]
         at = cut + 1
-    yield text[at:]
+    if at < len(text):
+        yield text[at:]
 
 
 def gram_hashes(words: Words, at: np.ndarray, m: int) -> np.ndarray:
@@ -81,40 +82,42 @@ def phrase_counts(docs: DataFrame, sizes: tuple[int, ...], bits: np.ndarray | No
         held: dict[str, list] = {}
         size: dict[str, int] = {}
         for batch in batches:
-            for lang in pc.unique(batch.column(0)).to_pylist():
-                texts = batch.column(1).filter(pc.equal(batch.column(0), lang)).cast(pa.large_string())
-                for part in parts_of(texts):
-                    if size.get(lang, 0) + part.nbytes > CHUNK and lang in held:
-                        yield from counted(lang, held.pop(lang))
-                        size[lang] = 0
-                    held.setdefault(lang, []).append(part)
-                    size[lang] = size.get(lang, 0) + part.nbytes
+            for start, stop in runs_of(batch.column(1)):
+                rows = batch.slice(start, stop - start)
+                for lang in pc.unique(rows.column(0)).to_pylist():
+                    texts = rows.column(1).filter(pc.equal(rows.column(0), lang)).cast(pa.large_string())  # a copy: the batch can go
+                    for part in [texts] if texts.nbytes <= 2 * CHUNK else parts_of(texts):
+                        if size.get(lang, 0) + part.nbytes > CHUNK and lang in held:
+                            yield from counted(lang, held.pop(lang))
+                            size[lang] = 0
+                        held.setdefault(lang, []).append(part)
+                        size[lang] = size.get(lang, 0) + part.nbytes
         for lang in list(held):
             yield from counted(lang, held.pop(lang))
 
     named = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     made = named.mapInArrow(run, "lang string, phrase string, n bigint")
-    return made.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    # Chunks are counted already: most phrases of a task are in it once, and a second count before the shuffle would only hold them all.
+    return made.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def parts_of(texts: pa.Array) -> Iterator[pa.Array]:
-    """``texts`` in arrays of about ``CHUNK`` bytes, longer texts in windows of their own."""
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+def runs_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have up to ``CHUNK`` bytes together, a longer text alone."""
     start, held = 0, 0
-    for k, size in enumerate(sizes):
-        if size > CHUNK:
-            if k > start:
-                yield texts.slice(start, k - start)
-            for w in windows(texts[k].as_py().encode(), CHUNK):
-                yield pa.array([w], pa.large_binary()).cast(pa.large_string())
-            start, held = k + 1, 0
-        elif held + size > CHUNK:
-            yield texts.slice(start, k - start)
-            start, held = k, size
-        else:
-            held += size
+    for k, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if k > start and held + size > CHUNK:
+            yield start, k
+            start, held = k, 0
+        held += size
     if start < len(texts):
-        yield texts.slice(start)
+        yield start, len(texts)
+
+
+def parts_of(texts: pa.Array) -> Iterator[pa.Array]:
+    """A long text in windows of its own."""
+    for text in texts.to_pylist():
+        for w in windows(text.encode(), CHUNK):
+            yield pa.array([w], pa.large_binary()).cast(pa.large_string())
 
 
 def filter_of(phrases: DataFrame, m: int, n: int) -> np.ndarray:

@@ -27,14 +27,16 @@ MARGINS = {
 
 
 class Node:
-    """An edit in the tree of back pointers; ``held`` survivors end in it and ``children`` go on from it."""
+    """An edit in the tree of back pointers; ``held`` survivors end in it and ``children`` go on from it.
 
-    __slots__ = ("parent", "edit", "role", "text", "children", "depth", "held", "cost")
+    ``base`` and ``tail`` say it once more from the last row on: the survivor it comes from and the edits since.
+    """
+
+    __slots__ = ("parent", "edit", "role", "text", "children", "held", "cost", "base", "tail")
 
-    def __init__(self, parent: Node | None, edit: str, role: str | None, text: str | None, cost: int):
-        self.parent, self.edit, self.role, self.text, self.cost = parent, edit, role, text, cost
+    def __init__(self, parent: Node | None, edit: str, role: str | None, text: str | None, cost: int, base: int = EMPTY, tail: str = ""):
+        self.parent, self.edit, self.role, self.text, self.cost, self.base, self.tail = parent, edit, role, text, cost, base, tail
         self.children, self.held = [], 0
-        self.depth = parent.depth + 1 if parent else 0
         if parent:
             parent.children.append(self)
 
@@ -46,29 +48,34 @@ def release(node: Node) -> None:
         node = node.parent
 
 
-def earlier(a: Node, a_edit: str, b: Node, b_edit: str) -> bool:
-    """Whether the edits to ``a`` and ``a_edit`` come before those to ``b`` and ``b_edit`` in ASCII order.
+class Survivors:
+    """The best edits to each state, as leaves of one tree whose resolved beginning has been handed on.
 
-    Both have the same rows behind them and cost the same, so neither begins the other: the whole suffixes
-    since their last common edit are compared, which the first edits after it decide, as one state has one child per edit.
+    How the whole unresolved suffixes of any two survivors compare is known from the row before and what was added since, so a tie
+    costs no walk back: ``order`` is ``<`` or ``>`` or, where one begins the other, by how many inserted rows it is longer.
     """
-    while a.depth > b.depth:
-        a, a_edit = a.parent, a.edit
-    while b.depth > a.depth:
-        b, b_edit = b.parent, b.edit
-    while a is not b:
-        a, a_edit, b, b_edit = a.parent, a.edit, b.parent, b.edit
-    return a_edit < b_edit
-
-
-class Survivors:
-    """The best edits to each state, as leaves of one tree whose resolved beginning has been handed on."""
 
     def __init__(self) -> None:
         self.root = Node(None, "", None, None, 0)
         self.root.held = 1
-        self.last = {EMPTY: self.root}
+        self.last, self.order = {EMPTY: self.root}, {}
         self._insert()
+        self._settle()
+
+    def _compare(self, a: int, a_tail: str, b: int, b_tail: str) -> str | int:
+        k = 0 if a == b else self.order[a, b]
+        if isinstance(k, str):
+            return k
+        a_tail, b_tail = "I" * -k + a_tail, "I" * k + b_tail
+        if a_tail.startswith(b_tail) or b_tail.startswith(a_tail):
+            return len(b_tail) - len(a_tail)
+        return "<" if a_tail < b_tail else ">"
+
+    def _settle(self) -> None:
+        """Compare all survivors, and start their tails anew."""
+        self.order = {(p, q): self._compare(a.base, a.tail, b.base, b.tail) for p, a in self.last.items() for q, b in self.last.items() if p != q}
+        for state, node in self.last.items():
+            node.base, node.tail = state, ""
 
     def _take(self, state: int, node: Node) -> None:
         node.held += 1
@@ -82,30 +89,30 @@ class Survivors:
         for state, role in ((EMPTY, "user"), (SYSTEM, "user"), (ASSISTANT, "user"), (USER, "assistant")):
             if state in self.last:
                 node, to = self.last[state], NEXT[state, role[0]]
-                cost, old = node.cost + INSERT, self.last.get(to)
-                if old is None or cost < old.cost or cost == old.cost and earlier(node, "I", old.parent, old.edit):
-                    self._take(to, Node(node, "I", role, "", cost))
+                cost, old, tail = node.cost + INSERT, self.last.get(to), node.tail + "I"
+                if old is None or cost < old.cost or cost == old.cost and self._compare(node.base, tail, old.base, old.tail) == "<":
+                    self._take(to, Node(node, "I", role, "", cost, node.base, tail))
 
     def row(self, role: str, text: str, fault: str) -> Iterator[Node]:
         """Go on by a row; edits that all survivors share are handed out."""
         best: dict[int, tuple] = {}
 
-        def offer(to: int | None, node: Node, cost: int, edit: str, new_role: str | None) -> None:
+        def offer(to: int | None, state: int, cost: int, edit: str, new_role: str | None) -> None:
             if to is not None:
                 old = best.get(to)
-                if old is None or cost < old[1] or cost == old[1] and earlier(node, edit, old[0], old[2]):
-                    best[to] = (node, cost, edit, new_role)
+                if old is None or cost < old[1] or cost == old[1] and self._compare(state, edit, old[0], old[2]) == "<":
+                    best[to] = (state, cost, edit, new_role)
 
         extra = TRUNCATED if fault == "truncated" else 0
         for state, node in self.last.items():
-            offer(state, node, node.cost + DELETE, "D", None)
+            offer(state, state, node.cost + DELETE, "D", None)
             if fault in ("", "truncated"):
-                offer(NEXT.get((state, role[:1])), node, node.cost + extra, "K", role)
+                offer(NEXT.get((state, role[:1])), state, node.cost + extra, "K", role)
                 for other in ("user", "assistant"):
-                    offer(NEXT.get((state, other[0])), node, node.cost + REROLE + extra, "R", other)
+                    offer(NEXT.get((state, other[0])), state, node.cost + REROLE + extra, "R", other)
         before, self.last = self.last, {}
-        for state, (node, cost, edit, new_role) in best.items():
-            self._take(state, Node(node, edit, new_role, text if new_role is not None else None, cost))
+        for to, (state, cost, edit, new_role) in best.items():
+            self._take(to, Node(before[state], edit, new_role, text if new_role is not None else None, cost, state, edit))
         for node in before.values():
             node.held -= 1
             release(node)
@@ -116,6 +123,7 @@ class Survivors:
                 node = self.last.pop(state)
                 node.held -= 1
                 release(node)
+        self._settle()
         while not self.root.held and len(self.root.children) == 1:
             self.root = self.root.children[0]
             self.root.parent = None
@@ -123,15 +131,17 @@ class Survivors:
 
     def end(self) -> tuple[int, list[Node]]:
         """The cost of the best whole sequence and its edits not yet handed out."""
-        final = [self.last[s] for s in (EMPTY, ASSISTANT) if s in self.last]
+        final = [s for s in (EMPTY, ASSISTANT) if s in self.last]
         best = final[0]
-        for node in final[1:]:
-            if node.cost < best.cost or node.cost == best.cost and earlier(node.parent, node.edit, best.parent or best, best.edit):
-                best = node
-        cost, rest = best.cost, []
-        while best is not self.root:
-            rest.append(best)
-            best = best.parent
+        for state in final[1:]:
+            cost, least = self.last[state].cost, self.last[best].cost
+            if cost < least or cost == least and self.order[state, best] == "<":
+                best = state
+        node, rest = self.last[best], []
+        cost = node.cost
+        while node is not self.root:
+            rest.append(node)
+            node = node.parent
         return cost, rest[::-1]
 
 
@@ -143,7 +153,9 @@ def fault_of(text: str, again: bool) -> str:
 def repair(rows: Iterator[tuple]) -> Iterator[Node | dict]:
     """The edits of one conversation as they are resolved, and at the end what was counted.
 
-    ``rows`` are ``(turn, role, text, again)`` in order. What is held are the edits not yet resolved; nothing else grows with the rows.
+    ``rows`` are ``(turn, role, text, again)`` in order. What is held are the edits not yet resolved; nothing else grows with the rows. Most are
+    resolved within a few rows. Where the end decides over the beginning, as in a run of rows that all have to be given roles and whose number may turn out odd,
+    the edits of that run wait for it.
     """
     found = dict.fromkeys(("blank", "duplicate", "truncated", "illegal"), 0)
     survivors, least, most, turns, before = Survivors(), None, None, 0, None

@@ -63,7 +63,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     )
     picked = [known.where(c).orderBy(F.xxhash64("__id"), "__id").limit(most) for c in ("toxic = 1", "toxic <> 1")]
     few = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * most rows of two numbers
-    return docs.join(few, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic")
+    return docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic")
 
 
 def learn_terms(sample: DataFrame, least_texts: int = 3, least_ratio: float = 6.0, margin: float = 4.0) -> list[tuple[str, float]]:

@@ -122,6 +122,12 @@ def test_repairs_of_long_conversations():
         assert repaired(rows)[:2] == whole_strings(rows), roles
 
 
+def test_unresolved_ties_take_no_walk_back():
+    rows = [("tool", f"{i}.") for i in range(20_001)]  # the first edit rests on the last
+    cost, audit, _ = repaired(rows)
+    assert (cost, audit) == (3 * 20_000 + 4, "D" + "R" * 20_000)
+
+
 def held_nodes(root):
     stack, n = [root], 0
     while stack:
@@ -131,7 +137,7 @@ def held_nodes(root):
 
 
 def test_only_unresolved_edits_are_held():
-    for roles in (["user", "assistant"], ["user"], ["tool"], ["system", "user", "user"]):
+    for roles in (["user", "assistant"], ["user"], ["system", "user", "user"]):
         s, most = conversation_repair.Survivors(), 0
         for i in range(5000):
             for _ in s.row(roles[i % len(roles)], f"{i}", ["", "truncated", "blank"][i % 3]):
@@ -142,7 +148,7 @@ def test_only_unresolved_edits_are_held():
 
 def test_rows_that_are_odd(spark):
     rows = [
-        (1, None, "user", "Hi."), (1, 0, "assistant", "Yes."), (1, 0, "assistant", "Yes."), (1, 9, None, None), (2, 5, "user", ""), (None, 1, "user", "A."), (None, 1, "assistant", "B."),
+        (1, None, "user", "Hi."), (1, 0, "assistant", "Yes."), (1, 0, "assistant", "Yes."), (1, 9, None, None), (2, 5, "user", ""), (None, 1, "user", "A."), (None, 2, "assistant", "B."),
     ]
     talk = spark.createDataFrame([(*x, 1, 2, "c", "d") for x in rows], ROWS)
     got = {x.conv_id: x for x in conversation_repair.repair_summary(talk).collect()}
