@@ -412,6 +412,27 @@ def _(t):
     return annotation.predictor_table(p.select(name.alias("protein_id")), tools).drop("n_sp_tools", "n_tm", "secreted")
 
 
+@query(
+    "io_predictor_rows_repeated",
+    """SELECT 'p' || p_partkey AS protein_id, 'Nucleus' || (p_size % 3) AS compartment, 'TM' AS kind, 2 AS n_tm, p_size % 2 AS phobius_tm FROM part""",
+)
+def _(t):
+    """Files that tell each protein twice: what stands further down counts."""
+    p = t.read("part")
+    name = F.concat(F.lit("p"), text("p_partkey"))
+    both = lambda first, last: p.select(F.lit(0).alias("ord"), first.alias("value")).unionByName(p.select(F.lit(1).alias("ord"), last.alias("value")))
+
+    def put(rows: DataFrame, header: list[str], file: str) -> str:
+        top = t.spark.createDataFrame([(-1, h) for h in header], "ord int, value string")
+        return _files(t, top.unionByName(rows).select(F.lit(file).alias("file"), "ord", "value"))
+
+    record = lambda kind, topology: F.concat_ws("\n", F.concat(F.lit(">"), name, F.lit(f" | {kind}")), F.lit("MKLV"), F.lit(topology))
+    deeploc = readers.read_deeploc(t.spark, put(both(F.concat(name, F.lit(",Golgi,")), F.concat(name, F.lit(",Nucleus"), (F.col("p_size") % 3).cast("string"), F.lit(","))), ["Protein_ID,Localizations,Signals"], "d.csv"))
+    topology = readers.read_topology(t.spark, put(both(record("GLOB", "IIII"), record("TM", "IMMOMI")), [], "t.3line"))
+    phobius = readers.read_phobius(t.spark, put(both(F.concat(name, F.lit("  7  Y  o")), F.concat(name, F.lit("  "), (F.col("p_size") % 2).cast("string"), F.lit("  0  o"))), ["SEQENCE ID   TM SP PREDICTION"], "p.txt"))
+    return deeploc.drop("signals").join(topology, "protein_id").join(phobius.select("protein_id", F.col("n_tm").alias("phobius_tm")), "protein_id")
+
+
 @query("io_effectors", "SELECT 'p' || p_partkey AS protein_id, CASE WHEN p_size % 2 = 0 THEN 'Apoplastic effector' ELSE 'Non-effector' END AS call FROM part")
 def _(t):
     value = tabbed(F.concat(F.lit("p"), text("p_partkey"), F.lit(" extra")), F.lit("0.5"), F.when(F.col("p_size") % 2 == 0, "Apoplastic effector").otherwise("Non-effector"))

@@ -324,6 +324,25 @@ def _(t):
     return annotation.predictor_table(p, tools)
 
 
+@query(
+    "predictor_rows_repeated",
+    """SELECT p_partkey AS protein_id, CASE WHEN p_partkey % 2 = 0 THEN 'SP' ELSE '-' END AS signalp6, CASE WHEN p_partkey % 3 = 0 THEN 'mTP' ELSE 'SP' END AS targetp2,
+    (CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE 1 END)::INT AS n_sp_tools, 0 AS n_tm, CASE WHEN p_partkey % 2 = 0 AND p_partkey % 3 <> 0 THEN 'yes' ELSE 'no' END AS secreted,
+    'first' || (p_partkey % 4) AS merops FROM part""",
+)
+def _(t):
+    """Two rows per protein and tool: the later ones count, of peptidases the earlier."""
+    k = F.col("protein_id")
+    twice = t.read("part").withColumnRenamed("p_partkey", "protein_id").select("protein_id", F.explode(F.array(F.lit(5), F.lit(9))).alias("at"))
+    late = F.col("at") == 9
+    tools = {
+        "signalp6": twice.select("protein_id", "at", F.when(late == (k % 2 == 0), "SP").otherwise("OTHER").alias("call")),
+        "targetp2": twice.select("protein_id", "at", F.when(late & (k % 3 == 0), "mTP").otherwise("SP").alias("call")),
+        "merops": twice.select("protein_id", "at", F.concat(F.when(late, "last").otherwise("first"), (k % 4).cast("string")).alias("family")),
+    }
+    return annotation.predictor_table(twice.select("protein_id").distinct(), tools)
+
+
 @query(
     "family_calls",
     """WITH d AS (SELECT p_partkey AS protein_id, CASE WHEN p_partkey % 3 = 0 THEN 'GH' || (p_size % 5) END AS a, CASE WHEN p_partkey % 4 = 0 THEN 'GH1' END AS b, CASE WHEN p_partkey % 5 = 0 THEN '2' WHEN p_partkey % 7 = 0 THEN '0' END AS n FROM part),

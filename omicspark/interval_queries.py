@@ -95,7 +95,7 @@ def _(t):
 #: Every position of a fragment with the genes there: the sets that the modes are about, position by position.
 POSITIONS = """, p AS (SELECT DISTINCT read_id, chrom, strand, unnest(range("start", "end" + 1)) AS p FROM mates JOIN st USING (read_id) WHERE status IS NULL AND mapped),
     g AS (SELECT *, unnest(range("start" // 1000, "end" // 1000 + 1)) AS bucket FROM genes),
-    h AS (SELECT DISTINCT read_id, p, gene_id FROM p JOIN g ON g.chrom = p.chrom AND g.bucket = p.p // 1000 AND p.p BETWEEN g."start" AND g."end" AND {side}),
+    h AS (SELECT DISTINCT read_id, p.chrom, p, gene_id FROM p JOIN g ON g.chrom = p.chrom AND g.bucket = p.p // 1000 AND p.p BETWEEN g."start" AND g."end" AND {side}),
     per AS (SELECT read_id, gene_id, count(*) AS c FROM h GROUP BY 1, 2),
     asked AS (SELECT read_id, {asked} AS c FROM {of} GROUP BY 1),
     held AS (SELECT read_id, gene_id FROM per JOIN asked USING (read_id) WHERE per.c >= asked.c),
@@ -103,7 +103,7 @@ POSITIONS = """, p AS (SELECT DISTINCT read_id, chrom, strand, unnest(range("sta
 WHOLE = """ SELECT category, count(*) AS n FROM (SELECT coalesce(status, CASE WHEN k IS NULL THEN '__no_feature' WHEN k > 1 THEN '__ambiguous' ELSE g END) AS category FROM st LEFT JOIN size USING (read_id)) GROUP BY 1"""
 SHARES = """ SELECT category, sum(n) AS n FROM (SELECT gene_id AS category, 1.0::DOUBLE / k AS n FROM held JOIN size USING (read_id)
     UNION ALL SELECT coalesce(status, '__no_feature'), 1.0 FROM st LEFT JOIN size USING (read_id) WHERE k IS NULL) GROUP BY 1"""
-ASKED = {"union": ("1", "h"), "intersection-strict": ("count(*)", "p"), "intersection-nonempty": ("count(DISTINCT p)", "h")}
+ASKED = {"union": ("1", "h"), "intersection-strict": ("count(*)", "p"), "intersection-nonempty": ("count(DISTINCT chrom || ':' || p)", "h")}
 SIDES = {"forward": "g.strand = p.strand", "reverse": "g.strand <> p.strand", "unstranded": "true"}
 
 

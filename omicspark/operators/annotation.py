@@ -113,17 +113,24 @@ def secretome(proteins: DataFrame, votes: DataFrame, membranes: DataFrame, tools
     return df.withColumn("secreted", verdict)
 
 
+def _one_row(rows: DataFrame, cells: list[str], first: bool) -> DataFrame:
+    """A row per protein: the last by ``at``, or the first; without ``at`` that of the greatest cells, or the least, so that runs agree."""
+    pick, place = (F.min_by if first else F.max_by), F.col("at") if "at" in rows.columns else F.struct(*cells)
+    return rows.groupBy("protein_id").agg(pick(F.struct(*cells), place).alias("c")).select("protein_id", "c.*")
+
+
 def predictor_table(proteins: DataFrame, tools: dict[str, DataFrame], least_tools: int = 2) -> DataFrame:
     """Every protein beside the predictors that ran, with their defaults, and the secretome vote.
 
     ``tools`` holds those that ran: ``signalp6(call)``, ``targetp2(call)``, ``deeploc2(compartment, signals)``, ``deeptmhmm(kind, n_tm)``,
     ``phobius(n_tm, call)``, ``effectorp(call)`` and ``merops(family)``, each with ``protein_id``. The first five vote on the signal
-    peptide; a protein is secreted if enough of them call one and none sees a membrane span, unknown if none ran. An effector
+    peptide. Of several rows of a protein the last by ``at`` counts, of ``merops`` the first. A protein is secreted if enough of them call one and none sees a membrane span, unknown if none ran. An effector
     call is shown only for secreted proteins.
     """
     df, votes, spans, shown = proteins.select("protein_id"), [], [], []
-    one = {k: v.dropDuplicates(["protein_id"]) for k, v in tools.items()}
-    for name, cells in (("signalp6", ["call"]), ("targetp2", ["call"]), ("deeploc2", ["compartment", "signals"]), ("deeptmhmm", ["kind", "n_tm"]), ("phobius", ["n_tm", "call"]), ("effectorp", ["call"]), ("merops", ["family"])):
+    shape = {"signalp6": ["call"], "targetp2": ["call"], "deeploc2": ["compartment", "signals"], "deeptmhmm": ["kind", "n_tm"], "phobius": ["n_tm", "call"], "effectorp": ["call"], "merops": ["family"]}
+    one = {name: _one_row(rows, shape[name], first=name == "merops") for name, rows in tools.items() if name in shape}
+    for name, cells in shape.items():
         if name in one:
             df = df.join(one[name].select("protein_id", *[F.col(c).alias(f"{name}_{c}") for c in cells]), "protein_id", "left")
     cell = lambda name, default: F.coalesce(F.col(name), F.lit(default))

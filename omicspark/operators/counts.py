@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import EXACT_DOUBLE, bar_list, ratio, sum_if_complete
+from .ranges import exact_quantiles
 
 #: The five counters that HTSeq writes beside the genes.
 HTSEQ_COUNTERS = ("no_feature", "ambiguous", "too_low_aQual", "not_aligned", "alignment_not_unique")
@@ -160,20 +161,18 @@ def merged_categories(counters: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def group_summary(values: DataFrame, keys: list[str], value: str, unit: str) -> DataFrame:
-    """Per group: totals, valid, missing and zero rows, distinct units, and quartiles by linear interpolation."""
-    v = F.col(value)
+    """Per group: totals, valid, missing and zero rows, distinct units, and exact quartiles by linear interpolation, whose state is bounded by ranges of values."""
     labels = [F.when(F.col(k).isNull() | (F.trim(F.col(k)) == ""), "(missing)").otherwise(F.col(k)).alias(k) for k in keys]
-    q = F.percentile(v, F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    out = values.groupBy(*labels).agg(
+    named, v = values.select(*labels, F.col(value).alias("__value"), F.col(unit).alias("__unit")), F.col("__value")
+    out = named.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_total"),
         F.count(v).alias("n_valid"),
         (F.count(F.lit(1)) - F.count(v)).alias("n_missing"),
         F.count_if(v == 0).alias("n_zero"),
-        F.count_distinct(unit).alias("n_units"),
-        q.alias("__q"),
+        F.count_distinct("__unit").alias("n_units"),
     )
-    names = ("minimum", "q1", "median", "q3", "maximum")
-    return out.select("*", *[F.col("__q")[i].alias(n) for i, n in enumerate(names)]).drop("__q")
+    out = out.join(exact_quantiles(named, keys, "__value", [0.0, 0.25, 0.5, 0.75, 1.0]), keys, "left")
+    return out.select("*", *[F.col("q")[i].alias(n) for i, n in enumerate(("minimum", "q1", "median", "q3", "maximum"))]).drop("q")
 
 
 def scope_totals(values: DataFrame, keys: list[str], value: str, unit: str) -> DataFrame:

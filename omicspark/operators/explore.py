@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Samples whose pairwise matrix may go to the driver.
-MOST_SAMPLES = 5_000
+#: Samples whose pairwise matrix may go to the driver, as an Arrow table of 8 million pairs (200 MB).
+MOST_SAMPLES = 4_000
+#: Cells that a task holds of two blocks of samples, and of the differences of a slice of genes.
+TILE_CELLS = 4_000_000
 
 
 def top_variable(expr: DataFrame, k: int | None = 500, share: float | None = None, value: str = "logcpm") -> DataFrame:
@@ -27,34 +32,93 @@ def row_zscores(expr: DataFrame, value: str = "logcpm") -> DataFrame:
     return z.where("sd > 0").select("sample_id", "gene_id", ((F.col(value) - F.col("mu")) / F.col("sd")).alias("z"))
 
 
-def sample_pairs(expr: DataFrame, value: str = "logcpm") -> DataFrame:
-    """Squared differences per gene and pair of samples, each pair once; samples are few, genes many."""
-    a = expr.select("gene_id", F.col("sample_id").alias("s1"), F.col(value).alias("v1"))
-    b = expr.select("gene_id", F.col("sample_id").alias("s2"), F.col(value).alias("v2"))
-    return a.join(b, "gene_id").where("s1 < s2").withColumn("d2", (F.col("v1") - F.col("v2")) ** 2)
+def _tiles(expr: DataFrame, value: str, compute: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], name: str, own: bool = False) -> DataFrame:
+    """``s1, s2, name`` of pairs of samples, computed in tiles: a task has all genes of two blocks of samples as two matrices.
+
+    ``compute(a, b)`` gives for genes x samples with NaN where missing a value per pair of columns, and whether it counts. A value goes to one task per block, so the rows that
+    move are genes x samples x blocks, and no row is made per gene and pair. Blocks are as wide as ``TILE_CELLS`` allows. ``own`` keeps pairs of a sample with itself.
+    """
+    names = sorted(r[0] for r in expr.select("sample_id").distinct().limit(MOST_SAMPLES + 1).collect())
+    if len(names) > MOST_SAMPLES:
+        raise ValueError(f"distances of more than {MOST_SAMPLES} samples")
+    kind = expr.schema["sample_id"].dataType.simpleString()
+    genes = expr.agg(F.approx_count_distinct("gene_id", 0.02)).first()[0]
+    width = max(1, min(len(names), TILE_CELLS // max(2 * genes, 1)))
+    blocks = -(-len(names) // width) if names else 0
+    place = expr.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], f"sample_id {kind}, __at int")
+    near = F.sequence(F.lit(0), F.lit(max(blocks - 1, 0)))
+    mine = F.floor(F.col("__at") / width).cast("int")
+    told = expr.select("sample_id", "gene_id", F.col(value).cast("double").alias("v")).join(F.broadcast(place), "sample_id")  # MOST_SAMPLES rows at most
+    dealt = told.select("gene_id", "__at", "v", F.explode(F.transform(near, lambda j: F.struct(F.least(mine, j).alias("x"), F.greatest(mine, j).alias("y")))).alias("t"))
+    keyed = dealt.select("gene_id", "__at", "v", "t.x", "t.y")
+
+    def tile(key: tuple, rows: pa.Table) -> pa.Table:
+        x, y = key[0].as_py(), key[1].as_py()
+        coded = rows.column("gene_id").combine_chunks()
+        coded = (coded.chunk(0) if isinstance(coded, pa.ChunkedArray) else coded).dictionary_encode()
+        full = np.full((len(coded.dictionary), 2, width), np.nan)
+        at = rows.column("__at").to_numpy()
+        full[coded.indices.to_numpy(), (at // width != x).astype(int), at % width] = rows.column("v").to_numpy()
+        a, b = full[:, 0], full[:, 1] if x != y else full[:, 0]
+        got, counts = compute(a, b)
+        i, j = np.nonzero(counts)
+        keep = (x * width + i <= y * width + j) if own else (x * width + i < y * width + j)
+        i, j = i[keep], j[keep]
+        return pa.table([pa.array((x * width + i).astype(np.int32)), pa.array((y * width + j).astype(np.int32)), pa.array(got[i, j])], names=["a", "b", name])
+
+    pairs = keyed.groupBy("x", "y").applyInArrow(tile, f"a int, b int, {name} double")
+    first, second = (place.select(F.col("sample_id").alias(s), F.col("__at").alias(c)) for s, c in (("s1", "a"), ("s2", "b")))
+    return pairs.join(F.broadcast(first), "a").join(F.broadcast(second), "b").select("s1", "s2", name)
+
+
+def _squared_differences(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over the genes that both samples have, a slice of genes at a time, and the numbers of such genes."""
+    total, n = np.zeros((a.shape[1], b.shape[1])), np.zeros((a.shape[1], b.shape[1]))
+    step = max(1, TILE_CELLS // (a.shape[1] * b.shape[1]))
+    for k in range(0, len(a), step):
+        d = a[k : k + step, :, None] - b[k : k + step, None, :]
+        n += (~np.isnan(d)).sum(axis=0)
+        total += np.nansum(d * d, axis=0)
+    return total, n
+
+
+def _leading_mean(k: int) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    def mean(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Mean of the ``k`` largest squared differences of each pair: the best so far and those of a slice of genes are merged, ``k`` of them kept."""
+        best = np.full((0, a.shape[1], b.shape[1]), -1.0)
+        step = max(1, TILE_CELLS // (a.shape[1] * b.shape[1]))
+        for at in range(0, len(a), step):
+            d = (a[at : at + step, :, None] - b[at : at + step, None, :]) ** 2
+            best = np.concatenate([best, np.where(np.isnan(d), -1.0, d)])
+            if len(best) > k:
+                best = np.partition(best, len(best) - k, axis=0)[-k:]
+        n = (best >= 0).sum(axis=0)
+        return np.where(best >= 0, best, 0.0).sum(axis=0) / np.maximum(n, 1), n
+
+    return mean
 
 
 def sample_distance(expr: DataFrame, value: str = "logcpm") -> DataFrame:
-    """Euclidean distances of samples over all genes."""
-    return sample_pairs(expr, value).groupBy("s1", "s2").agg(F.sqrt(F.sum("d2")).alias("distance"))
+    """Euclidean distances of samples over the genes that both have: ``s1, s2, distance``, each pair once."""
+    return _tiles(expr, value, _squared_differences, "d2").select("s1", "s2", F.sqrt("d2").alias("distance"))
 
 
 def leading_distance(expr: DataFrame, k: int = 500, value: str = "logcpm") -> DataFrame:
-    """Root mean of each pair's ``k`` largest squared differences."""
-    w = Window.partitionBy("s1", "s2").orderBy(F.desc(F.round("d2", 10)), "gene_id")
-    ranked = sample_pairs(expr, value).withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
-    return ranked.groupBy("s1", "s2").agg(F.sqrt(F.avg("d2")).alias("distance"))
+    """Root mean of each pair's ``k`` largest squared differences: ``s1, s2, distance``."""
+    return _tiles(expr, value, _leading_mean(k), "d2").select("s1", "s2", F.sqrt("d2").alias("distance"))
 
 
 def _square(pairs: DataFrame, value: str) -> tuple[list[str], np.ndarray]:
-    rows = pairs.select("s1", "s2", value).limit(MOST_SAMPLES * (MOST_SAMPLES + 1) // 2 + 1).collect()
-    if len(rows) > MOST_SAMPLES * (MOST_SAMPLES + 1) // 2:
+    """Names and symmetric matrix of a table of pairs, taken to the driver in columns, never as row objects."""
+    most = MOST_SAMPLES * (MOST_SAMPLES + 1) // 2
+    table = pairs.select("s1", "s2", F.col(value).cast("double").alias("v")).limit(most + 1).toArrow()
+    if table.num_rows > most:
         raise ValueError(f"a matrix of more than {MOST_SAMPLES} samples is not taken to the driver")
-    names = sorted({r["s1"] for r in rows} | {r["s2"] for r in rows})
-    at = {n: i for i, n in enumerate(names)}
+    names = sorted(set(pc.unique(table["s1"]).to_pylist()) | set(pc.unique(table["s2"]).to_pylist()))
+    known = pa.array(names, table.schema.field("s1").type)
+    i, j = (pc.index_in(table[c], known).to_numpy() for c in ("s1", "s2"))
     out = np.zeros((len(names), len(names)))
-    for s1, s2, v in rows:
-        out[at[s1], at[s2]] = out[at[s2], at[s1]] = v
+    out[i, j] = out[j, i] = table["v"].to_numpy()
     return names, out
 
 
@@ -65,10 +129,12 @@ def _fixed_signs(vectors: np.ndarray) -> np.ndarray:
 
 
 def gram_matrix(centred: DataFrame, value: str = "v") -> DataFrame:
-    """Inner products of samples over genes, each pair once: ``s1, s2, g``. Partial sums per pair are combined before the shuffle."""
-    a = centred.select("gene_id", F.col("sample_id").alias("s1"), F.col(value).alias("v1"))
-    b = centred.select("gene_id", F.col("sample_id").alias("s2"), F.col(value).alias("v2"))
-    return a.join(b, "gene_id").where("s1 <= s2").groupBy("s1", "s2").agg(F.sum(F.col("v1") * F.col("v2")).alias("g"))
+    """Inner products of samples over the genes that both have, each pair once: ``s1, s2, g``."""
+
+    def inner(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.nan_to_num(a).T @ np.nan_to_num(b), (~np.isnan(a)).T.astype(float) @ (~np.isnan(b)).astype(float)
+
+    return _tiles(centred, value, inner, "g", own=True)
 
 
 def pca(expr: DataFrame, genes: DataFrame | None = None, components: int = 3, value: str = "logcpm") -> tuple[DataFrame, DataFrame, DataFrame]:

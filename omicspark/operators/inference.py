@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tails import f_upper, student_two_sided
+from .ranges import least_from_here, placed
 
 
 def design_matrix(samples: list[dict], factors: dict[str, str], numerics: list[str] = (), interactions: list[tuple[str, str]] = ()) -> tuple[list[str], list[str], np.ndarray]:
@@ -165,6 +166,13 @@ def benjamini_hochberg(df: DataFrame, by: list[str], p: str = "PValue", name: st
     return ranked.withColumn(name, F.when(F.col(p).isNotNull(), adjusted)).drop("__q")
 
 
+def benjamini_hochberg_in_ranges(df: DataFrame, by: list[str], p: str = "PValue", name: str = "FDR", order: str = "gene_id") -> DataFrame:
+    """``benjamini_hochberg`` of families too large for a task: ranks come from ranges of p-values, and each range takes the least of the later ones along."""
+    ranked = placed(df.where(F.col(p).isNotNull()), by, [p, order]).withColumn("__q", F.col(p) * F.col("__total") / (F.col("__before") + 1))
+    found = least_from_here(ranked, by, [p, order], "__q", "__least").withColumn(name, F.least(F.lit(1.0), "__least")).select(*df.columns, name)
+    return found.unionByName(df.where(F.col(p).isNull()).withColumn(name, F.lit(None).cast("double")))
+
+
 def regulation(fdr: Column, lfc: Column, fdr_cut: float = 0.05, lfc_cut: float = 1.0) -> Column:
     """Up, Down or Unchanged; anything missing is Unchanged."""
     hit = F.coalesce(fdr < fdr_cut, F.lit(False))

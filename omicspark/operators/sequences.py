@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import cigar_ops, flag_set, reference_steps
+from .ranges import first_rows, placed
 
 #: Splice motifs by strand, call bands and size classes.
 PLUS = ("GT-AG", "GC-AG", "AT-AC")
@@ -17,16 +21,18 @@ LARGEST_INDEXED = 536_870_912
 def genome_stats(seqs: DataFrame, by: list[str] | None = None, prefix_bp: int | None = None) -> DataFrame:
     """Total, contigs, longest, and shares of N and lower-case bases of ``seqs(seq_id, sequence, ord)``.
 
-    With ``prefix_bp`` the composition is of the contigs up to and with the one that reaches it, in the order of ``ord``.
+    With ``prefix_bp`` the composition is of the contigs up to and with the one that reaches it, in the order of ``ord``: their lengths are
+    placed in ranges, and the last contig's ``ord`` picks the sequences where they are.
     """
     by = by or []
     s = F.col("sequence")
     df = seqs.withColumn("bp", F.char_length(s).cast("long"))
     scanned = F.lit(True)
     if prefix_bp is not None:
-        w = Window.partitionBy(*by).orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-        df = df.withColumn("__before", F.coalesce(F.sum("bp").over(w), F.lit(0)))
-        scanned = F.col("__before") < prefix_bp
+        last = placed(df.select(*by, "ord", "bp"), by, ["ord"], F.col("bp")).where(F.col("__before") < prefix_bp).groupBy(*[F.col(c).alias(f"__k_{c}") for c in by]).agg(F.max("ord").alias("__last"))
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by], F.lit(True))
+        df = df.join(last, same, "left") if by else df.crossJoin(F.broadcast(last))  # one row
+        scanned = F.coalesce(F.col("ord") <= F.col("__last"), F.lit(False))
     n = F.regexp_count(s, F.lit("[Nn]")).cast("long")
     low = F.regexp_count(s, F.lit("[a-z]")).cast("long")
     part = lambda c: F.sum(F.when(scanned, c).otherwise(0))
@@ -168,11 +174,10 @@ def strand_call(f: Column, n: Column, least: int) -> Column:
 
 
 def examined(alignments: DataFrame, order: list[str], most: int) -> DataFrame:
-    """The first ``most`` usable records of each sample in file order, then first reads only."""
+    """The first ``most`` usable records of each sample in file order, then first reads only; ``order`` tells the records of a sample apart."""
     usable = alignments.where(~flag_set(F.col("flag"), 0x4 | 0x100 | 0x400 | 0x800))
-    w = Window.partitionBy("sample_id").orderBy(*order)
-    kept = usable.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most).drop("__n")
-    return kept.where(~flag_set(F.col("flag"), 0x1) | flag_set(F.col("flag"), 0x40))
+    first = first_rows(usable, ["sample_id"], order, most)
+    return first.where(~flag_set(F.col("flag"), 0x1) | flag_set(F.col("flag"), 0x40))
 
 
 def flag_counts(alignments: DataFrame, by: list[str]) -> DataFrame:
@@ -214,8 +219,8 @@ def long_enough(reads: DataFrame, least: int = 36) -> DataFrame:
 
 
 def first_reads(reads: DataFrame, n: int, by: list[str], order: list[str]) -> DataFrame:
-    """The first ``n`` reads of each file, both mates of a pair at the same place."""
-    return reads.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("__n") <= n).drop("__n")
+    """The first ``n`` reads of each file, both mates of a pair at the same place; ``order`` tells the reads of a file apart."""
+    return first_rows(reads, by, order, n)
 
 
 def sampled_reads(reads: DataFrame, n: int, seed: int) -> DataFrame:

@@ -8,7 +8,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import counts, enrichment, explore, inference, normalize, validate
+from ..operators import counts, enrichment, explore, inference, library_qc, normalize, validate
+from ..sources.scratch import kept
 
 
 @dataclass
@@ -22,12 +23,13 @@ class Assay:
     status: dict[str, str] = field(default_factory=dict)
 
 
-def import_assay(count_rows: DataFrame, counters: DataFrame, samples: DataFrame, inputs: DataFrame) -> Assay:
+def import_assay(count_rows: DataFrame, counters: DataFrame, samples: DataFrame, inputs: DataFrame, libraries: DataFrame | None = None, mapping: DataFrame | None = None) -> Assay:
     """Check the control tables, compute QC before anything else, and merge technical replicates.
 
     ``samples(sample_id, input_id, source_sample_id, include_analysis, exclusion_reason, technical_merge_id,
     technical_partition_id, technical_disjoint, ...)``, ``inputs(input_id, path, count_mode, sha256)``. Count columns and
-    samples must match one to one; QC is given even if the assay cannot be modelled.
+    samples must match one to one; QC is given even if the assay cannot be modelled. With ``libraries`` (``library_qc.library_metrics``) libraries may come from any counter, in any mode
+    and universe, ``counters`` are its categories, and groups are rows of the same columns; without, they are exclusive counts of all genes with the five counters.
     """
     columns = count_rows.select("sample_id").distinct()
     listed = samples.select("sample_id")
@@ -44,10 +46,16 @@ def import_assay(count_rows: DataFrame, counters: DataFrame, samples: DataFrame,
             validate.duplicates(count_rows, ["sample_id", "gene_id"], "duplicate_gene"),
         ]
     )
-    metrics = counts.htseq_metrics(count_rows, counters)
     members = samples.where("technical_merge_id IS NOT NULL").select("sample_id", F.col("technical_merge_id").alias("merge_id"))
     merged = counts.technical_merge(count_rows, members).withColumnRenamed("merge_id", "sample_id")
-    groups = counts.technical_metrics(metrics, members, "gene_count_sum", "processed")
+    if libraries is None:
+        metrics = counts.htseq_metrics(count_rows, counters)
+        groups = counts.technical_metrics(metrics, members, "gene_count_sum", "processed")
+    else:
+        metrics = library_qc.library_metrics(count_rows, counters, libraries, mapping)
+        groups = library_qc.technical_aggregates(metrics, count_rows, members)
+        told = library_qc.metric_problems(metrics).unionByName(library_qc.metric_problems(groups))
+        problems = problems.unionByName(told.select("rule", "key", F.lit("").alias("detail")))
     return Assay(merged, metrics, groups, problems, {"qc": "ok"})
 
 
@@ -67,12 +75,12 @@ def analyse(
     """
     status: list[tuple[str, str]] = []
     ids, names, x = inference.design_matrix(samples, factors)
-    kept = normalize.design_filter(assay_counts, float(inference.leverage(x).max())).select("gene_id")
-    used = assay_counts.join(kept, "gene_id", "left_semi")
+    passed = normalize.design_filter(assay_counts, float(inference.leverage(x).max())).select("gene_id")
+    used = kept(assay_counts.join(passed, "gene_id", "left_semi"), "used")
     empty = [r["sample_id"] for r in normalize.zero_libraries(used).collect()]
     if empty:
         return {}, [("libraries", f"without counts: {empty}")]
-    expr = normalize.log_cpm(used, normalize.tmm_factors(used))
+    expr = kept(normalize.log_cpm(used, normalize.tmm_factors(used)), "logcpm")
     tables = {"logcpm": expr, "variable": explore.top_variable(expr), "distance": explore.sample_distance(expr)}
     tables["scores"], tables["variance"], tables["loadings"] = explore.pca(expr, tables["variable"])
     fitted = inference.fit(expr, ids, x)

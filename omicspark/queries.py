@@ -594,11 +594,11 @@ def _(t):
 @query(
     "resolve_ordered_parents",
     """WITH o AS (SELECT 'o' || o_orderkey AS id, CASE WHEN o_custkey % 10 <> 0 THEN 'c' || o_custkey WHEN o_orderkey % 3 = 0 THEN 'c1' END AS gene_id, CAST(1 AS INTEGER) AS depth FROM orders),
-    l AS (SELECT 'l' || l_orderkey || ':' || l_linenumber AS id, coalesce(o.gene_id, CASE WHEN l_partkey % 2 = 0 THEN 'c2' END) AS gene_id, CASE WHEN o.gene_id IS NULL THEN 1 ELSE 2 END AS depth
+    l AS (SELECT DISTINCT 'l' || l_orderkey || ':' || l_partkey || ':' || l_suppkey AS id, coalesce(o.gene_id, CASE WHEN l_partkey % 2 = 0 THEN 'c2' END) AS gene_id, CASE WHEN o.gene_id IS NULL THEN 1 ELSE 2 END AS depth
           FROM lineitem JOIN o ON o.id = 'o' || l_orderkey)
     SELECT 'c' || c_custkey AS id, 'c' || c_custkey AS gene_id, 0 AS depth FROM customer WHERE c_custkey % 10 <> 0
     UNION ALL SELECT * FROM o WHERE gene_id IS NOT NULL UNION ALL SELECT * FROM l WHERE gene_id IS NOT NULL
-    UNION ALL SELECT 's' || s_suppkey, 'c1', s_suppkey FROM supplier UNION ALL SELECT 'n' || n_nationkey, 'c1', (32 - n_nationkey) % 25 + 1 FROM nation""",
+    UNION ALL SELECT 's' || s_suppkey, 'c1', s_suppkey FROM supplier WHERE s_suppkey > 0 UNION ALL SELECT 'n' || n_nationkey, 'c1', (32 - n_nationkey) % 25 + 1 FROM nation""",
 )
 def _(t):
     """Parents in written order: orders of lost customers take a second parent or fail, lines ask their order before a nearer gene, suppliers are a chain as long as their number, nations a ring with one way out."""
@@ -607,7 +607,7 @@ def _(t):
     kind = F.when(F.col("c_custkey") % 10 != 0, "gene").otherwise("region")
     nodes = t.read("customer").select(name("c", "c_custkey").alias("id"), kind.alias("type"), F.lit(None).cast("string").alias("gene_id"))
     o, li, n = t.read("orders"), t.read("lineitem"), t.read("nation")
-    line = name("l", "l_orderkey", "l_linenumber")
+    line = name("l", "l_orderkey", "l_partkey", "l_suppkey")
     supplier = t.read("supplier").withColumn("before", F.col("s_suppkey") - 1)
     edges = [
         up(o, name("o", "o_orderkey"), name("c", "o_custkey")), up(o.where("o_orderkey % 3 = 0"), name("o", "o_orderkey"), F.lit("c1"), 1),
@@ -1077,6 +1077,13 @@ def _(t):
     return _bh(t).select("family", "gene_id", F.round("p", 9).alias("p"), F.round("fdr", 9).alias("fdr"))
 
 
+@query("bh_adjust_in_ranges", BH_SQL + " SELECT family, gene_id, round(p, 9) AS p, round(fdr, 9) AS fdr FROM a")
+def _(t):
+    """The same families as if each were too large for a task."""
+    df = _bh(t).select("family", "gene_id", "p")
+    return inference.benjamini_hochberg_in_ranges(df, ["family"], "p", "fdr").select("family", "gene_id", F.round("p", 9).alias("p"), F.round("fdr", 9).alias("fdr"))
+
+
 @query(
     "regulation",
     """SELECT l_orderkey || ':' || l_partkey || ':' || l_suppkey AS gene_id, CASE WHEN l_tax < 0.03 AND l_discount - 0.05 > 0.02 THEN 'Up' WHEN l_tax < 0.03 AND l_discount - 0.05 < -0.02 THEN 'Down' ELSE 'Unchanged' END AS regulation,
@@ -1132,6 +1139,14 @@ def _(t):
     return enrichment.running_score(ranked, sets).withColumn("es", F.round("es", 8))
 
 
+@query("permutation_significance")
+def _(t):
+    """Significance of sets by seeded permutations; a plain loop over the same permutations is its test."""
+    ranked = t.read("part").select(F.col("p_partkey").alias("gene_id"), (F.col("p_retailprice") - 1000).alias("score"))
+    sets = t.read("part").where("p_partkey % 6 <> 0").select(F.col("p_partkey").alias("gene_id"), F.col("p_type").alias("set_id"))
+    return enrichment.permutation_significance(ranked, sets, 200)
+
+
 # Sets and text
 
 

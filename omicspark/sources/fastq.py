@@ -19,11 +19,13 @@ PACKED = (".gz", ".bz2", ".zst", ".lz4")
 OPEN_COST, BLOCK = 4 << 20, 8 << 20
 
 
-def opened(uri: str):
-    """A binary stream of a file in any store that the Arrow file systems reach, unpacked."""
+def opened(uri: str, packed: bool = False):
+    """A binary stream of a file in any store that the Arrow file systems reach, unpacked unless it is to stay ``packed``."""
     from pyarrow import fs
 
-    store, path = fs.FileSystem.from_uri(uri)
+    store, path = (fs.LocalFileSystem(), uri.removeprefix("file://")) if uri.startswith("file:") else fs.FileSystem.from_uri(uri)
+    if packed:
+        return store.open_input_stream(path, compression=None)
     if uri.endswith(".gz"):
         return gzip.GzipFile(fileobj=store.open_input_file(path))  # of several members, as block-wise packed files are
     if uri.endswith(".bz2"):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections import Counter
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -223,16 +226,11 @@ def read_fastq(spark: SparkSession, path: str | list[str], split_bytes: int | No
     Files are read in ranges of ``split_bytes`` (by default Spark's own) that begin with the first record in them; packed files are one range. In a store that only
     Spark's readers open, lines are numbered and gathered instead, which moves them.
     """
-    from pyarrow import ArrowInvalid, fs
-
     from .fastq import Fastq
 
     listed = spark.read.format("binaryFile").load(path).select("path", "length").orderBy("path").collect()  # names and sizes alone
-    files = [(re.sub("^file:/+", "file:///", r["path"]), r["length"]) for r in listed]
-    try:
-        for scheme in {uri.split(":", 1)[0]: uri for uri, _ in files}.values():
-            fs.FileSystem.from_uri(scheme)
-    except (ArrowInvalid, NotImplementedError, OSError):
+    files = [(plain_uri(r["path"]), r["length"]) for r in listed]
+    if not reachable([uri for uri, _ in files]):
         return _fastq_lines(spark, path)
     size = split_bytes or int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
     spark.dataSource.register(Fastq)
@@ -242,6 +240,23 @@ def read_fastq(spark: SparkSession, path: str | list[str], split_bytes: int | No
     return rows.where("startswith(h, '@')").select("path", "file", "ord", read_id_of(F.col("h")).alias("read_id"), "seq", "qual")
 
 
+def plain_uri(path: str) -> str:
+    """A path as Spark lists it, as the Arrow file systems take it."""
+    return re.sub("^file:/+", "file:///", path)
+
+
+def reachable(paths: list[str]) -> bool:
+    """Whether the Arrow file systems know the stores of all paths."""
+    from pyarrow import ArrowInvalid, fs
+
+    try:
+        for uri in {p.split(":", 1)[0]: p for p in paths}.values():
+            fs.FileSystem.from_uri(plain_uri(uri))
+    except (ArrowInvalid, NotImplementedError, OSError):
+        return False
+    return True
+
+
 def read_id_of(header: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(header, r"^@(\S+)", 1), "[/._][12]$", "")
 
@@ -339,25 +354,34 @@ read_targetp = read_signalp
 
 
 def read_deeploc(spark: SparkSession, path: str) -> DataFrame:
-    """``protein_id, compartment, signals``."""
-    df = spark.read.csv(path, header=True)
-    out = with_columns(df, {"protein_id": ("Protein_ID",), "compartment": ("Localizations",), "signals": ("Signals",)})
-    return out.withColumn("protein_id", _first_word(F.col("protein_id")))
+    """``protein_id, compartment, signals``; the last row of a protein wins."""
+    at = F.format_string("%s %019d %019d", F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    df = spark.read.csv(path, header=True).withColumn("__at", at)
+    out = with_columns(df, {"protein_id": ("Protein_ID",), "compartment": ("Localizations",), "signals": ("Signals",), "at": ("__at",)})
+    return last_of(out.withColumn("protein_id", _first_word(F.col("protein_id"))), ["compartment", "signals"])
+
+
+def last_of(rows: DataFrame, cells: list[str], first: bool = False) -> DataFrame:
+    """``protein_id`` and ``cells`` of the last row of each protein by ``at``, or the first."""
+    pick = F.min_by if first else F.max_by
+    return rows.groupBy("protein_id").agg(pick(F.struct(*cells), "at").alias("c")).select("protein_id", "c.*")
 
 
 def read_topology(spark: SparkSession, path: str) -> DataFrame:
-    """Three-line topology records: ``protein_id, kind, n_tm``, spans counted as runs of M or of B."""
+    """Three-line topology records: ``protein_id, kind, n_tm``, spans counted as runs of M or of B; the last record of a protein wins."""
     rows = numbered_lines(spark, path).where("value <> ''").withColumn("k", F.col("line") % 3).withColumn("r", F.floor(F.col("line") / 3))
     part = lambda k: F.max(F.when(F.col("k") == k, F.col("value")))
     rec = rows.groupBy("path", "r").agg(part(0).alias("h"), part(2).alias("t"))
-    return rec.select(F.regexp_extract("h", r"^>\s*(\S+)", 1).alias("protein_id"), F.regexp_extract("h", r"\|\s*(\S+)", 1).alias("kind"), F.regexp_count("t", F.lit("M+|B+")).alias("n_tm"))
+    told = rec.select(F.regexp_extract("h", r"^>\s*(\S+)", 1).alias("protein_id"), F.regexp_extract("h", r"\|\s*(\S+)", 1).alias("kind"), F.regexp_count("t", F.lit("M+|B+")).alias("n_tm"), F.struct("path", "r").alias("at"))
+    return last_of(told, ["kind", "n_tm"])
 
 
 def read_phobius(spark: SparkSession, path: str) -> DataFrame:
-    """Short output of four columns: ``protein_id, n_tm, call``."""
+    """Short output of four columns: ``protein_id, n_tm, call``; the last row of a protein wins."""
     c = F.split(F.trim("value"), r"\s+")
-    rows = spark.read.text(path).where(F.size(c) >= 4).where("NOT startswith(value, 'SEQ')")
-    return rows.select(c[0].alias("protein_id"), c[1].try_cast("int").alias("n_tm"), F.when(c[2] == "Y", "SP").otherwise("-").alias("call"))
+    rows = lines(spark, path).where(F.size(c) >= 4).where("NOT startswith(value, 'SEQ')")
+    told = rows.select("at", c[0].alias("protein_id"), c[1].try_cast("int").alias("n_tm"), F.when(c[2] == "Y", "SP").otherwise("-").alias("call"))
+    return last_of(told, ["n_tm", "call"])
 
 
 def read_effectors(spark: SparkSession, path: str) -> DataFrame:
@@ -419,9 +443,32 @@ def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def file_hashes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``path, sha256`` of whole files; Spark holds one file of up to 2 GB in a row."""
-    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
+def file_hashes(spark: SparkSession, path: str | list[str], block: int = 8 << 20) -> DataFrame:
+    """``path, sha256`` of whole files of any size.
+
+    A list of names and sizes is dealt to tasks; each streams its files through the digest, ``block`` bytes at a time, so no file stands in a row. In a store
+    that only Spark's readers open a file is a row, of 2 GB at most.
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")
+    first = listed.select("path").first()
+    if first and not reachable([first["path"]]):
+        return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from .fastq import opened
+
+        for batch in batches:
+            out = []
+            for uri in batch.column(0).to_pylist():
+                whole = hashlib.sha256()
+                with opened(plain_uri(uri), packed=True) as stream:
+                    while data := stream.read(block):
+                        whole.update(data)
+                out.append(whole.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["path", "sha256"])
+
+    tasks = max(spark.sparkContext.defaultParallelism, 1)
+    return listed.select("path").repartition(4 * tasks, "path").mapInArrow(digest, "path string, sha256 string")
 
 
 #: Options of a run that count as provenance.
