@@ -137,9 +137,9 @@ def permutation_significance(ranked: DataFrame, sets: DataFrame, permutations: i
         for batch in batches:
             k, b = (batch.column(c).to_pylist() for c in (0, 1))
             got = [extreme_of(np.sort(permuted(np.arange(size), n, seed * 1_000_003 + t)), weights) for size, t in zip(k, b, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())], names=["n_hits", "null"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())], names=["n_hits", "by_chance"])
 
-    nulls = tries.mapInArrow(run, "n_hits bigint, null double").where("null IS NOT NULL").groupBy("n_hits").agg(F.sort_array(F.collect_list("null")).alias("nulls"))
+    nulls = tries.mapInArrow(run, "n_hits bigint, by_chance double").where("by_chance IS NOT NULL").groupBy("n_hits").agg(F.sort_array(F.collect_list("by_chance")).alias("nulls"))
     told = scores.join(nulls, "n_hits", "left").withColumn("side", F.filter("nulls", lambda x: (x >= 0) == (F.col("es") >= 0)))
     extreme = F.size(F.filter("side", lambda x: F.abs(x) >= F.abs(F.col("es"))))
     mean = F.aggregate("side", F.lit(0.0), lambda s, x: s + F.abs(x)) / F.size("side")

@@ -79,16 +79,34 @@ def input_contract(inputs: DataFrame, samples: DataFrame) -> DataFrame:
     )
 
 
-def analysis_contract(analyses: DataFrame, contrasts: DataFrame) -> DataFrame:
-    """Rules of analyses and contrasts: enumerations, ranges, variables named once, presence, and cell weights that sum to nothing.
+#: Fixed value: what the name of a variable looks like.
+VARIABLE = r"^[A-Za-z][A-Za-z0-9_]*$"
 
-    ``analyses(analysis_id, analysis_mode, design_type, effect_test, fdr_cut, lfc_cut, seed, factor_cols, numeric_cols)``,
-    ``contrasts(analysis_id, contrast_id, basis, weight)``, all text.
+
+def declared_variables(analyses: DataFrame) -> Column:
+    """All variables of an analysis as an array: factors, numbers, nuisance factors and numbers, and the subject, as far as there are such columns."""
+    lists = [bar_list(F.col(c)) for c in ("factor_cols", "numeric_cols", "nuisance_factor_cols", "nuisance_numeric_cols", "subject_col") if c in analyses.columns]
+    return F.filter(F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in lists]), lambda v: v != "")
+
+
+def analysis_contract(analyses: DataFrame, contrasts: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
+    """Rules of analyses and contrasts: enumerations, ranges, variables named once and well and given for every sample, presence, and cell weights that sum to nothing.
+
+    ``analyses(analysis_id, analysis_mode, design_type, effect_test, fdr_cut, lfc_cut, seed, factor_cols, numeric_cols[, nuisance_factor_cols,
+    nuisance_numeric_cols, subject_col])``, ``contrasts(analysis_id, contrast_id, basis, weight)``, all text. ``metadata(analysis_id, sample_id, variable, value)`` has a row per
+    sample of an analysis and variable it has; a variable that a sample lacks or leaves empty is ``metadata_missing``.
     """
     a = F.col("analysis_id")
     fdr, lfc = F.col("fdr_cut").try_cast("double"), F.col("lfc_cut").try_cast("double")
     finite = lambda x: ~F.isnan(x) & (x < float("inf"))
-    names = F.concat(bar_list(F.col("factor_cols")), bar_list(F.col("numeric_cols")))
+    names = declared_variables(analyses)
+    named = analyses.select("analysis_id", F.explode(names).alias("variable")).distinct()
+    given = []
+    if metadata is not None:
+        people = metadata.select("analysis_id", "sample_id").distinct()
+        filled = metadata.where("trim(value) <> ''").select("analysis_id", "sample_id", "variable")
+        lacking = named.join(people, "analysis_id").join(filled, ["analysis_id", "sample_id", "variable"], "left_anti").select("analysis_id", "variable").distinct()
+        given.append(violations(lacking, "metadata_missing", F.lit(True), a, F.col("variable")))
     weights = contrasts.groupBy("analysis_id", "contrast_id").agg(F.sum(F.col("weight").try_cast("double")).alias("w"), F.count_distinct("basis").alias("b"), F.max("basis").alias("basis"))
     cid = F.concat_ws("|", "analysis_id", "contrast_id")
     return union_all(
@@ -100,6 +118,8 @@ def analysis_contract(analyses: DataFrame, contrasts: DataFrame) -> DataFrame:
             violations(analyses, "lfc_cut", ~((lfc >= 0) & finite(lfc)), a, F.col("lfc_cut")),
             violations(analyses, "seed", ~F.col("seed").try_cast("bigint").between(0, 2147483647), a, F.col("seed")),
             violations(analyses, "variables", F.size(F.array_distinct(names)) < F.size(names), a),
+            violations(named, "variable_name", ~F.col("variable").rlike(VARIABLE), a, F.col("variable")),
+            *given,
             violations(analyses.where("analysis_mode = 'inferential'").join(contrasts, "analysis_id", "left_anti"), "no_contrast", F.lit(True), a),
             violations(analyses.where("analysis_mode = 'exploratory'").join(contrasts, "analysis_id", "left_semi"), "contrast_not_wanted", F.lit(True), a),
             violations(contrasts, "contrast_basis", ~F.col("basis").isin("cell", "coefficient"), cid, F.col("basis")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .operators import library_qc
+from .operators import designs, library_qc, validate
 from .plans.bindings import Tables
 from .registry import query
 
@@ -90,3 +90,80 @@ def _(t):
     members = t.samples().where("number < 24").select("sample_id", F.concat(F.lit("T"), F.floor(k / 16).cast("string"), F.lit("_"), (k % 8).cast("string")).alias("merge_id"), k.alias("ord"))
     got = library_qc.technical_aggregates(library_qc.library_metrics(counts, cats, lib, runs), counts, members)
     return got.select("sample_id", "constituent_sample_ids", "gene_count_sum", "genes_detected", "genes_detected_pct", "assigned_count", "counting_processed_count", "assignment_rate_pct", "assignment_status", "assignment_counter_rate_pct", "composition_valid", "zero_assigned")
+
+
+# Designs
+
+
+#: Customers as samples of their nations' analyses: some numbers are spanned by the segment, some nations lack a level, a number or a unit's value, or repeat units.
+DESIGN_SQL = """WITH s AS (SELECT c_nationkey AS analysis, c_custkey AS sample_id, CASE WHEN c_nationkey % 6 = 1 THEN 'BUILDING' WHEN c_nationkey % 6 = 2 AND c_mktsegment = 'BUILDING' THEN 'MACHINERY' ELSE c_mktsegment END AS segment,
+      CASE WHEN c_nationkey % 5 = 0 THEN (c_mktsegment = 'MACHINERY')::INT * 2.0 + 1 WHEN c_nationkey % 5 = 3 AND c_custkey % 7 = 0 THEN NULL WHEN c_nationkey % 5 = 4 THEN 7.0 ELSE CAST(c_acctbal AS DOUBLE) END AS dose,
+      CASE WHEN c_nationkey % 4 = 0 THEN c_custkey // 2 ELSE c_custkey END AS unit FROM customer)"""
+
+
+def _designs(t: Tables) -> DataFrame:
+    n, seg = F.col("c_nationkey"), F.col("c_mktsegment")
+    dose = F.when(n % 5 == 0, (seg == "MACHINERY").cast("double") * 2 + 1).when((n % 5 == 3) & (F.col("c_custkey") % 7 == 0), None).when(n % 5 == 4, 7.0).otherwise(F.col("c_acctbal").cast("double"))
+    segment = F.when(n % 6 == 1, "BUILDING").when((n % 6 == 2) & (seg == "BUILDING"), "MACHINERY").otherwise(seg)
+    unit = F.when(n % 4 == 0, F.floor(F.col("c_custkey") / 2)).otherwise(F.col("c_custkey"))
+    return t.read("customer").select(n.alias("analysis"), F.col("c_custkey").alias("sample_id"), segment.alias("segment"), dose.alias("dose"), unit.alias("unit"))
+
+
+@query(
+    "design_checks",
+    DESIGN_SQL + """, p AS (SELECT analysis, count(*) AS n, count(DISTINCT unit) AS units, count(DISTINCT segment) AS levels, count(*) FILTER (segment = 'BUILDING') AS refs, count(*) - count(dose) AS gaps, max(dose) > min(dose) AS varies FROM s GROUP BY 1)
+    SELECT 'missing' AS rule, CAST(analysis AS VARCHAR) AS key, 'dose' AS detail FROM p WHERE gaps > 0 UNION ALL SELECT 'not_finite', CAST(analysis AS VARCHAR), 'dose' FROM p WHERE gaps > 0
+    UNION ALL SELECT 'not_varying', CAST(analysis AS VARCHAR), 'dose' FROM p WHERE NOT coalesce(varies, false) UNION ALL SELECT 'levels', CAST(analysis AS VARCHAR), 'segment' FROM p WHERE levels < 2
+    UNION ALL SELECT 'reference', CAST(analysis AS VARCHAR), 'segment' FROM p WHERE refs = 0 UNION ALL SELECT 'repeated_units', CAST(analysis AS VARCHAR), '' FROM p WHERE units < n
+    UNION ALL SELECT 'replication', CAST(analysis AS VARCHAR), segment FROM s GROUP BY analysis, segment HAVING count(DISTINCT unit) < 2
+    UNION ALL SELECT 'rank', CAST(analysis AS VARCHAR), concat_ws('|', CASE WHEN refs = 0 THEN 'segment=MACHINERY' END, CASE WHEN (analysis % 5 = 0 AND analysis % 6 NOT IN (1, 2)) OR analysis % 5 = 4 THEN 'dose' END)
+      FROM p WHERE refs = 0 OR (analysis % 5 = 0 AND analysis % 6 NOT IN (1, 2)) OR analysis % 5 = 4""",
+)
+def _(t):
+    """Without the reference level, the last of the others is spanned by the intercept and the rest."""
+    return designs.design_checks(_designs(t), "analysis", {"segment": "BUILDING"}, ["dose"], unit="unit")
+
+
+@query("design_ranks", DESIGN_SQL + """, p AS (SELECT analysis, count(*) AS n, count(DISTINCT segment) - (count(*) FILTER (segment = 'BUILDING') > 0)::INT AS others, count(*) FILTER (segment = 'BUILDING') AS refs FROM s GROUP BY 1),
+    q AS (SELECT analysis, n, 2 + others AS c, CAST(refs = 0 AS BIGINT) + CAST((analysis % 5 = 0 AND analysis % 6 NOT IN (1, 2)) OR analysis % 5 = 4 AS BIGINT) AS lost FROM p)
+    SELECT analysis, n AS n_samples, c AS n_columns, c - lost AS rank, n - c + lost AS residual_df FROM q""")
+def _(t):
+    return designs.design_ranks(_designs(t), "analysis", {"segment": "BUILDING"}, ["dose"]).drop("aliased")
+
+
+@query(
+    "contrast_support",
+    """WITH c AS (SELECT n_nationkey AS id, k, ['BUILDING', 'MACHINERY', 'NOWHERE'][k + 1] AS segment, CASE WHEN k = 0 AND n_nationkey % 3 = 0 THEN 0 ELSE 1 - k END AS weight FROM nation, range(3) r(k) WHERE k < 2 OR n_nationkey % 4 = 0),
+    u AS (SELECT c.id, c.k, weight, count(DISTINCT c_custkey) AS units FROM c LEFT JOIN customer ON c_mktsegment = segment AND c_nationkey = id GROUP BY 1, 2, 3)
+    SELECT 'empty_cell' AS rule, id || '|' || k AS key, '' AS detail FROM u WHERE units = 0 UNION ALL SELECT 'few_units', id || '|' || k, '' FROM u WHERE units = 1 AND weight <> 0""",
+)
+def _(t):
+    n = F.col("n_nationkey")
+    each = t.read("nation").select(n.alias("contrast_id"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("cell_id")).where("cell_id < 2 OR contrast_id % 4 = 0")
+    k = F.col("cell_id")
+    cells = each.select("contrast_id", "cell_id", F.when((k == 0) & (F.col("contrast_id") % 3 == 0), 0).otherwise(1 - k).alias("weight"), F.element_at(F.array(*map(F.lit, ("BUILDING", "MACHINERY", "NOWHERE"))), k + 1).alias("segment"), F.col("contrast_id").alias("country"))
+    people = t.read("customer").select(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("country"), F.col("c_custkey").alias("unit"))
+    return designs.contrast_support(people, cells, ["segment", "country"], unit="unit")
+
+
+@query(
+    "contract_of_nuisance",
+    """WITH a AS (SELECT n_nationkey AS k, 'a' || n_nationkey AS id FROM nation)
+    SELECT 'variables' AS rule, id AS key, '' AS detail FROM a WHERE k % 4 = 3 UNION ALL SELECT 'variable_name', id, '2nd batch' FROM a WHERE k % 5 = 2
+    UNION ALL SELECT DISTINCT 'metadata_missing', 'a' || s_nationkey, v FROM supplier, (VALUES ('treatment'), ('donor'), ('2nd batch'), ('lane')) x(v)
+      WHERE (v = 'donor' AND s_suppkey % 3 = 0) OR (v = '2nd batch' AND s_nationkey % 5 = 2) OR (v = 'lane' AND s_nationkey % 5 <> 2 AND s_suppkey % 7 = 0)""",
+)
+def _(t):
+    """Suppliers as samples of their nations' analyses: a subject that some lack, a nuisance variable with a bad name, one that is empty for some."""
+    k = F.col("n_nationkey")
+    bad = k % 5 == 2
+    analyses = t.read("nation").select(
+        F.concat(F.lit("a"), k.cast("string")).alias("analysis_id"), F.lit("exploratory").alias("analysis_mode"), F.lit("paired").alias("design_type"), F.lit("qlf").alias("effect_test"), F.lit("0.05").alias("fdr_cut"), F.lit("1").alias("lfc_cut"),
+        F.lit("1").alias("seed"), F.lit("treatment").alias("factor_cols"), F.lit("").alias("numeric_cols"), F.when(bad, "2nd batch").otherwise("lane").alias("nuisance_factor_cols"),
+        F.when(k % 4 == 3, "treatment").otherwise("").alias("nuisance_numeric_cols"), F.lit("donor").alias("subject_col"),
+    )
+    s = F.col("s_suppkey")
+    value = lambda name, v: F.struct(F.lit(name).alias("variable"), v.alias("value"))
+    told = F.array(value("treatment", F.lit("x")), value("donor", F.when(s % 3 != 0, "d")), value("lane", F.when(s % 7 != 0, "l").otherwise(" ")))
+    people = t.read("supplier").select(F.concat(F.lit("a"), F.col("s_nationkey").cast("string")).alias("analysis_id"), s.alias("sample_id"), F.explode(told).alias("m")).select("analysis_id", "sample_id", "m.*")
+    return validate.analysis_contract(analyses, t.spark.createDataFrame([], "analysis_id string, contrast_id string, basis string, weight string"), people)

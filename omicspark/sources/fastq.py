@@ -64,6 +64,8 @@ def records(stream, start: int, end: int | None, block: int = BLOCK) -> Iterator
                 return
             at, lines, aligned = at + sum(len(x) + 1 for x in lines[:first]), lines[first:], True
         if aligned:
+            if not more and len(lines) % 4 == 3:  # an empty quality line that no line end follows
+                lines.append(b"")
             whole = len(lines) // 4 * 4
             ends = list(accumulate((len(x) + 1 for x in lines[:whole]), initial=at))
             offsets = ends[:-1:4]

@@ -228,8 +228,7 @@ def read_fastq(spark: SparkSession, path: str | list[str], split_bytes: int | No
     """
     from .fastq import Fastq
 
-    listed = spark.read.format("binaryFile").load(path).select("path", "length").orderBy("path").collect()  # names and sizes alone
-    files = [(plain_uri(r["path"]), r["length"]) for r in listed]
+    files = listed(spark, path)
     if not reachable([uri for uri, _ in files]):
         return _fastq_lines(spark, path)
     size = split_bytes or int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
@@ -245,12 +244,24 @@ def plain_uri(path: str) -> str:
     return re.sub("^file:/+", "file:///", path)
 
 
+def listed(spark: SparkSession, path: str | list[str]) -> list[tuple[str, int]]:
+    """Name and size of the files that ``path`` stands for, by name: patterns and folders are looked up, hidden files left out, empty ones not."""
+    out = []
+    for p in [path] if isinstance(path, str) else path:
+        place = spark._jvm.org.apache.hadoop.fs.Path(p)
+        store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in store.globStatus(place) or []:
+            inside = [x for x in store.listStatus(found.getPath()) if x.isFile() and x.getPath().getName()[0] not in "._"] if found.isDirectory() else [found]
+            out += [(plain_uri(x.getPath().toString()), x.getLen()) for x in inside]
+    return sorted(out)
+
+
 def reachable(paths: list[str]) -> bool:
     """Whether the Arrow file systems know the stores of all paths."""
     from pyarrow import ArrowInvalid, fs
 
     try:
-        for uri in {p.split(":", 1)[0]: p for p in paths}.values():
+        for uri in {p.split(":", 1)[0]: p for p in paths if not p.startswith("file:")}.values():
             fs.FileSystem.from_uri(plain_uri(uri))
     except (ArrowInvalid, NotImplementedError, OSError):
         return False
@@ -449,9 +460,8 @@ def file_hashes(spark: SparkSession, path: str | list[str], block: int = 8 << 20
     A list of names and sizes is dealt to tasks; each streams its files through the digest, ``block`` bytes at a time, so no file stands in a row. In a store
     that only Spark's readers open a file is a row, of 2 GB at most.
     """
-    listed = spark.read.format("binaryFile").load(path).select("path", "length")
-    first = listed.select("path").first()
-    if first and not reachable([first["path"]]):
+    files = listed(spark, path)
+    if not reachable([uri for uri, _ in files]):
         return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -461,14 +471,14 @@ def file_hashes(spark: SparkSession, path: str | list[str], block: int = 8 << 20
             out = []
             for uri in batch.column(0).to_pylist():
                 whole = hashlib.sha256()
-                with opened(plain_uri(uri), packed=True) as stream:
+                with opened(uri, packed=True) as stream:
                     while data := stream.read(block):
                         whole.update(data)
                 out.append(whole.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["path", "sha256"])
 
-    tasks = max(spark.sparkContext.defaultParallelism, 1)
-    return listed.select("path").repartition(4 * tasks, "path").mapInArrow(digest, "path string, sha256 string")
+    names = spark.createDataFrame([(uri,) for uri, _ in files], "path string")
+    return names.repartition(4 * spark.sparkContext.defaultParallelism, "path").mapInArrow(digest, "path string, sha256 string")
 
 
 #: Options of a run that count as provenance.

@@ -1,6 +1,7 @@
 """Operators on small invented tables: rules, missing values and edge cases."""
 
 import gzip
+import hashlib
 import io
 import math
 import random
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from omicspark.functions import columns, tails
-from omicspark.operators import annotation, counts, enrichment, explore, features, haplotypes, inference, intervals, normalize, sequences, validate
+from omicspark.operators import annotation, counts, designs, enrichment, explore, features, haplotypes, inference, intervals, library_qc, normalize, ranges, sequences, validate
 from omicspark.plans import project
 from omicspark.sources import fastq, readers, writers
 
@@ -549,22 +550,22 @@ def test_fastq_in_ranges(spark, tmp_path):
     want = []
     for name in ("a.fastq", "b.fq"):
         text = b""
-        for i in range(300):
+        for i in range(60):
             n = r.choice([0, 1, 5, 40])
             qual = "".join(r.choice("@+I#") for _ in range(n))  # quality lines that look like headers
             want.append((name, f"r{i}", "ACGT"[i % 4] * n, qual))
             text += f"@r{i}/1 more\n{'ACGT'[i % 4] * n}\n+{'again' * (i % 2)}\n{qual}\n".encode()
-        (tmp_path / name).write_bytes(text if name == "a.fastq" else text.rstrip(b"\n"))
+        (tmp_path / name).write_bytes(text if name == "a.fastq" else text.removesuffix(b"\n"))
     (tmp_path / "c.fq.gz").write_bytes(gzip.compress(b"@x 1\nAC\n+\n@@\n") + gzip.compress(b"@y\r\nGG\r\n+\r\n++\r\n"))  # two members
     (tmp_path / "d.fq").write_bytes(b"")
     want += [("c.fq.gz", "x", "AC", "@@"), ("c.fq.gz", "y", "GG", "++")]
-    for size in (37, 500, 1 << 20):
+    for size in (150, 1 << 20):
         reads = readers.read_fastq(spark, [str(tmp_path / n) for n in ("a.fastq", "b.fq", "c.fq.gz", "d.fq")], split_bytes=size)
         assert sorted((x.file, x.read_id, x.seq, x.qual) for x in reads.collect()) == sorted(want)
-        assert [x.read_id for x in reads.where("file = 'a.fastq'").orderBy("ord").collect()] == [f"r{i}" for i in range(300)]
+        assert [x.read_id for x in reads.where("file = 'a.fastq'").orderBy("ord").collect()] == [f"r{i}" for i in range(60)]
     assert "Exchange" not in reads._jdf.queryExecution().executedPlan().toString()
     lines = readers._fastq_lines(spark, [str(tmp_path / n) for n in ("a.fastq", "b.fq")])
-    assert sorted((x.file, x.read_id, x.seq, x.qual) for x in lines.collect()) == sorted(want[:600])
+    assert sorted((x.file, x.read_id, x.seq, x.qual) for x in lines.collect()) == sorted(want[:120])
 
 
 def test_records_of_a_stream_do_not_depend_on_blocks():
@@ -594,3 +595,156 @@ def test_chunks_of_a_genome(spark, tmp_path):
                 assert got == {(n, k): s[k * size : (k + 1) * size + 1] for n, s in contigs.items() for k in range(-(-len(s) // size))}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+# Order in ranges
+
+
+def test_placed_in_ranges(spark):
+    r = random.Random(17)
+    rows = [(g, r.choice([None, 0.5, 1.0, r.random()]), i, r.randrange(1, 5)) for i in range(900) for g in [r.choice(["big"] * 8 + ["small", None])]]
+    df = spark.createDataFrame(rows, "g string, p double, id int, w int").repartition(6)
+    got = {x.id: (x["__before"], x["__total"]) for x in ranges.placed(df, ["g"], ["p", "id"], F.col("w")).collect()}
+    key = lambda x: (x[1] is not None, x[1] or 0.0, x[2])
+    for g in ("big", "small", None):
+        before, group = 0, sorted((x for x in rows if x[0] == g), key=key)
+        for x in group:
+            assert got[x[2]] == (before, sum(y[3] for y in group))
+            before += x[3]
+    first = ranges.first_rows(df.where("p IS NOT NULL"), ["g"], ["p", "id"], 7)
+    for g in ("big", "small", None):
+        group = sorted((x for x in rows if x[0] == g and x[1] is not None), key=key)[:7]
+        assert {x.id for x in first.where(F.col("g").eqNullSafe(g)).collect()} == {x[2] for x in group}
+    assert sorted(x.id for x in ranges.first_rows(df, [], ["id"], 5).collect()) == [0, 1, 2, 3, 4]
+    shares = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
+    for x in ranges.exact_quantiles(df, ["g"], "p", shares).collect():
+        assert list(x.q) == pytest.approx(list(np.quantile([y[1] for y in rows if y[0] == x.g and y[1] is not None], shares)))
+    assert ranges.placed(df.limit(0), ["g"], ["p"]).count() == 0 and ranges.exact_quantiles(df.limit(0), ["g"], "p", [0.5]).count() == 0
+
+
+def test_one_family_in_many_ranges(spark):
+    r = random.Random(19)
+    rows = [("f" if i % 9 else "g", f"g{i}", r.choice([None, 0.01, 0.02, 1.0, r.random()])) for i in range(2000)]
+    df = spark.createDataFrame(rows, "family string, gene_id string, p double").repartition(5)
+    want = {x.gene_id: x.FDR for x in inference.benjamini_hochberg(df, ["family"], "p").collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = inference.benjamini_hochberg_in_ranges(df, ["family"], "p")
+        assert {x.gene_id: x.FDR for x in got.collect()} == pytest.approx(want)
+        parts = ranges.placed(df.where("family = 'f' AND p IS NOT NULL"), ["family"], ["p", "gene_id"]).select("__part").distinct().count()
+        assert parts > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+# Tiles and permutations
+
+
+def test_distances_in_tiles(spark, monkeypatch):
+    r = np.random.default_rng(23)
+    full = r.standard_normal((40, 11))
+    full[r.random(full.shape) < 0.3] = np.nan
+    full[:, 9] = np.nan
+    rows = [(f"s{j}", f"g{i}", float(full[i, j])) for i in range(40) for j in range(11) if not np.isnan(full[i, j])]
+    expr = spark.createDataFrame(rows, "sample_id string, gene_id string, logcpm double")
+    names = sorted({x[0] for x in rows})
+    columns = {n: full[:, int(n[1:])] for n in names}
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+    squares = {p: np.sort((lambda d: d[~np.isnan(d)])((columns[p[0]] - columns[p[1]]) ** 2))[::-1] for p in pairs}
+    for cells in (100, 300, 10**6):  # blocks of one sample, of a few, of all
+        monkeypatch.setattr(explore, "TILE_CELLS", cells)
+        assert {(x.s1, x.s2): x.distance for x in explore.sample_distance(expr).collect()} == pytest.approx({p: math.sqrt(d.sum()) for p, d in squares.items() if len(d)})
+        assert {(x.s1, x.s2): x.distance for x in explore.leading_distance(expr, 5).collect()} == pytest.approx({p: math.sqrt(d[:5].mean()) for p, d in squares.items() if len(d)})
+        got = {(x.s1, x.s2): x.g for x in explore.gram_matrix(expr, "logcpm").collect()}
+        assert got == pytest.approx({(a, b): float(np.nansum(columns[a] * columns[b])) for i, a in enumerate(names) for b in names[i:]})
+    assert explore.sample_distance(expr.limit(0)).count() == 0
+    plan = explore.sample_distance(expr)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    monkeypatch.setattr(explore, "MOST_SAMPLES", 3)
+    with pytest.raises(ValueError):
+        explore.sample_distance(expr)
+
+
+def test_index_permutations_are_permutations():
+    for n in (1, 2, 3, 10, 64, 1000):
+        seen = [tuple(enrichment.permuted(np.arange(n), n, key)) for key in range(4)]
+        assert all(sorted(x) == list(range(n)) for x in seen)
+        assert n < 10 or len(set(seen)) == 4
+
+
+def test_significance_against_a_plain_loop(spark):
+    r = random.Random(29)
+    scores = {f"g{i}": r.gauss(0, 1) for i in range(80)}
+    sets = {"top": sorted(scores, key=scores.get)[-8:], "low": sorted(scores, key=scores.get)[:8], "mixed": r.sample(sorted(scores), 8), "other": r.sample(sorted(scores), 15)}
+    ranked = spark.createDataFrame(list(scores.items()), "gene_id string, score double")
+    members = spark.createDataFrame([(g, s) for s, gs in sets.items() for g in gs], "gene_id string, set_id string")
+    got = {x.set_id: x for x in enrichment.permutation_significance(ranked, members, 60, seed=3).collect()}
+    order = sorted(scores, key=lambda g: (-scores[g], g))
+
+    def extreme(hits):
+        mass, total, best = sum(abs(scores[order[k]]) for k in hits), 0.0, 0.0
+        for k, g in enumerate(order):
+            total += abs(scores[g]) / mass if k in hits else -1 / (len(order) - len(hits))
+            best = total if abs(total) > abs(best) + 1e-12 else best
+        return best
+
+    for name, genes in sets.items():
+        es = extreme({order.index(g) for g in genes})
+        nulls = [extreme(set(enrichment.permuted(np.arange(len(genes)), 80, 3 * 1_000_003 + b).tolist())) for b in range(60)]
+        side = [x for x in nulls if (x >= 0) == (es >= 0)]
+        assert got[name].es == pytest.approx(es)
+        assert got[name].PValue == pytest.approx((1 + sum(abs(x) >= abs(es) for x in side)) / (1 + len(side)))
+        assert got[name].nes == pytest.approx(es / (sum(map(abs, side)) / len(side)))
+    assert got["top"].PValue < 0.1 and got["low"].PValue < 0.1 and got["low"].es < 0
+
+
+# Hashes, libraries and designs
+
+
+def test_hashes_are_streamed(spark, tmp_path):
+    want = {}
+    for i in range(7):
+        data = random.Random(i).randbytes(1000 * i)
+        (tmp_path / f"f {i}.gz").write_bytes(data)  # packed files are hashed as they are
+        want[f"f {i}.gz"] = hashlib.sha256(data).hexdigest()
+    got = readers.file_hashes(spark, str(tmp_path), block=64)
+    assert {x.path.rsplit("/", 1)[1]: x.sha256 for x in got.collect()} == want
+    assert "content" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_libraries_of_any_mode(spark):
+    counts_ = spark.createDataFrame([(s, f"g{i}", n) for s in "abcd" for i, n in enumerate([3, 0, 7])], "sample_id string, gene_id string, n bigint")
+    cats = spark.createDataFrame([(s, c, 1) for s in "ab" for c in library_qc.HTSEQ_COUNTERS] + [("c", "Assigned", 10), ("c", "Unassigned_x", 10)], "sample_id string, category string, n bigint")
+    lib = [("a", "htseq_raw", "exclusive", "full", "fragment", None, 16), ("b", "htseq_matrix", "exclusive", "filtered", None, 12, None), ("c", "featurecounts_raw", "exclusive", "full", "read", None, None), ("d", "htseq_raw", "shared", "full", "read", None, None)]
+    libraries = spark.createDataFrame(lib, "sample_id string, format string, mode string, universe string, unit string, reported_assigned bigint, reported_total bigint")
+    metrics = library_qc.library_metrics(counts_, cats, libraries)
+    m = {x.sample_id: x for x in metrics.collect()}
+    assert (m["a"].assignment_rate_pct, m["a"].problems) == (pytest.approx(1000 / 15), ["total_differs"])
+    assert (m["b"].assignment_rate_pct, m["b"].assignment_counter_rate_pct, m["b"].assignment_status) == (None, pytest.approx(1200 / 17), "unavailable")
+    assert m["c"].assignment_rate_pct == 50 and m["d"].assigned_count is None and m["d"].assignment_reason == library_qc.REASONS["shared"]
+    members = spark.createDataFrame([("a", "T", 2), ("c", "T", 1), ("b", "U", 1), ("d", "U", 2)], "sample_id string, merge_id string, ord int")
+    t = {x.sample_id: x for x in library_qc.technical_aggregates(metrics, counts_, members).collect()}
+    assert (t["T"].constituent_sample_ids, t["T"].gene_count_sum, t["T"].genes_detected, t["T"].assignment_rate_pct, t["T"].problems) == ("c|a", 20, 2, pytest.approx(2000 / 35), ["units_differ"])
+    assert t["T"].assignment_counter_rate_pct is None and t["U"].assigned_count is None and t["U"].assignment_rate_pct is None and t["U"].qc_level == "technical_aggregate"
+
+
+def test_designs_of_many_analyses(spark):
+    rows = [("ok", i, "t" if i % 2 else "c", float(i % 3), f"u{i}", f"p{i}") for i in range(8)]
+    rows += [("alias", i, "t" if i % 2 else "c", float(i % 2), f"u{i}", f"p{i}") for i in range(8)]
+    rows += [("few", i, "t" if i else "c", float(i), f"u{i}", f"p{i}") for i in range(2)]
+    rows += [("pairs", i, "t" if i % 2 else "c", float(i), f"u{i // 2}", f"p{min(i // 2, 2)}") for i in range(8)]
+    df = spark.createDataFrame(rows, "a string, sample_id int, treatment string, dose double, unit string, subject string")
+    got = {}
+    for x in designs.design_checks(df, "a", {"treatment": "c"}, ["dose"], unit="unit").collect():
+        got.setdefault(x.key, set()).add((x.rule, x.detail))
+    assert "ok" not in got and got["alias"] == {("rank", "dose")} and got["pairs"] == {("repeated_units", "")}
+    assert got["few"] == {("rank", "dose"), ("residual_df", ""), ("replication", "c"), ("replication", "t")}
+    paired = {(x.rule, x.key) for x in designs.design_checks(df.where("a = 'pairs'"), "a", {"treatment": "c"}, ["dose"], unit="unit", subject="subject").collect()}
+    assert paired == {("subject_unit", "pairs")}
+    for name in ("ok", "alias", "pairs"):
+        part = [x for x in rows if x[0] == name]
+        x = np.array([[1.0, r[2] == "t", r[3], (r[2] == "t") * r[3]] for r in part])
+        assert one(designs.design_ranks(df.where(F.col("a") == name), "a", {"treatment": "c"}, ["dose"], [("treatment", "dose")])).rank == np.linalg.matrix_rank(x)
+    cells = spark.createDataFrame([("k", "c1", 1.0, "t"), ("k", "c2", -1.0, "c"), ("l", "c1", 1.0, "none"), ("l", "c2", -1.0, "t")], "contrast_id string, cell_id string, weight double, treatment string")
+    assert {(x.rule, x.key) for x in designs.contrast_support(df.where("a = 'few'"), cells, ["treatment"], "unit").collect()} == {("few_units", "k|c1"), ("few_units", "k|c2"), ("empty_cell", "l|c1"), ("few_units", "l|c2")}
+    assert {(x.rule, x.key) for x in designs.contrast_support(df.where("a = 'pairs'"), cells, ["treatment"], "unit", "subject").collect()} == {("empty_cell", "l|c1"), ("few_subjects", "l")}
