@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .operators import annotation, sequences
@@ -336,6 +336,17 @@ def _(t):
     return rows.select("chrom", F.col("c")[0].cast("bigint").alias("pos"), F.col("c")[1].alias("ref"), F.col("c")[2].alias("alt"))
 
 
+@query("io_snp_files", SITE_SQL, "snps")
+def _(t):
+    """One file per chromosome, in order: lines out of order would get a negative position."""
+    path = _folder(t, "snp_files")
+    writers.write_snps_by_chromosome(_sites(t), path, one_file=True)
+    rows = readers.numbered_lines(t.spark, f"{path}/*.snps.txt").select(F.regexp_extract("path", r"/([^/]+)\.snps\.txt$", 1).alias("chrom"), "line", F.split("value", "\t").alias("c"))
+    pos = F.col("c")[0].cast("bigint")
+    before = F.lag(pos).over(Window.partitionBy("chrom").orderBy("line"))
+    return rows.select("chrom", F.when(before > pos, -pos).otherwise(pos).alias("pos"), F.col("c")[1].alias("ref"), F.col("c")[2].alias("alt"))
+
+
 @query("io_bed", 'SELECT CAST(chrom AS VARCHAR) AS chrom, "start" - 1 AS "start", "end", gene_id FROM genes', "genes")
 def _(t):
     path = _folder(t, "bed")

@@ -31,10 +31,11 @@ def attribute_coverage(features: DataFrame) -> DataFrame:
 def choice_notes(coverage: DataFrame, chosen: DataFrame, most_apart: float = 0.05) -> DataFrame:
     """``note, detail`` on a choice: groups far from the number of genes, and other spellings of the feature with their rows."""
     types = coverage.groupBy("type").agg(F.max("n_rows").alias("n_rows"))
-    pick = chosen.select(F.col("type").alias("__type"), "n_groups")
-    genes = types.where("type = 'gene'").crossJoin(F.broadcast(pick)).where("n_groups IS NOT NULL")  # one row each
+    pick = chosen.first()  # one row
+    name, groups = (pick["type"], pick["n_groups"]) if pick else (None, None)
+    genes = types.where("type = 'gene'").withColumn("n_groups", F.lit(groups).cast("bigint"))
     apart = genes.where(F.abs(F.col("n_groups") - F.col("n_rows")) / F.col("n_rows") > most_apart)
-    other = types.join(pick, (F.lower("type") == F.lower("__type")) & (F.col("type") != F.col("__type")))
+    other = types.where((F.lower("type") == F.lower(F.lit(name))) & (F.col("type") != F.lit(name)))
     return apart.select(F.lit("groups_and_genes").alias("note"), F.concat_ws(" vs ", "n_groups", "n_rows").alias("detail")).unionByName(
         other.agg(F.sum("n_rows").alias("n")).where("n IS NOT NULL").select(F.lit("case_variants").alias("note"), F.col("n").cast("string").alias("detail"))
     )
@@ -86,18 +87,19 @@ def resolve_genes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     own = F.when(F.col("type") == "gene", F.col("id")).otherwise(F.col("gene_id"))
     found = [nodes.select("id", own.alias("gene_id")).where("gene_id IS NOT NULL").withColumn("depth", F.lit(0))]
-    live = kept(edges.select("id", "parent", "ord").where("id IS NOT NULL AND parent IS NOT NULL").join(found[0], "id", "left_anti"), "edges")
-    while not live.isEmpty():
+    live = edges.select("id", "parent", "ord").where("id IS NOT NULL AND parent IS NOT NULL").join(found[0], "id", "left_anti")
+    while True:
         ended, round_about = _chains(live, reduce(DataFrame.unionByName, found))
-        found.append(kept(ended.where("kind = 'gene'").select("id", "gene_id", (F.col("steps") + F.col("depth")).cast("int").alias("depth")), "genes"))
+        found.append(ended.where("kind = 'gene'").select("id", "gene_id", (F.col("steps") + F.col("depth")).cast("int").alias("depth")))
         lost = ended.where("kind = 'dead'").unionByName(round_about)
+        if lost.where("other IS NOT NULL").isEmpty():  # no chain without a gene has another parent to try
+            return reduce(DataFrame.unionByName, found)
         dead = kept(lost.where("other IS NULL").select("id").union(ended.where("kind = 'dead'").select("at")).distinct(), "dead_ids")
         on_cycle = round_about.join(round_about.select(F.col("at").alias("id")).distinct(), "id", "left_semi").where("more")
         left = on_cycle.groupBy("least").agg(F.max_by(F.struct("id", F.col("first").alias("parent")), "id").alias("e")).select("e.id", "e.parent")
         closed = found[-1].select("id").unionByName(dead)
         live = live.join(closed, "id", "left_anti").join(dead.select(F.col("id").alias("parent")), "parent", "left_anti").join(left, ["id", "parent"], "left_anti")
         live = kept(live.select("id", "parent", "ord"), "edges")
-    return reduce(DataFrame.unionByName, found)
 
 
 def _chains(live: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:

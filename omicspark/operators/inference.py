@@ -115,7 +115,7 @@ def fit(expr: DataFrame, ids: list[str], x: np.ndarray, value: str = "logcpm") -
 
     All genes share the design, so its pseudo-inverse, one row per sample, is broadcast (samples times
     coefficients, whatever the genes), and one aggregate per gene sums ``P y``, ``y^2``; the residual
-    sum follows from both.
+    sum follows from both. A gene that lacks a sample is left out: ``incomplete_genes`` lists them.
     """
     p = np.linalg.pinv(x).T
     both = _small(expr.sparkSession, ids, np.hstack([p, x]), "px")
@@ -134,6 +134,13 @@ def fit(expr: DataFrame, ids: list[str], x: np.ndarray, value: str = "logcpm") -
     )
 
 
+def incomplete_genes(expr: DataFrame, ids: list[str], value: str = "logcpm") -> DataFrame:
+    """``gene_id, n_missing`` of genes that ``fit`` leaves out, as they lack some of the design's samples."""
+    have = expr.where(F.col("sample_id").isin(*ids) & F.col(value).isNotNull()).groupBy("gene_id").agg(F.count_distinct("sample_id").alias("n"))
+    genes = expr.select("gene_id").distinct().join(have, "gene_id", "left").withColumn("n_missing", F.lit(len(ids)) - F.coalesce("n", F.lit(0)))
+    return genes.where("n_missing > 0").select("gene_id", "n_missing")
+
+
 def contrast_test(fitted: DataFrame, x: np.ndarray, vector: np.ndarray) -> DataFrame:
     """``gene_id, logFC, statistic, PValue`` of one contrast by Student's t."""
     scale = float(vector @ np.linalg.pinv(x.T @ x) @ vector)

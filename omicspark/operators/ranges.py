@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,11 +54,11 @@ def first_rows(rows: DataFrame, by: list[str], order: list[str], most: int, weig
     narrow = rows.select(*by, *order, (F.lit(1) if weight is None else weight).alias("__weight"))
     within = placed(narrow, by, order, F.col("__weight")).where(F.col("__before") < most)
     last = within.groupBy(*[F.col(c).alias(f"__k_{c}") for c in by]).agg(F.max(F.struct(*order)).alias("__last"))
-    on = F.lit(True)
-    for c in by:
-        on = on & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
-    joined = rows.join(last, on) if by else rows.crossJoin(F.broadcast(last))  # one row
-    return joined.where(F.struct(*order) <= F.col("__last")).select(*rows.columns)
+    if not by:
+        key = last.first()["__last"]  # one key of all rows
+        return rows.limit(0) if key is None else rows.where(F.struct(*order) <= F.struct(*[F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in zip(order, key, strict=True)]))
+    on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by])
+    return rows.join(last, on).where(F.struct(*order) <= F.col("__last")).select(*rows.columns)
 
 
 def exact_quantiles(rows: DataFrame, by: list[str], value: str, shares: list[float]) -> DataFrame:

@@ -30,8 +30,10 @@ def genome_stats(seqs: DataFrame, by: list[str] | None = None, prefix_bp: int |
     scanned = F.lit(True)
     if prefix_bp is not None:
         last = placed(df.select(*by, "ord", "bp"), by, ["ord"], F.col("bp")).where(F.col("__before") < prefix_bp).groupBy(*[F.col(c).alias(f"__k_{c}") for c in by]).agg(F.max("ord").alias("__last"))
-        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by], F.lit(True))
-        df = df.join(last, same, "left") if by else df.crossJoin(F.broadcast(last))  # one row
+        if by:
+            df = df.join(last, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by]), "left")
+        else:
+            df = df.withColumn("__last", F.lit(last.first()["__last"]))  # one key of all contigs
         scanned = F.coalesce(F.col("ord") <= F.col("__last"), F.lit(False))
     n = F.regexp_count(s, F.lit("[Nn]")).cast("long")
     low = F.regexp_count(s, F.lit("[a-z]")).cast("long")

@@ -84,6 +84,7 @@ def analyse(
     tables = {"logcpm": expr, "variable": explore.top_variable(expr), "distance": explore.sample_distance(expr)}
     tables["scores"], tables["variance"], tables["loadings"] = explore.pca(expr, tables["variable"])
     fitted = inference.fit(expr, ids, x)
+    tables["incomplete"] = inference.incomplete_genes(expr, ids)
     for name, weights in contrasts.items():
         try:
             vector = inference.coefficient_contrast(names, weights)

@@ -276,7 +276,7 @@ def _fastq_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = numbered_lines(spark, path).withColumn("ord", F.floor(F.col("line") / 4)).withColumn("k", F.col("line") % 4)
     part = lambda k: F.max(F.when(F.col("k") == k, F.col("value")))
     reads = rows.groupBy("path", "file", "ord").agg(part(0).alias("h"), part(1).alias("seq"), part(3).alias("qual"))
-    return reads.where("startswith(h, '@')").select("path", "file", "ord", read_id_of(F.col("h")).alias("read_id"), "seq", "qual")
+    return reads.where("startswith(h, '@')").select("path", "file", "ord", read_id_of(F.col("h")).alias("read_id"), "seq", F.coalesce("qual", F.lit("")).alias("qual"))
 
 
 SYRI_COLUMNS = "ref_chr ref_start ref_end ref_seq query_seq query_chr query_start query_end id parent_id type copy_status".split()

@@ -47,12 +47,17 @@ def write_vcf(sites: DataFrame, path: str, sample: str = "sample") -> None:
     write_lines(sites.select("chrom", "pos", "ref", "alt", row.alias("value")), path, ["chrom", "pos", "ref", "alt"], head)
 
 
-def write_snps_by_chromosome(snps: DataFrame, path: str) -> None:
-    """``<chrom>.snps.txt`` for each chromosome, a folder of ``pos ref alt`` lines by position.
+def write_snps_by_chromosome(snps: DataFrame, path: str, one_file: bool = False) -> None:
+    """``<chrom>.snps.txt`` for each chromosome, ``pos ref alt`` lines by position: a folder, or ``one_file`` as mappers take it.
 
-    Rows are dealt by ranges of chromosome and position, so a chromosome is written by several tasks. Only the folders, one
-    per chromosome, are named by the driver.
+    For folders rows are dealt by ranges of chromosome and position, so a chromosome is written by several tasks; Spark reads them like
+    a file. A single file is written by a task per chromosome. Only the names, one per chromosome, are the driver's.
     """
+    if one_file:
+        line = F.concat_ws("\t", F.col("pos").cast("string"), "ref", "alt")
+        named = snps.select(F.concat(F.col("chrom").cast("string"), F.lit(".snps.txt")).alias("file"), "pos", "ref", "alt", line.alias("value"))
+        write_named_files(named, path, ["pos", "ref", "alt"])
+        return
     rows = snps.select("chrom", "pos", F.concat_ws("\t", F.col("pos").cast("string"), "ref", "alt").alias("value"))
     dealt = rows.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos").select("chrom", "value")
     dealt.write.mode("overwrite").partitionBy("chrom").text(path)
