@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import time
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,14 +72,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def map_batches(df: DataFrame, rows: Callable[[list, list], Iterator[tuple]], schema: str, columns: tuple[str, str] = ("doc_id", "text")) -> DataFrame:
-    """Apply ``rows(ids, texts)``, which yields tuples of ``schema``, to Arrow batches of two columns."""
+def map_batches(df: DataFrame, rows: Callable[[list, list], Iterator[tuple]], schema: str, columns: tuple[str, str] = ("doc_id", "text"), most: int | None = None) -> DataFrame:
+    """Apply ``rows(ids, texts)``, which yields tuples of ``schema``, to Arrow batches of two columns; ``most`` tuples are held at a time, or those of a batch."""
     target = _arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = list(rows(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            if out:
+            made = iter(rows(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            while out := list(islice(made, most)):
                 columns_out = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(columns_out, target, strict=True)], names=target.names

@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +30,8 @@ PATTERNS = {
 }
 #: Lexicon voters, to which terms are dealt, and prefix voters; with the patterns 16 in all.
 LEXICON_VOTERS, PREFIX_VOTERS = 8, 4
+#: Terms with company that a task remembers at a time.
+MOST_SEEN = 100_000
 VOTERS = LEXICON_VOTERS + PREFIX_VOTERS + len(PATTERNS)
 
 
@@ -79,15 +80,18 @@ def learn_terms(sample: DataFrame, least_texts: int = 3, least_ratio: float = 6.
     """
 
     def rows(labels: list, texts: list) -> Iterator[tuple]:
-        seen = Counter()
+        seen = set()  # spares copies within a batch; what is told twice is dropped below
         for k, (toxic, text) in enumerate(zip(labels, texts, strict=True)):
-            seen.update((term, company, toxic == 1) for term, company in terms_in_company(text or "").items())
-            seen["", hash64(f"{k} {text}"), toxic == 1] += 1
-        for (term, company, toxic), n in seen.items():
-            yield term, company, toxic
+            for told in ((*x, toxic == 1) for x in terms_in_company(text or "").items()):
+                if told not in seen:
+                    if len(seen) == MOST_SEEN:
+                        seen.clear()
+                    seen.add(told)
+                    yield told
+            yield "", hash64(f"{k} {text}"), toxic == 1
 
     # Copies of texts and passages say nothing new about their words: a term counts once per class and company.
-    told = map_batches(sample.dropDuplicates(["text", "toxic"]), rows, "term string, company bigint, toxic boolean", ("toxic", "text")).distinct()
+    told = map_batches(sample.dropDuplicates(["text", "toxic"]), rows, "term string, company bigint, toxic boolean", ("toxic", "text"), most=20_000).distinct()
     counts = stash(told.groupBy("term").agg(F.count_if(~F.col("toxic")).alias("clean"), F.count_if("toxic").alias("toxic")), "toxic_terms")
     total = counts.where("term = ''").first()
     if not total or not total["toxic"] or not total["clean"]:
