@@ -94,6 +94,7 @@ def resolve_genes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         lost = ended.where("kind = 'dead'").unionByName(round_about)
         if lost.where("other IS NOT NULL").isEmpty():  # no chain without a gene has another parent to try
             return reduce(DataFrame.unionByName, found)
+        found[-1] = kept(found[-1], "genes")
         dead = kept(lost.where("other IS NULL").select("id").union(ended.where("kind = 'dead'").select("at")).distinct(), "dead_ids")
         on_cycle = round_about.join(round_about.select(F.col("at").alias("id")).distinct(), "id", "left_semi").where("more")
         left = on_cycle.groupBy("least").agg(F.max_by(F.struct("id", F.col("first").alias("parent")), "id").alias("e")).select("e.id", "e.parent")
