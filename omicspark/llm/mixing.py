@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,8 @@ from .hashing import mix64
 GROUP = 1024
 #: Slots that one task places, at about.
 TASK_SLOTS = 250_000
+#: Slots up to which numpy draws without replacement.
+EXACT_SLOTS = 1_000_000_000
 
 
 def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -102,7 +105,7 @@ def mix(
 
     Each source's words, row after row in a hashed order, are packed into blocks of ``block`` words.
     The output is shards of ``slots`` slots; each shard draws how many of its slots each source
-    gets: the whole part of the expected number and a multinomial draw of the rest. A source's slots are numbered through all shards, and
+    gets, a multinomial draw given that all shards add up to the targets. A source's slots are numbered through all shards, and
     slot j takes the block that a pseudorandom permutation of the source's blocks gives to j modulo
     their number; slots beyond two rounds are left empty, so no word is taken over twice. Everything
     follows from ``seed``, the ids, texts and sizes, so reruns agree.
@@ -146,19 +149,56 @@ def mix(
     )
 
 
-def draw_shard(expected: np.ndarray, shard: int, shards: int, slots: int, seed: int) -> np.ndarray:
-    """Slots of a shard per source: whole parts of the expectation and a multinomial draw of the rest."""
-    total = float(expected.sum())
-    size = slots if shard + 1 < shards else max(0, round(total) - slots * (shards - 1))
-    share = expected / total * size
-    counts = np.floor(share)
-    rest = share - counts
-    extra = int(size - counts.sum())
-    if extra > 0 and rest.sum() > 0:
-        counts += np.random.default_rng((seed, shard)).multinomial(extra, rest / rest.sum())
+def slots_of_sources(expected: np.ndarray, seed: int) -> np.ndarray:
+    """Slots per source in all shards: whole parts of the expectation and a multinomial draw of the rest."""
+    counts = np.floor(expected)
+    rest, extra = expected - counts, round(float(expected.sum())) - int(counts.sum())
+    if extra > 0:
+        counts += np.random.default_rng(seed).multinomial(extra, rest / rest.sum())
     return counts.astype(np.int64)
 
 
+def draw_part(counts: np.ndarray, size: int, rng: np.random.Generator) -> np.ndarray:
+    """How many of ``size`` slots each source gets if they are drawn from slots with ``counts`` per source.
+
+    Beyond numpy's range of a thousand million slots the draw of each source is the normal limit of the hypergeometric one.
+    """
+    if counts.sum() < EXACT_SLOTS:
+        return rng.multivariate_hypergeometric(counts, size, method="marginals")
+    out, total = np.zeros_like(counts), int(counts.sum())
+    for k, n in enumerate(counts.tolist()):
+        others = total - n
+        if total < EXACT_SLOTS:
+            out[k] = rng.hypergeometric(n, others, size) if total else 0
+        else:
+            share = size / total
+            spread = math.sqrt(max(share * (1 - share) * n * (others / total), 0.0))
+            out[k] = min(max(round(rng.normal(share * n, spread)), size - others, 0), n, size)
+        total, size = others, size - int(out[k])
+    return out
+
+
+def draw_shards(totals: np.ndarray, slots: int, seed: int, first: int, last: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Shards ``first`` to ``last`` (exclusive) with their slots per source: multinomial draws that add up to ``totals``.
+
+    Independent multinomial draws of all shards, given what they add up to, are a multivariate hypergeometric draw. It is made down a
+    binary tree of shards: each node draws what its left half gets, from a generator known by its range. So any task has the same draws for
+    a shard, at a cost of the tree's depth, and a source of few blocks is as near to its target as one of many.
+    """
+    n = int(totals.sum())
+    open_nodes = [(0, -(-n // slots), totals)] if n else []
+    while open_nodes:
+        low, high, counts = open_nodes.pop()
+        if high <= first or low >= last:
+            continue
+        if high - low == 1:
+            yield low, counts
+            continue
+        middle = (low + high) // 2
+        left = draw_part(counts, slots * (middle - low), np.random.default_rng((seed, low, high)))
+        open_nodes += [(middle, high, counts - left), (low, middle, left)]
+
+
 def blocks_of_slots(sid: int, first: int, n: int, blocks: int, seed: int) -> np.ndarray:
     """Blocks that slots ``first`` to ``first + n`` of a source take; those beyond two rounds take none."""
     j = np.arange(first, min(first + n, 2 * blocks))
@@ -169,18 +209,20 @@ def block_times(goals: DataFrame, block: int, slots: int, seed: int) -> DataFram
     """``sid, index, times``: how often the shards' slots take each block of each source."""
     sources = [(r["source_size"], -(-r["source_size"] // block), r["target"]) for r in goals.orderBy("sid").collect()]
     expected = np.array([goal * blocks / size if size else 0.0 for size, blocks, goal in sources])
-    total = float(expected.sum())
-    shards = max(1, -(-round(total) // slots)) if total else 0
+    totals = slots_of_sources(expected, seed)
+    total = int(totals.sum())
+    shards = -(-total // slots)
     blocks = [b for _, b, _ in sources]
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                counts = draw_shard(expected, shard, shards, slots, seed)
-                own = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int32()), pa.array(np.full(len(own), shard), pa.int64()), pa.array(counts[own])], names=["sid", "shard", "n"]
-                )
+            if batch.num_rows:  # a range's batches are runs of numbers
+                first = batch.column(0)[0].as_py()
+                for shard, counts in draw_shards(totals, slots, seed, first, first + batch.num_rows):
+                    own = np.flatnonzero(counts)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own, pa.int32()), pa.array(np.full(len(own), shard), pa.int64()), pa.array(counts[own])], names=["sid", "shard", "n"]
+                    )
 
     drawn = goals.sparkSession.range(shards).mapInArrow(draw, "sid int, shard bigint, n bigint")
     runs = running_total(drawn, "sid", "shard", "n", "first")
@@ -193,7 +235,7 @@ def block_times(goals: DataFrame, block: int, slots: int, seed: int) -> DataFram
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(index), sid), pa.int32()), pa.array(index, pa.int64())], names=["sid", "index"])
 
     # The few rows of the runs become many slots: they are dealt to a number of tasks that grows with these.
-    spread = runs.select("sid", "first", "n").repartition(max(1, -(-int(total) // TASK_SLOTS)), "sid", "first")
+    spread = runs.select("sid", "first", "n").repartition(max(1, -(-total // TASK_SLOTS)), "sid", "first")
     placed = spread.mapInArrow(place, "sid int, index bigint")
     return placed.groupBy("sid", "index").agg(F.count(F.lit(1)).alias("times"))
 

@@ -34,10 +34,13 @@ def taken_brute(rows, orders, block, slots, seed):
         owners.append(words)
     blocks = [-(-len(w) // block) for w in owners]
     expected = np.array([g * b / s if s else 0.0 for g, b, s in zip(goal, blocks, sizes)])
-    shards = max(1, -(-round(expected.sum()) // slots))
+    totals = mixing.slots_of_sources(expected, seed)
+    assert abs(totals - expected).max() < len(names) and totals.sum() == round(expected.sum())
     nth, taken = [0] * len(names), Counter()
-    for shard in range(shards):
-        for sid, count in enumerate(mixing.draw_shard(expected, shard, shards, slots, seed)):
+    for shard in range(-(-totals.sum() // slots)):
+        ((at, counts),) = mixing.draw_shards(totals, slots, seed, shard, shard + 1)
+        assert at == shard and counts.sum() == min(slots, totals.sum() - slots * shard)
+        for sid, count in enumerate(counts):
             for _ in range(count):
                 j, nth[sid] = nth[sid], nth[sid] + 1
                 if j < 2 * blocks[sid]:
@@ -61,6 +64,23 @@ def test_taken_words_slot_by_slot(spark, monkeypatch):
     assert [x.taken for x in got] == [want[k] for k in range(len(got))]
 
 
+def test_shards_draw_all_their_slots_and_add_up(monkeypatch):
+    totals = np.array([700, 0, 2900, 410])
+    whole = [c for _, c in mixing.draw_shards(totals, 100, 5, 0, 41)]
+    assert len(whole) == 41 and (np.sum(whole, axis=0) == totals).all() and [c.sum() for c in whole] == [100] * 40 + [10]
+    parts = [c for a in range(0, 41, 7) for _, c in mixing.draw_shards(totals, 100, 5, a, a + 7)]
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+    # Over many seeds a shard's counts scatter as those of an urn do, in any shard, with numpy's draw and with its normal limit.
+    share = totals / totals.sum()
+    spread = 100 * share * (1 - share) * (4010 - 100) / 4009
+    for most in (1_000_000_000, 100):
+        monkeypatch.setattr(mixing, "EXACT_SLOTS", most)
+        seen = np.array([[c for _, c in mixing.draw_shards(totals, 100, seed, at, at + 1)][0] for seed in range(3000) for at in (0, 23)])
+        assert (seen >= 0).all() and (seen.sum(axis=1) == 100).all()
+        assert np.allclose(seen.mean(axis=0), 100 * share, atol=0.4) and np.allclose(seen.var(axis=0), spread, rtol=0.1)
+    assert list(mixing.draw_shards(np.zeros(3, np.int64), 100, 5, 0, 9)) == []
+
+
 def test_rows_of_one_id_are_mixed_by_their_own_share(spark):
     docs = frame(spark, [(1, "a " * 400, "en", "x"), (1, "", "en", "x"), (1, None, "en", "x"), (2, "b " * 400, "en", "x")] + [(9 + i, f"c{i} " * 50, "en", "y") for i in range(20)])
     out = Counter((r.doc_id, r.text) for r in mixing.mixed_documents(docs).collect())
