@@ -28,7 +28,7 @@ PATTERNS = {
     "#stretch": re.compile(r"([a-z])\1{3}"),
     "#you": re.compile(r"(?i)\byou(?:'re| are) (?:an?|such)\b"),
 }
-#: Lexicon voters, to which terms are dealt, and prefix voters; with the patterns 16 in all.
+#: Lexicon voters, the fixed one and bands of learnt words, and bands of prefixes; with the patterns 16 in all.
 LEXICON_VOTERS, PREFIX_VOTERS = 8, 4
 #: Terms with company that a task remembers at a time.
 MOST_SEEN = 100_000
@@ -132,13 +132,19 @@ def find_terms(docs: DataFrame, terms: list[str]) -> DataFrame:
     return map_batches(keyed, rows, "doc_id bigint, mark bigint, found array<string>", ("key", "text"))
 
 
-def voter_of(terms: list[str]) -> dict[str, int]:
-    """The voter each term and pattern belongs to; terms are dealt in order of certainty."""
-    out, dealt = {}, [0, 0]
-    for t in terms:
-        prefix = t.endswith("*")
-        out[t] = LEXICON_VOTERS + dealt[1] % PREFIX_VOTERS if prefix else dealt[0] % LEXICON_VOTERS
-        dealt[prefix] += 1
+def voter_of(learnt: list[tuple[str, float]]) -> dict[str, int]:
+    """The voter each term and pattern belongs to.
+
+    The fixed lexicon is the first voter. Learnt words, and apart from them learnt prefixes, are lexicons of like
+    strength: bands of equal size in order of their log ratio. Each has thus an accuracy of its own; each pattern is a voter too.
+    """
+    out = dict.fromkeys(LEXICON, 0)
+    strong = [t for t, _ in sorted(learnt, key=lambda x: (-x[1], x[0])) if t not in out]
+    for first, n, band in (
+        (1, LEXICON_VOTERS - 1, [t for t in strong if not t.endswith("*")]),
+        (LEXICON_VOTERS, PREFIX_VOTERS, [t for t in strong if t.endswith("*")]),
+    ):
+        out |= {t: first + k * n // len(band) for k, t in enumerate(band)}
     return out | {k: LEXICON_VOTERS + PREFIX_VOTERS + n for n, k in enumerate(PATTERNS)}
 
 
@@ -149,55 +155,103 @@ def votes(found: Column, voters: dict[str, int]) -> Column:
 
 
 class LabelModel:
-    """A generative model of the votes: per class, each voter's rate, and the voters' correlations.
+    """A generative model of the votes: per class, how often each voter speaks, given the voter it depends on.
 
-    Expectation maximisation over the counts of vote vectors (at most 2 ** voters rows, whatever the
-    corpus), labelled counts keeping their class. Voters that agree beyond what the class explains
-    are discounted by the sum of their residual correlations.
+    Dependencies form a tree that is part of the likelihood: of all trees the one whose edges explain most (the mutual information of two
+    voters within the classes, Chow and Liu), without edges that gain less than their two parameters cost (half the log of the rows each).
+    Expectation maximisation over the counts of vote vectors (at most 2 ** VOTERS rows, whatever the corpus), labelled counts keeping their
+    class, chooses tree and rates anew each round until a round adds less than ``least_gain`` to the mean log likelihood of a row.
     """
 
-    def __init__(self, vectors: np.ndarray, counts: np.ndarray, labelled: np.ndarray, prior: float, rounds: int = 25):
-        x = (vectors[:, None] >> np.arange(VOTERS)) & 1
+    def __init__(self, vectors: np.ndarray, counts: np.ndarray, labelled: np.ndarray, prior: float, rounds: int = 200, least_gain: float = 1e-7):
+        x = votes_of(vectors)
         self.prior = min(max(prior, 1e-3), 0.5)
         speaks = x[:, : LEXICON_VOTERS + PREFIX_VOTERS].any(axis=1)
         q = np.where(speaks, 0.9, 0.02)
         seen = labelled.sum(axis=1)
         free = np.maximum(counts - seen, 0)
         q = np.where(seen > 0, (labelled[:, 1] + 2 * q) / (seen + 2), q)
-        self.weight = np.ones(VOTERS)
+        self.gains: list[float] = []
         for _ in range(rounds):
-            before = q
-            mass = np.stack([free * (1 - q) + labelled[:, 0], free * q + labelled[:, 1]])
-            self.rate = (mass @ x + np.array([[0.02], [0.2]])) / (mass.sum(axis=1)[:, None] + 1)
-            self.weight = 1 / (1 + self._correlation(x, mass).sum(axis=1))
-            q = self.posterior(vectors)
-            if np.abs(q - before).max(initial=0.0) < 1e-9:
+            self._fit(x, np.stack([free * (1 - q) + labelled[:, 0], free * q + labelled[:, 1]]))
+            joint = self._joint(x)
+            whole = np.logaddexp(*joint)
+            q = np.exp(joint[1] - whole)
+            self.gains.append(float((free * whole).sum() + (labelled.T * joint).sum()) / max(float(counts.sum()), 1.0))
+            if len(self.gains) > 1 and abs(self.gains[-1] - self.gains[-2]) < least_gain:
                 break
 
-    def _correlation(self, x: np.ndarray, mass: np.ndarray) -> np.ndarray:
-        """Positive correlations of voters within a class, the mean over both classes: toxic texts are few, but it is there that voters agree."""
-        out = np.zeros((VOTERS, VOTERS))
-        for y in (0, 1):
-            both = (x * mass[y][:, None]).T @ x / max(mass[y].sum(), 1)
-            spread = np.sqrt(self.rate[y] * (1 - self.rate[y]))
-            out += np.clip((both - np.outer(self.rate[y], self.rate[y])) / np.outer(spread, spread), 0, 1) / 2
-        np.fill_diagonal(out, 0)
-        return out
+    def _fit(self, x: np.ndarray, mass: np.ndarray) -> None:
+        size = mass.sum(axis=1)
+        both = np.stack([(x * m[:, None]).T @ x for m in mass])
+        alone = np.stack([np.diag(b) for b in both])
+        self.rate = (alone + np.array([[0.02], [0.2]])) / (size[:, None] + 1)
+        self.parent = tree_of(both, size)
+        # What a voter does beside its parent's vote or silence is shrunk, by two rows, to what it does anyway.
+        child = np.flatnonzero(self.parent >= 0)
+        spoken = np.zeros_like(alone)
+        beside, spoken[:, child] = np.zeros_like(alone), alone[:, self.parent[child]]
+        beside[:, child] = both[:, child, self.parent[child]]
+        silent = (alone - beside + 2 * self.rate) / (size[:, None] - spoken + 2)
+        self.given = np.stack([np.where(self.parent >= 0, silent, self.rate), (beside + 2 * self.rate) / (spoken + 2)], axis=2)
+
+    def _joint(self, x: np.ndarray) -> np.ndarray:
+        """Log probability of each class and vote vector."""
+        above = np.where(self.parent >= 0, x[:, self.parent], 0)
+        p = self.given[:, np.arange(VOTERS), above]
+        logs = np.where(x == 1, np.log(p), np.log1p(-p)).sum(axis=2)
+        return logs + np.log([[1 - self.prior], [self.prior]])
 
     def posterior(self, vectors: np.ndarray) -> np.ndarray:
-        """Probability of toxic for each vote vector: abstaining counts only where all voters do."""
-        x = (vectors[:, None] >> np.arange(VOTERS)) & 1
-        for_toxic = np.log(self.rate[1] / self.rate[0]) * self.weight
-        silent = np.log((1 - self.rate[1]) / (1 - self.rate[0])) * self.weight
-        return 1 / (1 + np.exp(-(np.log(self.prior / (1 - self.prior)) + x @ for_toxic + ~x.any(axis=1) * silent.sum())))
+        """Probability of toxic for each vote vector."""
+        joint = self._joint(votes_of(vectors))
+        return np.exp(joint[1] - np.logaddexp(*joint))
+
+
+def votes_of(vectors: np.ndarray) -> np.ndarray:
+    return (vectors[:, None] >> np.arange(VOTERS)) & 1
+
+
+def tree_of(both: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The parent of each voter, or -1, from how often two voters speak together in each class."""
+    gain = np.zeros(both.shape[1:])
+    for b, n in zip(both, np.maximum(size, 1e-9), strict=True):
+        one = np.diag(b)
+        cells = (b, one[:, None] - b, one[None, :] - b, n - one[:, None] - one[None, :] + b)
+        sides = ((one, one), (one, n - one), (n - one, one), (n - one, n - one))
+        for cell, (i, j) in zip(cells, sides, strict=True):
+            cell = np.maximum(cell, 0)
+            expected = np.outer(i, j) / n
+            gain += np.where((cell > 0) & (expected > 0), cell * np.log(np.where(cell > 0, cell, 1) / np.where(expected > 0, expected, 1)), 0)
+    near: dict[int, list[int]] = {k: [] for k in range(len(gain))}
+    part = list(range(len(gain)))
+    edges = sorted((-gain[i, j], i, j) for i in range(len(gain)) for j in range(i))
+    for less, i, j in edges:
+        if -less <= math.log(max(size.sum(), 1)):
+            break
+        if part[i] != part[j]:
+            near[i].append(j)
+            near[j].append(i)
+            part = [part[j] if p == part[i] else p for p in part]
+    parent = np.full(len(gain), -1)
+    for root in range(len(gain)):
+        todo = [root] if part[root] >= 0 else []
+        while todo:
+            k = todo.pop()
+            part[k] = -1
+            for c in near[k]:
+                if part[c] >= 0:
+                    parent[c] = k
+                    todo.append(c)
+    return parent
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = 10_000, most_train: int = 20_000) -> DataFrame:
     """Score every whole text of ``docs(doc_id, text, ...)``: ``doc_id, held_out, score, predicted``.
 
     Rows whose crc32(doc_id) is divisible by 5 are held out: their labels are never read. Of the
-    others at most ``most_labelled`` of each class teach which terms and prefixes mark toxic texts; these and a fixed lexicon are dealt to voters, beside pattern
-    voters. The label model is fitted to the votes of all texts and gives each a posterior; a logistic
+    others at most ``most_labelled`` of each class teach which terms and prefixes mark toxic texts; these vote in lexicons of like strength, beside a fixed lexicon and
+    patterns. The label model is fitted to the votes of all texts and gives each a posterior; a logistic
     regression on the terms found learns these posteriors from at most ``most_train`` rows, again by
     a hash of the id. The score depends on the text alone.
 
@@ -214,10 +268,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = 10_0
 def _scores(docs: DataFrame, labels: DataFrame, most_labelled: int = 10_000, most_train: int = 20_000) -> tuple[DataFrame, Column]:
     """``doc_id, mark, found`` of every row and the score as an expression of them."""
     sample = stash(labelled_sample(docs, labels, most_labelled), "toxic_sample")
-    learnt = [t for t, _ in learn_terms(sample)]
-    terms = learnt + [t for t in LEXICON if t not in set(learnt)]
+    learnt = learn_terms(sample)
+    terms = list(dict.fromkeys([t for t, _ in learnt] + list(LEXICON)))
     found = stash(find_terms(docs, terms), "toxic_found")
-    voters = voter_of(terms)
+    voters = voter_of(learnt)
     voted = found.select("doc_id", "found", votes(F.col("found"), voters).alias("votes"))
 
     known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))

@@ -90,37 +90,98 @@ def test_rows_of_one_id_are_mixed_by_their_own_share(spark):
 # Toxicity
 
 
-def test_label_model_is_the_loop_it_says():
-    r = np.random.default_rng(3)
-    vectors = np.unique(r.integers(0, 1 << toxicity.VOTERS, 40))
-    counts = r.integers(1, 50, len(vectors)).astype(float)
-    labelled = np.stack([r.integers(0, 3, len(vectors)), r.integers(0, 3, len(vectors))], axis=1).astype(float)
-    model = toxicity.LabelModel(vectors, counts, labelled, 0.1, rounds=4)
-    n, bits = toxicity.VOTERS, [[int(v) >> k & 1 for k in range(toxicity.VOTERS)] for v in vectors]
-    voiced = toxicity.LEXICON_VOTERS + toxicity.PREFIX_VOTERS
+def model_brute(vectors, counts, labelled, prior, rounds):
+    """Posterior per vote vector and parent per voter of the label model, cell by cell."""
+    n, voiced = toxicity.VOTERS, toxicity.LEXICON_VOTERS + toxicity.PREFIX_VOTERS
+    bits = [[int(v) >> k & 1 for k in range(n)] for v in vectors]
     q = []
     for i, b in enumerate(bits):
         start, seen = (0.9 if any(b[:voiced]) else 0.02), labelled[i].sum()
         q.append((labelled[i][1] + 2 * start) / (seen + 2) if seen else start)
-    for _ in range(4):
+    for _ in range(rounds):
         mass = [[max(counts[i] - labelled[i].sum(), 0) * (q[i] if y else 1 - q[i]) + labelled[i][y] for i in range(len(bits))] for y in (0, 1)]
-        rate = [[(sum(m * b[k] for m, b in zip(mass[y], bits)) + (0.02, 0.2)[y]) / (sum(mass[y]) + 1) for k in range(n)] for y in (0, 1)]
-        weight = []
-        for k in range(n):
-            total = 0.0
-            for j in range(n):
+        total = [sum(m) for m in mass]
+        share = lambda y, test: sum(m for m, b in zip(mass[y], bits) if test(b)) / total[y]
+        gain = {}
+        for i in range(n):
+            for j in range(i):
+                gain[i, j] = 0.0
                 for y in (0, 1):
-                    if j != k:
-                        both = sum(m * b[k] * b[j] for m, b in zip(mass[y], bits)) / max(sum(mass[y]), 1)
-                        sd = math.sqrt(rate[y][k] * (1 - rate[y][k]) * rate[y][j] * (1 - rate[y][j]))
-                        total += min(max((both - rate[y][k] * rate[y][j]) / sd, 0), 1) / 2
-            weight.append(1 / (1 + total))
-        silent = sum(w * math.log((1 - a) / (1 - b)) for w, a, b in zip(weight, rate[1], rate[0]))
-        q = []
+                    for u in (0, 1):
+                        for v in (0, 1):
+                            p = share(y, lambda b: b[i] == u and b[j] == v)
+                            apart = share(y, lambda b: b[i] == u) * share(y, lambda b: b[j] == v)
+                            gain[i, j] += total[y] * p * math.log(p / apart) if p > 0 else 0
+        # Kruskal's edges, then every voter's parent is the neighbour on the way to the least voter of its tree.
+        edges, sets = [], [{k} for k in range(n)]
+        for (i, j), g in sorted(gain.items(), key=lambda e: -e[1]):
+            if g > math.log(sum(total)) and sets[i] is not sets[j]:
+                edges.append((i, j))
+                merged = sets[i] | sets[j]
+                for k in merged:
+                    sets[k] = merged
+        parent = [-1] * n
+        for k in range(n):
+            reached = {min(sets[k])}
+            while k not in reached and parent[k] < 0:
+                for a, b in edges + [(b, a) for a, b in edges]:
+                    if a in reached and b not in reached:
+                        parent[b] = a
+                        reached.add(b)
+        joint = []
         for b in bits:
-            score = math.log(0.1 / 0.9) + sum(w * x * math.log(a / c) for w, x, a, c in zip(weight, b, rate[1], rate[0])) + (0 if any(b) else silent)
-            q.append(1 / (1 + math.exp(-score)))
-    assert np.allclose(model.posterior(vectors), q) and np.allclose(model.rate, rate) and np.allclose(model.weight, weight)
+            logs = []
+            for y in (0, 1):
+                out = math.log(prior if y else 1 - prior)
+                for k in range(n):
+                    p = rate = (total[y] * share(y, lambda c: c[k]) + (0.02, 0.2)[y]) / (total[y] + 1)
+                    if parent[k] >= 0:
+                        same = lambda c: c[parent[k]] == b[parent[k]]
+                        p = (total[y] * share(y, lambda c: c[k] and same(c)) + 2 * rate) / (total[y] * share(y, same) + 2)
+                    out += math.log(p if b[k] else 1 - p)
+                logs.append(out)
+            joint.append(logs)
+        q = [1 / (1 + math.exp(a - b)) for a, b in joint]
+    return q, parent
+
+
+def test_label_model_by_plain_loops():
+    r = np.random.default_rng(3)
+    vectors = r.integers(0, 1 << toxicity.VOTERS, 40)
+    vectors = np.unique(np.where(vectors & 2, vectors | 9, vectors))  # voters 0 and 3 go with voter 1
+    counts = r.integers(1, 50, len(vectors)).astype(float)
+    labelled = np.stack([r.integers(0, 3, len(vectors)), r.integers(0, 3, len(vectors))], axis=1).astype(float)
+    model = toxicity.LabelModel(vectors, counts, labelled, 0.1, rounds=3, least_gain=0)
+    q, parent = model_brute(vectors, counts, labelled, 0.1, 3)
+    assert parent == model.parent.tolist() and parent[1] == 0 and max(parent) > 0
+    assert np.allclose(model.posterior(vectors), q)
+
+
+def test_label_model_finds_accuracies_and_counts_correlated_voters_once():
+    r = np.random.default_rng(8)
+    toxic = r.random(40_000) < 0.1
+    rates = np.array([[0.02, 0.6], [0.05, 0.5], [0.01, 0.4], [0.1, 0.3]])
+    x = r.random((40_000, 4)) < np.where(toxic[:, None], rates[:, 1], rates[:, 0])
+    x = np.column_stack([x, x[:, 3], x[:, 3]])  # two voters that repeat the worst
+    vectors, counts = np.unique(x @ (1 << np.arange(6)), return_counts=True)
+    truth = np.zeros((len(vectors), 2))
+    for v, y in zip((x @ (1 << np.arange(6)))[:4000], toxic[:4000]):
+        truth[np.searchsorted(vectors, v), int(y)] += 1
+    model = toxicity.LabelModel(vectors, counts.astype(float), truth, 0.1)
+    assert np.abs(model.rate[:, :4].T - rates).max() < 0.05
+    assert len(model.gains) < 200 and model.gains[-1] > model.gains[0]
+    # Given one of three equal voters the others say nothing: as if it had voted alone.
+    lone = 0.1 * 0.3 * 0.4 * 0.5 * 0.6 / (0.1 * 0.3 * 0.4 * 0.5 * 0.6 + 0.9 * 0.1 * 0.98 * 0.95 * 0.99)
+    assert abs(model.posterior(np.array([0b111000]))[0] - lone) < 0.02
+
+
+def test_voters_are_lexicons_of_like_strength():
+    learnt = [(f"w{k}", float(k)) for k in range(70)] + [(f"p{k}*", float(k)) for k in range(3)] + [("idiot", 9.0)]
+    voters = toxicity.voter_of(learnt)
+    assert voters["idiot"] == 0 and {voters[t] for t in toxicity.LEXICON} == {0}
+    assert [voters[f"w{k}"] for k in range(70)] == [7 - k // 10 for k in range(70)]
+    assert len({voters[f"p{k}*"] for k in range(3)}) == 3 and voters["p2*"] == toxicity.LEXICON_VOTERS
+    assert toxicity.voter_of([])["#you"] == toxicity.VOTERS - 1
 
 
 def test_words_of_copied_passages_are_not_learnt_and_shared_insults_are(spark):
