@@ -37,11 +37,15 @@ def placed(rows: DataFrame, by: list[str], order: list, weight: Column | None =
 
 
 def least_from_here(ranged: DataFrame, by: list[str], order: list, value: str, name: str) -> DataFrame:
-    """``ranged`` of ``placed`` with the least ``value`` of this row and those after it in its group; each range takes the least of the later ones along."""
+    """``ranged`` of ``placed`` with the least ``value`` of this row and those after it in its group; each range takes the least of the later ones along.
+
+    Rows are walked from the last one on, as a frame that ends with the group is computed anew for every row.
+    """
+    upto, down = Window.unboundedPreceding, [F.desc(c) for c in order]
     least = ranged.groupBy(*by, "__part").agg(F.min(value).alias("__m"))
-    later = F.min("__m").over(Window.partitionBy(*by).orderBy("__part").rowsBetween(1, Window.unboundedFollowing))
+    later = F.min("__m").over(Window.partitionBy(*by).orderBy(F.desc("__part")).rowsBetween(upto, -1))
     least = least.select(*[F.col(c).alias(f"__k_{c}") for c in by], F.col("__part").alias("__p"), later.alias("__later"))
-    here = F.min(value).over(Window.partitionBy(*by, "__part").orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    here = F.min(value).over(Window.partitionBy(*by, "__part").orderBy(*down).rowsBetween(upto, Window.currentRow))
     joined = ranged.withColumn("__here", here).join(least, _same(by))
     return joined.withColumn(name, F.least("__here", "__later")).drop("__here", "__later", "__p", *[f"__k_{c}" for c in by])
 

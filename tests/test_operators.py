@@ -631,6 +631,13 @@ def test_one_family_in_many_ranges(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_ranges_are_walked_once(spark):
+    """A frame that ends with its group is computed anew for every row, in time that grows with the square of a range."""
+    df = spark.range(60).select(F.lit("f").alias("family"), F.col("id").cast("string").alias("gene_id"), (F.col("id") * 7 % 60 / 60).alias("p"))
+    plan = inference.benjamini_hochberg_in_ranges(df, ["family"], "p")._jdf.queryExecution().analyzed().treeString().lower()
+    assert "currentrow$()" in plan and "currentrow$(), unboundedfollowing" not in plan
+
+
 # Tiles and permutations
 
 
