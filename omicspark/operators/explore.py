@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
+
 #: Samples whose pairwise matrix may go to the driver, as an Arrow table of 8 million pairs (200 MB).
 MOST_SAMPLES = 4_000
 #: Cells that a task holds of two blocks of samples, and of the differences of a slice of genes.
@@ -32,25 +34,28 @@ def row_zscores(expr: DataFrame, value: str = "logcpm") -> DataFrame:
     return z.where("sd > 0").select("sample_id", "gene_id", ((F.col(value) - F.col("mu")) / F.col("sd")).alias("z"))
 
 
-def _tiles(expr: DataFrame, value: str, compute: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], name: str, own: bool = False) -> DataFrame:
-    """``s1, s2, name`` of pairs of samples, computed in tiles: a task has all genes of two blocks of samples as two matrices.
+def _tiles(expr: DataFrame, value: str, compute: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], kind: str, most: int = 1, own: bool = False) -> DataFrame:
+    """``s1, s2, part`` of pairs of samples, a row per slice of genes: a task has the genes of one slice of two blocks of samples as two matrices.
 
-    ``compute(a, b)`` gives for genes x samples with NaN where missing a value per pair of columns, and whether it counts. A value goes to one task per block, so the rows that
-    move are genes x samples x blocks, and no row is made per gene and pair. Blocks are as wide as ``TILE_CELLS`` allows. ``own`` keeps pairs of a sample with itself.
+    ``compute(a, b)`` gives for genes x samples with NaN where missing what the slice holds of each pair of columns, of type ``kind``, and how many genes count; the caller puts slices together.
+    Blocks are as wide as balances the values sent to several blocks with the ``most`` values of a pair's row, and slices as thick as ``TILE_CELLS`` allows, so more genes make more slices: the rows
+    that move are genes x samples x blocks, whatever the genes. ``own`` keeps pairs of a sample with itself.
     """
+    expr = kept(expr.select("sample_id", "gene_id", F.col(value).cast("double").alias("v")), "values")
     names = sorted(r[0] for r in expr.select("sample_id").distinct().limit(MOST_SAMPLES + 1).collect())
     if len(names) > MOST_SAMPLES:
         raise ValueError(f"distances of more than {MOST_SAMPLES} samples")
-    kind = expr.schema["sample_id"].dataType.simpleString()
+    id_type = expr.schema["sample_id"].dataType.simpleString()
     genes = expr.agg(F.approx_count_distinct("gene_id", 0.02)).first()[0]
-    width = max(1, min(len(names), TILE_CELLS // max(2 * genes, 1)))
+    width = max(1, min(len(names), math.isqrt(TILE_CELLS // most)))
     blocks = -(-len(names) // width) if names else 0
-    place = expr.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], f"sample_id {kind}, __at int")
+    slices = max(1, -(-2 * genes * width // TILE_CELLS))
+    place = expr.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], f"sample_id {id_type}, __at int")
     near = F.sequence(F.lit(0), F.lit(max(blocks - 1, 0)))
     mine = F.floor(F.col("__at") / width).cast("int")
-    told = expr.select("sample_id", "gene_id", F.col(value).cast("double").alias("v")).join(F.broadcast(place), "sample_id")  # MOST_SAMPLES rows at most
-    dealt = told.select("gene_id", "__at", "v", F.explode(F.transform(near, lambda j: F.struct(F.least(mine, j).alias("x"), F.greatest(mine, j).alias("y")))).alias("t"))
-    keyed = dealt.select("gene_id", "__at", "v", "t.x", "t.y")
+    told = expr.join(F.broadcast(place), "sample_id").withColumn("slice", F.pmod(F.xxhash64("gene_id"), F.lit(slices)).cast("int"))  # MOST_SAMPLES rows at most
+    dealt = told.select("gene_id", "__at", "v", "slice", F.explode(F.transform(near, lambda j: F.struct(F.least(mine, j).alias("x"), F.greatest(mine, j).alias("y")))).alias("t"))
+    keyed = dealt.select("gene_id", "__at", "v", "slice", "t.x", "t.y")
 
     def tile(key: tuple, rows: pa.Table) -> pa.Table:
         x, y = key[0].as_py(), key[1].as_py()
@@ -64,11 +69,12 @@ def _tiles(expr: DataFrame, value: str, compute: Callable[[np.ndarray, np.ndarra
         i, j = np.nonzero(counts)
         keep = (x * width + i <= y * width + j) if own else (x * width + i < y * width + j)
         i, j = i[keep], j[keep]
-        return pa.table([pa.array((x * width + i).astype(np.int32)), pa.array((y * width + j).astype(np.int32)), pa.array(got[i, j])], names=["a", "b", name])
+        cells = pa.array(got[i, j]) if got.ndim == 2 else pa.array([v[v >= 0] for v in got[:, i, j].T], pa.list_(pa.float64()))
+        return pa.table([pa.array((x * width + i).astype(np.int32)), pa.array((y * width + j).astype(np.int32)), cells], names=["a", "b", "part"])
 
-    pairs = keyed.groupBy("x", "y").applyInArrow(tile, f"a int, b int, {name} double")
+    pairs = keyed.groupBy("x", "y", "slice").applyInArrow(tile, f"a int, b int, part {kind}")
     first, second = (place.select(F.col("sample_id").alias(s), F.col("__at").alias(c)) for s, c in (("s1", "a"), ("s2", "b")))
-    return pairs.join(F.broadcast(first), "a").join(F.broadcast(second), "b").select("s1", "s2", name)
+    return pairs.join(F.broadcast(first), "a").join(F.broadcast(second), "b").select("s1", "s2", "part")
 
 
 def _squared_differences(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,9 +88,9 @@ def _squared_differences(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.n
     return total, n
 
 
-def _leading_mean(k: int) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    def mean(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Mean of the ``k`` largest squared differences of each pair: the best so far and those of a slice of genes are merged, ``k`` of them kept."""
+def _largest(k: int) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    def largest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` largest squared differences of each pair, -1 where there are fewer: the best so far and those of a slice of genes are merged, ``k`` of them kept."""
         best = np.full((0, a.shape[1], b.shape[1]), -1.0)
         step = max(1, TILE_CELLS // (a.shape[1] * b.shape[1]))
         for at in range(0, len(a), step):
@@ -92,20 +98,24 @@ def _leading_mean(k: int) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray
             best = np.concatenate([best, np.where(np.isnan(d), -1.0, d)])
             if len(best) > k:
                 best = np.partition(best, len(best) - k, axis=0)[-k:]
-        n = (best >= 0).sum(axis=0)
-        return np.where(best >= 0, best, 0.0).sum(axis=0) / np.maximum(n, 1), n
+        return best, (best >= 0).sum(axis=0)
 
-    return mean
+    return largest
 
 
 def sample_distance(expr: DataFrame, value: str = "logcpm") -> DataFrame:
     """Euclidean distances of samples over the genes that both have: ``s1, s2, distance``, each pair once."""
-    return _tiles(expr, value, _squared_differences, "d2").select("s1", "s2", F.sqrt("d2").alias("distance"))
+    return _tiles(expr, value, _squared_differences, "double").groupBy("s1", "s2").agg(F.sqrt(F.sum("part")).alias("distance"))
 
 
 def leading_distance(expr: DataFrame, k: int = 500, value: str = "logcpm") -> DataFrame:
-    """Root mean of each pair's ``k`` largest squared differences: ``s1, s2, distance``."""
-    return _tiles(expr, value, _leading_mean(k), "d2").select("s1", "s2", F.sqrt("d2").alias("distance"))
+    """Root mean of each pair's ``k`` largest squared differences: ``s1, s2, distance``.
+
+    The largest of each slice of genes are merged in one array per pair, ``k`` values for as many genes as a tile holds.
+    """
+    top = F.slice(F.sort_array(F.flatten(F.collect_list("part")), asc=False), 1, k)
+    best = _tiles(expr, value, _largest(k), "array<double>", k).groupBy("s1", "s2").agg(top.alias("d2"))
+    return best.select("s1", "s2", F.sqrt(F.aggregate("d2", F.lit(0.0), lambda s, x: s + x) / F.size("d2")).alias("distance"))
 
 
 def _square(pairs: DataFrame, value: str) -> tuple[list[str], np.ndarray]:
@@ -134,7 +144,7 @@ def gram_matrix(centred: DataFrame, value: str = "v") -> DataFrame:
     def inner(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.nan_to_num(a).T @ np.nan_to_num(b), (~np.isnan(a)).T.astype(float) @ (~np.isnan(b)).astype(float)
 
-    return _tiles(centred, value, inner, "g", own=True)
+    return _tiles(centred, value, inner, "double", own=True).groupBy("s1", "s2").agg(F.sum("part").alias("g"))
 
 
 def pca(expr: DataFrame, genes: DataFrame | None = None, components: int = 3, value: str = "logcpm") -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -666,6 +666,24 @@ def test_distances_in_tiles(spark, monkeypatch):
         explore.sample_distance(expr)
 
 
+def test_more_genes_make_more_slices(spark, monkeypatch):
+    """Values are sent once where a tile has room for all samples, however many genes there are."""
+    expr = spark.range(400).select(F.concat(F.lit("s"), F.col("id") % 4).alias("sample_id"), F.floor(F.col("id") / 4).alias("gene_id"), F.sqrt("id").alias("logcpm"))
+    store, none = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+
+    def sent(df):
+        before = store.stageList(None, False, False, none, None).size()
+        rows = df.collect()
+        stages = store.stageList(None, False, False, none, None)  # the newest first
+        return rows, sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size() - before))
+
+    want = {(x.s1, x.s2): x.distance for x in explore.sample_distance(expr).collect()}
+    monkeypatch.setattr(explore, "TILE_CELLS", 100)
+    rows, records = sent(explore.sample_distance(expr))
+    assert {(x.s1, x.s2): x.distance for x in rows} == pytest.approx(want)
+    assert 400 <= records < 800
+
+
 def test_index_permutations_are_permutations():
     for n in (1, 2, 3, 10, 64, 1000):
         seen = [tuple(enrichment.permuted(np.arange(n), n, key)) for key in range(4)]
