@@ -39,6 +39,10 @@ TRIM_METRICS = {
 MEROPS_CODE = r"\b([ACGMNPSTUI]\d{1,2}[A-Z]?)\b"
 
 
+#: Names of the part files of a folder that Spark or Hadoop wrote.
+PART_FILE = r"/part-(?:[mr]-)?\d{5}[^/]*$"
+
+
 def base_name(path: Column) -> Column:
     return F.regexp_extract(path, "[^/]+$", 0)
 
@@ -46,13 +50,17 @@ def base_name(path: Column) -> Column:
 def lines(spark: SparkSession, path: str | list[str], deep: bool = False) -> DataFrame:
     """``path, file, at, value`` of text files, gzip included.
 
-    ``at`` orders the lines of a file: the start of the split they were read in, then the place within it. Files are known
-    by their whole path, and no line moves: a large file stays in its splits. With ``deep`` folders below are read too.
+    ``at`` orders the lines of a file: the split they were read in, then the place within it. Files are known by their whole path, and no line
+    moves: a large file stays in its splits. The part files of a folder, as Spark writes them, are one file that has the folder's path, and follow each
+    other by name. With ``deep`` folders below are read too.
     """
+    found = F.col("_metadata.file_path")
+    whole = F.regexp_replace(found, PART_FILE, "")
+    block = F.struct(F.regexp_extract(found, PART_FILE, 0).alias("part"), F.col("_metadata.file_block_start").alias("start"))
     return spark.read.option("recursiveFileLookup", deep).text(path).select(
-        F.col("_metadata.file_path").alias("path"),
-        base_name(F.col("_metadata.file_path")).alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i")).alias("at"),
+        whole.alias("path"),
+        base_name(whole).alias("file"),
+        F.struct(block.alias("block"), F.monotonically_increasing_id().alias("i")).alias("at"),
         F.rtrim(F.regexp_replace("value", "^\\x{FEFF}|\\r$", "")).alias("value"),
     )
 
@@ -74,7 +82,8 @@ def _cut(sep: str = "\t") -> Column:
 
 def refuse_shared_names(df: DataFrame, ending: str = "") -> None:
     """Raise if two files of ``df`` have one name, which here names the sample. The list of files is the driver's own."""
-    names = Counter(re.sub(ending, "", f.rsplit("/", 1)[-1]) if ending else f.rsplit("/", 1)[-1] for f in df.inputFiles())
+    files = {re.sub(PART_FILE, "", f) for f in df.inputFiles()}
+    names = Counter(re.sub(ending, "", f.rsplit("/", 1)[-1]) if ending else f.rsplit("/", 1)[-1] for f in files)
     twice = sorted(n for n, k in names.items() if k > 1)
     if twice:
         raise ValueError(f"several files for one sample: {twice[:10]}")

@@ -28,15 +28,15 @@ def write_decimal_matrix(values: DataFrame, path: str, samples: list[str]) -> No
 def write_lines(df: DataFrame, path: str, order: list[str] | None = None, header: list[str] | None = None) -> None:
     """The ``value`` column as text: header lines first, then rows by ``order``.
 
-    One range sort over both, headers with the least keys, so the order holds across the part files.
+    One range sort over both, headers with the least keys, so the order holds across the part files. Without an ``order`` no row moves: the header is the first part file.
     """
     order = order or []
-    rows = df.select(F.lit(1).alias("__k"), F.lit(0).alias("__h"), *order, "value")
-    if header is not None:
-        top = df.sparkSession.createDataFrame(list(enumerate(header)), "__h int, value string").withColumn("__k", F.lit(0))
-        rows = rows.unionByName(top, allowMissingColumns=True)
-    if header is not None or order:
-        rows = rows.orderBy("__k", "__h", *order)
+    top = None if header is None else df.sparkSession.createDataFrame(list(enumerate(header)), "__h int, value string").withColumn("__k", F.lit(0))
+    if not order:
+        rows = df.select("value") if not header else top.coalesce(1).sortWithinPartitions("__h").select("value").union(df.select("value"))
+    else:
+        rows = df.select(F.lit(1).alias("__k"), F.lit(0).alias("__h"), *order, "value")
+        rows = (rows if top is None else rows.unionByName(top, allowMissingColumns=True)).orderBy("__k", "__h", *order)
     rows.select("value").write.mode("overwrite").text(path)
 
 

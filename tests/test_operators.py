@@ -638,6 +638,23 @@ def test_ranges_are_walked_once(spark):
     assert "currentrow$()" in plan and "currentrow$(), unboundedfollowing" not in plan
 
 
+# Files of several parts
+
+
+def test_part_files_are_one_file(spark, tmp_path):
+    rows = spark.range(0, 500, 1, 5).select(F.format_string("p%d\tm\t1\tPfam\tPF1\t%s", F.col("id") % 7, F.when(F.col("id") < 100, "-").otherwise(F.concat(F.lit("d"), "id"))).alias("value"))
+    path = str(tmp_path / "x.tsv")
+    writers.write_lines(rows, path, header=["# made"])
+    assert len(list((tmp_path / "x.tsv").glob("part-*"))) > 3  # no task writes them all
+    got = {x.line: x.value for x in readers.numbered_lines(spark, path).collect()}
+    assert got == {0: "# made"} | {i + 1: x.value for i, x in enumerate(rows.orderBy(F.monotonically_increasing_id()).collect())}
+    assert {(x.path.rsplit("/", 1)[1], x.file) for x in readers.lines(spark, path).collect()} == {("x.tsv", "x.tsv")}
+    assert {x.protein_id: x["product"] for x in readers.read_interpro(spark, path).collect()} == {f"p{i % 7}": f"d{i}" for i in range(100, 107)}
+    ordered = str(tmp_path / "y.tsv")
+    writers.write_lines(rows.select((-F.monotonically_increasing_id()).alias("o"), "value"), ordered, ["o"], ["# made"])
+    assert [got[i] for i in sorted(got, reverse=True) if i] == [x.value for x in readers.numbered_lines(spark, ordered).where("line > 0").orderBy("line").collect()]
+
+
 # Tiles and permutations
 
 
