@@ -5,7 +5,7 @@ from __future__ import annotations
 from urllib.parse import quote
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tails import f_upper, student_two_sided
@@ -163,21 +163,16 @@ def omnibus_test(fitted: DataFrame, x: np.ndarray, vectors: np.ndarray) -> DataF
 def benjamini_hochberg(df: DataFrame, by: list[str], p: str = "PValue", name: str = "FDR", order: str = "gene_id") -> DataFrame:
     """Adjusted p-values within each family; missing ones stay missing and do not count.
 
-    Ranks and the minimum from the largest down come from one sort each of the family.
+    No family lies in one task: ranks come from ranges of p-values, and each range takes the least of the later ones along. Missing p-values come first and weigh nothing.
     """
-    w = Window.partitionBy(*by, F.col(p).isNull())
-    n = F.count(p).over(w)
-    ranked = df.withColumn("__q", F.col(p) * n / F.row_number().over(w.orderBy(p, order)))
-    down = w.orderBy(F.desc(p), F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    adjusted = F.least(F.lit(1.0), F.min("__q").over(down))
-    return ranked.withColumn(name, F.when(F.col(p).isNotNull(), adjusted)).drop("__q")
+    ranked = placed(df, by, [p, order], F.col(p).isNotNull().cast("int")).withColumn("__q", F.col(p) * F.col("__total") / (F.col("__before") + 1))
+    adjusted = F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), "__least"))
+    return least_from_here(ranked, by, [p, order], "__q", "__least").withColumn(name, adjusted).select(*df.columns, name)
 
 
 def benjamini_hochberg_in_ranges(df: DataFrame, by: list[str], p: str = "PValue", name: str = "FDR", order: str = "gene_id") -> DataFrame:
-    """``benjamini_hochberg`` of families too large for a task: ranks come from ranges of p-values, and each range takes the least of the later ones along."""
-    ranked = placed(df.where(F.col(p).isNotNull()), by, [p, order]).withColumn("__q", F.col(p) * F.col("__total") / (F.col("__before") + 1))
-    found = least_from_here(ranked, by, [p, order], "__q", "__least").withColumn(name, F.least(F.lit(1.0), "__least")).select(*df.columns, name)
-    return found.unionByName(df.where(F.col(p).isNull()).withColumn(name, F.lit(None).cast("double")))
+    """``benjamini_hochberg``, which works in ranges."""
+    return benjamini_hochberg(df, by, p, name, order)
 
 
 def regulation(fdr: Column, lfc: Column, fdr_cut: float = 0.05, lfc_cut: float = 1.0) -> Column:
