@@ -106,20 +106,24 @@ def resolve_genes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def _chains(live: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Where the first parents of each id lead: rows that end, at an id with a gene or a dead one, and rows that go round for ever.
 
-    ``id, at, first, more, other, least, steps, kind, gene_id, depth``: ``first`` is the parent pointed to and ``more`` whether there are others; ``other`` is the last id of the chain with
-    other parents, ``least`` the least id on it, ``steps`` its length.
+    ``id, at, asked, more, other, steps, kind, gene_id, depth, first, least``: ``asked`` says that the id is a parent itself, so others look it up, ``more`` whether it has several
+    parents; ``other`` is the last id of the chain with other parents, ``steps`` its length. Rows that go on have the parent pointed to as ``first`` and the least id on the chain as ``least``.
     """
-    pointers = kept(live.groupBy("id").agg(F.min_by("parent", F.struct("ord", "parent")).alias("at"), (F.count_distinct("parent") > 1).alias("more")), "pointers")
+    parents = live.select(F.col("parent").alias("id")).distinct()
+    asked = kept(parents.join(live.select("id"), "id", "left_semi").withColumn("asked", F.lit(True)), "asked")
+    one = live.groupBy("id").agg(F.min_by("parent", F.struct("ord", "parent")).alias("at"), (F.min("parent") < F.max("parent")).alias("more"))
+    pointers = one.join(asked, "id", "left").withColumns({"other": F.when(F.col("more"), F.col("id")), "steps": F.lit(1).cast("bigint")})
     ends = known.select(F.col("id").alias("at"), F.lit("gene").alias("kind"), "gene_id", "depth")
-    ends = ends.unionByName(pointers.select(F.col("id").alias("at"), F.lit("open").alias("kind")), allowMissingColumns=True)
-    rows = pointers.withColumns({"first": F.col("at"), "other": F.when(F.col("more"), F.col("id")), "least": F.col("at"), "steps": F.lit(1).cast("bigint")})
-    rows = kept(rows.join(ends, "at", "left").withColumn("kind", F.coalesce("kind", F.lit("dead"))), "chains")
+    ends = ends.unionByName(asked.select(F.col("id").alias("at"), F.lit("open").alias("kind")), allowMissingColumns=True)
+    rows = pointers.join(ends, "at", "left").withColumn("kind", F.coalesce("kind", F.lit("dead")))
+    rows = kept(rows.withColumns({c: F.when(F.col("kind") == "open", F.col("at")) for c in ("first", "least")}), "chains")
     names, ended, going, before, span = rows.columns, rows.where("kind <> 'open'"), rows.where("kind = 'open'"), None, 1
     while (n := going.count()) and not (n == before and span >= n):
-        ahead = ended.unionByName(going).select(*[F.col(c).alias(f"__{c}") for c in ("id", "at", "other", "least", "steps", "kind", "gene_id", "depth")])
+        ahead = ended.unionByName(going).where("asked").select(*[F.col(c).alias(f"__{c}") for c in ("id", "at", "other", "least", "steps", "kind", "gene_id", "depth")])
         joined = going.drop("kind", "gene_id", "depth").join(ahead, F.col("at") == F.col("__id"))
+        open_ = F.col("__kind") == "open"
         rows = kept(joined.select(
-            "id", F.col("__at").alias("at"), "first", "more", F.coalesce("__other", "other").alias("other"), F.least("least", "__least").alias("least"),
+            "id", F.col("__at").alias("at"), "asked", "more", F.coalesce("__other", "other").alias("other"), F.when(open_, F.col("first")).alias("first"), F.when(open_, F.least("least", "__least")).alias("least"),
             (F.col("steps") + F.col("__steps")).alias("steps"), *[F.col(f"__{c}").alias(c) for c in ("kind", "gene_id", "depth")],
         ).select(*names), "chains")
         ended, going, before, span = ended.unionByName(rows.where("kind <> 'open'")), rows.where("kind = 'open'"), n, 2 * span

@@ -638,6 +638,16 @@ def test_ranges_are_walked_once(spark):
     assert "currentrow$()" in plan and "currentrow$(), unboundedfollowing" not in plan
 
 
+def test_only_parents_are_looked_up(spark):
+    """Leaves, mostly the bulk of all ids, are not sent to be looked up, and rows at their end carry no more of their way than is needed."""
+    live = spark.createDataFrame([("a", "g", 0), ("b", "a", 0), ("c", "b", 0), ("x", "y", 0), ("x", "z", 1)], "id string, parent string, ord int")
+    known = spark.createDataFrame([("g", "g", 0)], "id string, gene_id string, depth int")
+    ended, round_about = features._chains(live, known)
+    got = {x.id: (x.at, x.asked, x.more, x.steps, x.kind, x["first"], x.least) for x in ended.collect()}
+    assert got == {"a": ("g", True, False, 1, "gene", None, None), "b": ("g", True, False, 2, "gene", None, None), "c": ("g", None, False, 3, "gene", None, None), "x": ("y", None, True, 1, "dead", None, None)}
+    assert round_about.count() == 0
+
+
 # Files of several parts
 
 
