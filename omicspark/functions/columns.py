@@ -85,23 +85,22 @@ def cigar_ops(cigar: Column) -> Column:
     """CIGAR text as an array of ``struct(len, op)``."""
     return F.transform(
         F.regexp_extract_all(cigar, F.lit(r"(\d+[MIDNSHP=X])"), 1),
-        lambda x: F.struct(F.regexp_extract(x, r"\d+", 0).cast("int").alias("len"), F.right(x, F.lit(1)).alias("op")),
+        lambda x: F.struct(F.substring(x, F.lit(1), F.length(x) - 1).cast("int").alias("len"), F.substring(x, -1, 1).alias("op")),
     )
 
 
 def reference_steps(ops: Column, start: Column) -> Column:
-    """Operations with the reference position and the place in the read (``seq_at``, from 0) at which each begins."""
+    """Operations with the reference position and the place in the read (``seq_at``, from 0) at which each begins.
+
+    One fold that takes both along: ``ops`` stands once in the expression, so a CIGAR is parsed once and not again for every operation.
+    """
     moves = lambda o: F.when(o["op"].isin("M", "D", "N", "=", "X"), o["len"]).otherwise(0)
     reads = lambda o: F.when(o["op"].isin("M", "I", "S", "=", "X"), o["len"]).otherwise(0)
-    return F.transform(
-        ops,
-        lambda o, i: F.struct(
-            o["op"].alias("op"),
-            o["len"].alias("len"),
-            (start + F.aggregate(F.slice(ops, F.lit(1), i), F.lit(0).cast("long"), lambda acc, x: acc + moves(x))).alias("pos"),
-            F.aggregate(F.slice(ops, F.lit(1), i), F.lit(0), lambda acc, x: acc + reads(x)).alias("seq_at"),
-        ),
-    )
+    none = F.array().cast("array<struct<op:string,len:int,pos:bigint,seq_at:int>>")
+    begin = F.struct(start.cast("bigint").alias("pos"), F.lit(0).alias("seq_at"), none.alias("steps"))
+    step = lambda a, o: F.struct(o["op"].alias("op"), o["len"].alias("len"), a["pos"].alias("pos"), a["seq_at"].alias("seq_at"))
+    on = lambda a, o: F.struct((a["pos"] + moves(o)).alias("pos"), (a["seq_at"] + reads(o)).alias("seq_at"), F.concat(a["steps"], F.array(step(a, o))).alias("steps"))
+    return F.aggregate(ops, begin, on, lambda a: a["steps"])
 
 
 def flag_set(flag: Column, mask: int) -> Column:

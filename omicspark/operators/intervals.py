@@ -246,10 +246,12 @@ def _genes_throughout(aligned: DataFrame, genes: DataFrame, width: int, side: st
 def split_by_snps(reads: DataFrame, snps: DataFrame, width: int) -> DataFrame:
     """``read_id, route``: reads with a variant in one of their rows (whole reads or aligned blocks) are to be mapped again, the others kept."""
     spans = reads.select("read_id", "chrom", "start", "end")
+    if "seq_at" in reads.columns:
+        spans = kept(spans, "spans")  # aligned blocks: CIGARs are parsed once, not for the levels, the join and the ids
     points = snps.select("chrom", F.col("pos").alias("r_start"), F.col("pos").alias("r_end"))
-    hit = overlap_join(spans, points, ["chrom"], width).select("read_id").distinct().withColumn("hit", F.lit(True))
-    ids = reads.select("read_id").distinct()
-    return ids.join(hit, "read_id", "left").select("read_id", F.when(F.col("hit"), "to_remap").otherwise("keep").alias("route"))
+    hit = overlap_join(spans, points, ["chrom"], width).select("read_id", F.lit(True).alias("hit"))
+    told = spans.select("read_id", F.lit(False).alias("hit")).unionByName(hit).groupBy("read_id").agg(F.max("hit").alias("hit"))
+    return told.select("read_id", F.when(F.col("hit"), "to_remap").otherwise("keep").alias("route"))
 
 
 def swapped_reads(reads: DataFrame, snps: DataFrame, width: int) -> DataFrame:

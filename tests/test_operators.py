@@ -794,3 +794,29 @@ def test_designs_of_many_analyses(spark):
     cells = spark.createDataFrame([("k", "c1", 1.0, "t"), ("k", "c2", -1.0, "c"), ("l", "c1", 1.0, "none"), ("l", "c2", -1.0, "t")], "contrast_id string, cell_id string, weight double, treatment string")
     assert {(x.rule, x.key) for x in designs.contrast_support(df.where("a = 'few'"), cells, ["treatment"], "unit").collect()} == {("few_units", "k|c1"), ("few_units", "k|c2"), ("empty_cell", "l|c1"), ("few_units", "l|c2")}
     assert {(x.rule, x.key) for x in designs.contrast_support(df.where("a = 'pairs'"), cells, ["treatment"], "unit", "subject").collect()} == {("empty_cell", "l|c1"), ("few_subjects", "l")}
+
+
+# Work that is done once
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_cigar_is_parsed_once(spark, monkeypatch):
+    reads = spark.createDataFrame(
+        [("r1", "c", 20, 9, "3S4M2D3M5N2I6M", "A" * 18), ("r2", "c", 20, 0, "*", ""), ("r3", "c", 20, 4, None, ""), ("r4", "c", 20, 99, "5=x2X", "A" * 7)],
+        "read_id string, chrom string, mapq int, pos0 int, cigar string, seq string",
+    )
+    blocks = intervals.aligned_blocks(reads.repartition(2))  # a local table would be computed by the optimizer
+    assert plan_of(blocks).count("regexp_extract_all(") == 1
+    got = sorted((x.read_id, x.start, x.end, x.seq_at) for x in blocks.collect())
+    assert got == [("r1", 10, 13, 4), ("r1", 16, 18, 8), ("r1", 24, 29, 13), ("r4", 100, 104, 1), ("r4", 105, 106, 6)]
+    seen = []
+    join = intervals.overlap_join
+    monkeypatch.setattr(intervals, "overlap_join", lambda left, *a, **b: seen.append(plan_of(left)) or join(left, *a, **b))
+    snps = spark.createDataFrame([("c", 17), ("c", 50)], "chrom string, pos int")
+    routes = intervals.split_by_snps(blocks, snps, 500)
+    assert {x.read_id: x.route for x in routes.collect()} == {"r1": "to_remap", "r4": "keep"}
+    assert "regexp_extract_all(" not in seen[0] and "regexp_extract_all(" not in plan_of(routes)
+
