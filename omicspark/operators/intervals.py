@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from ..sources.scratch import kept
 #: Bins of a level are as wide as this many of the level below; the widest of the last level hold any coordinate.
 FACTOR, LEVELS = 8, 18
 
+#: A block's bounds on either side, and whether it is turned round.
+SPAN = ["chrom", "start", "end", "b_chrom", "b_start", "b_end", "inverted"]
+
 
 def _level(start: Column, end: Column, width: int) -> Column:
     """The first level whose bins are at least as wide as the interval, so it lies in one bin or two."""
@@ -120,8 +124,28 @@ def pair_by_position(ha: DataFrame, hb: DataFrame, inverted: DataFrame) -> DataF
     return a.join(b, ["block_id", "rank"]).where("n_a = n_b").select("block_id", "rank", "ha_gene_id", "hb_gene_id")
 
 
+def pairs_of_spans(a_genes: DataFrame, b_genes: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
+    """``pair_by_position`` for each different place of blocks: ``chrom, start, end, b_chrom, b_start, b_end, inverted, rank, ha_gene_id, hb_gene_id``.
+
+    ``blocks`` has these seven columns, the block's bounds on either side. Blocks of the same bounds have the same pairs, so genes are looked up and ranked once for all of them. The
+    result is written, and joined to blocks by their bounds it gives the pairs of each.
+    """
+    spans = kept(blocks.select(*SPAN).distinct().withColumn("block_id", F.monotonically_increasing_id()), "spans")
+    ha = genes_in_blocks(a_genes, spans, width)
+    hb = genes_in_blocks(b_genes, spans.select("block_id", F.col("b_chrom").alias("chrom"), F.col("b_start").alias("start"), F.col("b_end").alias("end")), width)
+    pairs = pair_by_position(ha, hb, spans.select("block_id", "inverted"))
+    return kept(spans.join(pairs, "block_id").drop("block_id"), "pairs")
+
+
+def pairs_of_blocks(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``block_id, rank, ha_gene_id, hb_gene_id`` of each row of ``blocks(block_id, ...)``, with ``pairs`` of ``pairs_of_spans``; ids are of one row each."""
+    there = pairs.select(*[F.col(c).alias(f"__{c}") for c in SPAN], "rank", "ha_gene_id", "hb_gene_id")
+    on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in SPAN])
+    return blocks.where("block_id IS NOT NULL").join(there, on).select("block_id", "rank", "ha_gene_id", "hb_gene_id")
+
+
 def allele_table(pairs: DataFrame, ha_genes: DataFrame, hb_genes: DataFrame) -> DataFrame:
-    """Pairs, then the unpaired genes of either side with the other side blank."""
+    """Pairs, then the unpaired genes of either side with the other side blank. ``pairs`` is read three times: give a written table (``kept``)."""
     a = ha_genes.select(F.col("gene_id").alias("ha_gene_id")).join(pairs, "ha_gene_id", "left_anti")
     b = hb_genes.select(F.col("gene_id").alias("hb_gene_id")).join(pairs, "hb_gene_id", "left_anti")
     both = pairs.select("ha_gene_id", "hb_gene_id")

@@ -451,16 +451,15 @@ PAIR_SQL = """+ a AS (SELECT block_id, gene_id AS ha_gene_id, row_number() OVER
       FROM blocks b JOIN genes g ON g.chrom = (b.chrom + 1) % 7 AND g."start" >= b."start" AND g."end" <= b."end")"""
 
 
-def _pairs_in_blocks(t):
-    b = t.blocks()
-    ha = intervals.genes_in_blocks(t.genes(), b, 5000)
-    hb = intervals.genes_in_blocks(t.genes(), b.withColumn("chrom", (F.col("chrom") + 1) % 7), 5000)
-    return intervals.pair_by_position(ha, hb, b.select("block_id", "inverted"))
+def _two_sided(t):
+    """Blocks with their bounds on the second side too: the next chromosome, the same places."""
+    return t.blocks().select("*", ((F.col("chrom") + 1) % 7).alias("b_chrom"), F.col("start").alias("b_start"), F.col("end").alias("b_end"))
 
 
 @query("block_pairing", PAIR_SQL + " SELECT block_id, rank, ha_gene_id, hb_gene_id FROM a JOIN c USING (block_id, rank) WHERE a.n = c.n", "blocks", "genes")
 def _(t):
-    return _pairs_in_blocks(t).withColumn("rank", F.col("rank").cast("bigint"))
+    pairs = intervals.pairs_of_spans(t.genes(), t.genes(), _two_sided(t), 5000)
+    return intervals.pairs_of_blocks(pairs, _two_sided(t)).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query(
@@ -471,7 +470,7 @@ def _(t):
     "blocks", "genes",
 )
 def _(t):
-    p = _pairs_in_blocks(t).select("ha_gene_id", "hb_gene_id").distinct()
+    p = kept(intervals.pairs_of_spans(t.genes(), t.genes(), _two_sided(t), 5000).select("ha_gene_id", "hb_gene_id").distinct(), "paired")
     return intervals.allele_table(p, t.genes().where("chrom < 3"), t.genes().where("chrom >= 3"))
 
 

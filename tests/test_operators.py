@@ -820,3 +820,14 @@ def test_a_cigar_is_parsed_once(spark, monkeypatch):
     assert {x.read_id: x.route for x in routes.collect()} == {"r1": "to_remap", "r4": "keep"}
     assert "regexp_extract_all(" not in seen[0] and "regexp_extract_all(" not in plan_of(routes)
 
+
+def test_blocks_of_one_place_are_paired_once(spark):
+    genes = spark.createDataFrame([(f"g{i}", "c", 100 * i, 100 * i + 50) for i in range(20)] + [(f"h{i}", "d", 100 * i, 100 * i + 60) for i in range(20)], "gene_id string, chrom string, start int, end int")
+    rows = [(i, "c", 100 * (i % 3), 100 * (i % 3) + 470, "d", 200, 680, i % 2 == 0) for i in range(60)] + [(60, "c", 0, 470, "d", 0, 900, False), (61, None, 0, 470, "d", 0, 470, False), (62, "c", 0, 470, "d", 200, 680, None)]
+    blocks = spark.createDataFrame(rows, "block_id int, chrom string, start int, end int, b_chrom string, b_start int, b_end int, inverted boolean")
+    pairs = intervals.pairs_of_spans(genes, genes, blocks, 300)
+    assert pairs.count() == 6 * 5 + 5  # six places, and that of the block without a direction, not 61 blocks
+    other = blocks.select("block_id", F.col("b_chrom").alias("chrom"), F.col("b_start").alias("start"), F.col("b_end").alias("end"))
+    want = intervals.pair_by_position(intervals.genes_in_blocks(genes, blocks, 300), intervals.genes_in_blocks(genes, other, 300), blocks.select("block_id", "inverted"))
+    got = sorted(map(tuple, intervals.pairs_of_blocks(pairs, blocks).collect()))
+    assert got == sorted(map(tuple, want.collect())) and len(got) == 61 * 5
