@@ -84,62 +84,127 @@ def preranked(tests: DataFrame, statistic: str = "statistic") -> DataFrame:
     return tests.select("gene_id", (F.signum("logFC") * F.sqrt(F.abs(F.col(statistic)))).alias("score")).where("score IS NOT NULL")
 
 
-#: Genes whose ordered scores go to every task of the permutations, 8 bytes each.
-MOST_RANKED = 2_000_000
+#: Ranks in a range, and tries together, that one row of the permutations' table stands for.
+RANGE, TRIES = 1 << 18, 25
+
+
+def _width(n: int) -> int:
+    """Bits of one half of the index in the Feistel network over ``n``."""
+    return max(1, ((max(n, 2) - 1).bit_length() + 1) // 2)
+
+
+def _mixed(x: np.ndarray, key: int, turn: int) -> np.ndarray:
+    x = (x + np.uint64((key * 6 + turn) % 2**61)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x >> np.uint64(31)
 
 
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     """The places of ``index`` under a pseudorandom permutation of ``n``, without a table: a Feistel network that is walked until it falls below ``n``."""
-    half = max(1, ((max(n, 2) - 1).bit_length() + 1) // 2)
+    half = _width(n)
     mask, out = np.uint64((1 << half) - 1), np.asarray(index, np.uint64)
-    todo = np.ones(len(out), bool)
-    while todo.any():
+    todo = np.arange(len(out))
+    while len(todo):
         left, right = out[todo] >> np.uint64(half), out[todo] & mask
         for turn in range(6):
-            x = (right + np.uint64((key * 6 + turn) % 2**61)) * np.uint64(0x9E3779B97F4A7C15)
-            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            left, right = right, left ^ ((x >> np.uint64(31)) & mask)
+            left, right = right, left ^ (_mixed(right, key, turn) & mask)
         out[todo] = (left << np.uint64(half)) | right
-        todo = out >= n
+        todo = todo[out[todo] >= n]
     return out.astype(np.int64)
 
 
-def extreme_of(ranks: np.ndarray, weights: np.ndarray) -> float | None:
-    """Extreme of the running sum whose hits are at ``ranks`` (ascending, from 0) of genes with ``weights``; None if nothing can step up or down."""
-    own, n, k = weights[ranks], len(weights), len(ranks)
-    mass = own.sum()
-    if mass <= 0 or k >= n:
-        return None
-    after = np.cumsum(own) / mass - (ranks - np.arange(k)) / (n - k)
-    high, low = after.max(), (after - own / mass).min()
-    return float(high if high >= -low else low)
+def index_of(place: np.ndarray, n: int, key: int) -> np.ndarray:
+    """The inverse of ``permuted``: what stands at each ``place``. The network is walked backwards."""
+    half = _width(n)
+    mask, out = np.uint64((1 << half) - 1), np.array(place, np.uint64)
+    todo = np.arange(len(out))
+    while len(todo):
+        left, right = out[todo] >> np.uint64(half), out[todo] & mask
+        for turn in reversed(range(6)):
+            left, right = right ^ (_mixed(left, key, turn) & mask), left
+        out[todo] = (left << np.uint64(half)) | right
+        todo = todo[out[todo] >= n]
+    return out.astype(np.int64)
+
+
+def _hits_by_size(weights: np.ndarray, first: int, sizes: np.ndarray, n: int, key: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per size, from the largest: the ranks (from 0) of the hits in the range of ``weights`` that begins at ``first``, and their weights.
+
+    A set of k genes hits the places of the indices below k, so a smaller one's hits are among those of a larger.
+    """
+    index = index_of(np.arange(first, first + len(weights)), n, key)
+    at = np.arange(len(weights))
+    for k in sizes[::-1]:
+        below = index < k
+        index, at = index[below], at[below]
+        yield int(k), at + first, weights[at]
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+    """Rows of ``range, ws, batch, sizes, ...``, one at a time, with arrays of numbers as such."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {name: batch.column(name)[i] for name in batch.schema.names}
+            more = [row["known"].as_py()] if "known" in row else []
+            yield [row["range"].as_py(), row["ws"].values.to_numpy(zero_copy_only=False), row["batch"].as_py(), row["sizes"].values.to_numpy(zero_copy_only=False), *more]
+
+
+def _tasks(n: int, permutations: int) -> int:
+    """A task per range of ranks and batch of tries, up to a thousand: few rows of much work, which adaptive execution would put in one task."""
+    return min(1000, (n // RANGE + 1) * (max(permutations - 1, 0) // TRIES + 1))
 
 
 def permutation_significance(ranked: DataFrame, sets: DataFrame, permutations: int = 1000, seed: int = 1) -> DataFrame:
     """``running_score`` with its significance: ``set_id, es, n_hits, nes, PValue``.
 
-    Null scores depend on a set's size alone: for each size in use and each of the ``permutations`` a seeded index permutation, without a table, gives the ranks of the
-    hits, in tasks. Of the null scores on the same side as ``es``, with ``es`` itself, ``PValue`` is the share that is as extreme, ``nes`` is ``es`` over the mean of their sizes. Null scores are
-    kept as one array per size, ``permutations`` long, and can be merged. The ordered absolute scores, of ``MOST_RANKED`` genes at most, go to every task.
+    Null scores depend on a set's size alone: for each size in use and each of the ``permutations`` a seeded index permutation, without a table, says which ranks are
+    hits. Ranks are dealt to ranges, and a range asks the inverse permutation what stands at its ranks; a first pass gives the number and the weight of the hits in each range, a second, which
+    knows what lies before a range, the extremes of the sum. No task and no driver has the scores of all genes. Of the null scores on the same side as ``es``, with ``es`` itself, ``PValue`` is the
+    share that is as extreme, ``nes`` is ``es`` over the mean of their sizes. Null scores are kept as one array per size, ``permutations`` long, and can be merged.
     """
     ranks = kept(global_rank(ranked), "ranks")
     n = ranks.count()
-    if n > MOST_RANKED:
-        raise ValueError(f"more than {MOST_RANKED} ranked genes")
-    table = ranks.select("rank", F.abs("score").cast("double").alias("w")).toArrow()
-    weights = np.zeros(n)
-    weights[table["rank"].to_numpy() - 1] = table["w"].to_numpy()
     scores = kept(running_score(ranked, sets), "scores")
-    sizes = scores.select(F.col("n_hits").cast("bigint").alias("n_hits")).distinct()
-    tries = sizes.select("n_hits", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("b")).repartition("n_hits", "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            k, b = (batch.column(c).to_pylist() for c in (0, 1))
-            got = [extreme_of(np.sort(permuted(np.arange(size), n, seed * 1_000_003 + t)), weights) for size, t in zip(k, b, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())], names=["n_hits", "by_chance"])
-
-    nulls = tries.mapInArrow(run, "n_hits bigint, by_chance double").where("by_chance IS NOT NULL").groupBy("n_hits").agg(F.sort_array(F.collect_list("by_chance")).alias("nulls"))
+    used = scores.agg(F.array_sort(F.collect_set(F.col("n_hits").cast("bigint"))).alias("sizes"))
+    cells = ranks.groupBy(F.floor((F.col("rank") - 1) / RANGE).alias("range")).agg(F.array_sort(F.collect_list(F.struct("rank", F.abs("score").cast("double").alias("w")))).alias("ws"))
+    batches = F.sequence(F.lit(0), F.lit(max(permutations - 1, 0) // TRIES))
+    rows = cells.select("range", F.col("ws.w").alias("ws"), F.explode(batches).alias("batch")).crossJoin(F.broadcast(used))
+    dealt = kept(rows.repartition(_tasks(n, permutations), "range", "batch"), "cells")
+
+    def tries(batch: int) -> range:
+        return range(batch * TRIES, min(permutations, (batch + 1) * TRIES))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first, ws, batch, sizes in _cells(batches):
+            for b in tries(batch):
+                got = [(k, len(at), float(own.sum())) for k, at, own in _hits_by_size(ws, first * RANGE, sizes, n, seed * 1_000_003 + b)]
+                if got:
+                    yield pa.RecordBatch.from_pylist([{"range": first, "batch": batch, "b": b, "k": k, "c": c, "m": m} for k, c, m in got])
+
+    found = kept(dealt.mapInArrow(sums, "range bigint, batch bigint, b bigint, k bigint, c bigint, m double"), "sums")
+    w = Window.partitionBy("b", "k")
+    ahead = w.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    known = found.select("range", "batch", "b", "k", F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("c"), F.coalesce(F.sum("m").over(ahead), F.lit(0.0)).alias("m"), F.sum("m").over(w).alias("mass"))
+    told = known.groupBy("range", "batch").agg(F.array_sort(F.collect_list(F.struct("b", "k", "c", "m", "mass"))).alias("known"))
+
+    def extremes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first, ws, batch, sizes, known in _cells(batches):
+            before = {(x["b"], x["k"]): (x["c"], x["m"], x["mass"]) for x in known}
+            for b in tries(batch):
+                got = []
+                for k, at, own in _hits_by_size(ws, first * RANGE, sizes, n, seed * 1_000_003 + b):
+                    count, mass, total = before[b, k]
+                    if not len(at) or total <= 0 or k >= n:
+                        continue
+                    after = (mass + np.cumsum(own)) / total - (at - count - np.arange(len(at))) / (n - k)
+                    got.append({"b": b, "n_hits": k, "high": float(after.max()), "low": float((after - own / total).min())})
+                if got:
+                    yield pa.RecordBatch.from_pylist(got)
+
+    ends = dealt.join(told, ["range", "batch"]).repartition(_tasks(n, permutations), "range", "batch").select("range", "ws", "batch", "sizes", "known")
+    ends = ends.mapInArrow(extremes, "b bigint, n_hits bigint, high double, low double")
+    null = F.when(F.max("high") >= -F.min("low"), F.max("high")).otherwise(F.min("low"))
+    nulls = ends.groupBy("n_hits", "b").agg(null.alias("by_chance")).groupBy("n_hits").agg(F.sort_array(F.collect_list("by_chance")).alias("nulls"))
     told = scores.join(nulls, "n_hits", "left").withColumn("side", F.filter("nulls", lambda x: (x >= 0) == (F.col("es") >= 0)))
     extreme = F.size(F.filter("side", lambda x: F.abs(x) >= F.abs(F.col("es"))))
     mean = F.aggregate("side", F.lit(0.0), lambda s, x: s + F.abs(x)) / F.size("side")

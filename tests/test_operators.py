@@ -831,3 +831,23 @@ def test_blocks_of_one_place_are_paired_once(spark):
     want = intervals.pair_by_position(intervals.genes_in_blocks(genes, blocks, 300), intervals.genes_in_blocks(genes, other, 300), blocks.select("block_id", "inverted"))
     got = sorted(map(tuple, intervals.pairs_of_blocks(pairs, blocks).collect()))
     assert got == sorted(map(tuple, want.collect())) and len(got) == 61 * 5
+
+
+def test_permutations_by_ranges_of_ranks(spark, monkeypatch):
+    for n in (1, 2, 3, 10, 1000):
+        assert all((enrichment.index_of(enrichment.permuted(np.arange(n), n, key), n, key) == np.arange(n)).all() for key in range(4))
+    r = random.Random(31)
+    ranked = spark.createDataFrame([(i, r.gauss(0, 1)) for i in range(300)], "gene_id int, score double")
+    members = spark.createDataFrame([(g, s) for s, k in (("a", 5), ("b", 40), ("c", 41), ("all", 300)) for g in r.sample(range(300), k)], "gene_id int, set_id string")
+
+    def told():
+        return {x.set_id: (x.es, x.n_hits, x.nes, x.PValue) for x in enrichment.permutation_significance(ranked, members, 60, seed=5).collect()}
+
+    want = told()
+    monkeypatch.setattr(enrichment, "RANGE", 37)
+    monkeypatch.setattr(enrichment, "TRIES", 7)
+    got = told()
+    assert set(got) == {"a", "b", "c"} and all(got[k] == pytest.approx(want[k]) for k in want)
+    monkeypatch.setattr(enrichment, "MOST_RANKED", 100, raising=False)  # there was a limit that raised
+    assert told() == got
+    assert enrichment._tasks(300, 60) == 9 * 9  # work of few rows is not put in one task
