@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
+
 
 def library_sizes(counts: DataFrame) -> DataFrame:
     return counts.groupBy("sample_id").agg(F.sum("n").alias("library"))
@@ -64,8 +66,8 @@ def tmm_factors(counts: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05) ->
     order = lambda c: F.row_number().over(w.orderBy(F.round(c, 10), "gene_id"))
     ranked = ma.select("*", order(F.col("m")).alias("rm"), order(F.col("a")).alias("ra"), F.count(F.lit(1)).over(w).alias("g"))
     keep = lambda r, t: (r > F.floor(F.col("g") * t)) & (r <= F.col("g") - F.floor(F.col("g") * t))
-    kept = ranked.where(keep(F.col("rm"), trim_m) & keep(F.col("ra"), trim_a))
-    raw = kept.groupBy("sample_id").agg(F.pow(F.lit(2.0), F.sum(F.col("w") * F.col("m")) / F.sum("w")).alias("raw"))
+    trimmed = ranked.where(keep(F.col("rm"), trim_m) & keep(F.col("ra"), trim_a))
+    raw = trimmed.groupBy("sample_id").agg(F.pow(F.lit(2.0), F.sum(F.col("w") * F.col("m")) / F.sum("w")).alias("raw"))
     found = {r["sample_id"]: r["raw"] for r in raw.collect()}
     centre = math.exp(math.fsum(math.log(found.get(s, 1.0)) for s in quart) / len(quart))
     one = counts.sparkSession.createDataFrame([(s, n, found.get(s, 1.0) / centre) for s, (_, n) in quart.items()], libraries.withColumn("tmm_factor", F.lit(1.0)).schema)
@@ -91,10 +93,11 @@ def gene_lengths(quant: DataFrame, gene_map: DataFrame) -> DataFrame:
 def length_offsets(lengths: DataFrame) -> DataFrame:
     """log offsets of ``lengths(sample_id, gene_id, length, n)``: relative length times effective library.
 
-    Lengths are divided by the gene's geometric mean, counts by these, TMM runs on the result.
+    Lengths are divided by the gene's geometric mean, counts by these, TMM runs on the result. Relative lengths are written, as TMM reads
+    its counts in several jobs, each of which would sort all genes anew.
     """
     w = Window.partitionBy("gene_id")
-    rel = lengths.withColumn("rel", F.col("length") / F.exp(F.avg(F.log("length")).over(w)))
+    rel = kept(lengths.select("sample_id", "gene_id", "n", (F.col("length") / F.exp(F.avg(F.log("length")).over(w))).alias("rel")), "relative")
     factors = tmm_factors(rel.select("sample_id", "gene_id", (F.col("n") / F.col("rel")).alias("n")))
     return rel.join(factors, "sample_id").select("sample_id", "gene_id", F.log(F.col("rel") * F.col("library") * F.col("tmm_factor")).alias("offset"))
 

@@ -851,3 +851,17 @@ def test_permutations_by_ranges_of_ranks(spark, monkeypatch):
     monkeypatch.setattr(enrichment, "MOST_RANKED", 100, raising=False)  # there was a limit that raised
     assert told() == got
     assert enrichment._tasks(300, 60) == 9 * 9  # work of few rows is not put in one task
+
+
+def test_length_offsets_sort_genes_once(spark, monkeypatch):
+    r = random.Random(7)
+    rows = [(f"S{s}", f"g{g}", r.uniform(500, 3000), r.randint(0, 50)) for s in range(3) for g in range(40)]
+    lengths = spark.createDataFrame(rows, "sample_id string, gene_id string, length double, n int")
+    seen = []
+    tmm = normalize.tmm_factors
+    monkeypatch.setattr(normalize, "tmm_factors", lambda counts: seen.append(plan_of(counts)) or tmm(counts))
+    got = {(x.sample_id, x.gene_id): x.offset for x in normalize.length_offsets(lengths).collect()}
+    assert "Window" not in seen[0] and len(got) == 120
+    mean = {f"g{g}": math.fsum(math.log(x[2]) for x in rows if x[1] == f"g{g}") / 3 for g in range(40)}
+    base = {s: got[s, "g0"] - math.log(next(x[2] for x in rows if x[:2] == (s, "g0"))) + mean["g0"] for s in ("S0", "S1", "S2")}
+    assert all(got[s, g] == pytest.approx(math.log(length) - mean[g] + base[s]) for s, g, length, _ in rows)
