@@ -105,18 +105,10 @@ def shared_ids(ids: DataFrame) -> DataFrame:
 def genome_chunks(lines: DataFrame, chunk_bp: int) -> DataFrame:
     """``path, chrom, chunk_no, chunk``: the genome of ``fasta_lines`` in chunks for lookups by position.
 
-    Chunk k starts at k * ``chunk_bp`` and runs one base over, so two bases next to each other stand in one chunk. A line's place in its contig is what
-    lies before it in its split and, one row per contig and split, in the splits before; lines may be of any width, also a contig in one. Pieces of
-    a chunk meet by its number.
+    Chunk k starts at k * ``chunk_bp`` and runs one base over, so two bases next to each other stand in one chunk. Lines know their place in their contig (``start``) and
+    may be of any width, also a contig in one. Pieces of a chunk meet by its number.
     """
-    place = ["path", "record", "block"]
-    rows = lines.withColumn("block", F.col("at.block")).withColumn("bp", F.length("chunk").cast("bigint"))
-    upto = Window.unboundedPreceding, -1
-    splits = rows.groupBy(*place).agg(F.sum("bp").alias("bp"))
-    before = F.coalesce(F.sum("bp").over(Window.partitionBy("path", "record").orderBy("block").rowsBetween(*upto)), F.lit(0))
-    splits = splits.select("path", "record", "block", before.alias("__before"))
-    within = F.coalesce(F.sum("bp").over(Window.partitionBy(*place).orderBy("at.i").rowsBetween(*upto)), F.lit(0))
-    placed = rows.withColumn("__within", within).join(splits, place).withColumn("start", F.col("__before") + F.col("__within"))
+    placed = lines.withColumn("bp", F.length("chunk").cast("bigint"))
     first, last = F.greatest(F.floor((F.col("start") - 1) / chunk_bp), F.lit(0)), F.floor((F.col("start") + F.col("bp") - 1) / chunk_bp)
     cut = placed.where("bp > 0").select("path", "record", "seq_id", "start", "bp", F.encode("chunk", "utf-8").alias("line"), F.explode(F.sequence(first, last)).alias("chunk_no"))
     begin = F.greatest(F.col("start"), F.col("chunk_no") * chunk_bp)
@@ -140,7 +132,7 @@ def splice_evidence(alignments: DataFrame, chunks: DataFrame, chunk_bp: int) ->
         F.explode(F.array(F.struct(F.lit("d").alias("side"), F.col("o.pos").alias("at")), F.struct(F.lit("a").alias("side"), (F.col("o.pos") + F.col("o.len") - 2).alias("at")))).alias("e"),
     ).withColumn("chunk_no", F.floor(F.col("e.at") / chunk_bp))
     two = F.upper(F.substring("chunk", (F.col("e.at") - F.col("chunk_no") * chunk_bp + 1).cast("int"), F.lit(2)))
-    looked = ends.join(chunks, ["chrom", "chunk_no"]).withColumn("two", two)
+    looked = ends.join(chunks, ["chrom", "chunk_no"]).withColumn("two", two).repartition("sample_id", "read_id")  # one exchange for both aggregates
     motif = looked.groupBy("sample_id", "read_id", "reverse", "intron").agg(
         F.concat_ws("-", F.max(F.when(F.col("e.side") == "d", F.col("two"))), F.max(F.when(F.col("e.side") == "a", F.col("two")))).alias("motif")
     )

@@ -8,7 +8,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -204,22 +206,83 @@ def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return df.where("trim(r) <> ''").select("path", "file", "ord", F.regexp_extract(head, r"^(\S+)", 1).alias("seq_id"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("descr"), body.alias("sequence"))
 
 
+def _told_in_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """FASTA ``path, at, value`` in the order of their splits, with ``own``, the number of the header line above in the split and ``head``, its text (null before the first), and
+    ``before``, the bases between that header, or the beginning of the split, and the line. A batch takes from the one before only its last line's state.
+    """
+    place, own, head, sum_before = None, None, None, 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        path, at, value = batch.columns
+        block, number = at.flatten()
+        part, start = block.flatten()
+        is_head = pc.starts_with(value, ">").to_numpy(zero_copy_only=False)
+        bases = np.where(is_head, 0, pc.utf8_length(pc.utf8_trim(value, " ")).to_numpy(zero_copy_only=False)).astype(np.int64)
+        fresh = np.zeros(n, bool)  # the first line of a split
+        fresh[0] = (path[0].as_py(), part[0].as_py(), start[0].as_py()) != place
+        for c in (path, part, start):
+            fresh[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        at_row = np.arange(n)
+        begin = np.maximum.accumulate(np.where(is_head | fresh, at_row, -1))  # the header or first line of a split that a line follows
+        upto = np.cumsum(bases) - bases
+        before = upto - np.where(begin >= 0, upto[begin], -sum_before)
+        above = np.where(begin >= 0, np.where(is_head[begin], begin, -1), -2)  # a header's row, no header yet, or what the batch before left
+        row = pa.array(above, mask=above < 0)
+        owns, heads = pc.take(number, row), pc.take(value, row)
+        if above[0] == -2 and own is not None:
+            carried = pa.array(above == -2)
+            owns, heads = pc.if_else(carried, pa.scalar(own, owns.type), owns), pc.if_else(carried, pa.scalar(head, heads.type), heads)
+        place = path[n - 1].as_py(), part[n - 1].as_py(), start[n - 1].as_py()
+        own, head, sum_before = owns[n - 1].as_py(), heads[n - 1].as_py(), int(before[-1] + bases[-1])
+        yield pa.RecordBatch.from_arrays([path, at, value, owns, heads, pa.array(before)], names=["path", "at", "value", "own", "head", "before"])
+
+
+def _ends_of_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last lines of splits, and of batches, of what ``_told_in_split`` tells, with the bases up to and with each."""
+    for told in _told_in_split(batches):
+        path, at, value, owns, heads, before = told.columns
+        block, number = at.flatten()
+        last = np.ones(told.num_rows, bool)
+        for c in (path, *block.flatten()):
+            last[:-1] &= pc.equal(c.slice(1), c.slice(0, told.num_rows - 1)).to_numpy(zero_copy_only=False)
+        last[:-1] = ~last[:-1]
+        pick = pa.array(np.flatnonzero(last))
+        bases = pc.if_else(pc.starts_with(value, ">"), 0, pc.utf8_length(pc.utf8_trim(value, " ")))
+        upto = pc.add(before, pc.cast(bases, pa.int64()))
+        yield pa.RecordBatch.from_arrays([pc.take(c, pick) for c in (path, block, number, owns, heads, upto)], names=["path", "block", "i", "own", "head", "tail"])
+
+
 def fasta_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``path, file, record, seq_id, at, chunk``: sequence lines with the record they belong to, so that no contig stands in one row.
+    """``path, file, record, seq_id, at, chunk, start``: sequence lines with the record they belong to, so that no contig stands in one row.
 
-    A line belongs to the last header before it in its split, or else to the last one of the splits before (one row per split).
+    A line belongs to the last header before it in its split, or else to the last one of the splits before. ``start`` is the number of bases of the same record before the line. Both
+    are told where a split is read, from line to line, and one row per split says how it ends, so no line moves.
     """
-    rows = lines(spark, path)
-    head = F.when(F.col("value").startswith(">"), F.struct("at", "value"))
-    rows = rows.withColumn("__head", head)
-    block = Window.partitionBy("path", "at.block").orderBy("at.i").rowsBetween(Window.unboundedPreceding, 0)
-    marked = rows.withColumn("__own", F.last("__head", ignorenulls=True).over(block))
-    splits = rows.groupBy(F.col("path").alias("__path"), F.col("at.block").alias("__block")).agg(F.max("__head").alias("__end"))
-    earlier = Window.partitionBy("__path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("__path", "__block", F.last("__end", ignorenulls=True).over(earlier).alias("__carried"))
-    joined = marked.where("__head IS NULL AND value <> ''").join(splits, (F.col("path") == F.col("__path")) & (F.col("at.block") == F.col("__block")))
-    owner = F.coalesce("__own", "__carried")
-    return joined.select("path", "file", owner["at"].alias("record"), F.regexp_extract(owner["value"], r"^>\s*(\S*)", 1).alias("seq_id"), "at", F.trim("value").alias("chunk")).where("record IS NOT NULL")
+    rows = lines(spark, path).select("path", "at", "value")
+    at = rows.schema["at"].dataType
+    ends = rows.mapInArrow(_ends_of_splits, f"path string, block {at['block'].dataType.simpleString()}, i bigint, own bigint, head string, tail bigint")
+    splits = ends.groupBy("path", "block").agg(F.max_by(F.struct("own", "head", "tail"), "i").alias("e")).select(F.col("path").alias("__path"), F.col("block").alias("__block"), "e.*")
+    order = Window.partitionBy("__path").orderBy("__block")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    header = F.struct(F.struct(F.col("__block").alias("block"), F.col("own").alias("i")).alias("at"), F.col("head").alias("value"))
+    splits = splits.withColumn("__all", F.coalesce(F.sum("tail").over(earlier), F.lit(0)))
+    begun = F.col("own").isNotNull()
+    splits = splits.select(
+        "__path", "__block", F.last(F.when(begun, header), ignorenulls=True).over(earlier).alias("__carried"),
+        (F.col("__all") - F.last(F.when(begun, F.col("__all")), ignorenulls=True).over(earlier)).alias("__start"),
+    )
+    marked = rows.mapInArrow(_told_in_split, f"path string, at {at.simpleString()}, value string, own bigint, head string, before bigint").where("NOT startswith(value, '>') AND value <> ''")
+    joined = marked.join(F.broadcast(splits), (F.col("path") == F.col("__path")) & (F.col("at.block") == F.col("__block")))
+    here = F.struct(F.struct(F.col("at.block").alias("block"), F.col("own").alias("i")).alias("at"), F.col("head").alias("value"))
+    own = F.col("own").isNotNull()
+    owner = F.when(own, here).otherwise(F.col("__carried"))
+    told = joined.select(
+        "path", base_name(F.col("path")).alias("file"), owner["at"].alias("record"), F.regexp_extract(F.when(own, F.col("head")).otherwise(F.col("__carried.value")), r"^>\s*(\S*)", 1).alias("seq_id"),
+        "at", F.trim("value").alias("chunk"), (F.col("before") + F.when(own, 0).otherwise(F.col("__start"))).alias("start"),
+    )
+    return told.where("record IS NOT NULL")
 
 
 def fasta_ids(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -865,3 +865,28 @@ def test_length_offsets_sort_genes_once(spark, monkeypatch):
     mean = {f"g{g}": math.fsum(math.log(x[2]) for x in rows if x[1] == f"g{g}") / 3 for g in range(40)}
     base = {s: got[s, "g0"] - math.log(next(x[2] for x in rows if x[:2] == (s, "g0"))) + mean["g0"] for s in ("S0", "S1", "S2")}
     assert all(got[s, g] == pytest.approx(math.log(length) - mean[g] + base[s]) for s, g, length, _ in rows)
+
+
+def test_fasta_lines_stay_in_their_splits(spark, tmp_path):
+    r = random.Random(17)
+    seqs = {f"k{i}": "".join(r.choices("ACGT", k=r.choice((0, 1, 30, 700)))) for i in range(60)}
+    text = "stray\n" + "".join(f">{k} x\n" + "".join(f" {s[i : i + 7]} \n\n" for i in range(0, len(s), 7)) for k, s in seqs.items())
+    (tmp_path / "g.fa").write_text(text)
+    before, batch = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for split, rows in (("128m", "10000"), ("900", "10000"), ("900", "3"), ("128m", "5")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            lines = readers.fasta_lines(spark, str(tmp_path / "g.fa"))
+            assert plan_of(lines).split("Window")[0].count("MapInArrow") == 1  # rows of splits alone are in windows
+            got = {}
+            for x in lines.orderBy("at").collect():
+                parts = got.setdefault(x.seq_id, [])
+                assert x.start == sum(map(len, parts))
+                parts.append(x.chunk)
+            assert {k: "".join(v) for k, v in got.items()} == {k: s for k, s in seqs.items() if s}
+            chunks = {(x.chrom, x.chunk_no): x.chunk for x in sequences.genome_chunks(lines, 50).collect()}
+            assert chunks == {(k, i): s[50 * i : 50 * i + 51] for k, s in seqs.items() for i in range((len(s) + 49) // 50)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
