@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -14,6 +14,12 @@ from ..sources.scratch import kept
 FEATURES = ("exon", "CDS", "cds", "transcript", "mRNA", "gene")
 ATTRIBUTES = ("gene_id", "gene", "ID", "Name", "locus_tag", "Parent")
 
+#: So few edges are followed with their leaves. A parent of more than one in so many edges is common. Words of a segment, and bits at most (64 MB), of the set of parents that goes to every task.
+FEW = 100_000
+COMMON = 1000
+SEGMENT = 512
+MOST_BITS = 1 << 29
+
 
 def attribute_coverage(features: DataFrame) -> DataFrame:
     """Per feature type and attribute of ``features(type, attrs)``: rows, rows with it, distinct values.
@@ -80,20 +86,92 @@ def resolve_genes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     ``nodes(id, type, gene_id)``, ``edges(id, parent, ord)``. A gene is its own; an id with a stored gene has that; any other takes the gene of
     its first parent, by ``ord``, that has one, however many levels up. Ids without a gene are left out.
 
+    Most ids are no one's parent: such leaves are set aside, and again among the rest as long as that halves the edges and these are many. Only what is left is followed level by level (``_inner_genes``);
+    then each layer of leaves, the last one first, takes the first of its parents that has a gene. So a leaf's edges are dealt by parent and by id once, whatever the number of levels or of failing parents.
+    """
+    own = F.when(F.col("type") == "gene", F.col("id")).otherwise(F.col("gene_id"))
+    genes = kept(nodes.select("id", own.alias("gene_id")).where("gene_id IS NOT NULL").withColumn("depth", F.lit(0)), "genes")
+    live, layers = edges.select("id", "parent", "ord").where("id IS NOT NULL AND parent IS NOT NULL"), []
+    while True:
+        parents = kept(live.groupBy("parent").agg(F.count(F.lit(1)).alias("n")), "parents")
+        keys, left = parents.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()  # one row
+        if left <= FEW:
+            break
+        inner, leaves = _parents_apart(live, parents, keys)
+        inner, total = kept(inner, "inner_edges"), left
+        left = inner.count()
+        if 2 * left > total:
+            break
+        layers.append((leaves, kept(parents.where(F.col("n") * COMMON > total).select("parent"), "common_parents")))
+        live = inner
+        if left <= FEW:
+            break
+    found = [genes, *(_inner_genes(genes, live) if left else [])]
+    for i, (leaves, common) in enumerate(reversed(layers), 1):
+        taken = _leaf_genes(leaves, common, reduce(DataFrame.unionByName, found)).join(genes.select("id"), "id", "left_anti")
+        found.append(taken if i == len(layers) else kept(taken, "leaf_genes"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _parents_apart(live: DataFrame, parents: DataFrame, keys: int) -> tuple[DataFrame, DataFrame]:
+    """The edges ``live`` of ids that may be among the ``keys`` ``parents``, and those of ids that surely are not.
+
+    A bit set of the parents goes to every task, so no edge moves; a few more ids may seem to be parents. For more parents than it can tell apart a join decides.
+    """
+    if 8 * keys > MOST_BITS:
+        ids = parents.select(F.col("parent").alias("id"))
+        return live.join(ids, "id", "left_semi"), live.join(ids, "id", "left_anti")
+    size = min(max(1 << (16 * keys).bit_length(), 64 * SEGMENT), MOST_BITS) // 64
+    word, mask = _place("id", size)
+    at = live.join(F.broadcast(_bit_set(parents, "parent", size)), F.floor(word / SEGMENT) == F.col("segment"))
+    marked = F.get("words", word.bitwiseAND(F.lit(SEGMENT - 1)).cast("int")).bitwiseAND(mask) == mask
+    return at.where(marked).select(*live.columns), at.where(~marked).select(*live.columns)
+
+
+def _bit_set(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """Bits of a key's hashes, two in one of ``size`` words of 64 (a power of two): rows ``segment, words`` of ``SEGMENT`` words each."""
+    word, mask = _place(key, size)
+    zeros = rows.sparkSession.range(size).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    words = rows.select(word.alias("word"), mask.alias("bits")).unionByName(zeros).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return kept(words.groupBy(F.floor(F.col("word") / SEGMENT).alias("segment")).agg(F.sort_array(F.collect_list(F.struct("word", "bits")))["bits"].alias("words")), "bits")
+
+
+def _place(key: str, size: int) -> tuple[Column, Column]:
+    """The word of a key in a bit set, and its bits there; keys of different types have the same if their texts have."""
+    h = F.xxhash64(F.col(key).cast("string"))
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, k).bitwiseAND(F.lit(63)).cast("int"))
+    return h.bitwiseAND(F.lit(size - 1).cast("bigint")), bit(40).bitwiseOR(bit(46))
+
+
+def _leaf_genes(leaves: DataFrame, common: DataFrame, known: DataFrame) -> DataFrame:
+    """``id, gene_id, depth`` of the ids of the edges ``leaves`` that have a parent with a gene: that of the first such one.
+
+    The few ``common`` parents are looked up in every task, so their edges are not dealt by parent, and those without a gene not at all.
+    """
+    known, common = known.select(F.col("id").alias("parent"), "gene_id", "depth"), F.broadcast(common)
+    near = leaves.join(F.broadcast(known.join(common, "parent", "left_semi")), "parent")
+    far = leaves.join(common, "parent", "left_anti").join(known, "parent")
+    took = near.unionByName(far).select("id", "ord", "parent", "gene_id", (F.col("depth") + 1).cast("int").alias("depth"))
+    first = took.repartition("id").groupBy("id").agg(F.min_by(F.struct("gene_id", "depth"), F.struct("ord", "parent")).alias("g"))  # dealt first: hardly an id has two rows in a task
+    return first.select("id", "g.gene_id", "g.depth")
+
+
+def _inner_genes(genes: DataFrame, edges: DataFrame) -> list[DataFrame]:
+    """``id, gene_id, depth`` of ids without a gene of their own, in parts, where chains may be long and lead round.
+
     Each open id points to its first parent still possible. Pointers are doubled, so ``d`` levels take ``log d`` joins, and end at an
     id with a gene or at a dead one. Of a chain with a dead end the last id that has another parent goes on to that one; ids behind
     it are dead, and so are all of a chain without such an id. Where pointers lead round, the greatest id of the cycle that has another parent goes on to that. Rounds
     are needed per failing parent on a chain, not per level.
     """
-    own = F.when(F.col("type") == "gene", F.col("id")).otherwise(F.col("gene_id"))
-    found = [nodes.select("id", own.alias("gene_id")).where("gene_id IS NOT NULL").withColumn("depth", F.lit(0))]
-    live = edges.select("id", "parent", "ord").where("id IS NOT NULL AND parent IS NOT NULL").join(found[0], "id", "left_anti")
+    found = [genes]
+    live = edges.join(genes, "id", "left_anti")
     while True:
         ended, round_about = _chains(live, reduce(DataFrame.unionByName, found))
         found.append(ended.where("kind = 'gene'").select("id", "gene_id", (F.col("steps") + F.col("depth")).cast("int").alias("depth")))
         lost = ended.where("kind = 'dead'").unionByName(round_about)
         if lost.where("other IS NOT NULL").isEmpty():  # no chain without a gene has another parent to try
-            return reduce(DataFrame.unionByName, found)
+            return found[1:]
         found[-1] = kept(found[-1], "genes")
         dead = kept(lost.where("other IS NULL").select("id").union(ended.where("kind = 'dead'").select("at")).distinct(), "dead_ids")
         on_cycle = round_about.join(round_about.select(F.col("at").alias("id")).distinct(), "id", "left_semi").where("more")

@@ -648,6 +648,27 @@ def test_only_parents_are_looked_up(spark):
     assert round_about.count() == 0
 
 
+def test_leaves_are_not_followed(spark, monkeypatch):
+    """Ids that are no one's parent stay out of the chains, and have the gene of their first parent that has one, whether parents are common or not, and whatever their bit set can tell."""
+    r = random.Random(8)
+    own = {"g1": "G1", "g2": "G2", "named": "G3"}
+    inner = {f"m{i}": [f"m{i - 1}"] for i in range(1, 9)} | {"m0": ["nowhere", "g1"], "lost": ["gone"], "round": ["again"], "again": ["round"]}
+    leaves = {f"e{i}": r.sample(["nowhere", "lost", "round", "g2", *inner], k=r.randint(1, 4)) for i in range(60)} | {"only": ["lost", "again"], "named": ["g1"]}
+    want = {k: v for k in [*own, *inner, *leaves] if (v := gene_of(k, own, inner | leaves))}
+    assert "only" not in want and want["named"] == ("G3", 0) and want["m8"] == ("G1", 9)
+    followed, chains = [], features._chains
+    monkeypatch.setattr(features, "FEW", 0, raising=False)
+    monkeypatch.setattr(features, "_chains", lambda live, known: followed.append({x.id for x in live.select("id").collect()}) or chains(live, known))
+    assert resolved(spark, own, inner | leaves) == want
+    assert followed and not any(ids & set(leaves) for ids in followed)
+    monkeypatch.setattr(features, "COMMON", 5)  # a parent of over a fifth of the edges
+    assert resolved(spark, own, inner | leaves) == want
+    monkeypatch.setattr(features, "SEGMENT", 1)
+    for most in (128, 64):  # of two words some leaves seem to be parents; one word cannot hold them
+        monkeypatch.setattr(features, "MOST_BITS", most)
+        assert resolved(spark, own, inner | leaves) == want
+
+
 # Files of several parts
 
 
